@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("warehouse", "profile")
+MODULES = ("warehouse", "profile", "messages")
 
 for _name in MODULES:
     import_module(f"playerflow.plans.{_name}")

@@ -64,7 +64,7 @@ EVENT_COLUMNS: dict[str, str] = {
     "transaction_id": f"CASE WHEN {_WALLET} THEN CAST(k % 40 AS STRING) END",
     "amount": f"CASE WHEN {_WALLET} THEN value END",
     "amount_cents": f"CASE WHEN {_WALLET} THEN CAST(round(value * 100) AS BIGINT) END",
-    "lifetime_count": f"CASE WHEN {_WALLET} THEN k % 4 END",
+    "lifetime_count": f"CASE WHEN {_WALLET} THEN k % 3 END",
     "total_deposit_eur": f"CASE WHEN {_WALLET} THEN round(value * 3, 2) END",
     # wagering
     "bet_datetime": _on("click", "CASE WHEN k % 2 = 0 THEN " + _dt("ts") + " ELSE " + _dt("ts - INTERVAL 40 DAY") + " END"),
