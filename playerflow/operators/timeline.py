@@ -96,7 +96,7 @@ def _position(order: str, dtype: str) -> Column:
     return F.col(order).cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> DataFrame:
     """Keys with too many rows for one task, with their order range and block count."""
     dtypes = dict(df.dtypes)
     first = _position(order[0], dtypes[order[0]])
@@ -108,7 +108,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
         F.min(last).alias("__seq_lo"),
         F.max(last).alias("__seq_hi"),
     )
-    limit = hot_rows(df)
+    limit = limit or hot_rows(df)
     share = df.agg((F.count(F.lit(1)) / F.lit(MAX_HOT_KEYS)).alias("share")).scalar()
     return counts.filter((F.col("__n") > limit) & (F.col("__n") > share)).withColumn(
         "__blocks", F.ceil(F.col("__n") / F.lit(limit))
