@@ -297,3 +297,37 @@ def tombstones(df: DataFrame, deleted: Column, columns: Sequence[str]) -> DataFr
     """Latest row per key, unless that row deletes the key."""
     marked = df.withColumn("__deleted", deleted)
     return last_rows(marked, KEY, ORDER, ["ts", "seq", *columns, "__deleted"]).filter(~F.col("__deleted")).drop("__deleted")
+
+
+def between_start_and_stop(df: DataFrame, keys: Sequence[str], action: str = "action") -> DataFrame:
+    """Drop events after the latest ``stop`` until the next ``start``; control rows themselves go too.
+
+    The switch holds for a whole pipeline, so its timeline is as long as the
+    feed: the block-wise running value is what keeps it out of a single task.
+    """
+    rows = running(df, keys, ORDER, after={"switch": Last(F.col(action))})
+    return rows.filter(F.col(action).isNull() & (F.coalesce("switch", F.lit("start")) != "stop"))
+
+
+def snapshot(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Whole profile store: final state of every player."""
+    return latest_values(df, KEY, ORDER, fields)
+
+
+def text_by_code(code: Column, texts: dict[str, str]) -> Column:
+    """Text of a code; an unknown code is kept."""
+    table = F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])
+    return F.coalesce(table[code], code)
+
+
+def outward(state: DataFrame, restricted_brands: Sequence) -> DataFrame:
+    """Public record: renamed columns, ten-character dates, and one column only some brands carry."""
+    return state.select(
+        F.col("player_id").alias("originalId"),
+        "brand_id",
+        F.substring("reg_datetime", 1, 10).alias("reg_datetime"),
+        F.col("email").alias("emailaddress"),
+        "language",
+        "country",
+        F.when(F.col("brand_id").isin(list(restricted_brands)), F.col("is_self_excluded")).alias("is_deposited_restricted"),
+    )

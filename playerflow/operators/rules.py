@@ -171,16 +171,17 @@ def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less
 
 def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, legacy_less: bool, order: str) -> DataFrame:
     rolled = rollups(deposits, keys)
-    # A counting rule looks at all amounts, a single ``equal`` rule at one.
+    # Every rule looks at all amounts; a single ``equal`` rule also at the one it names.
     one_amount = F.col("times").isNull() & (F.col("symbol") == "equal")
-    leveled = rules.withColumn("level", F.when(one_amount, _level(F.col("threshold"))).otherwise(F.lit(ANY_LEVEL)))
-    cells = cover(leveled).join(rolled, [*keys, "level", "grain", "bucket"])
+    levels = F.array_compact(F.array(F.lit(ANY_LEVEL), F.when(one_amount, _level(F.col("threshold")))))
+    cells = cover(rules.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
+    decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
     totals = cells.groupBy(*carried, "times").agg(
         F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"),
-        F.min(F.when(_may_match(legacy_less), F.struct("bucket", "grain"))).alias("hit"),
+        F.min(F.when(decisive & _may_match(legacy_less), F.struct("bucket", "grain"))).alias("hit"),
     )
-    hits = totals.filter(F.col("times").isNull() & F.col("hit").isNotNull()).select(*carried, "hit.bucket", "hit.grain")
+    hits = totals.filter(F.col("hit").isNotNull()).select(*carried, "hit.bucket", "hit.grain")
     seconds = _first_matching_second(hits, rolled, keys, legacy_less)
     distinct = deposits.groupBy(*keys, "second", "amount").agg(F.min(order).alias("__first"))
     first = (
@@ -188,12 +189,12 @@ def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, legacy_less: boo
         .filter(compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less))
         .groupBy(*RULE).agg(F.min_by("amount", F.struct("__first", "amount")).alias("first_amount"))
     )
-    return totals.select(*RULE, "n", "total").join(first, list(RULE), "left")
+    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, "n", "total").join(first, list(RULE), "left")
 
 
 def _summarise_plain(rules: DataFrame, deposits: DataFrame, keys, legacy_less: bool, order: str) -> DataFrame:
     inside = (F.col("second") >= F.unix_seconds("from_ts")) & (F.col("second") <= F.unix_seconds("to_ts"))
-    match = compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less)
+    match = F.col("times").isNull() & compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less)
     at = F.struct("second", order, "amount")
     return (
         rules.join(deposits.select(*keys, "second", "amount", order), list(keys)).filter(inside)

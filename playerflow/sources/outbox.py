@@ -93,3 +93,16 @@ def manifest(written: DataFrame, dataset: str, path: str, dry_run: bool = False)
 
 def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+def property_rows(df: DataFrame, id_column: str, properties: dict[str, Column], *keep: str) -> DataFrame:
+    """``(id, properties)`` rows for a batch export, properties as a text map."""
+    entries = [x for n, c in properties.items() for x in (F.lit(n), c.cast("string"))]
+    return df.select(F.col(id_column).alias("id"), F.create_map(*entries).alias("properties"), *keep)
+
+
+def history_rows(df: DataFrame, id_column: str, properties: dict[str, Column]) -> DataFrame:
+    """``(id, properties)`` rows, properties as JSON text without the absent ones."""
+    return df.select(
+        F.col(id_column).alias("id"), F.to_json(F.struct(*[c.alias(n) for n, c in properties.items()])).alias("properties")
+    )
