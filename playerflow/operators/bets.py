@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerflow.operators.timeline import first_rows, last_rows
+from playerflow.operators.timeline import Count, Last, first_rows, last_rows, running
 
 
 def bet_join(wagers: DataFrame, sports: DataFrame, wager_order: Sequence[str], sports_order: Sequence[str], keys=("player_id", "bet_id")) -> DataFrame:
@@ -21,38 +21,46 @@ def bet_join(wagers: DataFrame, sports: DataFrame, wager_order: Sequence[str], s
     return left.join(right, list(keys))
 
 
-def watched_bets(sports: DataFrame, wagers: DataFrame, championships: dict[str, str], key: str = "bet_id") -> DataFrame:
-    """``placed`` when a sports bet in a watched championship is the first news of a bet,
-    ``result`` when its settled wager is known as well.
+def bet_news(sports: DataFrame, wagers: DataFrame, watched: Sequence[str], key: str = "bet_id") -> DataFrame:
+    """Sports bets of the watched championships and wagers of one vertical as one timeline per bet.
 
-    ``sports`` needs ``placed_at`` and ``championship_id``, ``wagers`` (one vertical)
-    ``wager_at``, ``settled`` and ``lost``. Each side is aggregated per bet before the join.
+    ``sports`` needs ``placed_at`` and ``championship_id``, ``wagers``
+    ``wager_at``, ``settled`` and ``lost``. At equal times the sports bet comes first.
     """
-    selector = F.create_map(*[F.lit(x) for pair in championships.items() for x in pair])
-    first = first_rows(sports, [key], ["placed_at"]).withColumn("selector", selector[F.col("championship_id")])
-    watched = first.filter(F.col("selector").isNotNull())
-    state = wagers.groupBy(key).agg(
-        F.min("wager_at").alias("first_wager_at"),
-        F.min(F.when(F.col("settled"), F.struct("wager_at", "lost"))).alias("settlement"),
+    settlement = "struct<wager_at:timestamp_ntz,lost:boolean>"
+    left = sports.filter(F.col("championship_id").isin(list(watched))).select(
+        key, F.col("placed_at").alias("ts"), F.lit(0).cast("bigint").alias("seq"),
+        F.struct("championship_id").alias("sport"), F.lit(None).cast(settlement).alias("settlement"), F.lit(False).alias("is_wager"),
     )
-    joined = watched.join(state, key, "left")
-    placed = F.col("first_wager_at").isNull() | (F.col("placed_at") <= F.col("first_wager_at"))
-    outcome = F.when(F.col("settlement.lost"), "lost").otherwise("won")
-    nothing = F.lit(None).cast("string")
-    messages = F.array_compact(
-        F.array(
-            F.when(placed, F.struct(F.lit("placed").alias("kind"), nothing.alias("bet_won_lost"), nothing.alias("result_date"))),
-            F.when(
-                F.col("settlement").isNotNull(),
-                F.struct(
-                    F.lit("result").alias("kind"),
-                    outcome.alias("bet_won_lost"),
-                    F.date_format("settlement.wager_at", "yyyy-MM-dd").alias("result_date"),
-                ),
-            ),
-        )
+    right = wagers.select(
+        key, F.col("wager_at").alias("ts"),
+        F.when(~F.col("settled"), 3).when(F.col("lost"), 2).otherwise(1).cast("bigint").alias("seq"),
+        F.lit(None).cast("struct<championship_id:string>").alias("sport"),
+        F.when(F.col("settled"), F.struct("wager_at", "lost")).alias("settlement"), F.lit(True).alias("is_wager"),
+    )
+    return left.unionByName(right)
+
+
+def watched_bets(rows: DataFrame, keys: Sequence[str] = ("bet_id",)) -> DataFrame:
+    """``placed`` on a bet's first sports bet before any wager, ``result`` once both sides are known."""
+    sport, settlement, wagers = Last(F.col("sport")), Last(F.col("settlement")), Count(F.col("is_wager"))
+    steps = running(
+        rows, keys, ("ts", "seq"),
+        after={"sport_now": sport, "settled_now": settlement},
+        before={"sport_then": sport, "settled_then": settlement, "wagers_then": wagers},
+    )
+    both = F.col("sport_now").isNotNull() & F.col("settled_now").isNotNull()
+    had_both = F.col("sport_then").isNotNull() & F.col("settled_then").isNotNull()
+    placed = F.col("sport").isNotNull() & F.col("sport_then").isNull() & (F.col("wagers_then") == 0)
+    kinds = F.array_compact(F.array(F.when(placed, "placed"), F.when(both & ~had_both, "result")))
+    result = F.col("kind") == "result"
+    return (
+        steps.withColumn("kind", F.explode(kinds))
+        .withColumn("championship_id", F.col("sport_now.championship_id"))
+        .withColumn("bet_won_lost", F.when(result, F.when(F.col("settled_now.lost"), "lost").otherwise("won")))
+        .withColumn("result_date", F.when(result, F.date_format("settled_now.wager_at", "yyyy-MM-dd")))
+        .drop("sport_now", "settled_now", "sport_then", "settled_then", "wagers_then")
     )
-    return joined.select("*", F.explode(messages).alias("m")).select("*", "m.*").drop("m", "settlement", "first_wager_at")
 
 
 def first_settled_bet(bets: DataFrame, owners: DataFrame, settled: Column, order: Sequence[str]) -> DataFrame:

@@ -32,23 +32,33 @@ def bet_join(spark, sf):
     )
 
 
+# Watched championships and their selectors.
 CHAMPIONSHIPS = {"1": "cup_bet", "3": "league_bet"}
 
+WATCHED = """w AS (SELECT bet_id, bet_datetime AS t, result = 'R' AS lost, result <> 'N' AS settled FROM bets WHERE vertical = 'F'),
+    j AS (SELECT s.bet_id, s.championship_id, count(t) FILTER (WHERE t < placed_at) AS earlier,
+        coalesce(max({'at': t, 'lost': lost}) FILTER (WHERE settled AND t < placed_at), min({'at': t, 'lost': lost}) FILTER (WHERE settled AND t >= placed_at)) AS r
+      FROM sports s LEFT JOIN w USING (bet_id) WHERE championship_id IN ('1', '3') GROUP BY 1, 2),
+    m AS (SELECT bet_id, championship_id, 'placed' AS kind, NULL AS bet_won_lost, NULL AS result_date FROM j WHERE earlier = 0
+    UNION ALL SELECT bet_id, championship_id, 'result', CASE WHEN r.lost THEN 'lost' ELSE 'won' END, strftime(r.at, '%Y-%m-%d') FROM j WHERE r IS NOT NULL)"""
+
+
+def vertical_wagers(bets):
+    return bets.filter(F.col("vertical") == "F").select(
+        "bet_id", F.col("bet_datetime").alias("wager_at"), (F.col("result") != "N").alias("settled"), (F.col("result") == "R").alias("lost")
+    )
+
 
 @query(
     "bet_accumulate_join",
-    f"""{BS}, s AS (SELECT *, CASE championship_id WHEN '1' THEN 'cup_bet' ELSE 'league_bet' END AS selector FROM sports WHERE championship_id IN ('1', '3')),
-    w AS (SELECT bet_id, min(bet_datetime) AS f, min({{'at': bet_datetime, 'lost': result = 'R'}}) FILTER (WHERE result <> 'N') AS r FROM bets WHERE vertical = 'F' GROUP BY 1),
-    j AS (SELECT s.*, f, r FROM s LEFT JOIN w USING (bet_id))
-    SELECT bet_id, player_id, selector, 'placed' AS kind, NULL AS bet_won_lost, NULL AS result_date FROM j WHERE f IS NULL OR placed_at <= f
-    UNION ALL SELECT bet_id, player_id, selector, 'result', CASE WHEN r.lost THEN 'lost' ELSE 'won' END, strftime(r.at, '%Y-%m-%d') FROM j WHERE r IS NOT NULL""",
+    f"{BS}, {WATCHED} SELECT *, CASE championship_id WHEN '1' THEN 'cup_bet' ELSE 'league_bet' END AS selector FROM m",
 )
 def bet_accumulate_join(spark, sf):
-    wagers = T.bets(spark, sf).filter(F.col("vertical") == "F").select(
-        "bet_id", F.col("bet_datetime").alias("wager_at"), (F.col("result") != "N").alias("settled"), (F.col("result") == "R").alias("lost")
+    news = B.bet_news(T.sports_bets(spark, sf), vertical_wagers(T.bets(spark, sf)), list(CHAMPIONSHIPS))
+    selector = F.create_map(*[F.lit(x) for pair in CHAMPIONSHIPS.items() for x in pair])
+    return B.watched_bets(news).select(
+        "bet_id", "championship_id", "kind", "bet_won_lost", "result_date", selector[F.col("championship_id")].alias("selector")
     )
-    rows = B.watched_bets(T.sports_bets(spark, sf), wagers, CHAMPIONSHIPS)
-    return rows.select("bet_id", "player_id", "selector", "kind", "bet_won_lost", "result_date")
 
 
 @query(
