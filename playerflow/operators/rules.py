@@ -215,8 +215,11 @@ def summarise(
     ``rules`` needs symbol, times, threshold and the window, ``deposits`` the
     second, the amount and ``order``.
     """
-    hot = F.broadcast(hot_keys(deposits, keys, ["second", order], hot_limit).select(*keys))
     lean = rules.select(*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts")
+    many_deposits = hot_keys(deposits, keys, ["second", order], hot_limit)
+    if many_deposits is None:
+        return _summarise_plain(lean, deposits, keys, legacy_less, order)
+    hot = F.broadcast(many_deposits.select(*keys))
     few = _summarise_plain(lean.join(hot, list(keys), "left_anti"), deposits, keys, legacy_less, order)
     many = _summarise_hot(
         lean.join(hot, list(keys), "left_semi"), deposits.join(hot, list(keys), "left_semi"), keys, legacy_less, order

@@ -6,18 +6,20 @@ value over the rows of one key in arrival order.  A plain
 task.  Here a key that holds too many rows is cut into consecutive time
 blocks:
 
-1. row count and order range per key (partial aggregation before the shuffle);
-2. keys above the limit get ``ceil(rows / limit)`` blocks of equal time span,
-   every other key keeps a single block;
+1. row count and order range per key, in a job of its own (partial sums before
+   the shuffle), from which only the keys above the limit come back;
+2. such a key gets ``ceil(rows / limit)`` blocks of equal time span, every other
+   key keeps a single block;
 3. one summary row per (hot key, block), again partially aggregated, and a
    window over those few rows gives what each block inherits;
 4. the row window runs per (key, block) and falls back to the inherited value.
 
-When no key is hot, adaptive execution finds the hot list empty and drops
-steps 3 and 4, which leaves the single shuffle and sort of the plain window.
+Where no key is hot, which is the usual case, steps 2 to 4 reduce to the plain
+window with its single shuffle and sort.
 
-The hot list is broadcast: a key is hot only above ``rows / MAX_HOT_KEYS``,
-so there can never be more than ``MAX_HOT_KEYS`` of them.
+The hot list is small by construction: at most ``rows / limit`` keys can exceed
+the limit, and only the ``MAX_HOT_KEYS`` largest are taken. Any other key still
+gives the exact result, in one block.
 """
 
 from __future__ import annotations
@@ -96,11 +98,15 @@ def _position(order: str, dtype: str) -> Column:
     return F.col(order).cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> DataFrame:
-    """Keys with too many rows for one task, with their order range and block count."""
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """Keys with too many rows for one task, with their order range and block count; None without any.
+
+    Runs a job: the list is taken once, so that every use of it agrees.
+    """
     dtypes = dict(df.dtypes)
     first = _position(order[0], dtypes[order[0]])
     last = _position(order[-1], dtypes[order[-1]])
+    limit = limit or hot_rows(df)
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),
         F.min(first).alias("__lo"),
@@ -108,11 +114,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: in
         F.min(last).alias("__seq_lo"),
         F.max(last).alias("__seq_hi"),
     )
-    limit = limit or hot_rows(df)
-    share = df.agg((F.count(F.lit(1)) / F.lit(MAX_HOT_KEYS)).alias("share")).scalar()
-    return counts.filter((F.col("__n") > limit) & (F.col("__n") > share)).withColumn(
-        "__blocks", F.ceil(F.col("__n") / F.lit(limit))
+    hot = (
+        counts.filter(F.col("__n") > limit)
+        .withColumn("__blocks", F.ceil(F.col("__n") / F.lit(limit)))
+        .orderBy(F.desc("__n"))
+        .limit(MAX_HOT_KEYS)
     )
+    rows = hot.collect()
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> DataFrame:
@@ -149,7 +158,10 @@ def running(
     after, before = dict(after or {}), dict(before or {})
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    tagged = _tag_blocks(df, keys, order, hot_keys(df, keys, order))
+    hot = hot_keys(df, keys, order)
+    if hot is None:
+        return running_plain(df, keys, order, after, before)
+    tagged = _tag_blocks(df, keys, order, hot)
     rows = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
     upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = rows.rowsBetween(Window.unboundedPreceding, -1)
@@ -184,7 +196,7 @@ def running(
 
 
 def running_plain(df: DataFrame, keys, order, after=None, before=None) -> DataFrame:
-    """Single-window form, for inputs known to be small per key (a micro-batch)."""
+    """Single-window form, for inputs whose keys are all small."""
     after, before = dict(after or {}), dict(before or {})
     rows = Window.partitionBy(*keys).orderBy(*order)
     upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
