@@ -67,26 +67,27 @@ def normalise(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     expiry = add_ttl(F.col("requested_at"), F.col("ttl"), F.col("ttl_unit"))
     rows = requests.withColumn("expires_at", expiry).withColumn("expected", F.size("rules"))
-    filled = F.transform(
-        "rules",
-        lambda r: r.withField("from_ts", F.coalesce(r["from_ts"], F.col("requested_at")))
-        .withField("to_ts", F.coalesce(r["to_ts"], F.col("expires_at")))
-        .withField("symbol", F.element_at(F.create_map(*[F.lit(x) for p in SYMBOLS.items() for x in p]), r["symbol"])),
-    )
-    rows = rows.withColumn("rules", filled)
+    start = lambda r: F.coalesce(r["from_ts"], F.col("requested_at"))
+    end = lambda r: F.coalesce(r["to_ts"], F.col("expires_at"))
+    days = lambda r: F.floor((F.unix_micros(end(r)) - F.unix_micros(start(r))) / F.lit(86_400_000_000))
     units = [*TTL_MONTHS, *TTL_SECONDS]
-    days = lambda r: F.floor((F.unix_micros(r["to_ts"]) - F.unix_micros(r["from_ts"])) / F.lit(86_400_000_000))
     reason = (
         F.when(~F.coalesce(F.upper("ttl_unit").isin(units), F.lit(False)), "unit")
         .when(~F.coalesce(F.col("accept_uri").rlike(URI_PATTERN), F.lit(False)), "uri")
-        .when(F.exists("rules", lambda r: r["from_ts"] > r["to_ts"]), "window")
+        .when(F.exists("rules", lambda r: start(r) > end(r)), "window")
         .when(F.exists("rules", lambda r: days(r) > MAX_DAYS), "too_long")
     )
-    rows = rows.withColumn("reason", reason)
-    accepted = rows.filter(F.col("reason").isNull()).select(
+    judged = rows.withColumn("reason", reason)
+    symbols = F.create_map(*[F.lit(x) for pair in SYMBOLS.items() for x in pair])
+    accepted = judged.filter(F.col("reason").isNull()).select(
         "request_id", "player_id", "accept_uri", "requested_at", "expires_at", "expected", F.posexplode("rules").alias("rule_no", "r")
-    ).select("*", "r.*").drop("r")
-    return accepted, rows.filter(F.col("reason").isNotNull()).select("request_id", "reason")
+    )
+    filled = accepted.select(
+        "request_id", "player_id", "accept_uri", "requested_at", "expires_at", "expected", "rule_no",
+        "r.kind", symbols[F.col("r.symbol")].alias("symbol"), "r.times", "r.amount",
+        start(F.col("r")).alias("from_ts"), end(F.col("r")).alias("to_ts"), "r.sports",
+    )
+    return filled, judged.filter(F.col("reason").isNotNull()).select("request_id", "reason")
 
 
 ANY_LEVEL = "any"

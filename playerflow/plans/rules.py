@@ -29,12 +29,11 @@ def _requests(spark, sf):
         F.expr(amount).cast("string").alias("amount"), shift(-1, FROM_DAYS).alias("from_ts"),
         F.when(F.col("k") % 11 != 0, shift(1, TO_DAYS)).alias("to_ts"), F.array().cast("array<string>").alias("sports"),
     )
-    both = F.array(
-        rule(SYMBOL0, "1 + k % 2", "CASE WHEN k % 3 = 0 THEN 20 END"), rule(SYMBOL1, "NULL", "5 + k % 30")
+    counting = rule(SYMBOL0, "1 + k % 2", "CASE WHEN k % 3 = 0 THEN 20 END")
+    single = rule(SYMBOL1, "NULL", "5 + k % 30")
+    rules = (
+        F.when(F.col("k") % 3 == 0, F.array(counting, single)).when(F.col("k") % 3 == 1, F.array(counting)).otherwise(F.array(single))
     )
-    first = F.slice(both, 1, 1)
-    second = F.slice(both, 2, 1)
-    rules = F.when(F.col("k") % 3 == 0, both).when(F.col("k") % 3 == 1, first).otherwise(second)
     return rows.select(
         F.col("seq").alias("request_id"), "player_id", F.expr(URIS).alias("accept_uri"), F.col("at").alias("requested_at"),
         (1 + F.col("k") % 20).alias("ttl"), F.expr(UNITS).alias("ttl_unit"), rules.alias("rules"),
