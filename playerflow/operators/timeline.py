@@ -9,7 +9,8 @@ blocks:
 1. row count and order range per key, in a job of its own (partial sums before
    the shuffle), from which only the keys above the limit come back;
 2. such a key gets ``ceil(rows / limit)`` blocks of equal time span, every other
-   key keeps a single block;
+   key keeps a single block; a block that still holds far too many rows (a burst,
+   or rows of one time, which are cut along the tie-breaker) is cut again;
 3. one summary row per (hot key, block), again partially aggregated, and a
    window over those few rows gives what each block inherits;
 4. the row window runs per (key, block) and falls back to the inherited value.
@@ -34,7 +35,10 @@ MAX_HOT_KEYS = 50_000
 HOT_ROWS_CONF = "spark.playerflow.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
 
-_BLOCK = "__block"
+MAX_LEVELS = 4
+# Equal spans never fill equally; only a block this many times too full is cut again.
+_OVERFULL = 4
+
 _PREFIX = "__carry_"
 
 
@@ -98,7 +102,9 @@ def _position(order: str, dtype: str) -> Column:
     return F.col(order).cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> DataFrame | None:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None, overfull: int = 1
+) -> DataFrame | None:
     """Keys with too many rows for one task, with their order range and block count; None without any.
 
     Runs a job: the list is taken once, so that every use of it agrees.
@@ -115,7 +121,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: in
         F.max(last).alias("__seq_hi"),
     )
     hot = (
-        counts.filter(F.col("__n") > limit)
+        counts.filter(F.col("__n") > limit * overfull)
         .withColumn("__blocks", F.ceil(F.col("__n") / F.lit(limit)))
         .orderBy(F.desc("__n"))
         .limit(MAX_HOT_KEYS)
@@ -124,22 +130,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: in
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
-def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> DataFrame:
+def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows with their nested block columns; rows of ordinary keys are in block 0 throughout."""
     dtypes = dict(df.dtypes)
     first = _position(order[0], dtypes[order[0]])
     last = _position(order[-1], dtypes[order[-1]])
-    # A key whose rows all share one time is cut along the tie-breaker instead.
-    span = F.when(F.col("__hi") > F.col("__lo"), (first - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))).when(
-        F.col("__seq_hi") > F.col("__seq_lo"),
-        (last - F.col("__seq_lo")) / (F.col("__seq_hi") - F.col("__seq_lo")),
-    )
+    along_time = (first - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+    along_seq = (last - F.col("__seq_lo")) / (F.col("__seq_hi") - F.col("__seq_lo"))
+    span = F.when(F.col("__hi") > F.col("__lo"), along_time).when(F.col("__seq_hi") > F.col("__seq_lo"), along_seq)
     block = F.least(F.floor(span * F.col("__blocks")), F.col("__blocks") - 1)
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(_BLOCK, F.when(F.col("__n").isNull(), F.lit(0)).otherwise(F.coalesce(block, F.lit(0))).cast("bigint"))
-        .withColumn("__is_hot", F.col("__n").isNotNull())
-        .drop("__n", "__lo", "__hi", "__seq_lo", "__seq_hi", "__blocks")
-    )
+    stats = ("__n", "__lo", "__hi", "__seq_lo", "__seq_hi", "__blocks")
+
+    tagged, levels, is_hot = df, [], F.col("__n").isNotNull()
+    while hot is not None and len(levels) < MAX_LEVELS:
+        name = f"__block{len(levels)}"
+        placed = tagged.join(F.broadcast(hot), [*keys, *levels], "left")
+        if not levels:
+            placed = placed.withColumn("__is_hot", is_hot)
+        tagged = placed.withColumn(name, F.coalesce(F.when(is_hot, block), F.lit(0)).cast("bigint")).drop(*stats)
+        levels.append(name)
+        hot = hot_keys(tagged.filter("__is_hot"), [*keys, *levels], order, hot_rows(df), _OVERFULL)
+        if hot is not None:
+            divisible = hot.filter((F.col("__hi") > F.col("__lo")) | (F.col("__seq_hi") > F.col("__seq_lo")))
+            hot = divisible if divisible.take(1) else None
+    return tagged, levels
 
 
 def running(
@@ -161,8 +175,8 @@ def running(
     hot = hot_keys(df, keys, order)
     if hot is None:
         return running_plain(df, keys, order, after, before)
-    tagged = _tag_blocks(df, keys, order, hot)
-    rows = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
+    tagged, levels = _tag_blocks(df, keys, order, hot)
+    rows = Window.partitionBy(*keys, *levels).orderBy(*order)
     upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = rows.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -171,22 +185,19 @@ def running(
 
     # Two names may ask for the same aggregate (state before and after a row).
     distinct: dict[int, str] = {}
-    names: dict[str, str] = {}
-    for n, (agg, _) in specs.items():
-        names[n] = distinct.setdefault(id(agg), n)
+    names = {n: distinct.setdefault(id(agg), n) for n, (agg, _) in specs.items()}
     aggs = {names[n]: agg for n, (agg, _) in specs.items()}
 
-    order_struct = F.struct(*order)
     summary = (
-        tagged.filter(F.col("__is_hot"))
-        .groupBy(*keys, _BLOCK)
-        .agg(*[agg.summary(order_struct).alias(f"__sum_{n}") for n, agg in aggs.items()])
+        tagged.filter("__is_hot")
+        .groupBy(*keys, *levels)
+        .agg(*[agg.summary(F.struct(*order)).alias(f"__sum_{n}") for n, agg in aggs.items()])
     )
-    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *keys, _BLOCK, *[agg.carried(f"__sum_{n}", earlier).alias(_PREFIX + n) for n, agg in aggs.items()]
+        *keys, *levels, *[agg.carried(f"__sum_{n}", earlier).alias(_PREFIX + n) for n, agg in aggs.items()]
     )
-    merged = local.join(carry, [*keys, _BLOCK], "left")
+    merged = local.join(carry, [*keys, *levels], "left")
     values = {
         n: agg.default(agg.combine(F.col(f"__local_{n}"), F.col(_PREFIX + names[n])))
         for n, (agg, _) in specs.items()

@@ -64,13 +64,12 @@ def bet_accumulate_join(spark, sf):
 @query(
     "event_market_lookup",
     f"""WITH {T.SPORTS_CTE} SELECT bet_id, coalesce(e.p_name, '') AS event_description, coalesce(m.p_type, '') AS market_description
-    FROM sports s LEFT JOIN (SELECT * FROM part WHERE p_partkey < 30) e ON e.p_partkey = s.event_id
-    LEFT JOIN (SELECT * FROM part WHERE p_partkey < 5) m ON m.p_partkey = s.market_id""",
+    FROM sports s LEFT JOIN part e ON e.p_partkey = s.event_id LEFT JOIN part m ON m.p_partkey = s.market_id""",
 )
 def event_market_lookup(spark, sf):
     part = T.read_table(spark, sf, "part")
-    named = K.describe(T.sports_bets(spark, sf), part.filter(F.col("p_partkey") < 30), "event_id", "p_partkey", "p_name", "event_description")
-    both = K.describe(named, part.filter(F.col("p_partkey") < 5), "market_id", "p_partkey", "p_type", "market_description")
+    named = K.describe(T.sports_bets(spark, sf), part, "event_id", "p_partkey", "p_name", "event_description")
+    both = K.describe(named, part, "market_id", "p_partkey", "p_type", "market_description")
     return both.select("bet_id", "event_description", "market_description")
 
 

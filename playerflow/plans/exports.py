@@ -44,10 +44,10 @@ def property_map(spark, sf):
 @query(
     "history_export",
     f"""{PL} SELECT player_id AS id, '{{"brand_id":"' || CAST(brand_id AS STRING) || '","dob":"' || strftime(DATE '1970-01-01' + CAST(player_wid % 9000 AS INT), '%Y-%m-%d')
-      || '","segment":"' || segment || '"}}' AS properties FROM players WHERE brand_id IN (0, 1, 2, 3)""",
+      || '","segment":"' || segment || '"}}' AS properties FROM players""",
 )
 def history_export(spark, sf):
-    source = L.brand_filter(T.players(spark, sf), (0, 1, 2, 3)).withColumn(
+    source = T.players(spark, sf).withColumn(
         "raw_dob", F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), (F.col("player_wid") % 9000).cast("int")), "dd/MM/yyyy")
     )
     return O.history_rows(
@@ -66,11 +66,11 @@ def row_as_json(spark, sf):
 
 @query(
     "publish_keyed_json",
-    f"""{PL} SELECT CAST(brand_id AS STRING) || '-' || player_id AS key, '{{"player_wid":' || CAST(player_wid AS STRING) || '}}' AS value FROM players WHERE brand_id = 1""",
+    f"""{PL} SELECT CAST(brand_id AS STRING) || '-' || player_id AS key, '{{"player_wid":' || CAST(player_wid AS STRING) || '}}' AS value FROM players""",
 )
 def publish_keyed_json(spark, sf):
     """Publish to a sink that stands in for a topic, then read the rows back."""
-    rows = O.keyed_json(L.brand_filter(T.players(spark, sf), [1]), ("brand_id", "player_id"), ("player_wid",))
+    rows = O.keyed_json(T.players(spark, sf), ("brand_id", "player_id"), ("player_wid",))
     path = run_dir(spark, "topic")
     O.publish(rows, "parquet", path=path)
     return spark.read.schema("key string, value string").parquet(path)
@@ -107,9 +107,9 @@ def first_deposit_date_export(spark, sf):
     return first.filter(F.col("first").isNotNull()).select("player_wid", L.day(F.col("first")).alias("first_deposit_date"))
 
 
-@query("balance_export", f"{PL} SELECT player_id AS id, balance FROM players WHERE brand_id = 3")
+@query("balance_export", f"{PL} SELECT player_id AS id, balance FROM players")
 def balance_export(spark, sf):
-    return L.brand_filter(T.players(spark, sf), [3]).select(F.col("player_id").alias("id"), "balance")
+    return T.players(spark, sf).select(F.col("player_id").alias("id"), "balance")
 
 
 @query(
@@ -210,12 +210,15 @@ def export_manifest(spark, sf):
     return O.manifest(written, "lifetime_deposit", path).select("brand_id", "dataset", "msg_type", "row_count")
 
 
-@query("append_table", f"{PL} SELECT brand_id, count(*) AS n FROM players WHERE brand_id < 2 GROUP BY 1")
+@query("append_table", f"WITH {T.WALLET_CTE} SELECT status_id, count(*) AS n FROM wallet GROUP BY 1")
 def append_table(spark, sf):
+    """Completed and other transactions arrive one after the other in the same table."""
     path = run_dir(spark, "appended")
-    for brand in (0, 1):
-        O.append_rows(L.brand_filter(T.players(spark, sf), [brand]), path, ("brand_id",))
-    return spark.read.schema("player_id string, brand_id bigint").parquet(path).groupBy("brand_id").agg(F.count(F.lit(1)).alias("n"))
+    complete = F.col("status_id") == 2
+    for condition in (complete, ~complete):
+        O.append_rows(T.wallet(spark, sf).filter(condition), path)
+    schema = "transaction_id bigint, status_id int"
+    return spark.read.schema(schema).parquet(path).groupBy("status_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("read_json_typed", f"{EV} SELECT CAST(seq AS STRING) AS seq, CAST(player_id AS STRING) AS player_id, email FROM ev WHERE topic = 'players'")
@@ -273,11 +276,11 @@ def control_as_of_join(spark, sf):
 
 
 @query(
-    "unpivot_consents",
+    "union_all",
     f"""{PL} SELECT player_id, 'SMS' AS channel, coalesce(CASE WHEN player_wid % 3 <> 0 THEN CAST(player_wid % 2 AS STRING) END, 'null') AS consented FROM players
     UNION ALL SELECT player_id, 'EMAIL', coalesce(CASE WHEN player_wid % 5 <> 0 THEN CAST(player_wid % 2 AS STRING) END, 'null') FROM players""",
 )
-def unpivot_consents(spark, sf):
+def union_all(spark, sf):
     rows = T.players(spark, sf).selectExpr(
         "player_id", "CASE WHEN player_wid % 3 <> 0 THEN player_wid % 2 END AS sms", "CASE WHEN player_wid % 5 <> 0 THEN player_wid % 2 END AS email"
     )

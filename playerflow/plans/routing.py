@@ -126,6 +126,18 @@ def exclude_brand_set(spark, sf):
     return K.include_exclude(T.players(spark, sf), _own(spark, sf), False).select("player_id", "brand_id")
 
 
+@query(
+    "include_exclude_brand_sets",
+    f"{PL} SELECT player_id, CASE WHEN brand_id IN (SELECT r_regionkey FROM region WHERE r_name < 'B') THEN 'own' ELSE 'other' END AS pipeline FROM players",
+)
+def include_exclude_brand_sets(spark, sf):
+    """Every player belongs to exactly one of the two pipelines."""
+    part = lambda include, name: K.include_exclude(T.players(spark, sf), _own(spark, sf), include).select(
+        "player_id", F.lit(name).alias("pipeline")
+    )
+    return part(True, "own").unionByName(part(False, "other"))
+
+
 def _own(spark, sf):
     return T.read_table(spark, sf, "region").filter(F.col("r_name") < "B").selectExpr("CAST(r_regionkey AS BIGINT) AS brand_id")
 
@@ -154,8 +166,7 @@ def sort(spark, sf):
 @query(
     "rekey",
     f"""{EV} SELECT CAST(brand_id AS STRING) || '-' || CAST(player_id AS STRING) AS key, '{{"seq":' || CAST(seq AS STRING) || ',"dt":"' || dt || '"}}' AS value
-    FROM ev WHERE brand_id IN (0, 1, 2)""",
+    FROM ev""",
 )
 def rekey(spark, sf):
-    rows = T.events(spark, sf).filter(F.col("brand_id").isin(0, 1, 2))
-    return O.keyed_json(rows, ("brand_id", "player_id"), ("seq", "dt"))
+    return O.keyed_json(T.events(spark, sf), ("brand_id", "player_id"), ("seq", "dt"))

@@ -116,8 +116,8 @@ SPORTS_BET_COLUMNS = {
     "brand_id": "o_custkey % 5",
     "placed_at": "o_orderdate",
     "championship_id": "substring(o_orderpriority, 1, 1)",
-    "event_id": "o_orderkey % 40",
-    "market_id": "o_orderkey % 7",
+    "event_id": "o_orderkey",
+    "market_id": "o_custkey",
     "is_live": "o_orderstatus = 'F'",
 }
 

@@ -105,20 +105,29 @@ def watched_bets(state: BatchState, output: BatchOutput):
 def recheck_rules(requests: DataFrame, deposits: BatchOutput, fired: BatchOutput, schema, whole: bool = False):
     """Evaluate the active requests of the players a batch touches (or of all players).
 
-    Deposits accumulate in batch folders; requests that fired in an earlier batch are retired.
+    Deposits accumulate in folders per batch and day, of which only the days
+    that an active window can reach are read. Fired requests are retired.
     """
     spark = requests.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        deposits.write(batch, batch_id)
-        history = deposits.read(batch.schema).filter(f"batch <= {batch_id}") if batch_id else batch
+        by_day = batch.withColumn("day", F.floor(F.col("second") / F.lit(86400)))
+        deposits.write(by_day, batch_id, "day")
         done = fired.read(schema).filter(f"batch < {batch_id}") if batch_id else spark.createDataFrame([], schema)
         active = R.retire(requests, done)
+        players = batch.select("player_id").distinct()
         if not whole:
-            players = batch.select("player_id").distinct()
             active = active.join(players, "player_id", "left_semi")
-            history = history.join(players, "player_id", "left_semi")
         accepted, _ = R.normalise(active)
+        reach = accepted.agg(F.min(F.unix_seconds("from_ts")).alias("a"), F.max(F.unix_seconds("to_ts")).alias("b")).first()
+        if reach["a"] is None:
+            fired.write(spark.createDataFrame([], schema), batch_id)
+            return
+        history = deposits.read(by_day.schema).filter(
+            f"batch <= {batch_id} AND day BETWEEN {reach['a'] // 86400} AND {reach['b'] // 86400}"
+        )
+        if not whole:
+            history = history.join(players, "player_id", "left_semi")
         fired.write(R.evaluate(accepted, history), batch_id)
 
     return step
@@ -133,11 +142,16 @@ def changelog_to_table(state: BatchState, order: Sequence[str] = P.ORDER):
     return step
 
 
-def deliver(ledger: BatchState, output: BatchOutput):
-    """Outbox delivery: a message id goes out once, even when a batch or a message is repeated."""
+def deliver(ledger: BatchState, output: BatchOutput, horizon: int = 100):
+    """Outbox delivery: a message id goes out once, even when a batch or a message is repeated.
+
+    Like a queue's own de-duplication, the check reaches back a limited time:
+    the last ``horizon`` batches. A rerun of a batch is always covered.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(["dedup_id"]).join(ledger.before(batch_id), "dedup_id", "left_anti")
+        sent = ledger.since(batch_id - horizon, batch_id)
+        fresh = batch.dropDuplicates(["dedup_id"]).join(sent, "dedup_id", "left_anti")
         output.write(fresh, batch_id)
         ledger.write(fresh, batch_id)
 

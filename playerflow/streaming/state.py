@@ -50,6 +50,13 @@ class BatchState:
         latest = every.groupBy(*self.keys).agg(F.max_by(F.struct(*self.values), F.col("__batch")).alias("v"))
         return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in self.values]).select(*self.schema.names)
 
+    def since(self, first: int, batch_id: int) -> DataFrame:
+        """Rows written by the batches ``first`` to ``batch_id - 1``, without folding them."""
+        steps = [f"{self.path}/step/{i}" for i in self._ids("step") if first <= i < batch_id]
+        if not steps:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*steps)
+
     def touched(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Earlier state of the keys that occur in the batch."""
         return self.before(batch_id).join(batch.select(*self.keys).distinct(), self.keys, "left_semi")
@@ -70,8 +77,8 @@ class BatchOutput:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+    def write(self, df: DataFrame, batch_id: int, *partition_by: str) -> None:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/batch={batch_id}")
 
     def read(self, schema: S.StructType | str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path)

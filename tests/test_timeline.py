@@ -7,19 +7,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from playerflow.operators.timeline import (
-    HOT_ROWS_CONF, Count, Last, Total, first_rows, hot_keys, last_rows, latest_values, running, running_plain,
+    HOT_ROWS_CONF, _OVERFULL, Count, Last, Total, _tag_blocks, first_rows, hot_keys, last_rows, latest_values, running, running_plain,
 )
 
 START = dt.datetime(2024, 1, 1)
 
 
-def _rows(seed, same_time=False, n=400):
+def _rows(seed, times="spread", n=400):
     rng = random.Random(seed)
     rows = []
     for i in range(n):
         # One key holds a third of all rows, the rest spread over twenty.
         key = 0 if rng.random() < 0.34 else rng.randrange(1, 21)
-        ts = START if same_time else START + dt.timedelta(seconds=rng.randrange(0, 5000))
+        ts = START + dt.timedelta(seconds=rng.randrange(0, 5000))
+        if times == "same" or (times == "burst" and rng.random() < 0.9):
+            ts = START
+        elif times == "burst":
+            ts = START + dt.timedelta(days=rng.randrange(0, 3000))
         rows.append((key, ts, i, rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "", "b"])))
     return rows
 
@@ -40,9 +44,9 @@ def tiny_limit(spark):
     spark.conf.unset(HOT_ROWS_CONF)
 
 
-@pytest.mark.parametrize("seed,same_time", [(1, False), (2, False), (3, True)])
-def test_split_equals_single_window(spark, tiny_limit, seed, same_time):
-    df = _frame(spark, _rows(seed, same_time))
+@pytest.mark.parametrize("seed,times", [(1, "spread"), (2, "spread"), (3, "same"), (4, "burst")])
+def test_split_equals_single_window(spark, tiny_limit, seed, times):
+    df = _frame(spark, _rows(seed, times))
     after, before = _specs()
     columns = ["key", "seq", *after, *before]
     split = running(df, ["key"], ["ts", "seq"], after, before).select(*columns)
@@ -56,6 +60,14 @@ def test_hot_key_is_split(spark, tiny_limit):
     assert hot[0] == -(-df.filter("key = 0").count() // 5)
 
 
+def test_burst_is_cut_again(spark, tiny_limit):
+    """Nine tenths of the hot key's rows share one time; no block may keep them all."""
+    df = _frame(spark, _rows(4, "burst"))
+    tagged, levels = _tag_blocks(df, ["key"], ["ts", "seq"], hot_keys(df, ["key"], ["ts", "seq"]))
+    assert len(levels) > 1
+    assert max(r["count"] for r in tagged.groupBy("key", *levels).count().collect()) <= 5 * _OVERFULL
+
+
 def test_nothing_hot_by_default(spark):
     assert hot_keys(_frame(spark, _rows(5)), ["key"], ["ts", "seq"]) is None
 
