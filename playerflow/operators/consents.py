@@ -63,11 +63,20 @@ def rollup(df: DataFrame, areas=("casino", "betting", "bingo"), lead: str = "bet
     return df.select("*", F.explode(F.array_compact(F.array(*rows))).alias("c")).select("*", "c.channel", "c.consented").drop("c")
 
 
-def unpivot_history(df: DataFrame, id_column: str, columns: dict[str, str]) -> DataFrame:
-    """One row per channel column; an absent flag is kept as the text ``null``."""
-    values = {label: F.coalesce(F.col(c).cast("string"), F.lit("null")) for label, c in columns.items()}
-    pairs = F.array(*[F.struct(F.lit(n).alias("channel"), v.alias("consented")) for n, v in values.items()])
-    return df.select(id_column, F.explode(pairs).alias("c")).select(id_column, "c.channel", "c.consented")
+def history_events(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Consent columns as one keyed JSON event per channel; absent flags stay as explicit nulls."""
+    text = lambda c: F.col(c).cast("string")
+    events = [
+        F.to_json(
+            F.struct(
+                F.lit("USER_CONSENT_EVENT").alias("type"), text("brand_id").alias("brand_id"), text("player_id").alias("player_id"),
+                F.lit(channel).alias("channel"), text(column).alias("consented"),
+            ),
+            {"ignoreNullFields": "false"},
+        )
+        for channel, column in columns.items()
+    ]
+    return df.select("player_id", F.explode(F.array(*events)).alias("value"))
 
 
 def channel_consent(value: Column) -> Column:

@@ -38,6 +38,15 @@ def recent_load(df: DataFrame, stamp: Column, as_of: str, days: int) -> DataFram
     return recent(df, loaded, as_of, days)
 
 
+def recent_any(df: DataFrame, stamps: Sequence[Column], as_of: str, days: int) -> DataFrame:
+    """Rows inserted or updated recently: any of the load stamps counts."""
+    fresh = F.lit(False)
+    for stamp in stamps:
+        loaded = F.try_to_timestamp(stamp.cast("string"), F.lit("yyyyMMddHHmmss"))
+        fresh = fresh | F.coalesce(F.datediff(F.lit(as_of).cast("date"), loaded) <= days, F.lit(False))
+    return df.filter(fresh)
+
+
 def by_type_and_status(wallet: DataFrame, subtypes: DataFrame, type_id: int, statuses: Sequence[int] | None) -> DataFrame:
     """Transactions of one type, reached through the subtype dimension."""
     rows = wallet if statuses is None else wallet.filter(F.col("status_id").isin(list(statuses)))
@@ -69,6 +78,23 @@ def last_amount(deposits: DataFrame, ts: str = "transaction_datetime") -> DataFr
     return deposits.select(*PLAYER_KEY, ts, "transaction_id", "amount").join(latest, [*PLAYER_KEY, ts])
 
 
+def last_amount_of_recent(
+    wallet: DataFrame, subtypes: DataFrame, type_id: int, statuses: Sequence[int], as_of: str, days: int, ts: str = "transaction_datetime"
+) -> DataFrame:
+    """Amounts at the latest deposit of the players with any recent transaction, over their full history.
+
+    Recency and latest deposit come from one aggregation per player.
+    """
+    typed = wallet.join(subtypes, "subtype_id").withColumn(
+        "__deposit", (F.col("type_id") == type_id) & F.col("status_id").isin(list(statuses))
+    )
+    latest = per_player(
+        typed, F.max(ts).alias("__seen"), F.max(F.when(F.col("__deposit"), F.col(ts))).alias(ts)
+    )
+    active = recent(latest, F.col("__seen"), as_of, days).select(*PLAYER_KEY, ts)
+    return typed.filter("__deposit").select(*PLAYER_KEY, ts, "transaction_id", "amount").join(active, [*PLAYER_KEY, ts])
+
+
 def lifetime_totals(deposits: DataFrame) -> DataFrame:
     """Deposit count and amount per player."""
     return per_player(

@@ -314,10 +314,14 @@ def snapshot(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return latest_values(df, KEY, ORDER, fields)
 
 
-def text_by_code(code: Column, texts: dict[str, str]) -> Column:
-    """Text of a code; an unknown code is kept."""
-    table = F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])
-    return F.coalesce(table[code], code)
+# Gender codes and their texts.
+GENDERS = {"0": "Male", "1": "Female"}
+
+
+def gender_export(state: DataFrame, code: str = "gender_id") -> DataFrame:
+    """Description by code; players with another or no code are left out."""
+    table = F.create_map(*[F.lit(x) for pair in GENDERS.items() for x in pair])
+    return state.withColumn("gender_description", table[F.col(code)]).filter(F.col("gender_description").isNotNull())
 
 
 def outward(state: DataFrame, restricted_brands: Sequence) -> DataFrame:

@@ -11,6 +11,7 @@ from playerflow.operators import lookups as K
 from playerflow.operators import profiles as P
 from playerflow.operators import webpush as W
 from playerflow.operators.timeline import latest_values
+from playerflow.plans import profile as PP
 from playerflow.plans.registry import query
 from playerflow.session import run_dir
 from playerflow.sources import outbox as O
@@ -142,17 +143,23 @@ def public_projection(spark, sf):
 
 
 @query("full_snapshot", f"""{EV}, s AS (SELECT brand_id, player_id, {", ".join(f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("email", "language", "is_self_excluded", "balance"))} FROM ev GROUP BY 1, 2)
-    SELECT brand_id, player_id, email, balance, CASE language WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' ELSE language END AS language_text,
-      CASE WHEN is_self_excluded IN ('true', '1') THEN 'true' ELSE 'false' END AS blocked FROM s""")
+    SELECT brand_id, player_id, email, language, balance, CASE WHEN is_self_excluded IN ('true', '1') THEN 'true' ELSE 'false' END AS blocked FROM s""")
 def full_snapshot(spark, sf):
-    """Whole profile store, with a code turned into text and the blocked flag of every player."""
+    """Whole profile store with the blocked flag of every player."""
     state = P.snapshot(T.events(spark, sf), {c: F.col(c) for c in ("email", "language", "is_self_excluded", "balance")})
     return state.select(
-        *P.KEY, "email", "balance", P.text_by_code(F.col("language"), {"en": "English", "fr": "French"}).alias("language_text"),
-        flags.to_bool(F.col("is_self_excluded")).cast("string").alias("blocked"),
+        *P.KEY, "email", "language", "balance", flags.to_bool(F.col("is_self_excluded")).cast("string").alias("blocked")
     )
 
 
+@query("full_snapshot_gender", f"""{EV}, s AS (SELECT brand_id, player_id, arg_max(player_status, seq) FILTER (WHERE player_status IS NOT NULL) AS g FROM ev GROUP BY 1, 2)
+    SELECT brand_id, player_id, CASE g WHEN '0' THEN 'Male' ELSE 'Female' END AS gender_description FROM s WHERE g IN ('0', '1')""")
+def full_snapshot_gender(spark, sf):
+    """Text derived from a code; players with another code are not exported."""
+    state = P.snapshot(T.events(spark, sf), {"gender_id": F.col("player_status")})
+    return P.gender_export(state).select(*P.KEY, "gender_description")
+
+
 @query("full_snapshot_blocked", f"""{EV}, s AS (SELECT brand_id, player_id, arg_max(is_self_excluded, seq) FILTER (WHERE is_self_excluded IS NOT NULL) AS x FROM ev GROUP BY 1, 2)
     SELECT brand_id, player_id FROM s WHERE x = 'true'""")
 def full_snapshot_blocked(spark, sf):
@@ -275,16 +282,23 @@ def control_as_of_join(spark, sf):
     return P.between_start_and_stop(T.events(spark, sf).withColumn("action", action), ("brand_id",)).select("seq", "brand_id")
 
 
+def _consent_sql(channel, flag):
+    head = f"""'{{"type":"USER_CONSENT_EVENT","brand_id":"' || CAST(brand_id AS STRING) || '","player_id":"' || player_id || '","channel":"{channel}","consented":'"""
+    return f"""SELECT player_id, {head} || '"' || CAST({flag} AS STRING) || '"}}' AS value FROM c WHERE {flag} IS NOT NULL
+    UNION ALL SELECT player_id, {head} || 'null}}' AS value FROM c WHERE {flag} IS NULL"""
+
+
+RECEIVE = "CASE WHEN player_wid % 3 <> 0 THEN player_wid % 2 END AS receive_sms, CASE WHEN player_wid % 5 <> 0 THEN player_wid % 2 END AS receive_email"
+
+
 @query(
     "union_all",
-    f"""{PL} SELECT player_id, 'SMS' AS channel, coalesce(CASE WHEN player_wid % 3 <> 0 THEN CAST(player_wid % 2 AS STRING) END, 'null') AS consented FROM players
-    UNION ALL SELECT player_id, 'EMAIL', coalesce(CASE WHEN player_wid % 5 <> 0 THEN CAST(player_wid % 2 AS STRING) END, 'null') FROM players""",
+    f"{PL}, c AS (SELECT *, {RECEIVE} FROM players) " + _consent_sql("sms", "receive_sms") + " UNION ALL " + _consent_sql("email", "receive_email"),
 )
 def union_all(spark, sf):
-    rows = T.players(spark, sf).selectExpr(
-        "player_id", "CASE WHEN player_wid % 3 <> 0 THEN player_wid % 2 END AS sms", "CASE WHEN player_wid % 5 <> 0 THEN player_wid % 2 END AS email"
-    )
-    return C.unpivot_history(rows, "player_id", {"SMS": "sms", "EMAIL": "email"})
+    """One event per player and channel in a single pass; an absent flag stays an explicit null."""
+    rows = T.players(spark, sf).selectExpr("player_id", "brand_id", *RECEIVE.split(", "))
+    return C.history_events(rows, {"sms": "receive_sms", "email": "receive_email"})
 
 
 @query("string_functions", f"""{EV} SELECT seq, substring(dt, 1, 10) AS day, lower(email) AS low, CASE WHEN trim(phone) <> '' THEN phone END AS phone, starts_with(coalesce(email, ''), 'p1')::INT AS p1,
@@ -352,11 +366,22 @@ def limit(spark, sf):
     return T.players(spark, sf).limit(1).agg(F.count(F.lit(1)).alias("n"))
 
 
-COUNTRY = "CASE user_id % 4 WHEN 0 THEN 'JPN' WHEN 1 THEN 'GHA' WHEN 2 THEN 'FR' ELSE 'XX' END".replace("user_id", "player_id")
+COUNTRY = "CASE country_id % 4 WHEN 0 THEN 'JPN' WHEN 1 THEN 'GHA' WHEN 2 THEN 'FR' WHEN 3 THEN 'XX' END"
+WAGER_BALANCE = "CASE WHEN topic = 'wagering' THEN balance END"
+EVENT_TIME = "CASE topic WHEN 'logins' THEN login_datetime WHEN 'wagering' THEN bet_datetime END"
+
+STATE_ROWS = (
+    f"SELECT brand_id, player_id, seq, ts, CAST({EVENT_TIME} AS TIMESTAMP) AS t, last_value({WAGER_BALANCE} IGNORE NULLS) OVER {PP.W} AS balance, "
+    f"last_value({COUNTRY} IGNORE NULLS) OVER {PP.W} AS code FROM ev"
+)
 
-WEB_PUSH_SQL = f"""WITH RECURSIVE {T.EVENTS_CTE}, z(code, zone) AS (VALUES ('JPN', 'Asia/Tokyo'), ('GHA', 'Africa/Accra'), ('FR', 'Europe/Paris')),
-  c AS (SELECT brand_id, player_id, seq, CAST(bet_datetime AS TIMESTAMP) AS t, hour(CAST(bet_datetime AS TIMESTAMP) AT TIME ZONE 'UTC' AT TIME ZONE zone) AS h
-    FROM (SELECT *, {COUNTRY} AS code FROM ev WHERE topic = 'wagering') e JOIN z USING (code) WHERE balance < 5 AND CAST(bet_datetime AS TIMESTAMP) > ts - INTERVAL 30 MINUTE),
+
+def web_push_sql(rows):
+    """Slot decisions over ``rows`` by recursion along each player's events."""
+    return f"""WITH RECURSIVE {T.EVENTS_CTE}, z(code, zone) AS (VALUES ('JPN', 'Asia/Tokyo'), ('GHA', 'Africa/Accra'), ('FR', 'Europe/Paris')),
+  e AS ({rows}),
+  c AS (SELECT brand_id, player_id, seq, t, hour(t AT TIME ZONE 'UTC' AT TIME ZONE zone) AS h
+    FROM e JOIN z USING (code) WHERE balance < 5 AND t > ts - INTERVAL 30 MINUTE),
   o AS (SELECT *, row_number() OVER (PARTITION BY brand_id, player_id ORDER BY t, seq) AS rn FROM c),
   w AS (
     SELECT brand_id, player_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS t, CAST(NULL AS STRING) AS slot, CAST(NULL AS TIMESTAMP) AS owl, CAST(NULL AS TIMESTAMP) AS bird,
@@ -373,8 +398,12 @@ WEB_PUSH_SQL = f"""WITH RECURSIVE {T.EVENTS_CTE}, z(code, zone) AS (VALUES ('JPN
   SELECT brand_id, player_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS event_time, slot AS selector FROM w WHERE slot IS NOT NULL"""
 
 
-@query("web_push_slot", WEB_PUSH_SQL)
+@query("web_push_slot", web_push_sql(STATE_ROWS))
 def web_push_slot(spark, sf):
-    rows = T.events(spark, sf, "wagering").withColumn("country", F.expr(COUNTRY))
-    sent = W.web_push(rows, K.country_zones(spark))
+    """Logins and wagers trigger; balance and country come from the profile at that moment."""
+    state = P.merge(
+        T.events(spark, sf, "players", "logins", "wagering").withColumn("event_time", F.expr(EVENT_TIME)),
+        {"balance": F.expr(WAGER_BALANCE), "country": F.expr(COUNTRY)},
+    )
+    sent = W.web_push(state.filter(F.col("event_time").isNotNull()), K.country_zones(spark), event_time="event_time")
     return sent.select("brand_id", "player_id", F.date_format(F.timestamp_seconds("second"), "yyyy-MM-dd HH:mm:ss").alias("event_time"), "selector")

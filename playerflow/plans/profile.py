@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from playerflow.functions.text import date10
 from playerflow.operators import consents as C
 from playerflow.operators import profiles as P
+from playerflow.operators.lifetime import average_deposit
 from playerflow.operators.timeline import latest_values
 from playerflow.plans.registry import query
 from playerflow.sources import tables as T
@@ -366,18 +368,15 @@ def drop_all_null(spark, sf):
     f"""{EV}, m AS (SELECT brand_id, player_id, arg_max(total_deposit_eur, seq) AS total, arg_max(lifetime_count, seq) AS cnt, arg_max(dt, seq) AS dt
       FROM ev WHERE topic = 'wallet' GROUP BY 1, 2)
     SELECT brand_id, player_id, total AS total_deposit_eur, CAST(cnt AS BIGINT) AS lifetime_count, substring(dt, 1, 10) AS last_transaction_date,
-      CASE WHEN cnt > 0 THEN total / cnt END AS average_deposit FROM m WHERE cnt > 0""",
+      CASE WHEN cnt > 0 THEN total / cnt END AS average_deposit FROM m""",
 )
 def wallet_lifetime_snapshot(spark, sf):
-    from playerflow.functions.text import date10
-    from playerflow.operators.lifetime import average_deposit
-
     state = latest_values(T.events(spark, sf, "wallet"), P.KEY, P.ORDER, _cols("total_deposit_eur", "lifetime_count", "dt"))
     return state.select(
         *P.KEY, "total_deposit_eur", F.col("lifetime_count").cast("bigint").alias("lifetime_count"),
         date10(F.col("dt")).alias("last_transaction_date"),
         average_deposit(F.col("total_deposit_eur"), F.col("lifetime_count")).alias("average_deposit"),
-    ).filter(F.col("average_deposit").isNotNull())
+    )
 
 
 @query(

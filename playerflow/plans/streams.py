@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from playerflow.operators import lookups as K
 from playerflow.operators import profiles as P
 from playerflow.plans import profile as PP
 from playerflow.plans import rules as PR
 from playerflow.operators.bets import bet_news
 from playerflow.plans.bets import BS, CHAMPIONSHIPS, WATCHED, vertical_wagers
+from playerflow.plans.exports import web_push_sql
 from playerflow.plans.registry import ORACLES, query
 from playerflow.session import run_dir
 from playerflow.sources import outbox as O
@@ -22,6 +24,9 @@ from playerflow.streaming.state import BatchOutput, BatchState
 EV = f"WITH {T.EVENTS_CTE}"
 
 
+PLAYER_COUNTRY = "CASE player_id % 4 WHEN 0 THEN 'JPN' WHEN 1 THEN 'GHA' WHEN 2 THEN 'FR' ELSE 'XX' END"
+
+
 def event_stream(spark, sf, files_per_trigger=None):
     raw = stream_table(spark, sf, "events", files_per_trigger)
     with_k = raw.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
@@ -83,6 +88,21 @@ def stream_hold_until_profile(spark, sf, files_per_trigger=None):
     return output.read(released.schema).select(*released.columns)
 
 
+WAGER_ROWS = f"SELECT brand_id, player_id, seq, ts, CAST(bet_datetime AS TIMESTAMP) AS t, balance, {PLAYER_COUNTRY} AS code FROM ev WHERE topic = 'wagering'"
+
+
+@query("stream_web_push", web_push_sql(WAGER_ROWS).replace("strftime(t, '%Y-%m-%d %H:%M:%S') AS event_time", "CAST(epoch(t) AS BIGINT) AS second"))
+def stream_web_push(spark, sf, files_per_trigger=None):
+    """Wagers with their own balance, by a keyed processor."""
+    jobs.stream_session(spark)
+    base = run_dir(spark, "web-push")
+    wagers = event_stream(spark, sf, files_per_trigger).filter(F.col("topic") == "wagering").withColumn("country", F.expr(PLAYER_COUNTRY))
+    sent = keyed.web_push(wagers, K.country_zones(spark), "bet_datetime")
+    output = BatchOutput(spark, f"{base}/rows")
+    jobs.finish(jobs.run(sent, output.write, f"{base}/checkpoint"))
+    return output.read(sent.schema).select(*sent.columns)
+
+
 @query("state_retention", f"{EV} SELECT brand_id, player_id, count(*) AS kept FROM ev WHERE topic = 'wagering' GROUP BY 1, 2")
 def state_retention(spark, sf):
     """Bet lists under a two-day time to live; nothing ages out during one run."""

@@ -91,6 +91,30 @@ def last_deposit_amount(spark, sf):
     )
 
 
+@query(
+    "last_deposit_amount_recent",
+    f"""{WP}, active AS (SELECT DISTINCT player_wid, brand_id FROM wallet WHERE datediff('day', transaction_datetime, DATE '{AS_OF}') <= 120),
+    d AS (SELECT w.*, rank() OVER (PARTITION BY player_wid, brand_id ORDER BY transaction_datetime DESC) AS r
+      FROM wallet w JOIN subtypes USING (subtype_id) JOIN active USING (player_wid, brand_id) WHERE type_id = 1 AND status_id IN (1, 2))
+    SELECT player_wid, brand_id, transaction_id, amount FROM d WHERE r = 1""",
+)
+def last_deposit_amount_recent(spark, sf):
+    rows = L.last_amount_of_recent(T.wallet(spark, sf), T.subtypes(spark), 1, [1, 2], AS_OF, 120)
+    return rows.select(*L.PLAYER_KEY, "transaction_id", "amount")
+
+
+@query(
+    "recent_insert_or_update",
+    f"""WITH {T.WALLET_CTE} SELECT transaction_id FROM wallet WHERE datediff('day', transaction_datetime, DATE '{AS_OF}') <= 60
+      OR datediff('day', transaction_datetime + CAST(transaction_id % 400 AS INT) * INTERVAL 1 DAY, DATE '{AS_OF}') <= 60""",
+)
+def recent_insert_or_update(spark, sf):
+    stamp = lambda c: F.date_format(c, "yyyyMMddHHmmss")
+    inserted = F.col("transaction_datetime")
+    updated = F.date_add(inserted.cast("date"), (F.col("transaction_id") % 400).cast("int"))
+    return L.recent_any(T.wallet(spark, sf), [stamp(inserted), stamp(updated)], AS_OF, 60).select("transaction_id")
+
+
 @query(
     "recent_active_semi",
     f"""WITH {T.WALLET_CTE}, active AS (SELECT DISTINCT player_wid, brand_id FROM wallet

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from playerflow.operators import webpush
+
 
 def _present(value):
     return None if value is None or (not isinstance(value, str) and pd.isna(value)) else value
@@ -100,6 +102,31 @@ class RetentionProcessor(StatefulProcessor):
         pass
 
 
+class WebPushProcessor(StatefulProcessor):
+    """Last time per slot; rows carry the whole-second event time and the local second of day."""
+
+    def __init__(self, keys: Sequence[str]):
+        self.keys = list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.slots = handle.getValueState("slots", ", ".join(f"{n} bigint" for n in webpush.STATE))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.slots.get() if self.slots.exists() else (None,) * len(webpush.STATE)
+        last = {n: int(v) for n, v in zip(webpush.STATE, stored) if _present(v) is not None}
+        for chunk in rows:
+            out = []
+            for second, local in chunk.sort_values("second")[["second", "local_second"]].itertuples(index=False, name=None):
+                slot = webpush.choose(int(second), int(local), last)
+                if slot is not None:
+                    out.append((*key, int(second), slot))
+            yield pd.DataFrame(out, columns=[*self.keys, "second", "selector"])
+        self.slots.update(tuple(last.get(n) for n in webpush.STATE))
+
+    def close(self) -> None:
+        pass
+
+
 KEY_TYPES = "brand_id bigint, player_id bigint"
 
 
@@ -121,3 +148,11 @@ def retained_bets(stream: DataFrame, ttl_ms: int = 2 * 86_400_000, keys=("brand_
     return rows.groupBy(*keys).transformWithStateInPandas(
         RetentionProcessor(keys, ttl_ms), f"{KEY_TYPES}, kept bigint", "Update", "ProcessingTime"
     )
+
+
+def web_push(stream: DataFrame, zones: DataFrame, event_time: str, keys=("brand_id", "player_id")) -> DataFrame:
+    """Slot messages as events arrive; ``stream`` has balance and country on its rows."""
+    rows = webpush.candidates(stream, zones, event_time, "ts", "balance", "country").select(*keys, "second", "local_second")
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        WebPushProcessor(keys), f"{KEY_TYPES}, second bigint, selector string", "Append", "None"
+    )

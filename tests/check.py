@@ -1,4 +1,7 @@
-"""Run queries against DuckDB: ``python tests/check.py [sf_dir] [name ...]``."""
+"""Run queries against DuckDB: ``python tests/check.py [--hot N] [sf_dir] [name ...]``.
+
+``--hot N`` lowers the hot-key limit, so that the block-wise path is taken.
+"""
 
 from __future__ import annotations
 
@@ -14,8 +17,12 @@ from tests.compare import connect, difference, duck_rows, spark_rows  # noqa: E4
 
 
 def main(argv):
+    hot = argv[1] if argv[:1] == ["--hot"] else None
+    argv = argv[2:] if hot else argv
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session()
+    if hot:
+        spark.conf.set("spark.playerflow.hotKeyRows", hot)
     con = connect(sf_dir)
     queries, oracles = contract.queries(), contract.oracle_sql()
     names = argv[1:] or list(queries)

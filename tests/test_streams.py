@@ -72,6 +72,17 @@ def test_three_batches_equal_one(spark, split_dir, stream, batch):
     assert _same(got, want)
 
 
+def test_web_push_stream_equals_batch(spark, split_dir):
+    from playerflow.operators import lookups as K
+    from playerflow.operators import webpush as W
+    from playerflow.sources import tables as T
+
+    rows = T.events(spark, split_dir, "wagering").withColumn("country", F.expr(ST.PLAYER_COUNTRY))
+    want = W.web_push(rows, K.country_zones(spark))
+    got = ST.stream_web_push(spark, split_dir, files_per_trigger=1)
+    assert want.count() > 0 and _same(got, want)
+
+
 def test_recheck_fires_what_a_replay_of_prefixes_fires(spark, split_dir):
     """A request fires in the first batch whose history satisfies it, and only once."""
     got = [tuple(r) for r in ST.recheck_all(spark, split_dir, files_per_trigger=1).collect()]
