@@ -107,27 +107,30 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with too many rows for one task, with their order range and block count; None without any.
 
-    Runs a job: the list is taken once, so that every use of it agrees.
+    Runs a job that reads the key columns only; where it finds any key, a second
+    one takes the order range of those keys. The list is taken once, so that
+    every use of it agrees.
     """
+    spark, keys = df.sparkSession, list(keys)
+    limit = limit or hot_rows(df)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit * overfull)
+    top = counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS)
+    found = top.collect()
+    if not found:
+        return None
+    counted = F.broadcast(spark.createDataFrame(found, top.schema))
     dtypes = dict(df.dtypes)
     first = _position(order[0], dtypes[order[0]])
     last = _position(order[-1], dtypes[order[-1]])
-    limit = limit or hot_rows(df)
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
+    ranges = df.join(counted, keys).groupBy(*keys).agg(
+        F.first("__n").alias("__n"),
         F.min(first).alias("__lo"),
         F.max(first).alias("__hi"),
         F.min(last).alias("__seq_lo"),
         F.max(last).alias("__seq_hi"),
+        F.ceil(F.first("__n") / F.lit(limit)).alias("__blocks"),
     )
-    hot = (
-        counts.filter(F.col("__n") > limit * overfull)
-        .withColumn("__blocks", F.ceil(F.col("__n") / F.lit(limit)))
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT_KEYS)
-    )
-    rows = hot.collect()
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    return spark.createDataFrame(ranges.collect(), ranges.schema)
 
 
 def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> tuple[DataFrame, list[str]]:

@@ -15,6 +15,7 @@ from playerflow.plans import profile as PP
 from playerflow.plans.registry import query
 from playerflow.session import run_dir
 from playerflow.sources import outbox as O
+from playerflow.sources import silver as V
 from playerflow.sources import tables as T
 from playerflow.sources import topics as J
 
@@ -407,3 +408,46 @@ def web_push_slot(spark, sf):
     )
     sent = W.web_push(state.filter(F.col("event_time").isNotNull()), K.country_zones(spark), event_time="event_time")
     return sent.select("brand_id", "player_id", F.date_format(F.timestamp_seconds("second"), "yyyy-MM-dd HH:mm:ss").alias("event_time"), "selector")
+
+
+RAW = {
+    "amount": "CASE WHEN k % 9 = 0 THEN 'n/a' ELSE CAST(amount AS STRING) END",
+    "dt": "CASE WHEN k % 11 = 0 THEN 'soon' ELSE dt END",
+    "settled": "CASE k % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN '1' WHEN 2 THEN 'false' END",
+}
+RAW_SQL = f"r AS (SELECT seq, CASE WHEN k % 17 = 0 THEN NULL ELSE player_id END AS player_id, {', '.join(f'{e} AS {n}' for n, e in RAW.items())} FROM ev WHERE topic = 'wallet')"
+FAULT_SQL = "CASE WHEN player_id IS NULL THEN 'player_id' WHEN amount = 'n/a' THEN 'amount' WHEN dt = 'soon' THEN 'dt' END"
+
+
+def _conformed(spark, sf):
+    rows = T.events(spark, sf, "wallet").selectExpr("seq", "CASE WHEN k % 17 = 0 THEN NULL ELSE player_id END AS player_id", *[f"{e} AS {n}" for n, e in RAW.items()])
+    return V.conform(rows, {"amount": "money", "dt": "time", "settled": "flag"}, ["player_id"])
+
+
+@query(
+    "silver_rows",
+    f"""{EV}, {RAW_SQL} SELECT seq, player_id, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, dt AS at,
+      CASE WHEN settled IS NOT NULL THEN CASE WHEN lower(settled) IN ('true', '1') THEN 'true' ELSE 'false' END END AS settled FROM r WHERE {FAULT_SQL} IS NULL""",
+)
+def silver_rows(spark, sf):
+    """Text feed to money, time and flag columns."""
+    good, _ = _conformed(spark, sf)
+    return good.select(
+        "seq", "player_id", F.col("amount").cast("double").alias("amount"), F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("at"),
+        F.col("settled").cast("string").alias("settled"),
+    )
+
+
+@query("silver_faults", f"{EV}, {RAW_SQL} SELECT seq, {FAULT_SQL} AS fault FROM r WHERE {FAULT_SQL} IS NOT NULL")
+def silver_faults(spark, sf):
+    return _conformed(spark, sf)[1].select("seq", "fault")
+
+
+@query("silver_layout", f"{EV} SELECT brand_id, substring(dt, 1, 10) AS day, count(*) AS n, count(DISTINCT player_id) AS players FROM ev WHERE substring(dt, 1, 10) >= '2024-01-10' GROUP BY 1, 2")
+def silver_layout(spark, sf):
+    """Events written by brand and day, then read with pruning on the day."""
+    rows = T.events(spark, sf).select("seq", "ts", "player_id", "brand_id", "topic", "value")
+    path = run_dir(spark, "silver")
+    V.write_events(rows, path)
+    back = V.read_events(spark, path, "seq bigint, ts timestamp_ntz, player_id bigint, topic string, value double, brand_id bigint, day string", first_day="2024-01-10")
+    return back.groupBy("brand_id", "day").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("player_id").alias("players"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,5 +49,23 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/playerflow/{name}-{uuid.uuid4().hex}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, os.cpu_count() or 1)
+def scale_settings(input_bytes: int, executor_cores: int, executor_memory_gb: int) -> dict[str, str]:
+    """Settings for a large run, from the input size and the executor shape.
+
+    Shuffle partitions start near 256 MB of input each and are merged at run
+    time; scan splits leave each core a small share of its memory; a partition
+    counts as skewed from twice the target size on.
+    """
+    target = 256 * 1024**2
+    per_core = executor_memory_gb * 1024**3 // max(executor_cores, 1)
+    split = min(512 * 1024**2, max(128 * 1024**2, per_core // 16))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(min(200_000, max(200, input_bytes // target))),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.session.timeZone": "UTC",
+    }
