@@ -23,3 +23,8 @@ def to_flag(value: Column) -> Column:
 def consent_text(value: Column) -> Column:
     """``1``/``0`` to ``true``/``false``; anything else is absent."""
     return F.when(value == "1", "true").when(value == "0", "false")
+
+
+def true_to_digit(value: Column) -> Column:
+    """``1`` for true in any case, else ``0``; blank and absent text is kept."""
+    return F.when(value.isNull() | (F.trim(value) == ""), value).otherwise(to_flag(F.lower(value) == "true"))

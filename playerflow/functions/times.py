@@ -50,6 +50,7 @@ def parse_day_first(value: Column) -> Column:
     return F.date_format(_timestamp(value, "dd/MM/yyyy"), "yyyy-MM-dd")
 
 
+# Time units of a ttl.
 TTL_MONTHS = {"MONTH": 1, "MONTHS": 1, "YEAR": 12, "YEARS": 12}
 TTL_SECONDS = {
     "SECOND": 1, "SECONDS": 1, "MINUTE": 60, "MINUTES": 60, "HOUR": 3600, "HOURS": 3600,

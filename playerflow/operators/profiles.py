@@ -293,6 +293,23 @@ def registered_change(df: DataFrame) -> DataFrame:
     return rows.select("seq", *KEY, "reg_datetime", F.explode(messages).alias("selector"))
 
 
+def own_pipeline(df: DataFrame, brands: Sequence, fields: dict[str, Column], is_player: Column, is_check: Column, kind: str = "transaction_type") -> DataFrame:
+    """Messages of the brands with their own pipeline.
+
+    A player record sends a login and, if the outward fields changed, a
+    registration; an identity check sends ``kyc``; wallet rows go by the start of their type.
+    """
+    rows = df.filter(F.col("brand_id").isin(list(brands)))
+    players = transitions(rows.filter(is_player), fields)
+    messages = F.array_compact(F.array(F.when(changed_or_first(*fields), "player_registered"), F.lit("player_login")))
+    others = F.when(is_check, "kyc").when(F.lower(kind).startswith("deposit"), "deposit_event").when(
+        F.lower(kind).startswith("withdraw"), "withdrawal_event"
+    )
+    columns = ["seq", *KEY, "selector"]
+    rest = rows.filter(~is_player).withColumn("selector", others).filter(F.col("selector").isNotNull())
+    return players.withColumn("selector", F.explode(messages)).select(*columns).unionByName(rest.select(*columns))
+
+
 def tombstones(df: DataFrame, deleted: Column, columns: Sequence[str]) -> DataFrame:
     """Latest row per key, unless that row deletes the key."""
     marked = df.withColumn("__deleted", deleted)

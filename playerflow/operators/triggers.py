@@ -152,6 +152,7 @@ def bonus_released(df: DataFrame, kind: str) -> DataFrame:
     return emit(df, (F.col(kind).isin("deposit", "manual"), "bonus_released"))
 
 
+# Fixed value: the length of a block without an end.
 FAR_END_DAYS = 20 * 365
 
 
@@ -169,6 +170,7 @@ def exclusion_notices(df: DataFrame) -> DataFrame:
     return emit(rows, (status.isin("2", "3"), "self_exclusion_communication"), (status == "1", "timeout_communication"))
 
 
+# End dates that stand for blocked and for not blocked.
 BLOCKED_UNTIL = {True: "2040-01-01", False: "2020-01-01"}
 
 
@@ -232,12 +234,51 @@ ACTIVITIES = {
 }
 
 
+# Columns of the record each activity sends.
+_ACCOUNT = (
+    "lastName", "country", "acquisition_source_code", "city", "mobileNumber", "sex", "dateOfBirth", "signup_language",
+    "zipcode", "firstName", "emailAddress", "account_creation_date", "phone", "customer_currency_code", "username",
+)
+ACTIVITY_COLUMNS = {
+    "Customer Created": (*_ACCOUNT, "player_roles"),
+    "Customer Updated": (*_ACCOUNT, "player_roles"),
+    "Customer Verified": (*_ACCOUNT, "account_verification_date", "reference", "click_id", "player_roles"),
+    "Customer Tag": ("player_tags", "is_abuser"),
+    "Customer Session": ("last_login_date", "last_deposit_date"),
+    "Customer Blocks": ("is_blocked", "last_login_date", "is_self_excluded", "last_deposit_date"),
+    "Customer Fpp": ("FPP_CUSTOMER_LEVEL", "FPP_REWARD_LEVEL_ID", "FPP_UPDATE_DATETIME"),
+    "Customer Consent": (
+        "consent_marketingemail", "consent_marketingtextmessage", "consent_marketingdirectmail",
+        "consent_marketingtelephone", "consent_marketingoms",
+    ),
+    "Customer Balance": ("locked_money_balance", "wallet_balance_total_money", "bonus_money_balance", "real_money_balance"),
+}
+
+
 def activity_dispatch(df: DataFrame, activity: str) -> DataFrame:
-    """Message type and selector by activity name; unknown names send nothing."""
+    """Message type, selector and record by activity name; unknown names send nothing.
+
+    A record holds the player, the brand and those of the activity's columns
+    that ``df`` has; names that end in ``_date`` keep ten characters. ``blocked``
+    is set for block activities only.
+    """
     kind = F.create_map(*[F.lit(x) for name, (t, _) in ACTIVITIES.items() for x in (name, t)])
     selector = F.create_map(*[F.lit(x) for name, (_, s) in ACTIVITIES.items() for x in (name, s)])
+
+    def record(columns):
+        value = lambda c: date10(F.col(c)) if c.endswith("_date") else F.col(c).cast("string")
+        ids = [F.col("player_id").cast("string").alias("original_id"), F.col("brand_id").cast("string").alias("brand_id")]
+        return F.to_json(F.struct(*ids, *[value(c).alias(c) for c in columns if c in df.columns]))
+
+    properties = None
+    for name, columns in ACTIVITY_COLUMNS.items():
+        met = F.col(activity) == name
+        properties = F.when(met, record(columns)) if properties is None else properties.when(met, record(columns))
     rows = df.withColumn("msg_type", kind[F.col(activity)]).withColumn("selector", selector[F.col(activity)])
-    return rows.filter(F.col("selector").isNotNull())
+    if "is_blocked" in df.columns:
+        blocked = F.coalesce(F.lower("is_blocked") == "true", F.lit(False)).cast("string")
+        rows = rows.withColumn("blocked", F.when(F.col(activity) == "Customer Blocks", blocked))
+    return rows.filter(F.col("selector").isNotNull()).withColumn("properties", properties)
 
 
 def sport_push(df: DataFrame, kind: str) -> DataFrame:
@@ -285,6 +326,7 @@ def ingest_lag(df: DataFrame, processed: Column, source: Column, limit: int = 30
     return df.withColumn("lag_seconds", lag).filter(F.col("lag_seconds") >= limit)
 
 
+# Fixed value: the parameter that names the player.
 JOURNEY_ID = "notification_PLAYER_ID"
 
 

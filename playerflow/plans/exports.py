@@ -312,10 +312,14 @@ def string_functions(spark, sf):
     )
 
 
-@query("boolean_parse", f"""{EV} SELECT seq, CASE WHEN has_resulted IN ('true', '1') THEN 1 ELSE 0 END AS resulted, CASE WHEN has_resulted IN ('true', '1') THEN '1' ELSE '0' END AS flag FROM ev WHERE topic IN ('wagering', 'players')""")
+@query("boolean_parse", f"""{EV} SELECT seq, CASE WHEN has_resulted IN ('true', '1') THEN 1 ELSE 0 END AS resulted, CASE WHEN has_resulted IN ('true', '1') THEN '1' ELSE '0' END AS flag,
+      CASE WHEN email_confirmed IS NULL OR trim(email_confirmed) = '' THEN email_confirmed WHEN lower(email_confirmed) = 'true' THEN '1' ELSE '0' END AS digit FROM ev WHERE topic IN ('wagering', 'players')""")
 def boolean_parse(spark, sf):
     value = flags.to_bool(F.col("has_resulted"))
-    return T.events(spark, sf, "wagering", "players").select("seq", value.cast("int").alias("resulted"), flags.to_flag(value).alias("flag"))
+    return T.events(spark, sf, "wagering", "players").select(
+        "seq", value.cast("int").alias("resulted"), flags.to_flag(value).alias("flag"),
+        flags.true_to_digit(F.col("email_confirmed")).alias("digit"),
+    )
 
 
 @query("datetime_parse", f"""{EV}, s AS (SELECT seq, k, ts FROM ev)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from playerflow.functions.flags import consent_text, to_bool
 from playerflow.operators import profiles as P
 from playerflow.operators import triggers as G
-from playerflow.plans.profile import WB
+from playerflow.plans.profile import W, WB
 from playerflow.plans.registry import query
 from playerflow.sources import tables as T
 
@@ -230,15 +230,42 @@ def activity_gate_30d(spark, sf):
 ACTIVITY = "CASE k % 11 " + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(G.ACTIVITIES)) + " ELSE 'Other' END"
 
 
+# The columns these tables have for the activity records, as SQL text.
+RECORD = {
+    "country": "CASE country_id % 3 WHEN 0 THEN 'fr' WHEN 1 THEN 'gb' END",
+    "signup_language": "language",
+    "emailAddress": "email",
+    "account_creation_date": "reg_datetime",
+    "player_tags": "CASE WHEN k % 2 = 0 THEN 'tag' || CAST(k AS STRING) END",
+    "is_abuser": "is_self_excluded",
+    "last_login_date": "dt",
+    "last_deposit_date": "first_dep_datetime",
+    "is_blocked": "is_verified",
+    "is_self_excluded": "is_self_excluded",
+    "FPP_CUSTOMER_LEVEL": "vip_level",
+    "consent_marketingemail": "consented",
+    "real_money_balance": "CAST(k AS STRING)",
+}
+
+
+def _record_sql(columns):
+    cut = lambda c: f"substring({RECORD[c]}, 1, 10)" if c.endswith("_date") else RECORD[c]
+    pairs = [f"""'"{c}":"' || {cut(c)} || '"'""" for c in columns if c in RECORD]
+    ids = ["""'"original_id":"' || CAST(player_id AS STRING) || '"'""", """'"brand_id":"' || CAST(brand_id AS STRING) || '"'"""]
+    return "'{' || concat_ws(',', " + ", ".join([*ids, *pairs]) + ") || '}'"
+
+
 @query(
     "activity_dispatch",
-    f"""{EV}, a AS (SELECT seq, brand_id, player_id, {ACTIVITY} AS activity FROM ev), m(activity, msg_type, selector) AS (VALUES
+    f"""{EV}, a AS (SELECT *, {ACTIVITY} AS activity FROM ev), m(activity, msg_type, selector) AS (VALUES
       {", ".join(f"('{n}', '{t}', '{s}')" for n, (t, s) in G.ACTIVITIES.items())})
-    SELECT seq, brand_id, player_id, msg_type, selector FROM a JOIN m USING (activity)""",
+    SELECT seq, brand_id, player_id, msg_type, selector, CASE activity {" ".join(f"WHEN '{n}' THEN {_record_sql(c)}" for n, c in G.ACTIVITY_COLUMNS.items())} END AS properties,
+      CASE WHEN activity = 'Customer Blocks' THEN CASE WHEN lower(is_verified) = 'true' THEN 'true' ELSE 'false' END END AS blocked FROM a JOIN m USING (activity)""",
 )
 def activity_dispatch(spark, sf):
-    rows = T.events(spark, sf).withColumn("activity", F.expr(ACTIVITY))
-    return G.activity_dispatch(rows, "activity").select("seq", *P.KEY, "msg_type", "selector")
+    columns = [f"{e} AS {n}" for n, e in RECORD.items()]
+    rows = T.events(spark, sf).selectExpr("seq", *P.KEY, f"{ACTIVITY} AS activity", *columns)
+    return G.activity_dispatch(rows, "activity").select("seq", *P.KEY, "msg_type", "selector", "properties", "blocked")
 
 
 @query("sport_push", f"{EV} SELECT seq, brand_id, player_id, 'sportsPush_' || result_id AS selector FROM ev WHERE topic = 'wagering'")
@@ -342,22 +369,26 @@ def ingest_lag_alert(spark, sf):
     return G.ingest_lag(rows, F.col("processed"), F.col("ts")).select("seq", "lag_seconds")
 
 
+@query(
+    "consent_passthrough_text",
+    f"{EV} SELECT seq, brand_id, player_id, upper(channel) AS channel, lower(consented) AS consented FROM ev WHERE topic = 'players' AND channel IS NOT NULL AND consented IS NOT NULL",
+)
+def consent_passthrough_text(spark, sf):
+    rows = T.events(spark, sf, "players").filter(F.col("channel").isNotNull() & F.col("consented").isNotNull())
+    return rows.select("seq", *P.KEY, F.upper("channel").alias("channel"), F.lower("consented").alias("consented"))
+
+
 @query(
     "brand_pipeline",
-    f"""{EV}, p AS (SELECT seq, brand_id, player_id, topic, email, lag(coalesce(email, '')) OVER (PARTITION BY brand_id, player_id, topic ORDER BY ts, seq) AS prior, transaction_type,
-        last_value(email IGNORE NULLS) OVER (PARTITION BY brand_id, player_id, topic ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS now_email,
-        last_value(email IGNORE NULLS) OVER (PARTITION BY brand_id, player_id, topic ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old_email FROM ev WHERE brand_id IN (3, 4))
-    SELECT seq, brand_id, player_id, 'player_registered' AS selector FROM p WHERE topic = 'players' AND (prior IS NULL OR now_email IS DISTINCT FROM old_email)
-    UNION ALL SELECT seq, brand_id, player_id, 'login_event' FROM p WHERE topic = 'logins'
-    UNION ALL SELECT seq, brand_id, player_id, CASE WHEN starts_with(lower(transaction_type), 'deposit') THEN 'deposit_event' ELSE 'withdrawal_event' END FROM p
-      WHERE topic = 'wallet' AND (starts_with(lower(transaction_type), 'deposit') OR starts_with(lower(transaction_type), 'withdraw'))""",
+    f"""{EV}, p AS (SELECT seq, brand_id, player_id, row_number() OVER (PARTITION BY brand_id, player_id ORDER BY ts, seq) AS rn,
+        last_value(email IGNORE NULLS) OVER {W} AS now_email, last_value(email IGNORE NULLS) OVER {WB} AS old_email FROM ev WHERE brand_id IN (3, 4) AND topic = 'players')
+    SELECT seq, brand_id, player_id, 'player_registered' AS selector FROM p WHERE rn = 1 OR now_email IS DISTINCT FROM old_email
+    UNION ALL SELECT seq, brand_id, player_id, 'player_login' FROM p
+    UNION ALL SELECT seq, brand_id, player_id, 'kyc' FROM ev WHERE brand_id IN (3, 4) AND topic = 'logins'
+    UNION ALL SELECT seq, brand_id, player_id, CASE WHEN starts_with(lower(transaction_type), 'deposit') THEN 'deposit_event' ELSE 'withdrawal_event' END FROM ev
+      WHERE brand_id IN (3, 4) AND topic = 'wallet' AND (starts_with(lower(transaction_type), 'deposit') OR starts_with(lower(transaction_type), 'withdraw'))""",
 )
 def brand_pipeline(spark, sf):
-    """The brands with their own projections: player, login and wallet messages."""
-    rows = T.events(spark, sf).filter(F.col("brand_id").isin(3, 4))
-    of = lambda topic: rows.filter(F.col("topic") == topic)
-    players = P.profile_changes(of("players"), {"email": F.col("email")}).withColumn("selector", F.lit("player_registered"))
-    logins = of("logins").withColumn("selector", F.lit("login_event"))
-    money = G.wallet_status_events(of("wallet"), "any")
-    columns = ["seq", *P.KEY, "selector"]
-    return players.select(*columns).unionByName(logins.select(*columns)).unionByName(money.select(*columns))
+    """Two brands with a pipeline of their own; login events stand for identity checks here."""
+    topic = F.col("topic")
+    return P.own_pipeline(T.events(spark, sf), (3, 4), {"email": F.col("email")}, topic == "players", topic == "logins")

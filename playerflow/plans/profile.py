@@ -196,6 +196,11 @@ def once_flags(spark, sf):
     return P.confirmed_once(T.events(spark, sf, "players"), "phone_confirmed", "2023-12-20").select("seq", *P.KEY)
 
 
+@query("once_flags_email", _once_sql("email_confirmed"))
+def once_flags_email(spark, sf):
+    return P.confirmed_once(T.events(spark, sf, "players"), "email_confirmed", "2023-12-20").select("seq", *P.KEY)
+
+
 @query(
     "verified_events",
     f"""{EV}, s AS (SELECT seq, brand_id, player_id, {_after("is_verified")} AS is_verified, {_before("is_verified")} AS was FROM ev WHERE topic = 'players')

@@ -51,6 +51,7 @@ EVENT_COLUMNS: dict[str, str] = {
     "is_self_excluded": _on("signup", "CASE WHEN k % 10 = 0 THEN 'true' WHEN k % 10 < 5 THEN 'false' END"),
     "is_verified": _on("signup", "CASE WHEN k % 4 = 0 THEN 'True' WHEN k % 4 = 1 THEN 'false' END"),
     "phone_confirmed": _on("signup", "CASE WHEN k % 5 = 0 THEN 'TRUE' WHEN k % 5 = 1 THEN 'false' END"),
+    "email_confirmed": _on("signup", "CASE WHEN k % 7 = 0 THEN 'true' WHEN k % 7 = 1 THEN '' END"),
     "player_status": _on("signup", "CASE WHEN k % 7 <> 6 THEN CAST(k % 6 AS STRING) END"),
     "blocked_start": _on("signup", "CASE WHEN k % 4 <> 3 THEN " + _dt("ts") + " END"),
     "blocked_end": _on("signup", "CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE '2030-01-0' || CAST(k % 9 + 1 AS STRING) || ' 00:00:00' END"),
