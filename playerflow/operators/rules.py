@@ -170,7 +170,7 @@ def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less
     return best.select(*carried, F.col("bucket").alias("second"))
 
 
-def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, legacy_less: bool, order: str) -> DataFrame:
+def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_less: bool, order: str) -> DataFrame:
     rolled = rollups(deposits, keys)
     # Every rule looks at all amounts; a single ``equal`` rule also at the one it names.
     one_amount = F.col("times").isNull() & (F.col("symbol") == "equal")
@@ -178,7 +178,7 @@ def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, legacy_less: boo
     cells = cover(rules.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
-    totals = cells.groupBy(*carried, "times").agg(
+    totals = cells.groupBy(*carried, "times", *[c for c in carry if c not in (*carried, "times")]).agg(
         F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"),
         F.min(F.when(decisive & _may_match(legacy_less), F.struct("bucket", "grain"))).alias("hit"),
     )
@@ -190,16 +190,16 @@ def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, legacy_less: boo
         .filter(compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less))
         .groupBy(*RULE).agg(F.min_by("amount", F.struct("__first", "amount")).alias("first_amount"))
     )
-    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, "n", "total").join(first, list(RULE), "left")
+    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, *carry, "n", "total").join(first, list(RULE), "left")
 
 
-def _summarise_plain(rules: DataFrame, deposits: DataFrame, keys, legacy_less: bool, order: str) -> DataFrame:
+def _summarise_plain(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_less: bool, order: str) -> DataFrame:
     inside = (F.col("second") >= F.unix_seconds("from_ts")) & (F.col("second") <= F.unix_seconds("to_ts"))
     match = F.col("times").isNull() & compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less)
     at = F.struct("second", order, "amount")
     return (
         rules.join(deposits.select(*keys, "second", "amount", order), list(keys)).filter(inside)
-        .groupBy(*RULE).agg(
+        .groupBy(*RULE, *carry).agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total"),
             F.min_by("amount", F.when(match, at)).alias("first_amount"),
@@ -209,21 +209,22 @@ def _summarise_plain(rules: DataFrame, deposits: DataFrame, keys, legacy_less: b
 
 def summarise(
     rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, order: str = "transaction_id",
-    keys: Sequence[str] = PLAYER, hot_limit: int = HOT_DEPOSITS,
+    keys: Sequence[str] = PLAYER, hot_limit: int = HOT_DEPOSITS, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per rule with deposits in its window: their count, sum, and the first one that meets the threshold.
 
     ``rules`` needs symbol, times, threshold and the window, ``deposits`` the
-    second, the amount and ``order``.
+    second, the amount and ``order``. ``carry`` names rule columns to keep.
     """
-    lean = rules.select(*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts")
+    needed = dict.fromkeys([*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts", *carry])
+    lean = rules.select(*needed)
     many_deposits = hot_keys(deposits, keys, ["second", order], hot_limit)
     if many_deposits is None:
-        return _summarise_plain(lean, deposits, keys, legacy_less, order)
+        return _summarise_plain(lean, deposits, keys, carry, legacy_less, order)
     hot = F.broadcast(many_deposits.select(*keys))
-    few = _summarise_plain(lean.join(hot, list(keys), "left_anti"), deposits, keys, legacy_less, order)
+    few = _summarise_plain(lean.join(hot, list(keys), "left_anti"), deposits, keys, carry, legacy_less, order)
     many = _summarise_hot(
-        lean.join(hot, list(keys), "left_semi"), deposits.join(hot, list(keys), "left_semi"), keys, legacy_less, order
+        lean.join(hot, list(keys), "left_semi"), deposits.join(hot, list(keys), "left_semi"), keys, carry, legacy_less, order
     )
     return few.unionByName(many)
 
@@ -241,8 +242,8 @@ def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, h
     the first such single rule.
     """
     parsed = with_threshold(rules.filter(F.col("kind") == "deposit"))
-    conditions = parsed.select(*RULE, "player_id", "accept_uri", "expected", "symbol", "times", "threshold")
-    facts = conditions.join(summarise(parsed, deposits, legacy_less, hot_limit=hot_limit), list(RULE))
+    carry = ("player_id", "accept_uri", "expected", "symbol", "times", "threshold")
+    facts = summarise(parsed, deposits, legacy_less, hot_limit=hot_limit, carry=carry)
     total_met = F.col("threshold").isNull() | compare(F.col("symbol"), F.col("threshold"), F.col("total"), legacy_less)
     counted = compare(F.col("symbol"), F.col("times"), F.col("n"), legacy_less) & total_met
     single = F.col("times").isNull()

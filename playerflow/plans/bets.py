@@ -22,12 +22,10 @@ ASC = ", ".join(ORDER)
     FROM w JOIN sports USING (bet_id) WHERE rn = 1""",
 )
 def bet_join(spark, sf):
-    # The wager rows carry no player, so the latest row per bet is taken before the owner is attached.
-    owners = T.bet_owners(spark, sf).select("bet_id", F.col("player_wid").alias("player_id"))
-    wagers = B.last_rows(T.bets(spark, sf), ["bet_id"], ORDER).join(owners, "bet_id")
-    joined = B.bet_join(wagers, T.sports_bets(spark, sf), ORDER, ["placed_at"])
+    # Bet ids are unique here and the wager rows carry no player, so the bet alone is the key.
+    joined = B.bet_join(T.bets(spark, sf), T.sports_bets(spark, sf), ORDER, ["placed_at"], keys=("bet_id",))
     return joined.select(
-        "bet_id", "player_id", F.date_format("wagering.bet_datetime", "yyyy-MM-dd").alias("bet_date"),
+        "bet_id", "sportsbets.player_id", F.date_format("wagering.bet_datetime", "yyyy-MM-dd").alias("bet_date"),
         "wagering.wager_amount", "wagering.result", "sportsbets.championship_id", "sportsbets.event_id",
     )
 
