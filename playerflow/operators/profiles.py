@@ -80,6 +80,12 @@ def profile_changes(df: DataFrame, fields: dict[str, Column], needs_full_record:
     return rows.filter((F.col("full_records") > 0) & differs(*fields))
 
 
+def toggled_when_present(df: DataFrame, flag: str) -> DataFrame:
+    """The merged flag is known and differs, in any case, from the one before."""
+    rows = transitions(df, {flag: F.col(flag)})
+    return rows.filter(F.col(flag).isNotNull() & ~F.lower(flag).eqNullSafe(F.lower(BEFORE + flag)))
+
+
 def registration_or_update(df: DataFrame) -> DataFrame:
     """First record of a player registers, every later one updates."""
     rows = running(df, KEY, ORDER, before={SEEN: Count(F.lit(True))})

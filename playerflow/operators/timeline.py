@@ -35,6 +35,8 @@ MAX_HOT_KEYS = 50_000
 HOT_ROWS_CONF = "spark.playerflow.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
 
+DETECT = "detect"
+
 MAX_LEVELS = 4
 # Equal spans never fill equally; only a block this many times too full is cut again.
 _OVERFULL = 4
@@ -165,17 +167,20 @@ def running(
     order: Sequence[str],
     after: dict | None = None,
     before: dict | None = None,
+    hot: DataFrame | None | str = DETECT,
 ) -> DataFrame:
     """Add running values per key.
 
     ``after`` values include the current row (state after the event),
     ``before`` values end at the previous row (state before it). Rows with a
-    null key are dropped, as every keyed job needs its key.
+    null key are dropped, as every keyed job needs its key. Jobs that run
+    several operators over the same rows may take :func:`hot_keys` once and pass it.
     """
     after, before = dict(after or {}), dict(before or {})
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    hot = hot_keys(df, keys, order)
+    if isinstance(hot, str):
+        hot = hot_keys(df, keys, order)
     if hot is None:
         return running_plain(df, keys, order, after, before)
     tagged, levels = _tag_blocks(df, keys, order, hot)

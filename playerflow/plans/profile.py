@@ -241,6 +241,16 @@ def block_toggle(spark, sf):
     return rows.select("seq", *P.KEY, P.to_bool(F.col("is_self_excluded")).cast("string").alias("blocked"))
 
 
+@query(
+    "block_toggle_present",
+    f"""{EV}, s AS (SELECT seq, brand_id, player_id, lower({_after("is_verified")}) AS x, lower({_before("is_verified")}) AS px FROM ev WHERE topic = 'players')
+    SELECT seq, brand_id, player_id, x AS locked FROM s WHERE x IS NOT NULL AND x IS DISTINCT FROM px""",
+)
+def block_toggle_present(spark, sf):
+    rows = P.toggled_when_present(T.events(spark, sf, "players"), "is_verified")
+    return rows.select("seq", *P.KEY, F.lower("is_verified").alias("locked"))
+
+
 CW = "(PARTITION BY brand_id, player_id, upper(channel) ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 

@@ -66,8 +66,12 @@ def publish(rows: DataFrame, sink: str = "kafka", **options: str) -> None:
 
 
 def export_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("brand_id",), max_records: int = 1_000_000) -> None:
-    """JSON lines for all brands in one job, one folder per brand."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*partition_by).json(path)
+    """JSON lines for all brands in one job, one folder per brand.
+
+    Rows are rebalanced by brand first: small brands end in one file, a brand
+    that holds a third of all rows is split into many tasks at run time.
+    """
+    df.hint("rebalance", *partition_by).write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*partition_by).json(path)
 
 
 def export_text(df: DataFrame, column: str, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -43,16 +43,15 @@ def conform(df: DataFrame, kinds: Mapping[str, str], keys: Sequence[str]) -> tup
     return good, judged.filter(F.col("fault").isNotNull())
 
 
-def write_events(df: DataFrame, path: str, time: str = "ts", tasks_per_cell: int = 16) -> None:
+def write_events(df: DataFrame, path: str, time: str = "ts") -> None:
     """One folder per brand and day, sorted by player inside each file.
 
-    A brand may hold a third of all rows, so each brand and day is spread over
-    ``tasks_per_cell`` tasks; a file is cut at a million rows.
+    Rebalancing merges small cells and splits large ones at run time, so a
+    brand that holds a third of all rows is written by many tasks.
     """
-    part = F.pmod(F.xxhash64("player_id", time), F.lit(tasks_per_cell))
     (
         df.withColumn("day", F.date_format(time, "yyyy-MM-dd"))
-        .repartition("brand_id", "day", part)
+        .hint("rebalance", "brand_id", "day")
         .sortWithinPartitions("brand_id", "day", "player_id", time)
         .write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).partitionBy("brand_id", "day").parquet(path)
     )

@@ -32,24 +32,28 @@ class BatchState:
         found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/*/_SUCCESS"))
         return sorted(int(s.getPath().getParent().getName()) for s in found or [])
 
-    def before(self, batch_id: int) -> DataFrame:
-        """State left by all batches before ``batch_id``: the latest row per key."""
+    def _rows(self, batch_id: int) -> DataFrame | None:
+        """Rows of the last full copy and of the batches after it, each with its batch."""
         full = [i for i in self._ids("full") if i < batch_id]
         base = full[-1] if full else -1
-        steps = [i for i in self._ids("step") if base < i < batch_id]
-        if base < 0 and not steps:
-            return self.spark.createDataFrame([], self.schema)
-        frames = [("full", base)] if base >= 0 else []
-        frames += [("step", i) for i in steps]
+        frames = [("full", base)] if full else []
+        frames += [("step", i) for i in self._ids("step") if base < i < batch_id]
         every = None
         for kind, i in frames:
             part = self.spark.read.schema(self.schema).parquet(f"{self.path}/{kind}/{i}").withColumn("__batch", F.lit(i))
             every = part if every is None else every.unionByName(part)
-        if len(frames) == 1:
-            return every.drop("__batch")
-        latest = every.groupBy(*self.keys).agg(F.max_by(F.struct(*self.values), F.col("__batch")).alias("v"))
+        return every
+
+    def _fold(self, rows: DataFrame | None) -> DataFrame:
+        if rows is None:
+            return self.spark.createDataFrame([], self.schema)
+        latest = rows.groupBy(*self.keys).agg(F.max(F.struct("__batch", *self.values)).alias("v"))
         return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in self.values]).select(*self.schema.names)
 
+    def before(self, batch_id: int) -> DataFrame:
+        """State left by all batches before ``batch_id``: the latest row per key."""
+        return self._fold(self._rows(batch_id))
+
     def since(self, first: int, batch_id: int) -> DataFrame:
         """Rows written by the batches ``first`` to ``batch_id - 1``, without folding them."""
         steps = [f"{self.path}/step/{i}" for i in self._ids("step") if first <= i < batch_id]
@@ -59,7 +63,10 @@ class BatchState:
 
     def touched(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Earlier state of the keys that occur in the batch."""
-        return self.before(batch_id).join(batch.select(*self.keys).distinct(), self.keys, "left_semi")
+        rows = self._rows(batch_id)
+        if rows is not None:
+            rows = rows.join(batch.select(*self.keys).distinct(), self.keys, "left_semi")
+        return self._fold(rows)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/step/{batch_id}")

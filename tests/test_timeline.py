@@ -87,3 +87,12 @@ def test_first_last_and_latest(spark):
         mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
         assert first[key] == mine[0][2] and last[key] == mine[-1][2]
         assert state[key] == next((r[3] for r in reversed(mine) if r[3] is not None), None)
+
+
+def test_hot_list_can_be_shared(spark, tiny_limit):
+    df = _frame(spark, _rows(7))
+    hot = hot_keys(df, ["key"], ["ts", "seq"])
+    one = running(df, ["key"], ["ts", "seq"], {"x": Last(F.col("a"))}, hot=hot)
+    two = running(df, ["key"], ["ts", "seq"], {"x": Last(F.col("a"))}, hot=None)
+    pick = lambda rows: sorted((r["seq"], r["x"]) for r in rows.collect())
+    assert pick(one) == pick(two)
