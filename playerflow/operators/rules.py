@@ -27,7 +27,8 @@ from playerflow.operators.timeline import hot_keys
 GRAINS = (86400, 3600, 60, 1)
 MAX_DAYS = 30
 PLAYER = ("player_id",)
-HOT_DEPOSITS = 100_000
+# Up to here a rule meets its player's deposits one by one; beyond, the buckets of a window are fewer.
+HOT_DEPOSITS = 10_000
 
 # Comparator names and their short forms.
 SYMBOLS = {"less": "less", "<": "less", "more": "more", ">": "more", "equal": "equal", "moreOrEqual": "moreOrEqual", "lessOrEqual": "lessOrEqual"}

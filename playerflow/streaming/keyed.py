@@ -8,6 +8,7 @@ source's cap per trigger.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,6 +17,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from playerflow.operators import webpush
 
 
+RELEASE_ROWS = 10_000
+
+
 def _present(value):
     return None if value is None or (not isinstance(value, str) and pd.isna(value)) else value
 
@@ -58,6 +62,7 @@ class HoldProcessor(StatefulProcessor):
         self.held = handle.getListState("held", "seq bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        columns = [*self.keys, "seq", "released_by"]
         opened = self.seen.exists()
         for chunk in rows:
             out, waiting = [], []
@@ -67,17 +72,20 @@ class HoldProcessor(StatefulProcessor):
                 if is_profile and not opened:
                     opened = True
                     self.seen.update((seq,))
-                    queue = [int(h[0]) for h in self.held.get()] if self.held.exists() else []
-                    out += [(*key, h, seq) for h in [*queue, *waiting]]
-                    waiting = []
+                    # The stored queue can be long, so it is released in pieces.
+                    stored = (int(h[0]) for h in self.held.get()) if self.held.exists() else iter(())
+                    while piece := list(islice(stored, RELEASE_ROWS)):
+                        yield pd.DataFrame([(*key, h, seq) for h in piece], columns=columns)
                     self.held.clear()
+                    out += [(*key, h, seq) for h in waiting]
+                    waiting = []
                 elif not is_profile and opened:
                     out.append((*key, seq, seq))
                 elif not is_profile:
                     waiting.append(seq)
             if waiting:
                 self.held.appendList([(s,) for s in waiting])
-            yield pd.DataFrame(out, columns=[*self.keys, "seq", "released_by"])
+            yield pd.DataFrame(out, columns=columns)
 
     def close(self) -> None:
         pass
