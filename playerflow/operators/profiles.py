@@ -299,7 +299,47 @@ def registered_change(df: DataFrame) -> DataFrame:
     return rows.select("seq", *KEY, "reg_datetime", F.explode(messages).alias("selector"))
 
 
-def own_pipeline(df: DataFrame, brands: Sequence, fields: dict[str, Column], is_player: Column, is_check: Column, kind: str = "transaction_type") -> DataFrame:
+def player_messages(df: DataFrame, outward: Sequence[str], channels: Sequence[str] = ("EMAIL", "SMS")) -> DataFrame:
+    """All state-driven messages of the player, wallet and consent events in one pass.
+
+    Run one by one, each rule would shuffle the same events by the same key.
+    Here all states are running values of a single window, and the rules are
+    conditions on one row: one shuffle and one sort for the whole set.
+    """
+    is_player = F.col("topic") == "players"
+    status = F.col("player_status")
+    blocking = F.when(
+        is_player,
+        F.when(status.isin("1", "2", "3") & F.col("blocked_start").isNotNull(), status).when(status.isNull(), "cleared"),
+    )
+    state = {c: Last(F.col(c)) for c in dict.fromkeys([*outward, "email", "is_self_excluded", "is_verified", "first_dep_datetime"])}
+    state["failed_date"] = Last(F.when(F.col("transaction_status") == "decline", F.col("dt")))
+    consent = {f"consent_{c.lower()}": F.when(F.upper("channel") == c, F.col("consented")) for c in channels}
+    state.update({n: Last(c) for n, c in consent.items()})
+    players_seen = Count(is_player)
+    rows = running(
+        df, KEY, ORDER,
+        after=state,
+        before={**{BEFORE + n: a for n, a in state.items()}, SEEN: players_seen, "stored_status": Last(blocking)},
+    )
+    first = F.col(SEEN) == 0
+    was_verified = F.coalesce(F.lower(F.trim(F.col(BEFORE + "is_verified"))), F.lit(""))
+    messages = [
+        (is_player & (first | differs(*outward)), F.when(first, "player_registration").otherwise("player_updated")),
+        (is_player & (first | differs("is_self_excluded")), F.lit("user_blocked_toggle")),
+        (F.col("email") != F.col(BEFORE + "email"), F.lit("player_email_change_request")),
+        (was_verified.isin("", "false") & (F.lower("is_verified") == "true"), F.lit("player_isverified")),
+        (F.col(BEFORE + "first_dep_datetime").isNull() & F.col("first_dep_datetime").isNotNull(), F.lit("first_deposit")),
+        (F.col("failed_date").isNotNull() & differs("failed_date"), F.lit("failed_deposit")),
+        (is_player & status.isNull() & (F.col("stored_status") == "3"), F.lit("self_exclusion_expired")),
+        (is_player & status.isNull() & (F.col("stored_status") == "1"), F.lit("timeout_expired")),
+        *[(differs(n), F.lit("consent_change_" + n.removeprefix("consent_"))) for n in consent],
+    ]
+    picked = F.array_compact(F.array(*[F.when(condition, selector) for condition, selector in messages]))
+    return rows.withColumn("selector", F.explode(picked))
+
+
+def own_brand_messages(df: DataFrame, brands: Sequence, fields: dict[str, Column], is_player: Column, is_check: Column, kind: str = "transaction_type") -> DataFrame:
     """Messages of the brands with their own pipeline.
 
     A player record sends a login and, if the outward fields changed, a

@@ -379,7 +379,7 @@ def consent_passthrough_text(spark, sf):
 
 
 @query(
-    "brand_pipeline",
+    "brand_own_messages",
     f"""{EV}, p AS (SELECT seq, brand_id, player_id, row_number() OVER (PARTITION BY brand_id, player_id ORDER BY ts, seq) AS rn,
         last_value(email IGNORE NULLS) OVER {W} AS now_email, last_value(email IGNORE NULLS) OVER {WB} AS old_email FROM ev WHERE brand_id IN (3, 4) AND topic = 'players')
     SELECT seq, brand_id, player_id, 'player_registered' AS selector FROM p WHERE rn = 1 OR now_email IS DISTINCT FROM old_email
@@ -388,7 +388,40 @@ def consent_passthrough_text(spark, sf):
     UNION ALL SELECT seq, brand_id, player_id, CASE WHEN starts_with(lower(transaction_type), 'deposit') THEN 'deposit_event' ELSE 'withdrawal_event' END FROM ev
       WHERE brand_id IN (3, 4) AND topic = 'wallet' AND (starts_with(lower(transaction_type), 'deposit') OR starts_with(lower(transaction_type), 'withdraw'))""",
 )
-def brand_pipeline(spark, sf):
-    """Two brands with a pipeline of their own; login events stand for identity checks here."""
+def brand_own_messages(spark, sf):
+    """Two brands with projections of their own; login events stand for identity checks here."""
     topic = F.col("topic")
-    return P.own_pipeline(T.events(spark, sf), (3, 4), {"email": F.col("email")}, topic == "players", topic == "logins")
+    return P.own_brand_messages(T.events(spark, sf), (3, 4), {"email": F.col("email")}, topic == "players", topic == "logins")
+
+
+OUT = ("email", "language", "is_self_excluded")
+
+
+def _state_pairs(**columns):
+    return ", ".join(f"last_value({e} IGNORE NULLS) OVER {W} AS {n}, last_value({e} IGNORE NULLS) OVER {WB} AS p_{n}" for n, e in columns.items())
+
+
+@query(
+    "player_messages",
+    f"""{EV}, s AS (SELECT seq, brand_id, player_id, topic, player_status, {_state_pairs(
+        email="email", language="language", is_self_excluded="is_self_excluded", is_verified="is_verified", first_dep="first_dep_datetime",
+        failed="CASE WHEN transaction_status = 'decline' THEN dt END",
+        c_email="CASE WHEN upper(channel) = 'EMAIL' THEN consented END", c_sms="CASE WHEN upper(channel) = 'SMS' THEN consented END")},
+      count(*) FILTER (WHERE topic = 'players') OVER {WB} AS seen,
+      last_value(CASE WHEN topic = 'players' THEN CASE WHEN player_status IN ('1','2','3') AND blocked_start IS NOT NULL THEN player_status WHEN player_status IS NULL THEN 'x' END END IGNORE NULLS) OVER {WB} AS stored
+      FROM ev WHERE topic IN ('players', 'wallet'))
+    SELECT seq, brand_id, player_id, CASE WHEN seen = 0 THEN 'player_registration' ELSE 'player_updated' END AS selector FROM s
+      WHERE topic = 'players' AND (seen = 0 OR {" OR ".join(f"{c} IS DISTINCT FROM p_{c}" for c in OUT)})
+    UNION ALL SELECT seq, brand_id, player_id, 'user_blocked_toggle' FROM s WHERE topic = 'players' AND (seen = 0 OR is_self_excluded IS DISTINCT FROM p_is_self_excluded)
+    UNION ALL SELECT seq, brand_id, player_id, 'player_email_change_request' FROM s WHERE email <> p_email
+    UNION ALL SELECT seq, brand_id, player_id, 'player_isverified' FROM s WHERE lower(is_verified) = 'true' AND coalesce(lower(trim(p_is_verified)), '') IN ('', 'false')
+    UNION ALL SELECT seq, brand_id, player_id, 'first_deposit' FROM s WHERE first_dep IS NOT NULL AND p_first_dep IS NULL
+    UNION ALL SELECT seq, brand_id, player_id, 'failed_deposit' FROM s WHERE failed IS NOT NULL AND failed IS DISTINCT FROM p_failed
+    UNION ALL SELECT seq, brand_id, player_id, 'self_exclusion_expired' FROM s WHERE topic = 'players' AND player_status IS NULL AND stored = '3'
+    UNION ALL SELECT seq, brand_id, player_id, 'timeout_expired' FROM s WHERE topic = 'players' AND player_status IS NULL AND stored = '1'
+    UNION ALL SELECT seq, brand_id, player_id, 'consent_change_email' FROM s WHERE c_email IS DISTINCT FROM p_c_email
+    UNION ALL SELECT seq, brand_id, player_id, 'consent_change_sms' FROM s WHERE c_sms IS DISTINCT FROM p_c_sms""",
+)
+def player_messages(spark, sf):
+    """Every state-driven message of a feed with one shuffle."""
+    return P.player_messages(T.events(spark, sf, "players", "wallet"), OUT).select("seq", *P.KEY, "selector")
