@@ -79,11 +79,6 @@ def local_date(utc: Column, zone: str) -> Column:
     return F.date_format(F.from_utc_timestamp(utc, zone), "yyyy-MM-dd")
 
 
-def within_days(value: Column, as_of: Column, days: int) -> Column:
-    """Calendar-day distance to ``as_of`` is at most ``days``."""
-    return F.datediff(as_of, value) <= days
-
-
 def newer_than(value: Column, as_of: Column, seconds: int) -> Column:
     """Instant distance: ``value`` lies strictly after ``as_of`` minus ``seconds``."""
     return F.unix_micros(value.cast("timestamp")) > F.unix_micros(as_of.cast("timestamp")) - F.lit(seconds * 1_000_000)

@@ -187,9 +187,7 @@ def latest_by_text_time(df: DataFrame, text_time: str, columns: Sequence[str]) -
 
 def latest_by_arrival(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Last non-null value by arrival, each column on its own."""
-    return latest_values(df, KEY, ORDER, {c: F.col(c) for c in columns}).filter(
-        F.coalesce(*[F.col(c).isNotNull() for c in columns])
-    )
+    return drop_all_null(latest_values(df, KEY, ORDER, {c: F.col(c) for c in columns}), columns)
 
 
 def vip_level_changes(df: DataFrame, level: str) -> DataFrame:

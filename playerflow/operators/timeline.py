@@ -97,11 +97,22 @@ def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
 
 
-def _position(order: str, dtype: str) -> Column:
-    """Order column as a double, used only to place rows into blocks."""
+def _position(name: str, dtype: str) -> Column:
+    """Order column as a double, used only to place rows into blocks; null for text."""
     if dtype.startswith("timestamp"):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    return F.col(order).cast("double")
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if dtype == "date":
+        return F.unix_date(name).cast("double")
+    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
+        return F.col(name).cast("double")
+    return F.lit(None).cast("double")
+
+
+def _positions(df: DataFrame, order: Sequence[str]) -> tuple[Column, Column]:
+    """Positions of the leading order column and of the one that breaks its ties."""
+    dtypes = dict(df.dtypes)
+    breaker = order[min(1, len(order) - 1)]
+    return _position(order[0], dtypes[order[0]]), _position(breaker, dtypes[breaker])
 
 
 def hot_keys(
@@ -121,9 +132,7 @@ def hot_keys(
     if not found:
         return None
     counted = F.broadcast(spark.createDataFrame(found, top.schema))
-    dtypes = dict(df.dtypes)
-    first = _position(order[0], dtypes[order[0]])
-    last = _position(order[-1], dtypes[order[-1]])
+    first, last = _positions(df, order)
     ranges = df.join(counted, keys).groupBy(*keys).agg(
         F.first("__n").alias("__n"),
         F.min(first).alias("__lo"),
@@ -137,9 +146,7 @@ def hot_keys(
 
 def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> tuple[DataFrame, list[str]]:
     """Rows with their nested block columns; rows of ordinary keys are in block 0 throughout."""
-    dtypes = dict(df.dtypes)
-    first = _position(order[0], dtypes[order[0]])
-    last = _position(order[-1], dtypes[order[-1]])
+    first, last = _positions(df, order)
     along_time = (first - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
     along_seq = (last - F.col("__seq_lo")) / (F.col("__seq_hi") - F.col("__seq_lo"))
     span = F.when(F.col("__hi") > F.col("__lo"), along_time).when(F.col("__seq_hi") > F.col("__seq_lo"), along_seq)

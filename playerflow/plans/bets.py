@@ -71,9 +71,6 @@ def event_market_lookup(spark, sf):
     return both.select("bet_id", "event_description", "market_description")
 
 
-REG = "CAST(DATE '1996-01-01' + CAST(c_custkey % 1500 AS INT) AS TIMESTAMP)"
-
-
 @query(
     "first_resulted_bet",
     f"""{BS}, f AS (SELECT b.*, o_custkey AS player_wid, row_number() OVER (PARTITION BY o_custkey ORDER BY {ASC}, bet_id) AS rn

@@ -84,8 +84,7 @@ def latest_balance_by_event_time(spark, sf):
     f"""{EV} SELECT brand_id, player_id, arg_max(balance, seq) AS balance FROM ev WHERE balance IS NOT NULL GROUP BY 1, 2""",
 )
 def latest_balance_by_arrival(spark, sf):
-    rows = T.events(spark, sf).filter(F.col("balance").isNotNull())
-    return latest_values(rows, P.KEY, P.ORDER, {"balance": F.col("balance")})
+    return P.latest_by_arrival(T.events(spark, sf), ["balance"])
 
 
 @query(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playerflow.functions.times import add_ttl
 from playerflow.operators import rules as R
 from playerflow.plans.registry import query
 from playerflow.sources import tables as T

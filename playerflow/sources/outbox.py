@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from playerflow.functions.ids import dedup_id
 
 GENERIC_USER = "GENERIC_USER"
-OUTBOX_COLUMNS = (
-    "msg_type", "brand_id", "contact_id", "selector", "channel", "blocked", "blocked_until", "properties", "event_ts", "dedup_id", "seq",
-)
 
 
 def outbox(df: DataFrame, properties: Sequence[str] = (), msg_type: str = GENERIC_USER, contact: str = "player_id") -> DataFrame:

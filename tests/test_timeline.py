@@ -96,3 +96,24 @@ def test_hot_list_can_be_shared(spark, tiny_limit):
     two = running(df, ["key"], ["ts", "seq"], {"x": Last(F.col("a"))}, hot=None)
     pick = lambda rows: sorted((r["seq"], r["x"]) for r in rows.collect())
     assert pick(one) == pick(two)
+
+
+def test_three_order_columns(spark, tiny_limit):
+    """Rows of one time are cut along the second order column, never along a later one."""
+    rng = random.Random(8)
+    rows = [(1, START, rng.randrange(0, 40), i, rng.choice([None, 1, 2])) for i in range(200)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "key int, ts timestamp, rank int, seq bigint, a int")
+    order = ["ts", "rank", "seq"]
+    split = running(df, ["key"], order, {"x": Last(F.col("a"))}, {"p": Last(F.col("a"))})
+    plain = running_plain(df, ["key"], order, {"x": Last(F.col("a"))}, {"p": Last(F.col("a"))})
+    pick = lambda rows: sorted((r["seq"], r["x"], r["p"]) for r in rows.collect())
+    assert pick(split) == pick(plain)
+
+
+def test_text_order_column_is_allowed(spark, tiny_limit):
+    df = _frame(spark, _rows(9, "same")).withColumn("name", F.col("seq").cast("string"))
+    split = running(df, ["key"], ["ts", "name"], {"x": Last(F.col("a"))})
+    plain = running_plain(df, ["key"], ["ts", "name"], {"x": Last(F.col("a"))})
+    pick = lambda rows: sorted((r["seq"], r["x"]) for r in rows.collect())
+    assert pick(split) == pick(plain)
