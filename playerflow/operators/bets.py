@@ -27,7 +27,7 @@ def bet_news(sports: DataFrame, wagers: DataFrame, watched: Sequence[str], key:
     ``sports`` needs ``placed_at`` and ``championship_id``, ``wagers``
     ``wager_at``, ``settled`` and ``lost``. At equal times the sports bet comes first.
     """
-    settlement = "struct<wager_at:timestamp_ntz,lost:boolean>"
+    settlement = f"struct<wager_at:{dict(wagers.dtypes)['wager_at']},lost:boolean>"
     left = sports.filter(F.col("championship_id").isin(list(watched))).select(
         key, F.col("placed_at").alias("ts"), F.lit(0).cast("bigint").alias("seq"),
         F.struct("championship_id").alias("sport"), F.lit(None).cast(settlement).alias("settlement"), F.lit(False).alias("is_wager"),
