@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from playerflow.functions.text import starts_with_ci
 from playerflow.functions.times import TTL_MONTHS, TTL_SECONDS, add_ttl, parse_whole_second
 from playerflow.operators.timeline import hot_keys
+from playerflow.session import written
 
 GRAINS = (86400, 3600, 60, 1)
 MAX_DAYS = 30
@@ -154,6 +155,20 @@ def _may_match(legacy_less: bool) -> Column:
     return compare(F.col("symbol"), F.col("threshold"), F.when(largest, F.col("high")).otherwise(F.col("low")), legacy_less)
 
 
+# A bucket and its grain as one number that sorts by bucket: a primitive minimum aggregates by hash.
+_PACK = 1_000_000
+
+
+def _pack() -> Column:
+    return F.col("bucket") * F.lit(_PACK) + F.col("grain")
+
+
+def _unpacked(hit: str) -> list[Column]:
+    return [
+        F.floor(F.col(hit) / F.lit(_PACK)).cast("bigint").alias("bucket"), F.pmod(F.col(hit), F.lit(_PACK)).cast("int").alias("grain")
+    ]
+
+
 def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less: bool) -> DataFrame:
     """Narrow each rule's earliest matching bucket to a second; a step looks at 60 children at most."""
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
@@ -165,25 +180,27 @@ def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less
         steps = best.select(*carried, children.alias("bucket"), F.least(F.col("grain"), F.lit(grain)).alias("grain"))
         best = (
             steps.join(rolled, [*keys, "level", "grain", "bucket"]).filter(_may_match(legacy_less))
-            .groupBy(*carried).agg(F.min(F.struct("bucket", "grain")).alias("hit"))
-            .select(*carried, "hit.bucket", "hit.grain")
+            .groupBy(*carried).agg(F.min(_pack()).alias("hit"))
+            .select(*carried, *_unpacked("hit"))
         )
     return best.select(*carried, F.col("bucket").alias("second"))
 
 
 def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_less: bool, order: str) -> DataFrame:
-    rolled = rollups(deposits, keys)
+    # Both tables are read several times below, so each is written once.
+    rolled = written(rollups(deposits, keys), "rollups")
     # Every rule looks at all amounts; a single ``equal`` rule also at the one it names.
     one_amount = F.col("times").isNull() & (F.col("symbol") == "equal")
     levels = F.array_compact(F.array(F.lit(ANY_LEVEL), F.when(one_amount, _level(F.col("threshold")))))
     cells = cover(rules.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
-    totals = cells.groupBy(*carried, "times", *[c for c in carry if c not in (*carried, "times")]).agg(
+    summed = cells.groupBy(*carried, "times", *[c for c in carry if c not in (*carried, "times")]).agg(
         F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"),
-        F.min(F.when(decisive & _may_match(legacy_less), F.struct("bucket", "grain"))).alias("hit"),
+        F.min(F.when(decisive & _may_match(legacy_less), _pack())).alias("hit"),
     )
-    hits = totals.filter(F.col("hit").isNotNull()).select(*carried, "hit.bucket", "hit.grain")
+    totals = written(summed, "rule-totals")
+    hits = totals.filter(F.col("hit").isNotNull()).select(*carried, *_unpacked("hit"))
     seconds = _first_matching_second(hits, rolled, keys, legacy_less)
     distinct = deposits.groupBy(*keys, "second", "amount").agg(F.min(order).alias("__first"))
     first = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT = "spark.checkpoint.dir"
 
@@ -49,6 +49,14 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/playerflow/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and safe when executors are lost."""
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scale_settings(input_bytes: int, executor_cores: int, executor_memory_gb: int) -> dict[str, str]:
     """Settings for a large run, from the input size and the executor shape.
 
