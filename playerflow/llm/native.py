@@ -19,7 +19,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
-    return F.translate(text, _UPPER, _LOWER)
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
 def blank_words(text: Column) -> Column:
