@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from playerflow.llm.native import BLANK, blank_words, let
 from playerflow.llm.quality_rules import n_repeat_words
 from playerflow.llm.registry import query, table
+from playerflow.llm.sampling import sample_rows
 
-#: Labelled rows that train the weights at most: those with the smallest hashes of their id.
+#: Labelled rows, about, that train the weights.
 TRAINING_ROWS = 20_000
 #: Pairs drawn from them.
 TRAINING_PAIRS = 60_000
@@ -93,8 +94,10 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = TRAINING_PAIRS, penalty:
 def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", training_rows: int = TRAINING_ROWS) -> Ranking:
     """Weights and threshold from a bounded sample of the labelled rows; 20 000 rows of 16 figures reach the driver."""
     known = labels.where(labels[key].isNotNull() & labels[label].isin(0, 1))
-    known = known.select(labels[key].alias("__key"), labels[label].cast("int").alias("__label")).orderBy(F.xxhash64("__key"), "__label").limit(training_rows)
+    known = known.select(labels[key].alias("__key"), labels[label].cast("int").alias("__label")).distinct()
+    known = sample_rows(known, training_rows, "__key")
     rows = df.select(df[key].alias("__key"), df[text].alias("__text")).join(F.broadcast(known), "__key")
+    rows = rows.groupBy("__key", "__label").agg(F.min("__text").alias("__text"))
     found = with_features(rows, "__text", ["__key", "__label"]).orderBy("__key", "__label").toPandas()
     if found.empty:
         return Ranking((0.0,) * len(features(F.lit(""), F.array().cast("array<string>"))), 0.0)

@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 
 from playerflow.llm.native import BLANK, blank_words, covered, let, repeated_positions
 from playerflow.llm.registry import query, table
+from playerflow.llm.sampling import sample_rows
 from playerflow.session import written
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
-#: Rows of the sample on which cost and selectivity are estimated.
+#: Rows, about, of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2_000
 
 
@@ -87,9 +88,9 @@ def rules(text: Column) -> list[Rule]:
     ]
 
 
-def order_rules(df: DataFrame, candidates: list[Rule], sample_rows: int = SAMPLE_ROWS, key: str = "doc_id") -> list[Rule]:
-    """Rules by rejection per second on the sample: the rows with the smallest hashes of ``key``."""
-    sample = written(df.orderBy(F.xxhash64(df[key])).limit(sample_rows), "rule-sample")
+def order_rules(df: DataFrame, text: str, candidates: list[Rule], rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules by rejection per second on a sample of about ``rows`` rows; the rules read ``text``."""
+    sample = written(sample_rows(df, rows, *df.columns).select(text), "rule-sample")
     flags = [F.coalesce(r.rejects, F.lit(False)) for r in candidates]
     patterns = sample.groupBy(F.array(*flags).alias("flags")).count().collect()
     costs = []
@@ -128,17 +129,17 @@ def metrics(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     return counted.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def judge(df: DataFrame, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def judge(df: DataFrame, text: str = "text", keep: list[str] | None = None, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The figures of ``metrics`` with ``kept``: false where a base rule or the cascade rejects."""
-    ordered = order_rules(df.select(key, F.coalesce(df[text], F.lit("")).alias("__text")), rules(F.col("__text")), sample_rows, key)
+    ordered = order_rules(df.withColumn("__text", F.coalesce(df[text], F.lit(""))), "__text", rules(F.col("__text")), rows)
     counted = metrics(df, text, keep)
     return counted.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(first_rejection(ordered).isNull())).drop("__text")
 
 
-def filter_documents(df: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def filter_documents(df: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows that no rule rejects, unchanged; the base rule takes its place in the cascade by its cost."""
     value = F.coalesce(F.col(text), F.lit(""))
-    ordered = order_rules(df.select(key, text), [Rule("base", base_rule(value)), *rules(value)], sample_rows, key)
+    ordered = order_rules(df, text, [Rule("base", base_rule(value)), *rules(value)], rows)
     return df.where(first_rejection(ordered).isNull())
 
 

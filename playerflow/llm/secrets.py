@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from playerflow.llm.native import let, match_spans
 from playerflow.llm.registry import query, table
+from playerflow.llm.sampling import sample_rows
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -32,7 +33,7 @@ CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[{_RUN
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _STATES = len(ALPHABET) + 1
-#: Documents whose strings train the models: those with the smallest hashes of their key.
+#: Documents, about, whose strings train the models.
 SAMPLE_DOCUMENTS = 4_000
 #: Log-likelihood ratio, in nats, from which on a candidate is random.
 MARGIN = 7.0
@@ -59,7 +60,8 @@ def _pair_indexes(value: Column) -> Column:
 
 def train(df: DataFrame, text: str = "text", key: str = "doc_id", sample_documents: int = SAMPLE_DOCUMENTS) -> list[float]:
     """Log-likelihood ratio, random over ordinary, of each pair of characters."""
-    sample = df.select(df[key].cast("string").alias("k"), F.coalesce(df[text], F.lit("")).alias("t")).orderBy(F.xxhash64("k")).limit(sample_documents)
+    sample = df.select(df[key].cast("string").alias("k"), F.coalesce(df[text], F.lit("")).alias("t"))
+    sample = sample_rows(sample, sample_documents, "k", "t")
     digest = F.sha2(F.coalesce("k", F.lit("")), 256)
     random = F.concat(
         F.flatten(F.array(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))),
