@@ -11,7 +11,7 @@ def test_blocks_do_not_change_scores(spark, sf_dir, duck):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        found = spark_rows(L.score_documents(docs, block_words=2_000).withColumn("log_score", F.round("log_score", 3)))
+        found = spark_rows(L.score_documents(docs, block_words=2_000, segment_words=9_000).withColumn("log_score", F.round("log_score", 3)))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert difference(found, duck_rows(duck, L._SQL)) is None
@@ -23,7 +23,7 @@ def test_own_ngrams_do_not_count(spark):
     assert (by[3]["used_0"], by[3]["used_1"], by[1]["used_3"], by[2]["used_0"]) == (4, 0, 1, 1)
     import math
 
-    assert by[1]["log_score"] == pytest.approx(math.log(2 / 11) + math.log(2 / 2) + math.log(1 / 2))
+    assert by[1]["log_score"] == pytest.approx(math.log(2 / 10) + math.log(2 / 2) + math.log(1 / 2))
     assert by[1]["log_score"] == by[4]["log_score"]
 
 

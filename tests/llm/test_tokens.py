@@ -43,11 +43,16 @@ def test_codec_equals_the_library(spark, texts):
         assert (r["ids_sha256"], r["decoded_sha256"]) == (ids_sha(ids), sha(decoded))
 
 
-def test_cuts_are_forced():
+def test_cuts_change_nothing():
+    """Merging a whole word gives what its fragments give, and words without cuts are rare in odd scripts."""
     codec = bpe_codec.boundary_codec(public_tokenizers.path("word_bpe_49k.json"))
-    assert ("q", "x</w>") not in codec.inside and ("t", "h") in codec.inside
-    long = ["q"] + list("thing" * 30)
-    assert codec._merge_long(list(long)) == codec.merge(list(long[:1])) + codec._merge_long(long[1:]) or ("q", "t") in codec.inside
+    cut = 0
+    for word in ("zqxjkvwq", "thing", "xzxzqqjj", "wvwvkqz", "internationalisation"):
+        symbols = codec.symbols_of(word + codec.end)
+        cut += any(pair not in codec.inside for pair in codec._pairs(symbols))
+        whole = [codec.vocab[s] for s in codec._merge_long(list(symbols))]
+        assert codec.encode(word).tolist() == whole
+    assert cut >= 2
 
 
 def test_long_and_short_merging_agree():
