@@ -1,16 +1,15 @@
 """Deposit rules over time windows.
 
 A rule asks for count, sum, or a single matching deposit of one player inside
-``[from, to]``. For an ordinary player the rules meet the player's deposits in
-a plain equi join, and everything asked is aggregated in one pass.
-
-A player with very many deposits would turn that join into a product, so such
-players (a bounded list, see :mod:`timeline`) take another way: their deposits
-are rolled up at four grains (day, hour, minute, second), and each window is
-cut into the whole buckets that cover it exactly: days inside, hours towards
-the ends, then minutes, then seconds. A window of at most 31 days needs at most
-about 320 buckets, however many deposits lie in it, and the join key ``(player,
-grain, bucket)`` spreads the player over many tasks.
+``[from, to]``. Deposits are rolled up at four grains (day, hour, minute,
+second), and each window is cut into the whole buckets that cover it exactly:
+days inside, hours towards the ends, then minutes, then seconds. A window of at
+most 31 days needs at most about 320 buckets, however many deposits lie in it,
+and the join key ``(player, grain, bucket)`` spreads a player over many tasks.
+All players take this one way, so the answer does not depend on their size.
+
+Thresholds of single deposits are compared with the exact amounts, sums are
+money with two decimals.
 """
 
 from __future__ import annotations
@@ -22,14 +21,11 @@ from pyspark.sql import functions as F
 
 from playerflow.functions.text import starts_with_ci
 from playerflow.functions.times import TTL_MONTHS, TTL_SECONDS, add_ttl, parse_whole_second
-from playerflow.operators.timeline import hot_keys
 from playerflow.session import written
 
 GRAINS = (86400, 3600, 60, 1)
 MAX_DAYS = 30
 PLAYER = ("player_id",)
-# Up to here a rule meets its player's deposits one by one; beyond, the buckets of a window are fewer.
-HOT_DEPOSITS = 10_000
 
 # Comparator names and their short forms.
 SYMBOLS = {"less": "less", "<": "less", "more": "more", ">": "more", "equal": "equal", "moreOrEqual": "moreOrEqual", "lessOrEqual": "lessOrEqual"}
@@ -97,15 +93,17 @@ RULE = ("request_id", "rule_no")
 
 
 def _level(amount: Column) -> Column:
-    return amount.cast("decimal(18,2)").cast("string")
+    """The exact amount as text; minus zero is zero."""
+    return (amount.cast("double") + F.lit(0.0)).cast("string")
 
 
-def rollups(deposits: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rollups(deposits: DataFrame, keys: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, sum, smallest and largest amount per key, bucket and grain.
 
     One aggregation with partial sums before its shuffle. The level is either
-    ``any`` or one exact amount: extremes cannot decide ``equal``.
+    ``any`` or, with ``exact``, one amount: extremes cannot decide ``equal``.
     """
+    levels = (F.lit(ANY_LEVEL), _level(F.col("amount"))) if exact else (F.lit(ANY_LEVEL),)
     cells = F.array(
         *[
             F.struct(
@@ -114,7 +112,7 @@ def rollups(deposits: DataFrame, keys: Sequence[str]) -> DataFrame:
                 level.alias("level"),
             )
             for grain in GRAINS
-            for level in (F.lit(ANY_LEVEL), _level(F.col("amount")))
+            for level in levels
         ]
     )
     rows = deposits.select(*keys, "amount", F.explode(cells).alias("c"))
@@ -186,16 +184,24 @@ def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less
     return best.select(*carried, F.col("bucket").alias("second"))
 
 
-def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_less: bool, order: str) -> DataFrame:
+def summarise(
+    rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, order: str = "transaction_id", keys: Sequence[str] = PLAYER,
+) -> DataFrame:
+    """Per rule with deposits in its window: their count, sum, and the first one that meets the threshold.
+
+    ``rules`` needs symbol, times, threshold and the window, ``deposits`` the
+    second, the amount and ``order``.
+    """
+    lean = rules.select(*dict.fromkeys([*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts"]))
     # Both tables are read several times below, so each is written once.
     rolled = written(rollups(deposits, keys), "rollups")
     # Every rule looks at all amounts; a single ``equal`` rule also at the one it names.
     one_amount = F.col("times").isNull() & (F.col("symbol") == "equal")
     levels = F.array_compact(F.array(F.lit(ANY_LEVEL), F.when(one_amount, _level(F.col("threshold")))))
-    cells = cover(rules.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
+    cells = cover(lean.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
-    summed = cells.groupBy(*carried, "times", *[c for c in carry if c not in (*carried, "times")]).agg(
+    summed = cells.groupBy(*carried, "times").agg(
         F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"),
         F.min(F.when(decisive & _may_match(legacy_less), _pack())).alias("hit"),
     )
@@ -208,50 +214,20 @@ def _summarise_hot(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_le
         .filter(compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less))
         .groupBy(*RULE).agg(F.min_by("amount", F.struct("__first", "amount")).alias("first_amount"))
     )
-    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, *carry, "n", "total").join(first, list(RULE), "left")
+    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, "n", "total").join(first, list(RULE), "left")
 
 
-def _summarise_plain(rules: DataFrame, deposits: DataFrame, keys, carry, legacy_less: bool, order: str) -> DataFrame:
-    inside = (F.col("second") >= F.unix_seconds("from_ts")) & (F.col("second") <= F.unix_seconds("to_ts"))
-    match = F.col("times").isNull() & compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less)
-    at = F.struct("second", order, "amount")
-    return (
-        rules.join(deposits.select(*keys, "second", "amount", order), list(keys)).filter(inside)
-        .groupBy(*RULE, *carry).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total"),
-            F.min_by("amount", F.when(match, at)).alias("first_amount"),
-        )
-    )
-
-
-def summarise(
-    rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, order: str = "transaction_id",
-    keys: Sequence[str] = PLAYER, hot_limit: int = HOT_DEPOSITS, carry: Sequence[str] = (),
-) -> DataFrame:
-    """Per rule with deposits in its window: their count, sum, and the first one that meets the threshold.
-
-    ``rules`` needs symbol, times, threshold and the window, ``deposits`` the
-    second, the amount and ``order``. ``carry`` names rule columns to keep.
-    """
-    needed = dict.fromkeys([*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts", *carry])
-    lean = rules.select(*needed)
-    many_deposits = hot_keys(deposits, keys, ["second", order], hot_limit)
-    if many_deposits is None:
-        return _summarise_plain(lean, deposits, keys, carry, legacy_less, order)
-    hot = F.broadcast(many_deposits.select(*keys))
-    few = _summarise_plain(lean.join(hot, list(keys), "left_anti"), deposits, keys, carry, legacy_less, order)
-    many = _summarise_hot(
-        lean.join(hot, list(keys), "left_semi"), deposits.join(hot, list(keys), "left_semi"), keys, carry, legacy_less, order
-    )
-    return few.unionByName(many)
+def window_totals(rules: DataFrame, rolled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count and sum per rule from rolled-up rows, which may be finer than ``keys``."""
+    cells = cover(rules.select(*RULE, *keys, "from_ts", "to_ts")).join(rolled, [*keys, "grain", "bucket"])
+    return cells.groupBy(*RULE).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def with_threshold(rules: DataFrame) -> DataFrame:
     return rules.withColumn("threshold", F.col("amount").cast("double")).drop("amount")
 
 
-def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, hot_limit: int = HOT_DEPOSITS) -> DataFrame:
+def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False) -> DataFrame:
     """Requests whose satisfied deposit rules number as many as all their rules.
 
     A rule with ``times`` compares the in-window count and, if it names an
@@ -260,8 +236,8 @@ def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, h
     the first such single rule.
     """
     parsed = with_threshold(rules.filter(F.col("kind") == "deposit"))
-    carry = ("player_id", "accept_uri", "expected", "symbol", "times", "threshold")
-    facts = summarise(parsed, deposits, legacy_less, hot_limit=hot_limit, carry=carry)
+    texts = parsed.select(*RULE, "player_id", "accept_uri", "expected", "symbol", "times", "threshold")
+    facts = summarise(parsed, deposits, legacy_less).join(texts, list(RULE))
     total_met = F.col("threshold").isNull() | compare(F.col("symbol"), F.col("threshold"), F.col("total"), legacy_less)
     counted = compare(F.col("symbol"), F.col("times"), F.col("n"), legacy_less) & total_met
     single = F.col("times").isNull()
@@ -276,20 +252,18 @@ def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False, h
     )
 
 
-def wagered(rules: DataFrame, bets: DataFrame, order: str = "bet_id", hot_limit: int = HOT_DEPOSITS) -> DataFrame:
+def wagered(rules: DataFrame, bets: DataFrame) -> DataFrame:
     """Count and sum of in-window wagers per rule, optionally of the listed sports only.
 
-    ``bets`` needs player_id, sport_id, second, amount and ``order``.
+    ``bets`` needs player_id, sport_id, second and amount. They are rolled up
+    once per player and sport; rules without sports add the sports up.
     """
-    plain = rules.withColumn("symbol", F.lit("more")).withColumn("threshold", F.lit(0.0))
+    rolled = written(rollups(bets, (*PLAYER, "sport_id"), exact=False), "wager-rollups")
     listed = F.size("sports") > 0
-    keys = (*PLAYER, "sport_id")
-    per_sport = plain.filter(listed).withColumn("sport_id", F.explode(F.array_distinct("sports")))
-    some = summarise(per_sport, bets, order=order, keys=keys, hot_limit=hot_limit).groupBy(*RULE).agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total")
-    )
-    anything = summarise(plain.filter(~listed), bets, order=order, hot_limit=hot_limit)
-    return anything.select(*RULE, "n", "total").unionByName(some)
+    per_sport = rules.filter(listed).withColumn("sport_id", F.explode(F.array_distinct("sports")))
+    some = window_totals(per_sport, rolled, (*PLAYER, "sport_id"))
+    anything = window_totals(rules.filter(~listed), rolled, PLAYER)
+    return anything.unionByName(some).select(*RULE, "n", F.col("total").cast("double").alias("total"))
 
 
 def expired(requests: DataFrame, now: Column) -> DataFrame:

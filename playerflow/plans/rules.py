@@ -39,13 +39,12 @@ def _requests(spark, sf):
     )
 
 
-# The amounts are rounded to whole units here, so that ``equal`` rules can match.
 def _deposits(spark, sf):
     rows = T.events(spark, sf, "wallet")
-    return R.valid_deposits(rows.withColumn("transaction_id", F.col("seq"))).withColumn("amount", F.floor("amount").cast("double"))
+    return R.valid_deposits(rows.withColumn("transaction_id", F.col("seq")))
 
 
-DEPOSITS = """d AS (SELECT player_id, seq AS transaction_id, floor(amount) AS amount, date_trunc('second', ts) AS sec FROM ev
+DEPOSITS = """d AS (SELECT player_id, seq AS transaction_id, amount, date_trunc('second', ts) AS sec FROM ev
   WHERE starts_with(lower(transaction_type), 'deposit-') AND starts_with(lower(transaction_status), 'complete'))"""
 TTL = """CASE k % 6 WHEN 0 THEN ts + (1 + k % 20) * INTERVAL 1 DAY WHEN 1 THEN ts + (1 + k % 20) * INTERVAL 1 HOUR WHEN 2 THEN ts + (1 + k % 20) * INTERVAL 7 DAY
   WHEN 4 THEN ts + (1 + k % 20) * INTERVAL 1 MONTH WHEN 5 THEN ts + (1 + k % 20) * INTERVAL 1 MINUTE END"""
@@ -95,7 +94,7 @@ def rule_range_join(spark, sf):
     return facts.select("request_id", "rule_no", F.col("n").alias("deposits"))
 
 
-@query("rule_count_sum", f"{EV}, {DEPOSITS}, {REQUESTS} SELECT request_id, rule_no, count(*) AS n, sum(paid) AS total FROM m WHERE times IS NOT NULL GROUP BY 1, 2")
+@query("rule_count_sum", f"{EV}, {DEPOSITS}, {REQUESTS} SELECT request_id, rule_no, count(*) AS n, CAST(sum(CAST(paid AS DECIMAL(18,2))) AS DOUBLE) AS total FROM m WHERE times IS NOT NULL GROUP BY 1, 2")
 def rule_count_sum(spark, sf):
     accepted, _ = R.normalise(_requests(spark, sf))
     counted = R.with_threshold(accepted.filter(F.col("times").isNotNull()))
@@ -113,7 +112,7 @@ def rule_comparators(spark, sf):
     return T.events(spark, sf, "wallet").select("seq", met.cast("int").alias("met"))
 
 
-FIRED = f"""c AS (SELECT request_id, rule_no, symbol, times, amount, count(*) AS n, sum(paid) AS total FROM m WHERE times IS NOT NULL GROUP BY ALL),
+FIRED = f"""c AS (SELECT request_id, rule_no, symbol, times, amount, count(*) AS n, CAST(sum(CAST(paid AS DECIMAL(18,2))) AS DOUBLE) AS total FROM m WHERE times IS NOT NULL GROUP BY ALL),
   s1 AS (SELECT request_id, rule_no, NULL AS paid FROM c WHERE {_cmp('times', 'n')} AND (amount IS NULL OR {_cmp('amount', 'total')})),
   s2 AS (SELECT request_id, rule_no, arg_min(paid, {{'a': sec, 'b': transaction_id}}) AS paid FROM m WHERE times IS NULL AND {_cmp('amount', 'paid')} GROUP BY 1, 2),
   met AS (SELECT request_id, count(*) AS met, arg_min(paid, rule_no) AS amount FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2) GROUP BY 1)"""

@@ -36,7 +36,7 @@ def _deposits(spark, rows):
 def _random_case(seed):
     rng = random.Random(seed)
     deposits = [
-        (rng.choice([1, 1, 1, 2, 3]), int(DAY.timestamp()) + rng.randrange(0, 20 * 86400), float(rng.randrange(1, 12)), i) for i in range(150)
+        (rng.choice([1, 1, 1, 2, 3]), int(DAY.timestamp()) + rng.randrange(0, 20 * 86400), rng.choice([float(rng.randrange(1, 12)), rng.randrange(1, 12) + rng.choice([0.01, 0.014, 0.005])]), i) for i in range(150)
     ]
     requests = []
     for i in range(60):
@@ -45,7 +45,7 @@ def _random_case(seed):
             start = DAY + dt.timedelta(seconds=rng.randrange(0, 15 * 86400))
             end = start + dt.timedelta(seconds=rng.choice([0, 30, 4000, 90000, 10 * 86400]))
             times = rng.choice([None, None, 1, 2, 3])
-            amount = rng.choice([None, 3, 6, 30]) if times else rng.choice([2, 5, 9])
+            amount = rng.choice([None, 3, 6, 30]) if times else rng.choice([2, 5, 9, 5.01, 9.014])
             rules.append(_rule(rng.choice(list(COMPARE)), times, amount, start, end))
         requests.append(_request(i, rules, player=rng.choice([1, 2, 3])))
     return requests, deposits
@@ -75,16 +75,38 @@ def _brute(requests, deposits, legacy_less=False):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_limit", [1_000_000, 2])
 @pytest.mark.parametrize("legacy_less", [False, True])
-def test_evaluate_matches_brute_force(spark, seed, hot_limit, legacy_less):
+def test_evaluate_matches_brute_force(spark, seed, legacy_less):
     requests, deposits = _random_case(seed)
     accepted, rejected = R.normalise(_requests(spark, requests))
     assert rejected.count() == 0
-    fired = R.evaluate(accepted, _deposits(spark, deposits), legacy_less, hot_limit)
+    fired = R.evaluate(accepted, _deposits(spark, deposits), legacy_less)
     assert {r["request_id"]: r["amount"] for r in fired.collect()} == _brute(requests, deposits, legacy_less)
 
 
+def test_amounts_close_to_each_other(spark):
+    start = int(DAY.timestamp())
+    deposits = [(1, start + i, a, i) for i, a in enumerate([36.005, 36.01, 36.014, 5.0])]
+    rules = [_request(i, [_rule("equal", amount=a, end=DAY + dt.timedelta(days=3))]) for i, a in enumerate([36.01, 36.014, 36.005, 36.0, 5])]
+    accepted, _ = R.normalise(_requests(spark, rules))
+    fired = {r["request_id"]: r["amount"] for r in R.evaluate(accepted, _deposits(spark, deposits)).collect()}
+    assert fired == {0: 36.01, 1: 36.014, 2: 36.005, 4: 5.0}
+
+
+def test_one_player_with_many_rules_and_deposits(spark):
+    rng = random.Random(4)
+    start, count = int(DAY.timestamp()), 20_000
+    deposits = [(1, start + rng.randrange(30 * 86400), rng.randrange(100, 90_000) / 100, i) for i in range(count)]
+    rules = []
+    for i in range(1_000):
+        begin = DAY + dt.timedelta(seconds=rng.randrange(25 * 86400))
+        amount = deposits[rng.randrange(count)][2] if i % 2 else rng.randrange(100, 90_000) / 100
+        rules.append(_request(i, [_rule("equal", amount=amount, start=begin, end=begin + dt.timedelta(seconds=rng.randrange(5 * 86400)))]))
+    accepted, _ = R.normalise(_requests(spark, rules))
+    fired = {r["request_id"]: r["amount"] for r in R.evaluate(accepted, _deposits(spark, deposits)).collect()}
+    assert fired == _brute(rules, deposits) and 50 < len(fired) < 1_000
+
+
 @pytest.mark.parametrize("seconds", [0, 1, 59, 3600, 86399, 86400, 5 * 86400 + 4321])
 def test_cover_is_exact_and_small(spark, seconds):
     start = DAY + dt.timedelta(seconds=12345)
