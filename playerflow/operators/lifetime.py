@@ -27,23 +27,33 @@ def brand_filter(df: DataFrame, brands: Iterable, column: str = "brand_id") -> D
     return df.filter(F.col(column).isin(list(brands)))
 
 
+def first_day(as_of: str, days: int) -> Column:
+    """The earliest day that counts as recent: a constant, so that comparisons with it reach the scan."""
+    return F.date_sub(F.lit(as_of).cast("date"), days)
+
+
 def recent(df: DataFrame, changed: Column, as_of: str, days: int) -> DataFrame:
     """Rows changed at most ``days`` calendar days before ``as_of``."""
-    return df.filter(F.datediff(F.lit(as_of).cast("date"), changed) <= days)
+    return df.filter(changed >= first_day(as_of, days))
+
+
+def _stamped_since(stamp: Column, as_of: str, days: int) -> Column:
+    """Whether a ``yyyyMMddHHmmss`` stamp is recent; the text sorts like its time, an unreadable stamp is not recent."""
+    text = stamp.cast("string")
+    readable = F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")).isNotNull()
+    return (text >= F.date_format(first_day(as_of, days), "yyyyMMddHHmmss")) & readable
 
 
 def recent_load(df: DataFrame, stamp: Column, as_of: str, days: int) -> DataFrame:
     """The same for a ``yyyyMMddHHmmss`` load stamp; an unreadable stamp drops the row."""
-    loaded = F.try_to_timestamp(stamp.cast("string"), F.lit("yyyyMMddHHmmss"))
-    return recent(df, loaded, as_of, days)
+    return df.filter(_stamped_since(stamp, as_of, days))
 
 
 def recent_any(df: DataFrame, stamps: Sequence[Column], as_of: str, days: int) -> DataFrame:
     """Rows inserted or updated recently: any of the load stamps counts."""
     fresh = F.lit(False)
     for stamp in stamps:
-        loaded = F.try_to_timestamp(stamp.cast("string"), F.lit("yyyyMMddHHmmss"))
-        fresh = fresh | F.coalesce(F.datediff(F.lit(as_of).cast("date"), loaded) <= days, F.lit(False))
+        fresh = fresh | F.coalesce(_stamped_since(stamp, as_of, days), F.lit(False))
     return df.filter(fresh)
 
 

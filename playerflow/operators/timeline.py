@@ -18,9 +18,8 @@ blocks:
 Where no key is hot, which is the usual case, steps 2 to 4 reduce to the plain
 window with its single shuffle and sort.
 
-The hot list is small by construction: at most ``rows / limit`` keys can exceed
-the limit, and only the ``MAX_HOT_KEYS`` largest are taken. Any other key still
-gives the exact result, in one block.
+The hot list has at most ``rows / limit`` keys. It is a written table, so that
+every use of it agrees, and is broadcast only after a check of its size.
 """
 
 from __future__ import annotations
@@ -31,13 +30,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 50_000
+from playerflow.session import written
+
+# Hot keys in a broadcast; a longer list is joined by shuffling.
+BROADCAST_KEYS = 1_000_000
 HOT_ROWS_CONF = "spark.playerflow.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
 
 DETECT = "detect"
 
-MAX_LEVELS = 4
 # Equal spans never fill equally; only a block this many times too full is cut again.
 _OVERFULL = 4
 
@@ -120,28 +121,24 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with too many rows for one task, with their order range and block count; None without any.
 
-    Runs a job that reads the key columns only; where it finds any key, a second
-    one takes the order range of those keys. The list is taken once, so that
-    every use of it agrees.
+    Runs one job that reads the key and order columns only. Where it finds any
+    key, the list is written once, so that every use of it agrees.
     """
-    spark, keys = df.sparkSession, list(keys)
+    keys = list(keys)
     limit = limit or hot_rows(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit * overfull)
-    top = counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS)
-    found = top.collect()
-    if not found:
-        return None
-    counted = F.broadcast(spark.createDataFrame(found, top.schema))
     first, last = _positions(df, order)
-    ranges = df.join(counted, keys).groupBy(*keys).agg(
-        F.first("__n").alias("__n"),
+    ranges = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
         F.min(first).alias("__lo"),
         F.max(first).alias("__hi"),
         F.min(last).alias("__seq_lo"),
         F.max(last).alias("__seq_hi"),
-        F.ceil(F.first("__n") / F.lit(limit)).alias("__blocks"),
     )
-    return spark.createDataFrame(ranges.collect(), ranges.schema)
+    many = ranges.filter(F.col("__n") > limit * overfull).withColumn("__blocks", F.ceil(F.col("__n") / F.lit(limit)))
+    if not many.take(1):
+        return None
+    found = written(many, "hot-keys")
+    return F.broadcast(found) if found.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else found
 
 
 def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -154,9 +151,9 @@ def _tag_blocks(df: DataFrame, keys, order, hot: DataFrame) -> tuple[DataFrame,
     stats = ("__n", "__lo", "__hi", "__seq_lo", "__seq_hi", "__blocks")
 
     tagged, levels, is_hot = df, [], F.col("__n").isNotNull()
-    while hot is not None and len(levels) < MAX_LEVELS:
+    while hot is not None:
         name = f"__block{len(levels)}"
-        placed = tagged.join(F.broadcast(hot), [*keys, *levels], "left")
+        placed = tagged.join(hot, [*keys, *levels], "left")
         if not levels:
             placed = placed.withColumn("__is_hot", is_hot)
         tagged = placed.withColumn(name, F.coalesce(F.when(is_hot, block), F.lit(0)).cast("bigint")).drop(*stats)

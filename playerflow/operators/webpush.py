@@ -64,7 +64,8 @@ def web_push(df: DataFrame, zones: DataFrame, event_time="bet_datetime", now="ts
     seeds = [F.max(f"last_{n}").cast("bigint").alias(f"last_{n}") for n in STATE] if seed else [
         F.lit(None).cast("bigint").alias(f"last_{n}") for n in STATE
     ]
-    per_second = rows.groupBy(*KEY, "second", "local_second").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("times"), *seeds)
+    # Sending closes a slot for hours, so one second sends at most once per slot.
+    per_second = rows.groupBy(*KEY, "second", "local_second").agg(F.least(F.count(F.lit(1)), F.lit(len(SLOTS))).alias("times"), *seeds)
     ordered = per_second.repartition(*KEY).sortWithinPartitions(*KEY, "second", "local_second")
     return ordered.mapInPandas(_walk, "brand_id bigint, player_id bigint, second bigint, selector string")
 

@@ -155,8 +155,7 @@ def outbox_sink(spark, sf):
     logins = event_stream(spark, sf).filter(F.col("topic") == "logins").withColumn("selector", F.lit("player_login"))
     messages = O.outbox(logins.drop("channel"), ("dt",))
     repeated = messages.withColumn("__twice", F.explode(F.array(F.lit(1), F.lit(2)))).drop("__twice")
-    ledger = BatchState(spark, f"{base}/ledger", ["dedup_id"], S.StructType([S.StructField("dedup_id", S.StringType())]))
-    output = BatchOutput(spark, f"{base}/sent")
+    ledger, output = BatchOutput(spark, f"{base}/ledger"), BatchOutput(spark, f"{base}/sent")
     jobs.finish(jobs.run(repeated, jobs.deliver(ledger, output), f"{base}/checkpoint"))
     return output.read(messages.schema).select("seq", "dedup_id")
 
@@ -210,9 +209,7 @@ def recheck_all(spark, sf, files_per_trigger=None, whole=False):
     """Rules evaluated per micro-batch of deposits, for the players it touches."""
     requests = PR._requests(spark, sf)
     rows = event_stream(spark, sf, files_per_trigger).filter(F.col("topic") == "wallet").withColumn("transaction_id", F.col("seq"))
-    deposits = PR.R.valid_deposits(rows).withColumn("amount", F.floor("amount").cast("double")).select(
-        "player_id", "second", "amount", "transaction_id"
-    )
+    deposits = PR.R.valid_deposits(rows).select("player_id", "second", "amount", "transaction_id")
     base = run_dir(spark, "recheck")
     fired = BatchOutput(spark, f"{base}/fired")
     schema = S.StructType.fromDDL("request_id bigint, player_id bigint, accept_uri string, amount double")

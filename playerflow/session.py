@@ -73,7 +73,7 @@ def scale_settings(input_bytes: int, executor_cores: int, executor_memory_gb: in
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.shuffle.partitions": str(min(200_000, max(200, input_bytes // target))),
+        "spark.sql.shuffle.partitions": str(max(200, input_bytes // target)),
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.session.timeZone": "UTC",
     }

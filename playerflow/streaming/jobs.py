@@ -40,9 +40,11 @@ def run(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def finish(query: StreamingQuery, timeout: int = 86_400) -> None:
-    """Wait for an ``availableNow`` job and pass on its error."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for an ``availableNow`` job and pass on its error; without ``timeout`` as long as it takes."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("streaming job did not finish")
 
@@ -142,18 +144,24 @@ def changelog_to_table(state: BatchState, order: Sequence[str] = P.ORDER):
     return step
 
 
-def deliver(ledger: BatchState, output: BatchOutput, horizon: int = 100):
+def deliver(ledger: BatchOutput, output: BatchOutput):
     """Outbox delivery: a message id goes out once, even when a batch or a message is repeated.
 
-    Like a queue's own de-duplication, the check reaches back a limited time:
-    the last ``horizon`` batches. A rerun of a batch is always covered.
+    A message id stands for one source row, so all its repeats carry the same
+    ``event_ts``. The ledger is kept by that day, and a batch looks up the days
+    of its own messages: however many batches lie between, a repeat is found.
     """
+    schema = "dedup_id string, batch bigint, day string"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        sent = ledger.since(batch_id - horizon, batch_id)
-        fresh = batch.dropDuplicates(["dedup_id"]).join(sent, "dedup_id", "left_anti")
-        output.write(fresh, batch_id)
-        ledger.write(fresh, batch_id)
+        day = F.coalesce(F.date_format("event_ts", "yyyy-MM-dd"), F.lit("none"))
+        fresh = batch.dropDuplicates(["dedup_id"]).withColumn("day", day)
+        if batch_id:
+            days = [r["day"] for r in fresh.select("day").distinct().collect()]
+            sent = ledger.read(schema).filter((F.col("batch") < batch_id) & F.col("day").isin(days))
+            fresh = fresh.join(sent.select("dedup_id"), "dedup_id", "left_anti").select(*fresh.columns)
+        output.write(fresh.drop("day"), batch_id)
+        ledger.write(fresh.select("dedup_id", "day"), batch_id, "day")
 
     return step
 

@@ -76,3 +76,19 @@ def test_selector_prefix(spark):
     column = text.prefixed_selector(F.col("v"), F.col("b"), ["7"])
     assert _one(spark, column, v="big_win", b="7") == "DEV_big_win"
     assert _one(spark, column, v="big_win", b="8") == "big_win"
+
+
+def test_recency_reaches_the_scan(spark, sf_dir):
+    """The earliest recent day is a constant that the scan filters by."""
+    import contextlib
+    import io
+
+    from playerflow.operators import lifetime
+    from playerflow.sources import tables
+
+    for frame, column in ((tables.wallet(spark, sf_dir), "transaction_datetime"), (tables.bets(spark, sf_dir), "bet_datetime")):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            lifetime.recent(frame, F.col(column), "2024-01-31", 30).explain("formatted")
+        pushed = next(line for line in text.getvalue().splitlines() if "PushedFilters" in line)
+        assert "GreaterThanOrEqual" in pushed, pushed

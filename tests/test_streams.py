@@ -1,5 +1,7 @@
 """Streams over several micro-batches end where the batch operators do."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,15 +103,19 @@ def test_recheck_fires_what_a_replay_of_prefixes_fires(spark, split_dir):
     assert set(got) == want
 
 
-def test_rerun_of_a_batch_changes_nothing(spark, sf_dir, tmp_path):
-    rows = spark.createDataFrame([("a", 1), ("b", 2)], "dedup_id string, n int")
-    ledger = BatchState(spark, str(tmp_path / "ledger"), ["dedup_id"], rows.select("dedup_id").schema)
-    output = BatchOutput(spark, str(tmp_path / "sent"))
+def test_repeats_are_delivered_once(spark, tmp_path):
+    """After a rerun of a batch, after very many batches, and for a message without a time."""
+    schema = "dedup_id string, event_ts timestamp"
+    frame = lambda *rows: spark.createDataFrame([(i, day and dt.datetime.fromisoformat(day)) for i, day in rows], schema)
+    ledger, output = BatchOutput(spark, str(tmp_path / "ledger")), BatchOutput(spark, str(tmp_path / "sent"))
     step = jobs.deliver(ledger, output)
-    step(rows, 0)
-    step(rows.limit(1).unionByName(spark.createDataFrame([("c", 3)], rows.schema)), 1)
-    step(rows.limit(1).unionByName(spark.createDataFrame([("c", 3)], rows.schema)), 1)
-    assert sorted(r["dedup_id"] for r in output.read(rows.schema).collect()) == ["a", "b", "c"]
+    a, b, c, d, none = ("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-02"), ("d", "2024-01-03"), ("n", None)
+    step(frame(a, b, a), 0)
+    step(frame(a, c, none), 1)
+    step(frame(a, c, none), 1)
+    step(frame(d), 2)
+    step(frame(a, b, c, none), 5_000)
+    assert sorted(r["dedup_id"] for r in output.read(schema).collect()) == ["a", "b", "c", "d", "n"]
 
 
 def test_state_compaction_keeps_the_latest(spark, tmp_path):
