@@ -37,7 +37,8 @@ _STATES = len(ALPHABET) + 1
 SAMPLE_DOCUMENTS = 4_000
 #: Log-likelihood ratio, in nats, from which on a candidate is random.
 MARGIN = 7.0
-SMOOTHING = 0.5
+#: Weights of single characters, and of any character, beside those of pairs.
+FALL_BACK = (0.15, 0.05)
 
 
 def _assigned(text: Column) -> Column:
@@ -65,16 +66,26 @@ def train(df: DataFrame, text: str = "text", key: str = "doc_id", sample_documen
     digest = F.sha2(F.coalesce("k", F.lit("")), 256)
     random = F.concat(
         F.flatten(F.array(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))),
-        F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.translate(F.base64(F.unhex(F.md5("k"))), "+/", "-_")),
+        F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha2(F.coalesce("k", F.lit("")), 512))), F.translate(F.base64(F.unhex(F.md5("k"))), "+/", "-_")),
     )
     words = F.slice(F.array_distinct(F.regexp_extract_all("t", F.lit("[A-Za-z]{2,}"), F.lit(0))), 1, 200)
     ordinary = let(words, lambda w: F.concat(w, F.transform(w, lambda x, i: F.concat(x, F.element_at(F.array(*map(F.lit, "_-/.")), (i % 4 + 1).cast("int")), F.coalesce(F.get(w, i + 1), F.lit("")), F.lit("_"), i.cast("string")))))
     strings = sample.select(F.explode(F.array(F.struct(F.lit(1).alias("label"), random.alias("s")), F.struct(F.lit(0).alias("label"), ordinary.alias("s")))).alias("x"))
     pairs = strings.select("x.label", F.explode("x.s").alias("s")).select("label", F.explode(_pair_indexes(F.col("s"))).alias("pair"))
     counts = {(r["label"], r["pair"]): r["count"] for r in pairs.groupBy("label", "pair").count().collect()}
-    before = {(label, a): sum(counts.get((label, a * _STATES + b), 0) for b in range(_STATES)) for label in (0, 1) for a in range(_STATES)}
-    chance = lambda label, a, b: (counts.get((label, a * _STATES + b), 0) + SMOOTHING) / (before[label, a] + SMOOTHING * _STATES)
-    return [round(math.log(chance(1, a, b) / chance(0, a, b)), 6) for a in range(_STATES) for b in range(_STATES)]
+    states = range(_STATES)
+    before = {(label, a): sum(counts.get((label, a * _STATES + b), 0) for b in states) for label in (0, 1) for a in states}
+    alone = {(label, b): sum(counts.get((label, a * _STATES + b), 0) for a in states) for label in (0, 1) for b in states}
+
+    total = {label: max(sum(alone[label, b] for b in states), 1) for label in (0, 1)}
+
+    def chance(label: int, a: int, b: int) -> float:
+        """Of b after a; a pair that the sample lacks falls back on how frequent b is, then on one of all signs."""
+        pair = counts.get((label, a * _STATES + b), 0) / max(before[label, a], 1)
+        single = alone[label, b] / total[label]
+        return (1 - sum(FALL_BACK)) * pair + FALL_BACK[0] * single + FALL_BACK[1] / _STATES
+
+    return [round(math.log(chance(1, a, b) / chance(0, a, b)), 6) for a in states for b in states]
 
 
 def log_ratio(value: Column, ratios: list[float]) -> Column:
