@@ -4,10 +4,11 @@ Texts with the same shingle set form one class; classes are joined.
 
 *Forest.* One tree over unrelated texts has saturated upper nodes, so the
 forest is planted by certain meeting points: the shingle space of a size class
-is dealt into D + 1 + s parts, D being the most shingles in which two linked
-sets of the class can differ. At least s + 1 parts are then equal in both; a
-set with at most s weak parts (without any rare shingle) needs to be planted
-under its strong parts only. No link can miss all trees.
+is dealt into P parts. Two linked sets differ in d shingles at most, which
+follows from their sizes, so P - d parts are equal in both. With the parts of
+a set in one order for all sets, the first d + 1 of two linked sets have a
+part in common; a set is planted under these. The order is by hash, with parts
+that hold no rare shingle last. No link can miss all trees.
 
 *Chains.* Neighbours in a tree are compared first. Copies of one text so
 become one component with about one comparison each, not all pairs.
@@ -18,7 +19,10 @@ the OR of its members' token bitmaps, their size range and the most shingles
 that share a bit. Pairs of nodes go down level by level; a pair is pruned when
 its sizes cannot reach the threshold, when both lie in one component, or when
 the common bits plus the shared ones are fewer than the overlap that the
-threshold needs. What is left at the bottom is compared exactly.
+threshold needs. A tree of few components is one leaf. Pairs of components,
+which several trees may hold, are made distinct before their nodes meet; then
+classes meet the other component's node, then its classes. What is left at
+the bottom is compared exactly.
 
 Results: null and empty texts, and those without words, have no shingles and
 are linked with nothing. A text with fewer words than a shingle is one shingle.
@@ -29,7 +33,6 @@ keys of their sets.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,30 +79,30 @@ class Forest:
         while low < 1 << 34:
             high = max(low, int(low * 1.7))
             differ = 2 * high * (100 - percent) // (100 + percent)
-            self.classes.append((low, high, differ, differ + 1 + max(1, math.ceil(0.2 * differ))))
+            self.classes.append((low, high, differ, differ + 1 + max(1, differ // 4)))
             low = high + 1
 
-    def of(self, size: int) -> list[int]:
-        """The class of a size, and the next one if a set of that class can be linked."""
+    def of(self, size: int) -> list[tuple[int, int]]:
+        """The class of a size, and the next one if a set of that class can be linked; each with the most differences."""
         own = next(i for i, c in enumerate(self.classes) if size <= c[1])
-        return [i for i in (own, own + 1) if self.classes[i][2] > 0 and 100 * size >= self.percent * self.classes[i][0]]
+        largest = 100 * size // self.percent
+        differ = lambda i: (100 - self.percent) * (size + min(largest, self.classes[i][1])) // (100 + self.percent)
+        return [(i, differ(i)) for i in (own, own + 1) if largest >= self.classes[i][0] and differ(i) > 0]
 
     def trees(self, keys: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         """Signatures of the trees under which a set is planted."""
         out = []
         rare = ~np.isin(keys, frequent, assume_unique=True) if len(frequent) else np.ones(len(keys), dtype=bool)
         mixed = _mix(keys)
-        for k in self.of(len(keys)):
-            _, _, differ, parts = self.classes[k]
+        for k, differ in self.of(len(keys)):
+            parts = self.classes[k][3]
             part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
             sums = np.zeros(parts, dtype=np.uint64)
             np.add.at(sums, part, _mix(mixed))
             strong = np.bincount(part[rare], minlength=parts) > 0
-            if parts - strong.sum() > parts - differ - 1:
-                strong[:] = True
-            at = np.flatnonzero(strong).astype(np.uint64)
             salt = np.uint64((k + 1) * 0xC2B2AE3D27D4EB4F % (1 << 64))
-            out.append(_mix(sums[strong] + at * np.uint64(0x9E3779B97F4A7C15) + salt))
+            signs = _mix(sums + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt)
+            out.append(signs[np.lexsort((signs, ~strong))[: differ + 1]])
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
@@ -200,65 +203,86 @@ def _able(a: str, b: str, percent: int) -> Column:
     return sizes & apart & ((100 + percent) * most >= percent * (col(a, "low") + col(b, "low")))
 
 
-_LEVELS = [["band"], ["band", "d1"], ["band", "d1", "d2"], ["band", "d1", "d2", "own"], ["band", "d1", "d2", "own", "c"]]
+#: Components of a tree that is one leaf.
+LEAF = 256
+#: Trees by which a component tells whether another tree has told of a pair already.
+FIRST_TREES = 32
 
 
-def _nodes(members: DataFrame, keys: list[str]) -> DataFrame:
-    return members.groupBy("sig", *keys).agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.max("spare").alias("spare"), F.min("comp").alias("comp"), F.max("comp_high").alias("comp_high"),
-        *[F.bit_or(b).alias(b) for b in _BITS],
-    )
+def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+    """Pairs (a, b) of classes of different components that no level of the trees prunes.
 
-
-def traverse(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of classes that no level of the trees prunes.
-
-    ``members`` has sig, c, n, spare, comp and the bitmap: the trees' leaves.
+    ``members`` has sig, c and comp; ``classes`` has c, n, spare and the bitmap.
+    """
+    own = members.select("c", "comp").distinct().join(classes, "c")
+    own = written(own.select("c", F.col("n").alias("low"), F.col("n").alias("high"), "spare", "comp", F.col("comp").alias("comp_high"), *_BITS), "jaccard-leaves")
+    whole = written(own.groupBy("comp").agg(*_union(), F.first("comp_high").alias("comp_high")), "jaccard-nodes")
+    trees = members.select("sig", "comp").distinct()
+    first = trees.groupBy("comp").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRST_TREES).alias("first"))
+    sized = trees.join(trees.groupBy("sig").agg(F.count("*").alias("held")), "sig")
+    few = sized.where(F.col("held") <= leaf).join(first, "comp")
+    a, b = few.alias("a"), few.alias("b")
+    # of the trees that two components share, the first tells of the pair
+    shared = F.array_intersect("a.first", "b.first")
+    once = (F.size(shared) == 0) | (F.col("a.sig") == F.array_min(shared))
+    near = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.comp") < F.col("b.comp")) & once).select(F.col("a.comp").alias("a"), F.col("b.comp").alias("b")).distinct()
+    pairs = near.unionAll(_descend(sized.where(F.col("held") > leaf).select("sig", "comp"), whole, percent)).distinct()
+    # component and component, class and component, class and class
+    met = _meet(pairs, whole.withColumn("key", F.col("comp")), whole.withColumn("key", F.col("comp")), percent)
+    met = _meet(met.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), own.withColumn("key", F.col("c")), whole.withColumn("key", F.col("comp")), percent)
+    met = _meet(met.join(own.select(F.col("comp").alias("b"), F.col("c").alias("y")), "b").select("a", F.col("y").alias("b")), own.withColumn("key", F.col("c")), own.withColumn("key", F.col("c")), percent)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """The pairs of keys whose nodes can hold linked sets."""
+    met = pairs.alias("p").join(left.alias("x"), F.col("p.a") == F.col("x.key")).join(right.alias("y"), (F.col("p.b") == F.col("y.key")) & _able("x", "y", percent))
+    return met.select("p.a", "p.b")
+
+
+def _union() -> list[Column]:
+    return [F.min("low").alias("low"), F.max("high").alias("high"), F.max("spare").alias("spare"), *[F.bit_or(b).alias(b) for b in _BITS]]
+
+
+def _descend(trees: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Dual traversal, level by level, of the trees with more components than a leaf holds; pairs of components.
+
+    A node is named by a hash of its place; nodes that shared a name would be
+    one larger node, which prunes less but loses nothing.
     """
     digit = lambda shift: F.shiftrightunsigned(F.xxhash64("comp"), shift) % 16
-    rows = members.select(
-        "sig", "c", F.col("n").alias("low"), F.col("n").alias("high"), "spare", "comp", F.col("comp").alias("comp_high"), F.col("comp").alias("own"),
-        F.floor(F.log(F.col("n").cast("double")) * 20).alias("band"), digit(0).alias("d1"), digit(4).alias("d2"), *_BITS,
-    )
-    pairs, above = None, []
-    for keys in _LEVELS:
-        nodes = _nodes(rows, keys)
-        name = lambda side, k: f"{side}_{k}"
+    place = {"band": F.floor(F.log(F.col("low").cast("double")) * 20), "d1": digit(0), "d2": digit(4), "own": F.col("comp")}
+    rows = trees.join(whole, "comp").withColumn("own", F.col("comp"))
+    pairs = None
+    for level in range(1, len(place) + 1):
+        name = lambda depth: F.xxhash64("sig", *list(place.values())[:depth])
+        nodes = rows.withColumn("up", name(level - 1)).withColumn("id", name(level)).groupBy("up", "id").agg(
+            *_union(), F.min("comp").alias("comp"), F.max("comp_high").alias("comp_high"), F.max("own").alias("own"))
         a, b = nodes.alias("a"), nodes.alias("b")
-        label = F.struct(*[F.col(f"a.{k}") for k in keys]) <= F.struct(*[F.col(f"b.{k}") for k in keys])
+        going = (F.col("a.id") <= F.col("b.id")) & (_able("a", "b", percent) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.comp") != F.col("a.comp_high"))))
         if pairs is None:
-            found = a.join(b, (F.col("a.sig") == F.col("b.sig")) & label & (_able("a", "b", percent) | _same("a", "b", keys)))
+            found = a.join(b, (F.col("a.up") == F.col("b.up")) & going)
         else:
-            up = pairs.alias("p")
-            a_keys = [F.col("p.sig") == F.col("a.sig"), *[F.col(f"p.{name('a', k)}") == F.col(f"a.{k}") for k in above]]
-            b_keys = [F.col("p.sig") == F.col("b.sig"), *[F.col(f"p.{name('b', k)}") == F.col(f"b.{k}") for k in above]]
-            found = up.join(a, _all(a_keys)).join(b, _all([*b_keys, label, _able("a", "b", percent) | _same("a", "b", keys)]))
-        pairs = found.select(F.col("a.sig").alias("sig"), *[F.col(f"{side}.{k}").alias(name(side, k)) for side in "ab" for k in keys])
-        above = keys
-    return pairs.where("a_c != b_c").select(F.least("a_c", "b_c").alias("a"), F.greatest("a_c", "b_c").alias("b")).distinct()
-
-
-def _same(a: str, b: str, keys: list[str]) -> Column:
-    """A node with itself: its members may be linked with each other unless they are of one component."""
-    return _all([F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys]) & (F.col(f"{a}.comp") != F.col(f"{a}.comp_high"))
-
-
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+            # a pair of two nodes is met in either order of their children
+            both = pairs.unionAll(pairs.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+            found = both.alias("p").join(a, F.col("p.a") == F.col("a.up")).join(b, (F.col("p.b") == F.col("b.up")) & going)
+        last = level == len(place)
+        pairs = found.select(F.col("a.own" if last else "a.id").alias("a"), F.col("b.own" if last else "b.id").alias("b"))
+    return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _exact(pairs: DataFrame, df: DataFrame, planted: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
     """The pairs of classes that are linked, by their shingle sets, which are made again for the classes in question only."""
     spark = df.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    one = planted.join(wanted, "c", "left_semi").groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))).alias("x"))
-    one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id")), "jaccard-wanted")
-    rows = df.select(df[key].alias("id"), df[text].alias("t")).join(_small(one), F.col("id").eqNullSafe(F.col("want_id")))
-    sets = rows.select("want", shingle_set(F.col("t"), words).alias("keys")).where(F.xxhash64("keys") == F.col("want"))
-    sets = written(sets.groupBy("want").agg(F.first("keys").alias("keys")), "jaccard-sets")
+    texts = planted.join(wanted, "c", "left_semi").groupBy("c", "id").agg(F.count("*").alias("copies"))
+    one = texts.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies")).alias("x"))
+    one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies"), "jaccard-wanted")
+    rows = df.select(df[key].alias("id"), df[text].alias("t")).join(_small(one.drop("copies")), F.col("id").eqNullSafe(F.col("want_id")))
+    # exploded, so that the sets are made after the join and not as its key
+    right_one = let(shingle_set(F.col("t"), words), lambda k: F.when(F.xxhash64(k) == F.col("want"), F.array(k)).otherwise(F.array().cast("array<array<long>>")))
+    sets = rows.select("want", F.explode(right_one).alias("keys"))
+    sets = written(sets.dropDuplicates(["want"]) if one.where("copies > 1").limit(1).count() else sets, "jaccard-sets")
     left = sets.select(F.col("want").alias("a"), F.col("keys").alias("ka"))
     right = sets.select(F.col("want").alias("b"), F.col("keys").alias("kb"))
     both = F.size(F.array_intersect("ka", "kb"))
@@ -296,8 +320,8 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words:
     placed = shared.select("sig", "rid").join(known, "rid")
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("sig")
     open_trees = written(placed.join(mixed, "sig", "left_semi"), "jaccard-open")
-    members = open_trees.join(leaves.drop("c"), "rid").drop("rid").dropDuplicates(["sig", "c"])
-    left = written(traverse(members, percent), "jaccard-left")
+    members = open_trees.select("sig", "c", "comp").distinct()
+    left = written(traverse(members, leaves.drop("rid").dropDuplicates(["c"]), percent), "jaccard-left")
     more = _exact(left, df, planted, text, key, words, percent)
     return planted, components(chains.unionAll(more))
 
