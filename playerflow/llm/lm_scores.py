@@ -8,10 +8,12 @@ other document has counts as ``BACKOFF`` over all words.
 
 Documents are dealt into blocks of a bounded number of words. A block sends
 each of its distinct n-grams once, with its count, into a table partitioned by
-the n-gram's hash, where the counts of all blocks meet; what other blocks hold
-too is joined back to the blocks, and the words' scores are summed per
-document. So neither a frequent n-gram nor a large source makes a hot task: an
-n-gram has at most one row per block.
+ranges of the n-gram's hash (segments of a bounded number of n-grams), where
+the counts of all blocks are summed; what the other blocks hold is joined back
+to the block, and the words' scores are summed per document. So neither a
+frequent n-gram nor a large source makes a hot task: an n-gram has one entry
+per block at most. The entries of one block in one segment travel as one
+packed row of sorted hashes, which takes half the room of single rows.
 
 Null and empty texts have no words and the score 0. Equal rows are scored
 alike and count for each other. Columns of the same names are replaced. Words
@@ -20,12 +22,13 @@ and n-grams are 64-bit keys.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playerflow.llm.native import blank_words, lower_ascii
@@ -35,7 +38,9 @@ from playerflow.session import written
 ORDER = 3
 BACKOFF = 0.4
 #: Words from which on a block is full.
-BLOCK_WORDS = 1_500_000
+BLOCK_WORDS = 500_000
+#: Words of the corpus for each segment of the count table.
+SEGMENT_WORDS = 500_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -45,27 +50,59 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n from 1 to ``order``: keys of the n-grams, and the place of the last word of each."""
-    keys, at = _mix(words), np.arange(len(words))
-    out = [(keys, at)]
-    for n in range(2, order + 1):
-        inside = doc[n - 1 :] == doc[: max(len(doc) - n + 1, 0)]
-        keys = _mix(out[0][0][: max(len(words) - n + 1, 0)] + np.uint64(n))
-        for k in range(1, n):
-            keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - n + 1 + k])
-        out.append((keys[inside], at[n - 1 :][inside]))
-    return out
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of their places: sorted differences and small numbers come out short."""
+    values = values.astype("<u8")
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed[1:]), np.uint8).reshape(packed[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : packed[0]] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed), dtype=np.uint64)
+
+
+def _grams(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams inside documents, and the place of the last word of each."""
+    size = max(len(words) - n + 1, 0)
+    keys = _mix(words[:size] + np.uint64(n))
+    for k in range(1, n):
+        keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[k : size + k])
+    inside = doc[n - 1 :] == doc[:size]
+    return keys[inside], np.arange(n - 1, len(words))[inside]
+
+
+def _distinct(words: np.ndarray, doc: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of a block, sorted, and how often it holds them."""
+    return np.unique(np.concatenate([_grams(words, doc, n)[0] for n in range(1, order + 1)]), return_counts=True)
+
+
+def _segment(grams: np.ndarray, segments: int) -> np.ndarray:
+    return ((grams >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
 def _blocks(block_words: int, id_type: pa.DataType):
     names = ["block", "ids", "lengths", "words", "vocabulary", "total"]
 
     def full(number: int, ids: list, lengths: list, words: list) -> pa.RecordBatch:
-        vocabulary, local = np.unique(np.concatenate(words) if words else np.zeros(0, np.int64), return_inverse=True)
+        vocabulary, local, counts = np.unique(np.concatenate(words).view(np.uint64), return_inverse=True, return_counts=True)
+        by_use = np.argsort(-counts, kind="stable")  # frequent words get small numbers; equally frequent ones stay sorted
+        rank = np.empty(len(vocabulary), np.int64)
+        rank[by_use] = np.arange(len(vocabulary))
         columns = [
-            pa.array([number], pa.int64()), pa.array([[i for part in ids for i in part]], pa.list_(id_type)), pa.array([np.concatenate(lengths).astype(np.int32).tobytes()], pa.binary()),
-            pa.array([local.astype(np.int32).tobytes()], pa.binary()), pa.array([vocabulary.tobytes()], pa.binary()), pa.array([len(local)], pa.int64()),
+            pa.array([number], pa.int64()), pa.array([[i for part in ids for i in part]], pa.list_(id_type)), pa.array([_pack(np.concatenate(lengths))], pa.binary()),
+            pa.array([_pack(rank[local])], pa.binary()), pa.array([_pack_sorted(vocabulary[by_use])], pa.binary()), pa.array([len(local)], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -87,67 +124,94 @@ def _blocks(block_words: int, id_type: pa.DataType):
     return run
 
 
-def _unpack(lengths: bytes, words: bytes, vocabulary: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _open(lengths: bytes, words: bytes, vocabulary: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word keys, the document's place in the block for each word, and words per document."""
-    sizes = np.frombuffer(lengths, np.int32)
-    keys = np.frombuffer(vocabulary, np.uint64)[np.frombuffer(words, np.int32)] if len(words) else np.zeros(0, np.uint64)
-    return keys, np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes), sizes
+    sizes = _unpack(lengths).astype(np.int64)
+    return _unpack_sorted(vocabulary)[_unpack(words).astype(np.int64)], np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes), sizes
+
 
+def _count(order: int, segments: int):
+    """Each block's distinct n-grams and their counts, a row for each segment."""
 
-def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, lengths, words, vocabulary in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, doc, _ = _unpack(lengths, words, vocabulary)
-                for grams, _ in _grams(keys, doc, order):
-                    found, counts = np.unique(grams, return_counts=True)
-                    for i in range(0, len(found), 100_000):
-                        part = found[i : i + 100_000].view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), number)), pa.array(counts[i : i + 100_000].astype(np.int64))], names=["gram", "block", "n"])
+                keys, doc, _ = _open(lengths, words, vocabulary)
+                grams, counts = _distinct(keys, doc, order)
+                held, starts = np.unique(_segment(grams, segments), return_index=True)
+                for segment, start, end in zip(held, starts, [*starts[1:], len(grams)]):
+                    columns = [pa.array([segment], pa.int64()), pa.array([number], pa.int64()), pa.array([_pack_sorted(grams[start:end])], pa.binary()), pa.array([_pack(counts[start:end])], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "grams", "counts"])
 
     return run
 
 
+def _sum(rows: pa.Table) -> pa.Table:
+    """For each block of a segment and each of its n-grams: how often the other blocks hold it."""
+    grams = [_unpack_sorted(x) for x in rows.column("grams").to_pylist()]
+    counts = [_unpack(x) for x in rows.column("counts").to_pylist()]
+    every, own = np.concatenate(grams), np.concatenate(counts).astype(np.int64)
+    order = np.argsort(every, kind="stable")
+    first = np.append(True, every[order][1:] != every[order][:-1])
+    which = np.cumsum(first) - 1
+    others = np.empty(len(every), np.int64)
+    others[order] = np.add.reduceat(own[order], np.flatnonzero(first))[which]
+    others -= own
+    ends = np.cumsum([len(x) for x in grams])
+    packed = [_pack(others[end - len(x) : end]) for x, end in zip(grams, ends)]
+    return pa.table({"block": rows.column("block"), "segment": rows.column("segment"), "others": pa.array(packed, pa.binary())})
+
+
 def _score(order: int, backoff: float, corpus_words: int, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
         row = left.to_pylist()[0]
-        keys, doc, sizes = _unpack(row["lengths"], row["words"], row["vocabulary"])
-        shared, totals = right.column("gram").to_numpy().view(np.uint64), right.column("total").to_numpy()
-        order_of = np.argsort(shared)
-        shared, totals = shared[order_of], totals[order_of]
-        others = []  # for each n: in how many places of other documents the n-gram that ends here stands
-        for grams, at in _grams(keys, doc, order):
-            _, place, counts = np.unique(grams, return_inverse=True, return_counts=True)
-            all_of = counts[place]
-            if len(shared):
-                found = np.minimum(np.searchsorted(shared, grams), len(shared) - 1)
-                hit = shared[found] == grams
-                all_of = np.where(hit, totals[found], all_of)
-            _, place, counts = np.unique(_mix(grams ^ _mix(doc[at] + np.uint64(7))), return_inverse=True, return_counts=True)
+        keys, doc, sizes = _open(row["lengths"], row["words"], row["vocabulary"])
+        parts = sorted(zip(right.column("segment").to_pylist(), right.column("others").to_pylist()))
+        elsewhere = np.concatenate([_unpack(x) for _, x in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+        ends = [_grams(keys, doc, n) for n in range(1, order + 1)]
+        grams, at = (np.concatenate([e[i] for e in ends]) for i in (0, 1))
+        sizes_of = [len(e[0]) for e in ends]
+        del ends
+        # equal n-grams side by side, and among them those of one document
+        sort = np.argsort(grams, kind="stable")
+        grams, of = grams[sort], doc[at[sort]]
+        first = np.append(True, grams[1:] != grams[:-1])[: len(grams)]
+        own_first = first | np.append(True, of[1:] != of[:-1])[: len(grams)]
+        del grams, of
+        run_sizes = lambda starts: np.diff(np.append(np.flatnonzero(starts), len(starts)))
+        value = (run_sizes(first) + elsewhere)[np.cumsum(first) - 1] - run_sizes(own_first)[np.cumsum(own_first) - 1]
+        del elsewhere, first, own_first
+        found = np.empty(len(value), np.int64)
+        found[sort] = value
+        del sort, value
+        others, start = [], 0  # for each n: in how many places of other documents the n-gram that ends here stands
+        for size in sizes_of:
             full = np.zeros(len(keys), dtype=np.int64)
-            full[at] = all_of - counts[place]
+            full[at[start : start + size]] = found[start : start + size]
             others.append(full)
-        rest = corpus_words - sizes[doc.astype(np.int64)]
+            start += size
+        del found, at
+        index = doc.astype(np.int64)
+        rest = corpus_words - sizes[index]
+        place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         score = np.log(np.maximum(others[0], backoff) / np.maximum(rest, 1))
         used = np.where(others[0] > 0, 1, 0)
         for n in range(2, order + 1):
             before = np.append(0, others[n - 2][:-1])  # the words before this one, as an n-gram that ended there
             seen = (others[n - 1] > 0) & (before > 0)
-            place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             ratio = np.log(np.where(seen, others[n - 1], 1) / np.where(seen, before, 1))
             score = np.where(seen, ratio, np.where(place >= n - 1, np.log(backoff) + score, score))
             used = np.where(seen, n, used)
-        index = doc.astype(np.int64)
-        columns = [pa.array(row["ids"], schema.field(0).type), pa.array(sizes.astype(np.int64)), pa.array(np.bincount(index, score, len(sizes)))]
+        columns = [pa.array(row["ids"], schema.field(0).type), pa.array(sizes), pa.array(np.bincount(index, score, len(sizes)))]
         columns += [pa.array(np.bincount(index[used == n], minlength=len(sizes)).astype(np.int64)) for n in range(order + 1)]
         return pa.Table.from_arrays(columns, schema=schema)
 
     return run
 
 
-def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, block_words: int = BLOCK_WORDS) -> DataFrame:
+def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """key, n_words, log_score (the sum over the words) and used_0 to used_<order>: words scored by an n-gram of that length (0: unseen)."""
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -159,8 +223,9 @@ def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", orde
         _blocks(block_words, id_type), f"block long, ids array<{id_field.dataType.simpleString()}>, lengths binary, words binary, vocabulary binary, total long")
     blocks = written(blocks, "lm-blocks")
     corpus_words = blocks.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()["n"]
-    counts = blocks.select("block", "lengths", "words", "vocabulary").mapInArrow(_count(order), "gram long, block long, n long")
-    totals = counts.withColumn("total", F.sum("n").over(Window.partitionBy("gram"))).where("total > n").select("block", "gram", "total")
+    segments = max(1, -(-corpus_words // segment_words))
+    counts = blocks.select("block", "lengths", "words", "vocabulary").mapInArrow(_count(order, segments), "segment long, block long, grams binary, counts binary")
+    totals = counts.groupBy("segment").applyInArrow(_sum, "block long, segment long, others binary")
     result = T.StructType([T.StructField(key, id_field.dataType), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), *[T.StructField(f"used_{n}", T.LongType()) for n in range(order + 1)]])
     run = _score(order, backoff, corpus_words, to_arrow_schema(result))
     return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, result)
