@@ -4,8 +4,9 @@ A number is split in two halves; in each round one half gets the keyed digest
 of the other added to it, modulo its own range. Every round can be undone, so
 the whole is a permutation of all numbers of that length: equal values get
 equal pseudonyms in every document, different values stay different, and the
-holder of the key can go back. Card numbers keep whether their check digit is
-right, addresses stay addresses, dates stay dates of the same notation.
+holder of the key can go back. Addresses stay addresses, dates stay dates of
+the same notation. Only valid values count: social security numbers in the ranges that are given out, card numbers whose check digit
+is right. Anything else stays as it is and is not listed.
 
 Null texts stay null, empty ones empty. Texts of any length are read whole.
 Repeated rows get the same result. Columns of the same names are replaced.
@@ -26,11 +27,11 @@ EMAIL = r"(?<![\p{L}\p{N}_%+-])(?<![\p{L}\p{N}_%+-]\.)[\p{L}\p{N}_%+-][\p{L}\p{N
 DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[.-][0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 KINDS = {"email": EMAIL, "date": DATE, "ip": IPV4, "card": CARD, "ssn": SSN, "phone": PHONE}
-#: All kinds in one pass over a text.
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+#: All kinds but cards in one pass over a text; the valid cards of a text are added to it.
+NO_CARD = "|".join(f"(?:{p})" for k, p in KINDS.items() if k != "card")
 _FIRST_DAY, _DAYS = "1900-01-01", 73_049  # up to 2099-12-31
 _DAY_RANGES = (17, 4_297)  # their product is _DAYS
 
@@ -80,6 +81,21 @@ def permute_card(digits: Column, key: str, back: bool = False) -> Column:
     return let(permute_digits(body, key, "card", back), lambda b: F.concat(b, F.pmod(luhn(b) + off, F.lit(10)).cast("string")))
 
 
+def permute_ssn(digits: Column, key: str, back: bool = False) -> Column:
+    """Nine digits in the ranges that are given out (areas 001 to 899 but 666, groups from 01, serials from 0001), permuted among all such."""
+    area, rest = F.substring(digits, 1, 3).cast("long"), (F.substring(digits, 4, 2).cast("long") - 1) * 9_999 + F.substring(digits, 6, 4).cast("long") - 1
+    state = feistel(area - F.when(area > 666, 2).otherwise(1), rest, F.lit(898).cast("long"), F.lit(99 * 9_999).cast("long"), key, "ssn", back)
+    padded = lambda number, width: F.lpad(number.cast("string"), width, "0")
+    return let(state, lambda s: F.concat(padded(s["l"] + F.when(s["l"] >= 665, 2).otherwise(1), 3), padded(F.floor(s["r"] / 9_999) + 1, 2), padded(s["r"] % 9_999 + 1, 4)))
+
+
+def valid_cards(text: Column) -> Column:
+    """The different card numbers of a text whose check digit is right; candidates may overlap."""
+    candidates = F.when(text.rlike(CARD), F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?=({CARD}))"), F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    right = lambda d: luhn(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d)).cast("int")
+    return F.filter(candidates, lambda v: let(_digits(v), right))
+
+
 def in_format(pattern: Column, digits: Column) -> Column:
     """The digits of ``pattern`` replaced, from left to right, by ``digits``."""
     signs = F.filter(F.split(pattern, ""), lambda c: c != "")
@@ -142,19 +158,26 @@ def pseudonym(value: Column, kind: Column, key: str, back: bool = False) -> Colu
     phone = let(digits, lambda d: F.concat(F.substr(d, F.lit(1), F.length(d) - 10), permute_digits(F.substr(d, F.length(d) - 9), key, "phone", back)))
     return (
         F.when(kind == "email", value if back else email_name(value, key)).when(kind == "date", permute_date(value, key, back)).when(kind == "ip", permute_ip(value, key, back))
-        .when(kind == "card", in_format(value, permute_card(digits, key, back))).when(kind == "ssn", in_format(value, permute_digits(digits, key, "ssn", back)))
+        .when(kind == "card", in_format(value, permute_card(digits, key, back))).when(kind == "ssn", in_format(value, permute_ssn(digits, key, back)))
         .otherwise(in_format(value, phone))
     )
 
 
 def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY, back: bool = False) -> DataFrame:
     """All rows and columns, the text with pseudonyms, and ``pii``: array<struct<kind, value>> of what stands there now."""
-    value = df[text]
-    hits = F.when(value.rlike("[0-9@]"), F.regexp_extract_all(value, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    found = let(hits, lambda h: F.transform(h, lambda v: let(kind_of(v), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key, back).alias("value")))))
-    rows = df.select(*[df[c] for c in df.columns if c.lower() != "pii"], found.alias("pii"))
-    joined = let(F.split(F.col(text), ANY, -1), lambda gaps: F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("pii"), i)["value"], F.lit("")))), ""))
-    return rows.withColumn(text, F.when(F.size("pii") > 0, joined).otherwise(F.col(text)))
+    rows = df.select(*[df[c] for c in df.columns if c.lower() != "pii"], valid_cards(df[text]).alias("__cards"))
+    # The numbers themselves are the pattern: a wrong one must not hide a right one, or another kind, that overlaps it.
+    own = F.concat(F.lit(f"{NO_CARD}|(?<![0-9])(?:"), F.array_join("__cards", "|"), F.lit(")(?![0-9])"))
+    some = F.size("__cards") > 0
+    text_ = F.col(text)
+    matches = F.when(some, F.regexp_extract_all(text_, own, F.lit(0))).otherwise(F.regexp_extract_all(text_, F.lit(NO_CARD), F.lit(0)))
+    hits = F.when(text_.rlike("[0-9@]"), matches).otherwise(F.array().cast("array<string>"))
+    gaps = F.when(some, F.split(text_, own, -1)).otherwise(F.split(text_, NO_CARD, -1))
+    found = let(hits, lambda h: F.transform(h, lambda v: let(kind_of(v), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key, back).alias("value"), v.alias("was")))))
+    rows = rows.withColumn("__found", found)
+    joined = let(gaps, lambda g_: F.array_join(F.transform(g_, lambda g, i: F.concat(g, let(F.get(F.col("__found"), i), lambda f: F.coalesce(f["value"], f["was"], F.lit(""))))), ""))
+    pii = F.transform(F.filter("__found", lambda f: f["value"].isNotNull()), lambda f: F.struct(f["kind"].alias("kind"), f["value"].alias("value")))
+    return rows.withColumn("pii", pii).withColumn(text, F.when(F.size("pii") > 0, joined).otherwise(text_)).drop("__cards", "__found")
 
 
 @query("op6_pseudonyms")
