@@ -5,15 +5,20 @@ of the other added to it, modulo its own range. Every round can be undone, so
 the whole is a permutation of all numbers of that length: equal values get
 equal pseudonyms in every document, different values stay different, and the
 holder of the key can go back. Addresses stay addresses, dates stay dates of
-the same notation. Only valid values count: social security numbers in the ranges that are given out, card numbers whose check digit
+the same notation. Only valid values count: dates from 1900 to 2099, social
+security numbers in the ranges that are given out, card numbers whose check digit
 is right. Anything else stays as it is and is not listed.
 
+A date with slashes is read month first; where that is no date, day first.
+
 Null texts stay null, empty ones empty. Texts of any length are read whole.
 Repeated rows get the same result. Columns of the same names are replaced.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +29,7 @@ ROUNDS = 10
 #: For tests and checks; a run on real data passes its own.
 KEY = "example-key"
 EMAIL = r"(?<![\p{L}\p{N}_%+-])(?<![\p{L}\p{N}_%+-]\.)[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]*@(?:[A-Za-z0-9-]{1,63}\.){1,10}[A-Za-z]{2,24}"
-DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[.-][0-9])"
+DATE = r"(?<![0-9.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/(?:19|20)[0-9]{2})(?![0-9]|[.-][0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -34,6 +39,22 @@ KINDS = {"email": EMAIL, "date": DATE, "ip": IPV4, "card": CARD, "ssn": SSN, "ph
 NO_CARD = "|".join(f"(?:{p})" for k, p in KINDS.items() if k != "card")
 _FIRST_DAY, _DAYS = "1900-01-01", 73_049  # up to 2099-12-31
 _DAY_RANGES = (17, 4_297)  # their product is _DAYS
+_YEARS, _LEAPS = 200, 49  # from 1900; the leap years from 1904 to 2096
+
+
+def _days_of(first_month: int, last_month: int, first_day: int, last_day: int) -> tuple[str, int, int, int, int]:
+    """Days of a year in these ranges as "MMdd,", their number in all years, and two factors of the least number above with fair factors."""
+    days = [d for i in range(365) if first_month <= (d := dt.date(1901, 1, 1) + dt.timedelta(i)).month <= last_month and first_day <= d.day <= last_day]
+    leaps = _LEAPS if first_month <= 2 <= last_month and first_day <= 29 <= last_day else 0
+    total = _YEARS * len(days) + leaps
+    for above in range(total, 2 * total):
+        a = next((a for a in range(int(above**0.5), 29, -1) if above % a == 0), None)
+        if a:
+            return "".join(f"{d:%m%d}," for d in days), len(days), total, a, above // a
+
+
+#: Dates that leave their own set would be read differently on the way back, so each of these is permuted in itself.
+_LOW_LOW, _LOW_HIGH, _HIGH_LOW, _LATE, _LOW_LATE = DAY_SETS = (_days_of(1, 9, 1, 9), _days_of(1, 9, 10, 31), _days_of(10, 12, 1, 9), _days_of(1, 12, 13, 31), _days_of(1, 9, 13, 31))
 
 
 def _digest(key: str, kind: str, turn: Column, other: Column, range_: Column) -> Column:
@@ -115,15 +136,59 @@ def permute_ip(value: Column, key: str, back: bool = False) -> Column:
 
 
 def permute_date(value: Column, key: str, back: bool = False) -> Column:
-    """A valid date from 1900 to 2099 becomes another one in its notation; any other text stays."""
+    """A valid date from 1900 to 2099 becomes another one in its notation; any other text gives null."""
     a, b = _DAY_RANGES
     results = F.lit(None).cast("string")
-    notations = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{2}\.[0-9]{2}\.", "dd.MM.yyyy"), (r"\.", "d.M.yyyy"), (r"^[0-9]{2}/[0-9]{2}/", "MM/dd/yyyy"), ("/", "M/d/yyyy"))
-    for sign, form in reversed(notations):
+    for sign, form in (("/", "MM/dd/yyyy"), (r"\.", "dd.MM.yyyy"), ("-", "yyyy-MM-dd")):
         day = F.datediff(F.to_date(F.try_to_timestamp(value, F.lit(form))), F.lit(_FIRST_DAY).cast("date")).cast("long")
-        moved = _moved_day(day, a, b, key, back)
-        results = F.when(value.rlike(sign), F.date_format(moved, form)).otherwise(results)
-    return F.coalesce(results, value)
+        results = F.when(value.rlike(sign), F.date_format(_moved_day(day, a, b, key, back), form)).otherwise(results)
+    both_padded = value.rlike(r"^(?:[0-9]{4}-|[0-9]{2}([./])[0-9]{2}\1)")
+    return F.coalesce(F.when(both_padded, results), F.when(~value.contains("-"), _permute_parted(value, key, back)))
+
+
+def _permute_parted(value: Column, key: str, back: bool) -> Column:
+    """Dates with parts of one digit, and day-first dates with slashes, each permuted among those that look alike."""
+    sign = F.when(value.contains("/"), "/").otherwise(".")
+
+    def of(p: Column) -> Column:
+        first, second = F.get(p, F.lit(0)), F.get(p, F.lit(1))
+        a, b = first.cast("int"), second.cast("int")
+        day_first = (sign == ".") | ((a > 12) & (b <= 12))
+        month, day = F.when(day_first, b).otherwise(a), F.when(day_first, a).otherwise(b)
+        slashed = (sign == "/") & day_first
+        low_month = F.length(F.when(day_first, second).otherwise(first)) == 1
+        which = (
+            F.when(slashed, F.when(low_month, DAY_SETS.index(_LOW_LATE)).otherwise(DAY_SETS.index(_LATE)))
+            .when((month < 10) & (day < 10), DAY_SETS.index(_LOW_LOW)).when(month < 10, DAY_SETS.index(_LOW_HIGH)).when(day < 10, DAY_SETS.index(_HIGH_LOW))
+        )
+        moved = let(which, lambda w: _moved_in_set(w, F.get(p, F.lit(2)).cast("int"), F.concat(F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")), key, back))
+        wide = lambda old, new: F.lpad(new.cast("int").cast("string"), F.length(old), "0")
+
+        def written(m: Column) -> Column:
+            new_month, new_day = F.substring(m["day"], 1, 2), F.substring(m["day"], 3, 2)
+            return F.concat(wide(first, F.when(day_first, new_day).otherwise(new_month)), sign, wide(second, F.when(day_first, new_month).otherwise(new_day)), sign, m["year"].cast("string"))
+
+        return let(moved, lambda m: F.when(m.isNotNull(), written(m)))
+
+    return let(F.split(value, "[./]"), of)
+
+
+def _moved_in_set(which: Column, year: Column, day: Column, key: str, back: bool) -> Column:
+    """struct<year, day> of the permuted day ("MMdd") of one of DAY_SETS, or null where it is not in the set."""
+    days, n, total, a, b = (F.get(F.array(*[F.lit(s[i]) for s in DAY_SETS]), which) for i in range(5))
+    place = F.call_function("instr", days, F.concat(day, F.lit(",")))
+    leap = (year % 4 == 0) & (year != 1900)
+    rank = F.when(place > 0, (year - 1900) * n + F.floor((place - 1) / 5)).when((day == "0229") & leap & (total > _YEARS * n), _YEARS * n + F.floor((year - 1904) / 4)).cast("long")
+
+    def once(x: Column) -> Column:
+        return let(feistel(F.floor(x / b), x % b, a.cast("long"), b.cast("long"), key, "date", back), lambda s: s["l"] * b + s["r"])
+
+    # The factors' product may be a little more than the set; a step that leads out of it is followed by another one.
+    spare = max(s[3] * s[4] - s[2] for s in DAY_SETS)
+    inside = lambda x: F.aggregate(F.sequence(F.lit(1), F.lit(spare)), once(x), lambda y, _: F.when(y >= total, once(y)).otherwise(y)) if spare else once(x)
+    there = lambda y: F.when(y < _YEARS * n, F.struct((1900 + F.floor(y / n)).alias("year"), F.substr(days, (y % n * 5 + 1).cast("int"), F.lit(4)).alias("day"))).otherwise(
+        F.struct((1904 + (y - _YEARS * n) * 4).alias("year"), F.lit("0229").alias("day")))
+    return let(rank, lambda r: F.when(r.isNotNull() & year.between(1900, 2099), let(inside(r), there)))
 
 
 def _moved_day(day: Column, a: int, b: int, key: str, back: bool) -> Column:
