@@ -7,6 +7,7 @@ from pyspark.sql import types as S
 
 from playerflow.operators import lookups as K
 from playerflow.operators import profiles as P
+from playerflow.operators import webpush as W
 from playerflow.plans import profile as PP
 from playerflow.plans import rules as PR
 from playerflow.operators.bets import bet_news
@@ -68,24 +69,26 @@ def stream_profile_state(spark, sf):
 
 @query("keyed_process", ORACLES["profile_changes"])
 def keyed_process(spark, sf, files_per_trigger=None):
-    """The same changes by a keyed processor with value state."""
-    jobs.stream_session(spark)
+    """The same changes as rows: the window operators on each micro-batch, with the profiles as state."""
+    stream = event_stream(spark, sf, files_per_trigger)
     base = run_dir(spark, "keyed")
-    changed = keyed.profiles(event_stream(spark, sf, files_per_trigger), PP.OUTWARD)
+    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(stream, P.KEY, PP.OUTWARD))
     output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(changed, output.write, f"{base}/checkpoint"))
-    return output.read(changed.schema).select(*changed.columns)
+    jobs.finish(jobs.run(stream, jobs.merged_profiles(PP.OUTWARD, state, output), f"{base}/checkpoint"))
+    schema = _fields_schema(stream, (*P.KEY, "seq"), PP.OUTWARD)
+    return output.read(schema).select(*schema.names)
 
 
 @query("stream_hold_until_profile", f"SELECT brand_id, player_id, seq, released_by FROM ({ORACLES['hold_until_profile']})")
 def stream_hold_until_profile(spark, sf, files_per_trigger=None):
-    jobs.stream_session(spark)
     base = run_dir(spark, "hold")
-    rows = event_stream(spark, sf, files_per_trigger).filter(F.col("topic").isin("players", "wallet"))
-    released = keyed.hold_until_profile(rows.withColumn("is_profile", F.col("topic") == "players"))
-    output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(released, output.write, f"{base}/checkpoint"))
-    return output.read(released.schema).select(*released.columns)
+    events = event_stream(spark, sf, files_per_trigger).filter(F.col("topic").isin("players", "wallet"))
+    rows = events.select(*P.KEY, *P.ORDER, (F.col("topic") == "players").alias("is_profile"))
+    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(rows, P.KEY, P.ORDER))
+    held, output = BatchOutput(spark, f"{base}/held"), BatchOutput(spark, f"{base}/rows")
+    jobs.finish(jobs.run(rows, jobs.hold_until_profile(state, held, output), f"{base}/checkpoint"))
+    columns = [*P.KEY, "seq", "released_by"]
+    return output.read(", ".join(f"{c} bigint" for c in columns)).select(*columns)
 
 
 WAGER_ROWS = f"SELECT brand_id, player_id, seq, ts, CAST(bet_datetime AS TIMESTAMP) AS t, balance, {PLAYER_COUNTRY} AS code FROM ev WHERE topic = 'wagering'"
@@ -93,14 +96,14 @@ WAGER_ROWS = f"SELECT brand_id, player_id, seq, ts, CAST(bet_datetime AS TIMESTA
 
 @query("stream_web_push", web_push_sql(WAGER_ROWS).replace("strftime(t, '%Y-%m-%d %H:%M:%S') AS event_time", "CAST(epoch(t) AS BIGINT) AS second"))
 def stream_web_push(spark, sf, files_per_trigger=None):
-    """Wagers with their own balance, by a keyed processor."""
-    jobs.stream_session(spark)
+    """Wagers with their own balance; the last time of each slot is the state."""
     base = run_dir(spark, "web-push")
     wagers = event_stream(spark, sf, files_per_trigger).filter(F.col("topic") == "wagering").withColumn("country", F.expr(PLAYER_COUNTRY))
-    sent = keyed.web_push(wagers, K.country_zones(spark), "bet_datetime")
+    state = BatchState(spark, f"{base}/state", P.KEY, S.StructType.fromDDL(", ".join(f"{c} bigint" for c in (*P.KEY, *[f"last_{n}" for n in W.STATE]))))
     output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(sent, output.write, f"{base}/checkpoint"))
-    return output.read(sent.schema).select(*sent.columns)
+    jobs.finish(jobs.run(wagers, jobs.web_push(K.country_zones(spark), "bet_datetime", state, output), f"{base}/checkpoint"))
+    columns = [*P.KEY, "second", "selector"]
+    return output.read("brand_id bigint, player_id bigint, second bigint, selector string").select(*columns)
 
 
 @query("state_retention", f"{EV} SELECT brand_id, player_id, count(*) AS kept FROM ev WHERE topic = 'wagering' GROUP BY 1, 2")

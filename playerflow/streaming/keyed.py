@@ -1,95 +1,18 @@
-"""Low-latency keyed state: one processor object per kind of state.
+"""Low-latency keyed state on ``transformWithState``, where the order of rows does not matter.
 
-Rows of a key reach its processor in chunks and in arrival order; only the
-state of that key is held. A key's share of a micro-batch is bounded by the
-source's cap per trigger.
+Rows of a key reach its processor in chunks, in no order; only the state of
+that key is held. What depends on the order of a key's rows runs as batch
+operators on each micro-batch, see ``jobs``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from playerflow.operators import webpush
-
-
-RELEASE_ROWS = 10_000
-
-
-def _present(value):
-    return None if value is None or (not isinstance(value, str) and pd.isna(value)) else value
-
-
-class ProfileProcessor(StatefulProcessor):
-    """Merge text fields into the player's profile; emit the merged row when it changed."""
-
-    def __init__(self, keys: Sequence[str], fields: Sequence[str]):
-        self.keys, self.fields = list(keys), list(fields)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.profile = handle.getValueState("profile", ", ".join(f"{f} string" for f in self.fields))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.profile.exists()
-        state = tuple(self.profile.get()) if known else tuple(None for _ in self.fields)
-        for chunk in rows:
-            out = []
-            ordered = chunk.sort_values(["ts", "seq"])
-            for record in ordered[["seq", *self.fields]].itertuples(index=False, name=None):
-                merged = tuple(o if (n := _present(v)) is None else n for v, o in zip(record[1:], state))
-                if merged != state or not known:
-                    out.append((*key, record[0], *merged))
-                state, known = merged, True
-            yield pd.DataFrame(out, columns=[*self.keys, "seq", *self.fields])
-        self.profile.update(state)
-
-    def close(self) -> None:
-        pass
-
-
-class HoldProcessor(StatefulProcessor):
-    """Hold actions until the player's first profile row, then release them in order."""
-
-    def __init__(self, keys: Sequence[str]):
-        self.keys = list(keys)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("profile_seq", "seq bigint")
-        self.held = handle.getListState("held", "seq bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns = [*self.keys, "seq", "released_by"]
-        opened = self.seen.exists()
-        for chunk in rows:
-            out, waiting = [], []
-            ordered = chunk.sort_values(["ts", "seq"])
-            for seq, is_profile in ordered[["seq", "is_profile"]].itertuples(index=False, name=None):
-                seq = int(seq)
-                if is_profile and not opened:
-                    opened = True
-                    self.seen.update((seq,))
-                    # The stored queue can be long, so it is released in pieces.
-                    stored = (int(h[0]) for h in self.held.get()) if self.held.exists() else iter(())
-                    while piece := list(islice(stored, RELEASE_ROWS)):
-                        yield pd.DataFrame([(*key, h, seq) for h in piece], columns=columns)
-                    self.held.clear()
-                    out += [(*key, h, seq) for h in waiting]
-                    waiting = []
-                elif not is_profile and opened:
-                    out.append((*key, seq, seq))
-                elif not is_profile:
-                    waiting.append(seq)
-            if waiting:
-                self.held.appendList([(s,) for s in waiting])
-            yield pd.DataFrame(out, columns=columns)
-
-    def close(self) -> None:
-        pass
-
 
 class RetentionProcessor(StatefulProcessor):
     """Per-player bet list whose entries the state store drops after ``ttl_ms``; emits the list size."""
@@ -110,57 +33,11 @@ class RetentionProcessor(StatefulProcessor):
         pass
 
 
-class WebPushProcessor(StatefulProcessor):
-    """Last time per slot; rows carry the whole-second event time and the local second of day."""
-
-    def __init__(self, keys: Sequence[str]):
-        self.keys = list(keys)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.slots = handle.getValueState("slots", ", ".join(f"{n} bigint" for n in webpush.STATE))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.slots.get() if self.slots.exists() else (None,) * len(webpush.STATE)
-        last = {n: int(v) for n, v in zip(webpush.STATE, stored) if _present(v) is not None}
-        for chunk in rows:
-            out = []
-            for second, local in chunk.sort_values("second")[["second", "local_second"]].itertuples(index=False, name=None):
-                slot = webpush.choose(int(second), int(local), last)
-                if slot is not None:
-                    out.append((*key, int(second), slot))
-            yield pd.DataFrame(out, columns=[*self.keys, "second", "selector"])
-        self.slots.update(tuple(last.get(n) for n in webpush.STATE))
-
-    def close(self) -> None:
-        pass
-
-
 KEY_TYPES = "brand_id bigint, player_id bigint"
 
 
-def profiles(stream: DataFrame, fields: Sequence[str], keys=("brand_id", "player_id")) -> DataFrame:
-    schema = f"{KEY_TYPES}, seq bigint, " + ", ".join(f"{f} string" for f in fields)
-    rows = stream.select(*keys, "ts", "seq", *fields)
-    return rows.groupBy(*keys).transformWithStateInPandas(ProfileProcessor(keys, fields), schema, "Append", "None")
-
-
-def hold_until_profile(stream: DataFrame, keys=("brand_id", "player_id")) -> DataFrame:
-    rows = stream.select(*keys, "ts", "seq", "is_profile")
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        HoldProcessor(keys), f"{KEY_TYPES}, seq bigint, released_by bigint", "Append", "None"
-    )
-
-
 def retained_bets(stream: DataFrame, ttl_ms: int = 2 * 86_400_000, keys=("brand_id", "player_id")) -> DataFrame:
     rows = stream.select(*keys, "seq", "amount")
     return rows.groupBy(*keys).transformWithStateInPandas(
         RetentionProcessor(keys, ttl_ms), f"{KEY_TYPES}, kept bigint", "Update", "ProcessingTime"
     )
-
-
-def web_push(stream: DataFrame, zones: DataFrame, event_time: str, keys=("brand_id", "player_id")) -> DataFrame:
-    """Slot messages as events arrive; ``stream`` has balance and country on its rows."""
-    rows = webpush.candidates(stream, zones, event_time, "ts", "balance", "country").select(*keys, "second", "local_second")
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        WebPushProcessor(keys), f"{KEY_TYPES}, second bigint, selector string", "Append", "None"
-    )
