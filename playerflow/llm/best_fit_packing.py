@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -41,19 +42,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from playerflow.llm.caches import Generations
 from playerflow.llm.registry import query, table
 from playerflow.session import written
 
 CAPACITY = 1024
 END_ID = 2
-#: Words in one generation of a task's cache, and the longest that is remembered.
-CACHE_ENTRIES = 200_000
-CACHE_CHARS = 48
 #: The pattern of the byte-level files, with possessive repeats.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-#: A blank at which a text must not be cut: it stands inside a longer white space, or ends one that ends the text.
-_INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
 
 
 def _signs_to_bytes() -> dict[str, int]:
@@ -64,13 +59,9 @@ def _signs_to_bytes() -> dict[str, int]:
 
 
 class ByteEncoder:
-    """Ids of texts for a byte-level BPE file whose ids follow the order of the merges.
+    """Ids of texts for a byte-level BPE file whose ids follow the order of the merges."""
 
-    A text is cut before its blanks, where the file's pattern cuts as well, and
-    each word is encoded once while it is remembered.
-    """
-
-    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
@@ -83,41 +74,21 @@ class ByteEncoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         ranks = {bytes(signs[c] for c in token): i for token, i in model["vocab"].items() if token not in self.special}
-        self._encode = tiktoken.Encoding("pieces", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.words = Generations(cache_entries, self._word)
-
-    def _word(self, word: str) -> bytes:
-        return array("I", self._encode(" " + word)).tobytes()
-
-    def _known(self, word: str) -> bytes:
-        return self.words[word] if len(word) <= CACHE_CHARS else self._word(word)
-
-    def _plain(self, text: str) -> bytes:
-        if _INNER_BLANK.search(text):
-            return array("I", self._encode(text)).tobytes()
-        first, *rest = text.split(" ")
-        if rest and len(max(rest, key=len)) > CACHE_CHARS:
-            found = map(self._known, rest)
-        else:
-            found = map(self.words.__getitem__, rest)
-        return array("I", self._encode(first)).tobytes() + b"".join(found)
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids, as unsigned 32-bit integers."""
+        self.plain = tiktoken.Encoding("pieces", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, text: str | None) -> list[int]:
         if not text:
-            return np.zeros(0, np.uint32)
-        parts, start = [], 0
+            return []
+        ids, start = [], 0
         for match in self.special_pattern.finditer(text) if "<" in text else ():
-            parts += [self._plain(text[start : match.start()]) if match.start() > start else b"", array("I", [self.special[match.group()]]).tobytes()]
+            ids += [*self.plain(text[start : match.start()]), self.special[match.group()]]
             start = match.end()
-        if start < len(text):
-            parts.append(self._plain(text[start:] if start else text))
-        return np.frombuffer(b"".join(parts), np.uint32)
+        return ids + self.plain(text[start:]) if start else self.plain(text)
 
 
 @lru_cache(maxsize=2)
-def byte_encoder(path: str, cache_entries: int = CACHE_ENTRIES) -> ByteEncoder:
-    return ByteEncoder(path, cache_entries)
+def byte_encoder(path: str) -> ByteEncoder:
+    return ByteEncoder(path)
 
 
 class Segment(NamedTuple):
@@ -178,8 +149,11 @@ def _pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return [*([(0, short)] if short else []), *((i, capacity) for i in range(short, n, capacity))]
 
 
-def _little_endian(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4", copy=False).tobytes()
+def _little_endian(ids: array) -> bytes:
+    if sys.byteorder == "big":
+        ids = ids[:]
+        ids.byteswap()
+    return ids.tobytes()
 
 
 _PIECE = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType())]
@@ -188,7 +162,7 @@ _PLACE = [("__task", T.LongType()), ("__nth", T.LongType())]
 _SLOT = [("sequence_id", T.LongType()), ("offset", T.LongType())]
 
 
-def cut_pieces(df: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, keep: list[str] | None = None, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+def cut_pieces(df: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, keep: list[str] | None = None) -> DataFrame:
     """One row per piece: ``keep`` columns, piece, start, length, ids_crc32, ids if asked for, and the place among the pieces of its length in its task."""
     file = path or public_tokenizers.path("byte_bpe_50k.json")
     own = [*_PIECE, *(_IDS if with_ids else []), *_PLACE]
@@ -199,12 +173,12 @@ def cut_pieces(df: DataFrame, text: str = "text", path: str | None = None, capac
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, seen = byte_encoder(file, cache_entries), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        end = np.array([end_id], np.uint32)
+        encoder, task, seen = byte_encoder(file), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, numbers, starts, lengths, sums, ids, nth = [], [], [], [], [], [], []
             for i, value in enumerate(batch.column(len(kept)).to_pylist()):
-                found = np.concatenate([encoder.encode(value), end])
+                found = array("I", encoder.encode(value))
+                found.append(end_id)
                 for number, (start, length) in enumerate(_pieces(len(found), capacity)):
                     part = found[start : start + length]
                     row.append(i)
@@ -213,7 +187,7 @@ def cut_pieces(df: DataFrame, text: str = "text", path: str | None = None, capac
                     lengths.append(length)
                     sums.append(zlib.crc32(_little_endian(part)))
                     if with_ids:
-                        ids.append(part.astype(np.int64))
+                        ids.append(part.tolist())
                     nth.append(seen[length])
                     seen[length] += 1
             values = [numbers, starts, lengths, sums, *([ids] if with_ids else []), [task] * len(row), nth]
@@ -249,9 +223,9 @@ def _take_slots(segments: list[Segment], schema: T.StructType):
     return run
 
 
-def pack(df: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, keep: list[str] | None = None, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+def pack(df: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, keep: list[str] | None = None) -> DataFrame:
     """One row per piece: ``keep`` columns (all but the text by default), piece, start, length, ids_crc32, ids, sequence_id and offset."""
-    pieces = written(cut_pieces(df, text, path, capacity, end_id, with_ids, keep, cache_entries), "packing-pieces")
+    pieces = written(cut_pieces(df, text, path, capacity, end_id, with_ids, keep), "packing-pieces")
     held = written(pieces.groupBy("length", "__task").agg(F.count("*").alias("n")), "packing-counts")
     counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = F.sum("n").over(Window.partitionBy("length").orderBy("__task")) - F.col("n")
