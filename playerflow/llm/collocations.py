@@ -8,9 +8,10 @@ open partitions of a round side by side in numpy). The equal part of a
 partition holds every suffix that begins with the phrase read so far, so its
 size is the phrase's count. Parts below the least count are abandoned.
 
-*Leading words.* Words are counted first. A word that is too rare for any
-phrase ends a suffix. Tasks know the others by a bit filter of fixed size, so
-some rare words may pass, which costs work and changes nothing.
+*Leading words.* Words are counted first, then pairs of words that are frequent
+enough for a phrase, by a 32-bit key in their bucket. A suffix ends before a
+word or pair that is too rare. Tasks know the others by two bit filters of fixed
+size, so some rare ones may pass, which costs work and changes nothing.
 
 *Hot leading words.* The same pass counts the leading two, three and four words
 by hash in ``CELLS`` cells each. Where a cell is too large for a bucket, the
@@ -50,8 +51,8 @@ TOP = 2000
 #: Bytes of text from which on a task's chunk is full.
 CHUNK_BYTES = 8 << 20
 #: Words of the corpus for each bucket.
-BUCKET_WORDS = 2_000_000
-#: Cells in which the leading words of each length are counted, and bits of the filter of frequent words.
+BUCKET_WORDS = 6_000_000
+#: Cells in which the leading words of each length are counted, and bits of the filters of frequent words and pairs.
 CELLS = 1 << 16
 FILTER_BITS = 1 << 24
 #: Parts in which the first phrases of a language are chosen before they meet.
@@ -189,13 +190,78 @@ def _whole(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
 
 
-_PAYLOAD = "lang string, bucket long, words array<binary>, suffixes array<binary>, weights binary, froms binary"
+def _has(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def _route(size: int, cells: int, hot: np.ndarray, bits: np.ndarray, buckets: dict[str, int]):
+def _frequent_words(lang: str, texts: list[str], bits: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The frequent words, their hashes from 1 on, the number of each word in order (0: rare), and whether it and the next one make a pair."""
+    words, codes, same = _tokens(texts)
+    own = _hashes(lang, words)
+    kept = np.flatnonzero(_has(bits, _cell(own, FILTER_BITS)))
+    number = np.zeros(len(words) + 1, np.int64)
+    number[kept] = np.arange(1, len(kept) + 1)
+    first = number[codes]
+    return words.take(pa.array(kept)), np.append(np.uint64(0), own[kept]), first, same & (first > 0) & (_shifted(first) > 0)
+
+
+def _pair_keys(own: np.ndarray, first: np.ndarray, paired: np.ndarray) -> np.ndarray:
+    at = np.flatnonzero(paired)
+    return _longer(own[first[at]], own[first[at + 1]])
+
+
+def _pair_place(bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return _cell(_mix((bucket.astype(np.uint64) << np.uint64(32)) + low), FILTER_BITS)
+
+
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _pairs(size: int, bits: np.ndarray, buckets: int):
+    """Pairs of frequent words of each chunk by bucket of their hash: the low half of the hashes, and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in _chunks(batches, size):
+            keys, counts = np.unique(_pair_keys(*_frequent_words(lang, texts, bits)[1:]), return_counts=True)
+            held, starts = np.unique(_cell(keys, buckets), return_index=True)
+            for bucket, low, n in zip(held.tolist(), np.split(keys & _LOW, starts[1:]), np.split(counts, starts[1:])):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([low.astype("<u4").tobytes()], pa.binary()), pa.array([_small(n)], pa.binary())], names=["bucket", "low", "n"])
+
+    return run
+
+
+def _pair_bits(least: int):
+    """The filter bits of the pairs of a bucket that are frequent."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        low = np.concatenate([np.frombuffer(x, "<u4") for x in rows.column("low").to_pylist()])
+        n = np.concatenate([_whole(x) for x in rows.column("n").to_pylist()])
+        low, at = np.unique(low, return_inverse=True)
+        low = low[np.bincount(at, n) >= least].astype(np.uint64)
+        places = _pair_place(np.full(len(low), rows.column("bucket")[0].as_py()), low)
+        words, at = np.unique(places >> 6, return_inverse=True)
+        found = np.zeros(len(words), np.uint64)
+        np.bitwise_or.at(found, at, np.uint64(1) << (places & 63).astype(np.uint64))
+        return pa.table({"place": pa.array(words, pa.int64()), "bits": pa.array(found.view(np.int64), pa.int64())})
+
+    return run
+
+
+def _collected(bits: DataFrame) -> np.ndarray:
+    """The filter that rows of place and bits make up; at most a row for every 64 of its bits."""
+    out = np.zeros(FILTER_BITS >> 6, np.uint64)
+    for r in bits.groupBy("place").agg(F.bit_or("bits").alias("bits")).collect():
+        out[r["place"]] = r["bits"] & (1 << 64) - 1
+    return out
+
+
+_PAYLOAD = "lang string, bucket long, words binary, suffixes array<binary>, weights binary, froms binary"
+
+
+def _route(size: int, cells: int, hot: np.ndarray, bits: np.ndarray, pair_bits: np.ndarray, pair_buckets: int, buckets: dict[str, int]):
     """Suffixes of each chunk by bucket: distinct ones with their weight and the length from which on they count."""
     names = [c.split()[0] for c in _PAYLOAD.split(", ")]
-    types = [pa.string(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+    types = [pa.string(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
 
     def payload(lang: str, bucket: int, words: pa.Array, columns: list[np.ndarray], weights: np.ndarray, froms: np.ndarray) -> pa.RecordBatch:
         used = np.zeros(len(words) + 1, np.int64)
@@ -203,27 +269,21 @@ def _route(size: int, cells: int, hot: np.ndarray, bits: np.ndarray, buckets: di
             used[c] = 1
         used[0] = 0
         place = np.cumsum(used) * used
-        values = [[lang], [bucket], [words.take(pa.array(np.flatnonzero(used) - 1)).to_pylist()], [[_small(place[c]) for c in columns]], [_small(weights)], [_small(froms)]]
+        values = [[lang], [bucket], [b" ".join(words.take(pa.array(np.flatnonzero(used) - 1)).to_pylist())], [[_small(place[c]) for c in columns]], [_small(weights)], [_small(froms)]]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _chunks(batches, size):
-            words, codes, same = _tokens(texts)
-            own = _hashes(lang, words)
-            at = _cell(own, FILTER_BITS)
-            kept = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
-            number = np.zeros(len(words) + 1, np.int64)  # frequent words from 1 on
-            number[kept] = np.arange(1, len(kept) + 1)
-            words, own = words.take(pa.array(kept)), np.append(np.uint64(0), own[kept])
-            first = number[codes]
-            columns = [first, np.where(same & (first > 0), _shifted(first), 0)]
-            open_ = columns[1] > 0
+            words, own, first, paired = _frequent_words(lang, texts, bits)
+            keys = _pair_keys(own, first, paired)
+            paired[paired] = _has(pair_bits, _pair_place(_cell(keys, pair_buckets), keys & _LOW))
+            columns = [first, np.where(paired, _shifted(first), 0)]
             while len(columns) < LONGEST:
                 columns.append(np.where(columns[-1] > 0, _shifted(columns[-1]), 0))
-            columns = [c[open_] for c in columns]
+            columns = [c[paired] for c in columns]
             if not len(columns[0]):
                 continue
-            columns, weights = _distinct(columns, len(kept) + 1)
+            columns, weights = _distinct(columns, len(own))
             prefixes = [own[columns[0]]]
             for c in columns[1:]:
                 prefixes.append(_longer(prefixes[-1], own[c]))
@@ -303,12 +363,13 @@ def _bucket_phrases(least: int):
     schema = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("n", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
-        lists = rows.column("words").combine_chunks()
-        words = lists.flatten().dictionary_encode()
-        codes, ends = words.indices.to_numpy().astype(np.int64) + 1, np.cumsum([0, *(len(x) for x in lists)])
+        lists = [x.split(b" ") for x in rows.column("words").to_pylist()]
+        words = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
+        codes, ends = words.indices.to_numpy().astype(np.int32) + 1, np.cumsum([0, *map(len, lists)])
+        del lists
         parts = []
         for i, suffixes in enumerate(rows.column("suffixes").to_pylist()):
-            own = np.append(0, codes[ends[i] : ends[i + 1]])
+            own = np.append(np.int32(0), codes[ends[i] : ends[i + 1]])
             parts.append(np.stack([own[_whole(c)] for c in suffixes]))
         weights, froms = (np.concatenate([_whole(x) for x in rows.column(name).to_pylist()]) for name in ("weights", "froms"))
         columns = np.concatenate(parts, axis=1)
@@ -336,14 +397,14 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     hot = np.zeros((LONGEST - 2, cells), bool)
     for r in counts.where(F.col("word").isNull() & (F.col("n") > bucket_words // 2)).select("k", "cell").collect():
         hot[r["k"] - 2, r["cell"]] = True
-    bits = np.zeros(FILTER_BITS >> 6, np.uint64)
-    set_bits = single.select("lang", F.element_at("words", 1).alias("word")).mapInArrow(_filter_bits, "place long, bits long")
-    for r in set_bits.groupBy("place").agg(F.bit_or("bits").alias("bits")).collect():
-        bits[r["place"]] = r["bits"] & (1 << 64) - 1
+    bits = _collected(single.select("lang", F.element_at("words", 1).alias("word")).mapInArrow(_filter_bits, "place long, bits long"))
+    pair_buckets = max(1, -(-(totals.agg(F.sum("n").alias("n")).first()["n"] or 0) // bucket_words))
+    pairs = source.mapInArrow(_pairs(chunk_bytes, bits, pair_buckets), "bucket long, low binary, n binary")
+    pair_bits = _collected(pairs.groupBy("bucket").applyInArrow(_pair_bits(least), "place long, bits long"))
     # languages of one bucket need no entry
     buckets = {r["lang"]: -(-r["n"] // bucket_words) for r in totals.where(F.col("n") > bucket_words).collect()}
 
-    routed = source.mapInArrow(_route(chunk_bytes, cells, hot, bits, buckets), _PAYLOAD)
+    routed = source.mapInArrow(_route(chunk_bytes, cells, hot, bits, pair_bits, pair_buckets, buckets), _PAYLOAD)
     longer = routed.groupBy("lang", "bucket").applyInArrow(_bucket_phrases(least), _PHRASES)
     return written(single.unionByName(longer), "phrases"), totals
 
