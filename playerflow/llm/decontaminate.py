@@ -2,9 +2,11 @@
 
 Windows of ``WINDOW`` words of the benchmark items (a shorter item is one
 window) are hashed and broadcast; every window of every document is looked up
-by its hash, and a hit counts only if the words are the same. The broadcast is
-bounded: a benchmark with more windows or bytes than one broadcast may hold is
-dealt by hash over several passes of the documents.
+by its hash alone. The documents found are split into words once more, and the
+words of their windows are compared with those of the benchmark, so a hit is a
+hit by its words. The broadcast holds hashes and is bounded: a benchmark with
+more windows or bytes than one pass may hold is dealt by hash over several. The items of a window are joined to the hits at the end, so an
+item list of any length is never broadcast.
 
 Null and empty texts have no words and no hits; an item without words has no
 window, an item without id hits but is not listed. Rows are told apart by
@@ -22,8 +24,11 @@ from pyspark.sql import functions as F
 from playerflow.llm.native import let, lower_ascii
 from playerflow.llm.quality_rules import window_keys
 from playerflow.llm.registry import query, table
+from playerflow.session import written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same in a text that is not in lower case yet.
+_EITHER_CASE = WORD.replace(r"\x60", r"\x40\x5B-\x60")
 WINDOW = 10
 #: Most windows, and bytes of their words, in one broadcast.
 BROADCAST_WINDOWS = 200_000
@@ -35,11 +40,11 @@ def normal_words(text: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, text: str = "text", item: str = "item_id", width: int = WINDOW) -> DataFrame:
-    """key, n, grams (the words) and items (sorted ids) of each distinct window."""
+    """key, n, grams (the words) and item of each window of each item, once."""
     rows = benchmark.select(benchmark[item].alias("item"), normal_words(benchmark[text]).alias("w")).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(width))
     grams = rows.select("item", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.slice("w", i, n))).alias("grams"))
-    return grams.groupBy("grams").agg(F.collect_set("item").alias("items")).select(_key(F.col("grams"), width).alias("key"), F.size("grams").alias("n"), "grams", "items")
+    return grams.distinct().select(_key(F.col("grams"), width).alias("key"), F.size("grams").alias("n"), "grams", "item")
 
 
 def _key(grams: Column, width: int) -> Column:
@@ -47,28 +52,44 @@ def _key(grams: Column, width: int) -> Column:
     return reduce(lambda rest, n: F.when(F.size(grams) == n, F.get(window_keys(grams, n), F.lit(0))).otherwise(rest), range(1, width + 1), F.lit(None).cast("long"))
 
 
-def find_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", width: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row per document with hits: ``__key``, ``__hash`` (of the text), spans of words and items."""
-    windows = benchmark_windows(benchmark, width=width)
-    sizes = windows.groupBy("n").agg(F.count("*").alias("windows"), F.sum(F.octet_length(F.array_join("grams", " "))).alias("bytes")).collect()
+def _hits(df: DataFrame, benchmark: DataFrame, text: str, key: str, width: int, broadcast_windows: int) -> tuple[DataFrame, DataFrame]:
+    """The windows of the benchmark, and the hits: ``__key``, ``__hash`` (of the text), at, n, key and grams; written tables."""
+    windows = written(benchmark_windows(benchmark, width=width), "benchmark-windows")
+    distinct = windows.select("key", "n", "grams").distinct()
+    sizes = distinct.groupBy("n").agg(F.count("*").alias("windows"), F.sum(F.octet_length(F.array_join("grams", " "))).alias("bytes")).collect()
     total, size = sum(r["windows"] for r in sizes), sum(r["bytes"] for r in sizes)
     passes = max(1, -(-total // broadcast_windows), -(-size // BROADCAST_BYTES))
-    value = F.coalesce(df[text], F.lit(""))
-    rows = df.select(df[key].alias("__key"), F.xxhash64(value).alias("__hash"), normal_words(value).alias("w"))
     lengths = sorted(r["n"] for r in sizes) or [width]
+    value = F.coalesce(df[text], F.lit(""))
+    texts = df.select(df[key].alias("__key"), F.xxhash64(value).alias("__hash"), value.alias("t"))
 
     def placed(n: int) -> Column:
         return F.transform(window_keys(F.col("w"), n), lambda k, i: F.struct(k.alias("key"), i.alias("at"), F.lit(n).alias("n")))
 
-    exploded = rows.select("__key", "__hash", "w", F.explode(F.concat(*map(placed, lengths))).alias("x")).select("__key", "__hash", "w", "x.*")
+    words = texts.select("__key", "__hash", normal_words(F.col("t")).alias("w"))
+    looked = words.select("__key", "__hash", F.explode(F.concat(*map(placed, lengths))).alias("x")).select("__key", "__hash", "x.*")
     found = []
     for i in range(passes):
-        part = windows.where(F.pmod("key", F.lit(passes)) == i) if passes > 1 else windows
-        part = F.broadcast(part.select(F.col("key").alias("bkey"), "grams", "items"))
-        same = (F.col("key") == F.col("bkey")) & (F.slice("w", F.col("at") + 1, F.col("n")) == F.col("grams"))
-        found.append(exploded.join(part, same).select("__key", "__hash", "at", "n", "items"))
-    hits = reduce(DataFrame.unionAll, found)
-    return hits.groupBy("__key", "__hash").agg(F.collect_set(F.struct("at", "n")).alias("places"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+        part = distinct.where(F.pmod("key", F.lit(passes)) == i) if passes > 1 else distinct
+        found.append(looked.join(F.broadcast(part.select("key", "n").distinct()), ["key", "n"]))
+    # the rows found are split again, and the words of their windows compared
+    places = reduce(DataFrame.unionAll, found).groupBy("__key", "__hash").agg(F.collect_set(F.struct("key", "at", "n")).alias("places"))
+    places = written(places.withColumnsRenamed({"__key": "k", "__hash": "h"}), "benchmark-places")
+    again = texts.join(places, F.col("__key").eqNullSafe(F.col("k")) & (F.col("__hash") == F.col("h")), "inner").dropDuplicates(["__key", "__hash"])
+    again = again.select("__key", "__hash", "places", normal_words(F.col("t")).alias("w"))
+    own = F.transform("places", lambda p: F.struct(p["at"], p["n"], p["key"], F.slice("w", p["at"] + 1, p["n"]).alias("grams")))
+    grams = again.select("__key", "__hash", F.explode(own).alias("x")).select("__key", "__hash", "x.*")
+    return windows, written(grams.join(distinct, ["key", "n", "grams"], "left_semi"), "benchmark-hits")
+
+
+def find_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", width: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """One row per document with hits: ``__key``, ``__hash`` (of the text), places (spans of words) and items."""
+    windows, hits = _hits(df, benchmark, text, key, width, broadcast_windows)
+    doc = ["__key", "__hash"]
+    places = hits.groupBy(*doc).agg(F.collect_set(F.struct("at", "n")).alias("places"))
+    items = hits.select(*doc, "key", "grams").distinct().join(windows.select("key", "grams", "item"), ["key", "grams"])
+    items = items.groupBy(*doc).agg(F.collect_set("item").alias("items")).withColumnsRenamed({"__key": "k", "__hash": "h"})
+    return places.join(items, F.col("__key").eqNullSafe(F.col("k")) & (F.col("__hash") == F.col("h"))).select(*doc, "places", "items")
 
 
 def words_hit(places: Column) -> Column:
@@ -86,9 +107,9 @@ def report(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "
     kept = [c for c in (keep if keep is not None else [c for c in df.columns if c != text]) if c.lower() not in ("n_words", "n_hit", "n_items", "items", "places", "contaminated")]
     hits = find_hits(df, benchmark, text, key, broadcast_windows=broadcast_windows)
     value = F.coalesce(df[text], F.lit(""))
-    rows = df.select(*[df[c] for c in kept], df[key].alias("__d"), F.xxhash64(value).alias("__h"), F.size(normal_words(value)).cast("long").alias("n_words"))
+    rows = df.select(*[df[c] for c in kept], df[key].alias("__d"), F.xxhash64(value).alias("__h"), F.regexp_count(value, F.lit(_EITHER_CASE)).cast("long").alias("n_words"))
     joined = rows.join(hits, rows["__d"].eqNullSafe(hits["__key"]) & (rows["__h"] == hits["__hash"]), "left")
-    items = F.array_sort(F.transform(F.coalesce("items", F.array().cast("array<long>")), lambda i: i.cast("string")))
+    items = F.coalesce(F.array_sort(F.transform("items", lambda i: i.cast("string"))), F.array().cast("array<string>"))
     return joined.select(
         *[rows[c] for c in kept], "n_words", F.when(F.col("places").isNull(), 0).otherwise(words_hit(F.col("places"))).cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"), items.alias("items"), "places", F.col("places").isNotNull().alias("contaminated"),
@@ -97,7 +118,7 @@ def report(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows without a hit, unchanged."""
-    hits = find_hits(df, benchmark, text, key).select("__key", "__hash")
+    hits = _hits(df, benchmark, text, key, WINDOW, BROADCAST_WINDOWS)[1].select("__key", "__hash").distinct()
     same = df[key].eqNullSafe(hits["__key"]) & (F.xxhash64(F.coalesce(df[text], F.lit(""))) == hits["__hash"])
     return df.join(hits, same, "left_anti")
 
@@ -106,8 +127,7 @@ def cut_spans(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     """All rows; in those with hits the words hit are taken out of the text, what stands between words stays."""
     hits = find_hits(df, benchmark, text, key).select("__key", "__hash", "places")
     same = df[key].eqNullSafe(hits["__key"]) & (F.xxhash64(F.coalesce(df[text], F.lit(""))) == hits["__hash"])
-    either = WORD.replace(r"\x60", r"\x40\x5B-\x60")
-    own, gaps = F.regexp_extract_all(df[text], F.lit(either), F.lit(0)), F.split(df[text], either, -1)
+    own, gaps = F.regexp_extract_all(df[text], F.lit(_EITHER_CASE), F.lit(0)), F.split(df[text], _EITHER_CASE, -1)
     gone = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["at"], p["at"] + p["n"] - 1))))
     cut = let(F.struct(own.alias("w"), F.array_sort(gone).alias("gone")), lambda s: F.array_join(
         F.transform(gaps, lambda g, i: F.concat(g, F.when(F.array_contains(s["gone"], i), "").otherwise(F.coalesce(F.get(s["w"], i), F.lit(""))))), ""))

@@ -49,3 +49,19 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and not any(r["contaminated"] for r in rows)
     assert D.report(no_docs, items).count() == 0
     assert {r["n_hit"] for r in D.report(odd_docs, items.where("false")).collect()} == {0}
+
+
+def test_text_item_ids(spark):
+    docs = spark.createDataFrame([("a", TEXTS[5]), ("b", "clean"), (None, TEXTS[6])], "doc_id string, text string")
+    items = spark.createDataFrame([(f"item-{i}", t) for i, t in ITEMS if i != 3], "item_id string, text string")
+    got = {r["doc_id"]: r["items"] for r in D.report(docs, items).collect()}
+    assert got == {"a": ["item-100", "item-None"], "b": [], None: ["item-20"]}
+
+
+def test_a_very_long_text(spark):
+    """Work does not grow with the square of a text's length; for a document of hits alone neither."""
+    long = [" ".join(f"x{i}" for i in range(300_000)) + " " + ITEMS[2][1], " ".join([ITEMS[2][1]] * 20_000)]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in D.report(docs, items, keep=["doc_id"]).collect()}
+    assert got == {0: (300_011, 11), 1: (220_000, 220_000)}
