@@ -43,9 +43,9 @@ def shingles(text: str | None, words: int = 4) -> frozenset:
     return frozenset(tuple(w[i : i + words]) for i in range(len(w) - words + 1))
 
 
-def jaccard_components(rows) -> dict[int, tuple[int, int]]:
+def jaccard_components(rows, words: int = 4, percent: int = 85) -> dict[int, tuple[int, int]]:
     """Position of each (id, text) row: set size and smallest id reachable."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, words) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -55,7 +55,7 @@ def jaccard_components(rows) -> dict[int, tuple[int, int]]:
 
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 parent[root(i)] = root(j)
     groups = collections.defaultdict(list)
     for i in range(len(rows)):

@@ -12,7 +12,7 @@ def test_stages_one_after_the_other(spark, sf_dir):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     kept = {r["doc_id"] for r in quality_rules.judge(docs).where("kept").collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in kept]
-    rows = [rows[i] for i, (_, c) in jaccard_components(rows).items() if c == rows[i][0]]
+    rows = [rows[i] for i, (_, c) in jaccard_components(rows, corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.ALIKE_PERCENT).items() if c == rows[i][0]]
     clean = sorted(i for i, t in rows if not contamination(t, items)[1])
     codec = boundary_codec(public_tokenizers.path("word_bpe_49k.json"))
     expected = {}
