@@ -21,14 +21,14 @@ its sizes cannot reach the threshold, when both lie in one component, or when
 the common bits plus the shared ones are fewer than the overlap that the
 threshold needs. A tree of few components is one leaf. Pairs of components,
 which several trees may hold, are made distinct before their nodes meet; then
-classes meet the other component's node, then its classes. What is left at
+groups of their classes meet, one side at a time, and then classes. What is left at
 the bottom is compared exactly.
 
 Results: null and empty texts, and those without words, have no shingles and
 are linked with nothing. A text with fewer words than a shingle is one shingle.
 Equal rows are in one component. Rows without an id take part, but no
-component is named after them. Shingles are 64-bit keys, classes are 64-bit
-keys of their sets.
+component is named after them. Shingles are 64-bit keys. Sets are told apart by
+two such keys of the whole set, and a class is named by a row that has it.
 """
 
 from __future__ import annotations
@@ -55,8 +55,8 @@ LONGS = 16
 FREQUENT_SAMPLE = 4_000
 #: A shingle in so many documents of the sample is frequent.
 FREQUENT_IN = 3
-#: Most ids in a broadcast; more are joined by shuffling.
-BROADCAST_IDS = 1_000_000
+#: Most bytes of ids in a broadcast; more are joined by shuffling.
+BROADCAST_BYTES = 32 << 20
 _BITS = [f"b{i}" for i in range(LONGS)]
 
 
@@ -130,9 +130,9 @@ def _plant(forest: Forest, frequent: np.ndarray):
     fields = [pa.field("sigs", pa.list_(pa.int64())), pa.field("spare", pa.int32()), *[pa.field(b, pa.int64()) for b in _BITS]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planted: set[int] = set()  # classes that this task has planted already
+        planted: set[tuple[int, int]] = set()  # classes that this task has planted already
         for batch in batches:
-            sets, classes = batch.column(4), batch.column(3).to_pylist()
+            sets, classes = batch.column(5), list(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
             values, ends = sets.values.to_numpy(zero_copy_only=False), sets.offsets.to_numpy()
             sigs, spare, maps = [], [], np.zeros((len(classes), LONGS), dtype=np.int64)
             for i, c in enumerate(classes):
@@ -147,7 +147,7 @@ def _plant(forest: Forest, frequent: np.ndarray):
                 maps[i] = _bitmap(keys)
                 spare.append(len(keys) - int(np.bitwise_count(maps[i].view(np.uint64)).sum()))
             made = [pa.array(sigs, fields[0].type), pa.array(spare, pa.int32()), *[pa.array(maps[:, k]) for k in range(LONGS)]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], names=["id", "h", "n", "c", *[f.name for f in fields]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *made], names=["id", "h", "n", "c1", "c2", *[f.name for f in fields]])
 
     return run
 
@@ -184,9 +184,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept(last=True)
 
 
-def _small(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
-    """The frame with a broadcast hint if it has few rows; its rows are a few numbers each."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _small(df: DataFrame) -> DataFrame:
+    """A written frame with a broadcast hint if its rows are few bytes."""
+    size = df.agg(F.coalesce(F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16 * len(df.columns)))), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def _able(a: str, b: str, percent: int) -> Column:
@@ -205,6 +206,8 @@ def _able(a: str, b: str, percent: int) -> Column:
 
 #: Components of a tree that is one leaf.
 LEAF = 256
+#: Classes, about, in a group of a component's classes.
+GROUP = 32
 #: Trees by which a component tells whether another tree has told of a pair already.
 FIRST_TREES = 32
 
@@ -219,19 +222,30 @@ def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, lea
     whole = written(own.groupBy("comp").agg(*_union(), F.first("comp_high").alias("comp_high")), "jaccard-nodes")
     trees = members.select("sig", "comp").distinct()
     first = trees.groupBy("comp").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRST_TREES).alias("first"))
-    sized = trees.join(trees.groupBy("sig").agg(F.count("*").alias("held")), "sig")
-    few = sized.where(F.col("held") <= leaf).join(first, "comp")
+    sized = written(trees.join(trees.groupBy("sig").agg(F.count("*").alias("held")), "sig"), "jaccard-trees")
+    few = sized.where(F.col("held") <= leaf).join(first, "comp").join(whole, "comp")
     a, b = few.alias("a"), few.alias("b")
     # of the trees that two components share, the first tells of the pair
     shared = F.array_intersect("a.first", "b.first")
     once = (F.size(shared) == 0) | (F.col("a.sig") == F.array_min(shared))
-    near = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.comp") < F.col("b.comp")) & once).select(F.col("a.comp").alias("a"), F.col("b.comp").alias("b")).distinct()
-    pairs = near.unionAll(_descend(sized.where(F.col("held") > leaf).select("sig", "comp"), whole, percent)).distinct()
-    # component and component, class and component, class and class
-    met = _meet(pairs, whole.withColumn("key", F.col("comp")), whole.withColumn("key", F.col("comp")), percent)
-    met = _meet(met.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), own.withColumn("key", F.col("c")), whole.withColumn("key", F.col("comp")), percent)
-    met = _meet(met.join(own.select(F.col("comp").alias("b"), F.col("c").alias("y")), "b").select("a", F.col("y").alias("b")), own.withColumn("key", F.col("c")), own.withColumn("key", F.col("c")), percent)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.comp") < F.col("b.comp")) & _able("a", "b", percent) & once
+    pairs = a.join(b, met).select(F.col("a.comp").alias("a"), F.col("b.comp").alias("b")).distinct()
+    large = sized.where(F.col("held") > leaf).select("sig", "comp")
+    if large.limit(1).count():
+        pairs = pairs.unionAll(_descend(large, whole, percent)).distinct()
+    pairs = written(pairs, "jaccard-pairs")
+    # the nodes of a component are groups of its classes, then classes
+    sized = own.join(own.groupBy("comp").agg(F.count("*").alias("held")), "comp")
+    group = F.xxhash64("comp", F.pmod(F.xxhash64("c"), F.ceil(F.col("held") / GROUP)))
+    grouped = written(sized.select("c", "comp", group.alias("g")), "jaccard-groups")
+    groups = written(own.join(grouped.select("c", "g"), "c").groupBy("g").agg(*_union(), F.first("comp").alias("comp"), F.first("comp_high").alias("comp_high")), "jaccard-group-nodes")
+    to_groups, to_classes = grouped.select(F.col("comp").alias("up"), F.col("g").alias("down")).distinct(), grouped.select(F.col("g").alias("up"), F.col("c").alias("down"))
+    tops, mids, classes = (f.withColumn("key", F.col(k)) for f, k in ((whole, "comp"), (groups, "g"), (own, "c")))
+    for side, steps, left, right in (("a", to_groups, mids, tops), ("b", to_groups, mids, mids), ("a", to_classes, classes, mids), ("b", to_classes, classes, classes)):
+        other = "b" if side == "a" else "a"
+        pairs = pairs.join(steps, F.col(side) == F.col("up")).select(F.col("down").alias(side), other).select("a", "b")
+        pairs = written(_meet(pairs, left, right, percent), "jaccard-met-nodes")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
@@ -264,23 +278,24 @@ def _descend(trees: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
             found = a.join(b, (F.col("a.up") == F.col("b.up")) & going)
         else:
             # a pair of two nodes is met in either order of their children
-            both = pairs.unionAll(pairs.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+            both = F.array_distinct(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+            both = pairs.select(F.inline(both))
             found = both.alias("p").join(a, F.col("p.a") == F.col("a.up")).join(b, (F.col("p.b") == F.col("b.up")) & going)
         last = level == len(place)
-        pairs = found.select(F.col("a.own" if last else "a.id").alias("a"), F.col("b.own" if last else "b.id").alias("b"))
+        pairs = written(found.select(F.col("a.own" if last else "a.id").alias("a"), F.col("b.own" if last else "b.id").alias("b")), "jaccard-level")
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _exact(pairs: DataFrame, df: DataFrame, planted: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
+def _exact(pairs: DataFrame, df: DataFrame, named: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
     """The pairs of classes that are linked, by their shingle sets, which are made again for the classes in question only."""
-    spark = df.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    texts = planted.join(wanted, "c", "left_semi").groupBy("c", "id").agg(F.count("*").alias("copies"))
-    one = texts.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies")).alias("x"))
-    one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies"), "jaccard-wanted")
+    texts = named.where("n > 0").join(wanted, "c", "left_semi").groupBy("c", "c1", "c2", "id").agg(F.count("*").alias("copies"))
+    one = texts.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies", "c1", "c2")).alias("x"))
+    one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies", "x.c1", "x.c2"), "jaccard-wanted")
     rows = df.select(df[key].alias("id"), df[text].alias("t")).join(_small(one.drop("copies")), F.col("id").eqNullSafe(F.col("want_id")))
     # exploded, so that the sets are made after the join and not as its key
-    right_one = let(shingle_set(F.col("t"), words), lambda k: F.when(F.xxhash64(k) == F.col("want"), F.array(k)).otherwise(F.array().cast("array<array<long>>")))
+    same = lambda k: (_name1(k) == F.col("c1")) & (_name2(k) == F.col("c2"))
+    right_one = let(shingle_set(F.col("t"), words), lambda k: F.when(same(k), F.array(k)).otherwise(F.array().cast("array<array<long>>")))
     sets = rows.select("want", F.explode(right_one).alias("keys"))
     sets = written(sets.dropDuplicates(["want"]) if one.where("copies > 1").limit(1).count() else sets, "jaccard-sets")
     left = sets.select(F.col("want").alias("a"), F.col("keys").alias("ka"))
@@ -290,46 +305,60 @@ def _exact(pairs: DataFrame, df: DataFrame, planted: DataFrame, text: str, key:
     return pairs.join(left, "a").join(right, "b").where(linked).select("a", "b")
 
 
-def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Two written tables: the rows (id, hash h of the text, n, c and the trees of their class), and (member, root) of linked classes."""
+def _name1(keys: Column) -> Column:
+    return F.xxhash64(keys)
+
+
+def _name2(keys: Column) -> Column:
+    """A second key of a set: another function of the same values, chained from another seed."""
+    return F.xxhash64(F.lit("set"), keys)
+
+
+def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: the rows (id, hash h of the text, n, class c), the classes' trees and bitmaps, and (member, root) of linked classes."""
     forest, frequent = Forest(percent), _frequent(df, text, key, words)
-    keyed = df.select(df[key].alias("id"), F.xxhash64(df[text]).alias("h"), shingle_set(df[text], words).alias("keys")).select("id", "h", F.size("keys").cast("long").alias("n"), F.xxhash64("keys").alias("c"), "keys")
+    keyed = df.select(df[key].alias("id"), F.xxhash64(df[text]).alias("h"), shingle_set(df[text], words).alias("keys"))
+    keyed = keyed.select("id", "h", F.size("keys").cast("long").alias("n"), _name1(F.col("keys")).alias("c1"), _name2(F.col("keys")).alias("c2"), "keys")
     id_type = df.schema[key].dataType.simpleString()
-    schema = f"id {id_type}, h long, n long, c long, sigs array<long>, spare int, " + ", ".join(f"{b} long" for b in _BITS)
+    schema = f"id {id_type}, h long, n long, c1 long, c2 long, sigs array<long>, spare int, " + ", ".join(f"{b} long" for b in _BITS)
     planted = keyed.mapInArrow(_plant(forest, frequent), schema).withColumn("rid", F.monotonically_increasing_id())
     planted = written(planted, "jaccard-planted")
+    # a class is named by its first row, which every task plants
+    rows = planted.select("rid", "id", "h", "n", "c1", "c2")
+    classes = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("rid").alias("c"))
+    named = rows.where("n > 0").join(classes, ["c1", "c2"]).select(*rows.columns, "c")
+    named = written(named.unionAll(rows.where("n = 0").select("*", F.lit(None).cast("long"))), "jaccard-named")
 
     trees = planted.where("sigs is not null").select(F.explode("sigs").alias("sig"), "rid")
     shared = trees.repartitionByRange("sig", "rid").sortWithinPartitions("sig", "rid").mapInArrow(_runs, "sig long, rid long, prev long")
     shared = written(shared, "jaccard-shared")
-    leaves = planted.where("sigs is not null").select("rid", "c", "n", "spare", *_BITS)
+    leaves = planted.where("sigs is not null").select(F.col("rid").alias("c"), "n", "spare", *_BITS)
 
     # chains: of the neighbours in its trees, a class is compared with those it meets most often
-    names = leaves.select("rid", "c")
+    names = named.where("n > 0").select("rid", "c")
     met = shared.where("prev is not null").groupBy("prev", "rid").count()
     met = met.join(names.select(F.col("rid").alias("prev"), F.col("c").alias("x")), "prev").join(names.select("rid", F.col("c").alias("y")), "rid").where("x != y")
     met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("count").alias("times"))
     met = written(met, "jaccard-met")
     best_a = met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
     best_b = met.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
-    chains = written(_exact(best_a.unionAll(best_b).distinct(), df, planted, text, key, words, percent), "jaccard-chains")
+    chains = written(_exact(best_a.unionAll(best_b).distinct(), df, named, text, key, words, percent), "jaccard-chains")
     roots = components(chains)
 
     # trees with several components are traversed
     known = names.join(roots, names["c"] == roots["member"], "left").select("rid", "c", F.coalesce("root", "c").alias("comp"))
     placed = shared.select("sig", "rid").join(known, "rid")
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("sig")
-    open_trees = written(placed.join(mixed, "sig", "left_semi"), "jaccard-open")
-    members = open_trees.select("sig", "c", "comp").distinct()
-    left = written(traverse(members, leaves.drop("rid").dropDuplicates(["c"]), percent), "jaccard-left")
-    more = _exact(left, df, planted, text, key, words, percent)
-    return planted, components(chains.unionAll(more))
+    members = written(placed.join(mixed, "sig", "left_semi").select("sig", "c", "comp").distinct(), "jaccard-open")
+    left = written(traverse(members, leaves, percent), "jaccard-left")
+    more = _exact(left, df, named, text, key, words, percent)
+    return named, planted, components(chains.unionAll(more))
 
 
 def label_components(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """id (the key), n_shingles and component_id of every row of ``df``."""
-    planted, roots = link_classes(df, text, key, words, percent)
-    rows = planted.select("id", "n", "c").join(roots, planted["c"] == roots["member"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "c").alias("comp"))
+    named, _, roots = link_classes(df, text, key, words, percent)
+    rows = named.join(roots, named["c"] == roots["member"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "c").alias("comp"))
     names = rows.where("n_shingles > 0").groupBy("comp").agg(F.min("id").alias("smallest"), F.count("*").alias("size"))
     named = rows.join(names, "comp", "left")
     alone = F.col("n_shingles") == 0
@@ -338,8 +367,8 @@ def label_components(df: DataFrame, text: str = "text", key: str = "doc_id", wor
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that with the smallest key, unchanged; rows without shingles all stay."""
-    planted, roots = link_classes(df, text, key, words, percent)
-    rows = planted.select("id", "h", "n", "c").join(roots, planted["c"] == roots["member"], "left").withColumn("comp", F.coalesce("root", "c"))
+    named, _, roots = link_classes(df, text, key, words, percent)
+    rows = named.join(roots, named["c"] == roots["member"], "left").withColumn("comp", F.coalesce("root", "c"))
     texts = rows.where("n > 0").groupBy("comp", "id", "h").agg(F.count("*").alias("copies"))
     first = texts.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "copies")).alias("x")).select("x.id", "x.h", "x.copies")
     bare = rows.where("n = 0").select("id", "h", F.lit(1).cast("long").alias("copies")).distinct()

@@ -65,12 +65,12 @@ def test_traversal_prunes_but_keeps_links(spark):
 
     docs = [t for t in near_copies() if t and len(shingles(t)) > 6][:60]
     frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    planted, _ = J.link_classes(frame)
-    classes = planted.where("sigs is not null").select("c", "n", "spare", *J._BITS)
+    named, planted, _ = J.link_classes(frame)
+    classes = planted.where("sigs is not null").select(F.col("rid").alias("c"), "n", "spare", *J._BITS).join(named.select("c"), "c", "left_semi")
     members = classes.select(F.lit(1).cast("long").alias("sig"), "c", F.col("c").alias("comp"))
     pairs, deep = ({(r["a"], r["b"]) for r in J.traverse(members, classes, leaf=leaf).collect()} for leaf in (1_000, 2))
     assert pairs == deep
-    key = {r["id"]: r["c"] for r in planted.collect()}
+    key = {r["id"]: r["c"] for r in named.collect()}
     sets = [shingles(t) for t in docs]
     linked = {tuple(sorted((key[i], key[j]))) for i in range(len(docs)) for j in range(i) if key[i] != key[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
     assert linked <= pairs and len(pairs) < len(set(key.values())) * (len(set(key.values())) - 1) / 4
