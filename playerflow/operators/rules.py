@@ -56,12 +56,10 @@ def compare(symbol: Column, base: Column, current: Column, legacy_less: bool = F
     )
 
 
-def normalise(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Requests to one row per rule, and the rejected requests with a reason.
+def judged(requests: DataFrame) -> DataFrame:
+    """Requests with expires_at, expected (the number of rules) and the reason for which one is rejected, else null.
 
-    A missing ``from`` is the request time, a missing ``to`` that time plus the
-    ttl. Columns: request_id, player_id, accept_uri, requested_at, ttl,
-    ttl_unit, rules (array of kind, symbol, times, amount, from_ts, to_ts, sports).
+    A missing ``from`` is the request time, a missing ``to`` that time plus the ttl; the rules have both.
     """
     expiry = add_ttl(F.col("requested_at"), F.col("ttl"), F.col("ttl_unit"))
     rows = requests.withColumn("expires_at", expiry).withColumn("expected", F.size("rules"))
@@ -75,17 +73,40 @@ def normalise(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.exists("rules", lambda r: start(r) > end(r)), "window")
         .when(F.exists("rules", lambda r: days(r) > MAX_DAYS), "too_long")
     )
-    judged = rows.withColumn("reason", reason)
     symbols = F.create_map(*[F.lit(x) for pair in SYMBOLS.items() for x in pair])
-    accepted = judged.filter(F.col("reason").isNull()).select(
+    filled = F.transform("rules", lambda r: F.struct(
+        r["kind"].alias("kind"), symbols[r["symbol"]].alias("symbol"), r["times"].alias("times"), r["amount"].alias("amount"),
+        start(r).alias("from_ts"), end(r).alias("to_ts"), r["sports"].alias("sports")))
+    return rows.withColumn("reason", reason).withColumn("rules", filled)
+
+
+def normalise(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests to one row per rule, and the rejected requests with a reason.
+
+    Columns: request_id, player_id, accept_uri, requested_at, ttl,
+    ttl_unit, rules (array of kind, symbol, times, amount, from_ts, to_ts, sports).
+    """
+    rows = judged(requests)
+    accepted = rows.filter(F.col("reason").isNull()).select(
         "request_id", "player_id", "accept_uri", "requested_at", "expires_at", "expected", F.posexplode("rules").alias("rule_no", "r")
     )
-    filled = accepted.select(
-        "request_id", "player_id", "accept_uri", "requested_at", "expires_at", "expected", "rule_no",
-        "r.kind", symbols[F.col("r.symbol")].alias("symbol"), "r.times", "r.amount",
-        start(F.col("r")).alias("from_ts"), end(F.col("r")).alias("to_ts"), "r.sports",
-    )
-    return filled, judged.filter(F.col("reason").isNotNull()).select("request_id", "reason")
+    return accepted.select(*[c for c in accepted.columns if c != "r"], "r.*"), rows.filter(F.col("reason").isNotNull()).select("request_id", "reason")
+
+
+def live_rows(requests: DataFrame, deposits: DataFrame, time: str = "ts", seq: str = "seq") -> DataFrame:
+    """Accepted requests and valid deposits as rows of one stream: player_id, ts, seq, request, deposit.
+
+    Requests have request_id and requested_at; a request without rules, or with a rule of another kind, never fires.
+    """
+    rule = lambda r: F.struct(
+        r["symbol"].alias("symbol"), r["times"].alias("times"), r["amount"].cast("double").alias("threshold"),
+        F.unix_seconds(r["from_ts"]).alias("from_s"), F.unix_seconds(r["to_ts"]).alias("to_s"))
+    request = F.struct("accept_uri", F.unix_micros("expires_at").alias("expires_us"), "expected", F.transform(F.filter("rules", lambda r: r["kind"] == "deposit"), rule).alias("rules"))
+    deposit = F.struct("second", F.col("amount").cast("double").alias("amount"), (F.col("amount").cast("decimal(18,2)") * 100).cast("bigint").alias("cents"))
+    asked = judged(requests).filter(F.col("reason").isNull() & (F.col("expected") > 0))
+    asked = asked.select("player_id", F.col("requested_at").alias("ts"), F.col("request_id").cast("bigint").alias("seq"), request.alias("request"))
+    paid = deposits.select("player_id", F.col(time).cast("timestamp").alias("ts"), F.col(seq).cast("bigint").alias("seq"), deposit.alias("deposit"))
+    return asked.unionByName(paid, allowMissingColumns=True)
 
 
 ANY_LEVEL = "any"

@@ -253,19 +253,6 @@ def _parsed(spark, sf):
     return J.split_malformed(T.events(spark, sf).select("seq", raw.alias("raw")), "raw", J.text_schema("code"))
 
 
-@query("multi_topic_stream", f"{EV} SELECT topic, count(*) AS n, count(DISTINCT player_id) AS players FROM ev GROUP BY 1")
-def multi_topic_stream(spark, sf):
-    tagged = J.union_topics({t: T.events(spark, sf, t).drop("topic") for t in ("players", "logins", "wagering", "wallet")})
-    return tagged.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("player_id").alias("players"))
-
-
-@query("stream_union", f"{EV} SELECT seq, topic, player_id FROM ev")
-def stream_union(spark, sf):
-    return J.union_topics({t: T.events(spark, sf, t).drop("topic") for t in ("players", "logins", "wagering", "wallet")}).select(
-        "seq", "topic", "player_id"
-    )
-
-
 @query("require_keys", f"{EV} SELECT seq, CASE WHEN k % 7 <> 0 THEN player_id END AS player_id FROM ev WHERE k % 7 <> 0 AND email IS NOT NULL")
 def require_keys(spark, sf):
     rows = T.events(spark, sf).withColumn("player_id", F.expr("CASE WHEN k % 7 <> 0 THEN player_id END"))

@@ -19,9 +19,12 @@ FROM_DAYS, TO_DAYS = "k % 9", "CASE WHEN k % 13 = 0 THEN -10 WHEN k % 13 = 1 THE
 
 
 def _requests(spark, sf):
+    return requests_of(T.events(spark, sf, "players"))
+
+
+def requests_of(signups):
     # Timestamps without zone become instants, as the rule windows are in UTC.
-    at = F.col("ts").cast("timestamp")
-    rows = T.events(spark, sf, "players").withColumn("at", at)
+    rows = signups.withColumn("at", F.col("ts").cast("timestamp"))
     shift = lambda sign, days: F.timestamp_micros(F.unix_micros("at") + sign * F.expr(days).cast("bigint") * F.lit(86_400_000_000))
     rule = lambda symbol, times, amount: F.struct(
         F.lit("deposit").alias("kind"), F.expr(symbol).alias("symbol"), F.expr(times).cast("int").alias("times"),

@@ -18,8 +18,8 @@ from playerflow.session import run_dir
 from playerflow.sources import outbox as O
 from playerflow.sources import tables as T
 from playerflow.sources import topics as J
-from playerflow.streaming import jobs, keyed
-from playerflow.streaming.sources import json_columns, stream_json_files, stream_table
+from playerflow.streaming import jobs, ordered
+from playerflow.streaming.sources import json_columns, stream_json_files, stream_table, union_watermarked
 from playerflow.streaming.state import BatchOutput, BatchState
 
 EV = f"WITH {T.EVENTS_CTE}"
@@ -67,28 +67,46 @@ def stream_profile_state(spark, sf):
     return stream_profile_changes(spark, sf)[0].current()
 
 
-@query("keyed_process", ORACLES["profile_changes"])
-def keyed_process(spark, sf, files_per_trigger=None):
-    """The same changes as rows: the window operators on each micro-batch, with the profiles as state."""
-    stream = event_stream(spark, sf, files_per_trigger)
-    base = run_dir(spark, "keyed")
-    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(stream, P.KEY, PP.OUTWARD))
+#: No event is later; a row with this time closes a bounded run.
+END_OF_TIME = "2999-12-31"
+
+
+def closing_row(rows, keys=P.KEY):
+    """One row of a key that nobody has, at the end of time."""
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.sparkSession.range(1).select(
+        *[F.lit(-1).cast(types[k]).alias(k) for k in (*keys, "seq")], F.lit(END_OF_TIME).cast(types["ts"]).alias("ts"))
+
+
+def in_order(spark, name, rows, fold, out, columns, keys=P.KEY, delay="0 seconds", streams=None):
+    """What the fold tells of a stream that is read to its end; ``streams`` makes it of rows and closing rows."""
+    jobs.stream_session(spark)
+    base = run_dir(spark, name)
     output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(stream, jobs.merged_profiles(PP.OUTWARD, state, output), f"{base}/checkpoint"))
-    schema = _fields_schema(stream, (*P.KEY, "seq"), PP.OUTWARD)
-    return output.read(schema).select(*schema.names)
+    streams = streams or (lambda close: rows.unionByName(close, allowMissingColumns=True))
+    build = lambda close: ordered.in_order(streams(close), keys, fold, out, columns, delay)
+    jobs.run_closed(build, closing_row(rows, keys), f"{base}/close", output.write, f"{base}/checkpoint")
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", us bigint, seq bigint, late boolean, {out}"
+    return output.read(schema).drop("batch")
+
+
+@query("keyed_process", ORACLES["profile_changes"])
+def keyed_process(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """The same changes as rows: a keyed process in event-time order, with the merged profile as state."""
+    rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER, *PP.OUTWARD)
+    out = ", ".join(f"{c} string" for c in PP.OUTWARD)
+    told = in_order(spark, "keyed", rows, ordered.Changes(PP.OUTWARD), out, PP.OUTWARD, delay=delay)
+    return told.filter(~F.col("late")).select(*P.KEY, "seq", *PP.OUTWARD)
 
 
 @query("stream_hold_until_profile", f"SELECT brand_id, player_id, seq, released_by FROM ({ORACLES['hold_until_profile']})")
-def stream_hold_until_profile(spark, sf, files_per_trigger=None):
-    base = run_dir(spark, "hold")
+def stream_hold_until_profile(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Waiting actions are state of their player and are deleted when the first profile row releases them."""
     events = event_stream(spark, sf, files_per_trigger).filter(F.col("topic").isin("players", "wallet"))
     rows = events.select(*P.KEY, *P.ORDER, (F.col("topic") == "players").alias("is_profile"))
-    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(rows, P.KEY, P.ORDER))
-    held, output = BatchOutput(spark, f"{base}/held"), BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(rows, jobs.hold_until_profile(state, held, output), f"{base}/checkpoint"))
-    columns = [*P.KEY, "seq", "released_by"]
-    return output.read(", ".join(f"{c} bigint" for c in columns)).select(*columns)
+    told = in_order(spark, "hold", rows, ordered.HoldUntilProfile(), "action bigint, released_by bigint", ["is_profile"], delay=delay)
+    return told.filter(~F.col("late")).select(*P.KEY, F.col("action").alias("seq"), "released_by")
 
 
 WAGER_ROWS = f"SELECT brand_id, player_id, seq, ts, CAST(bet_datetime AS TIMESTAMP) AS t, balance, {PLAYER_COUNTRY} AS code FROM ev WHERE topic = 'wagering'"
@@ -106,18 +124,47 @@ def stream_web_push(spark, sf, files_per_trigger=None):
     return output.read("brand_id bigint, player_id bigint, second bigint, selector string").select(*columns)
 
 
-@query("state_retention", f"{EV} SELECT brand_id, player_id, count(*) AS kept FROM ev WHERE topic = 'wagering' GROUP BY 1, 2")
-def state_retention(spark, sf):
-    """Bet lists under a two-day time to live; nothing ages out during one run."""
-    jobs.stream_session(spark)
-    base = run_dir(spark, "retention")
-    bets = event_stream(spark, sf).filter(F.col("topic") == "wagering").withColumn("amount", F.col("ggr_amount"))
-    kept = keyed.retained_bets(bets)
-    output = BatchOutput(spark, f"{base}/rows")
-    with jobs.without_idle_batches(spark):
-        jobs.finish(jobs.run(kept, output.write, f"{base}/checkpoint", mode="update"))
-    rows = output.read(kept.schema)
-    return rows.groupBy(*P.KEY).agg(F.max_by("kept", "batch").alias("kept"))
+@query(
+    "state_retention",
+    f"""{EV}, c AS (SELECT brand_id, player_id, ts, seq, topic, bet_datetime, least(epoch_us(CAST(reg_datetime AS TIMESTAMP)), epoch_us(CAST(bet_datetime AS TIMESTAMP)),
+        CASE WHEN has_resulted IN ('true', '1') THEN epoch_us(ts) END) AS own FROM ev),
+    l AS (SELECT *, min(own) OVER (PARTITION BY brand_id, player_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM c)
+    SELECT brand_id, player_id, CAST(count(*) FILTER (WHERE bet_datetime IS NOT NULL AND (before IS NULL OR epoch_us(ts) <= before + 2 * 86400000000)) AS BIGINT) AS kept
+    FROM l GROUP BY 1, 2 HAVING min(own) IS NOT NULL""",
+)
+def state_retention(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Bets per player until two days after registration, first bet or first result; a timer of the player clears the list."""
+    events = event_stream(spark, sf, files_per_trigger)
+    micros = lambda text: F.unix_micros(F.to_timestamp(text))
+    rows = events.select(
+        *P.KEY, *P.ORDER, micros(F.col("reg_datetime")).alias("reg_us"), micros(F.col("bet_datetime")).alias("bet_us"),
+        F.when(F.col("has_resulted").isin("true", "1"), F.unix_micros(F.col("ts").cast("timestamp"))).alias("result_us"))
+    told = in_order(spark, "retention", rows, ordered.BetRetention(), "kept bigint", ["reg_us", "bet_us", "result_us"], delay=delay)
+    return told.filter(~F.col("late")).select(*P.KEY, "kept")
+
+
+TOPIC_DELAYS = {"players": "1 hour", "logins": "0 seconds", "wagering": "2 hours", "wallet": "30 minutes"}
+
+
+def topic_streams(spark, sf, files_per_trigger=None, folders=None):
+    """One stream over four sources, each with its own watermark, in event-time order per player."""
+    parts = {t: event_stream(spark, (folders or {}).get(t, sf), files_per_trigger).filter(F.col("topic") == t).select(*P.KEY, *P.ORDER) for t in TOPIC_DELAYS}
+    streams = lambda close: union_watermarked({t: (p.unionByName(close), TOPIC_DELAYS[t]) for t, p in parts.items()})
+    rows = parts["players"]
+    told = in_order(spark, "topics", rows, ordered.Dispatched(), "topic string, n bigint", ["topic"], delay=None, streams=streams)
+    return told.filter(~F.col("late"))
+
+
+@query("stream_union", f"{EV} SELECT seq, topic, player_id, row_number() OVER (PARTITION BY brand_id, player_id ORDER BY ts, seq) AS n FROM ev")
+def stream_union(spark, sf, files_per_trigger=None):
+    """The rows of all topics and their number in their player's order, which the slowest topic decides."""
+    return topic_streams(spark, sf, files_per_trigger).select("seq", "topic", "player_id", "n")
+
+
+@query("multi_topic_stream", f"{EV} SELECT topic, count(*) AS n, count(DISTINCT player_id) AS players FROM ev GROUP BY 1")
+def multi_topic_stream(spark, sf, files_per_trigger=None):
+    rows = topic_streams(spark, sf, files_per_trigger)
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("player_id").alias("players"))
 
 
 @query("stream_json_topic", f"{EV} SELECT CAST(seq AS STRING) AS seq, email FROM ev WHERE topic = 'players'")
@@ -221,6 +268,30 @@ def recheck_all(spark, sf, files_per_trigger=None, whole=False):
     return fired.read(schema).select("request_id", "player_id", "accept_uri")
 
 
+@query(
+    "recheck_live",
+    f"""{EV}, dep AS (SELECT player_id, seq, amount, ts, date_trunc('second', ts) AS sec FROM ev WHERE starts_with(lower(transaction_type), 'deposit-') AND starts_with(lower(transaction_status), 'complete')),
+    {PR.REQUESTS.replace("JOIN d ON d.player_id", "JOIN (SELECT *, seq AS transaction_id FROM dep) d ON d.player_id")},
+    mo AS (SELECT request_id, player_id, ts AS mt, request_id AS mt_seq FROM ok
+      UNION ALL SELECT ok.request_id, ok.player_id, dep.ts, dep.seq FROM ok JOIN dep ON dep.player_id = ok.player_id AND (dep.ts > ok.ts OR (dep.ts = ok.ts AND dep.seq > ok.request_id)) AND dep.ts <= ok.expires_at),
+    fact AS (SELECT mo.request_id, mt, mt_seq, rule_no, any_value(symbol) AS symbol, any_value(times) AS times, any_value(r.amount) AS amount, count(*) AS n, CAST(sum(CAST(dep.amount AS DECIMAL(18,2))) AS DOUBLE) AS total,
+        bool_or(times IS NULL AND {PR._cmp('r.amount', 'dep.amount')}) AS hit
+      FROM mo JOIN r USING (request_id) JOIN dep ON dep.player_id = mo.player_id AND (dep.ts < mt OR (dep.ts = mt AND dep.seq <= mt_seq)) AND dep.sec BETWEEN date_trunc('second', f) AND date_trunc('second', t) GROUP BY 1, 2, 3, 4),
+    met AS (SELECT request_id, mt, mt_seq FROM fact WHERE CASE WHEN times IS NULL THEN hit ELSE {PR._cmp('times', 'n')} AND (amount IS NULL OR {PR._cmp('amount', 'total')}) END),
+    fired AS (SELECT request_id, min(mt) AS mt FROM (SELECT request_id, mt, mt_seq, count(*) AS c FROM met GROUP BY ALL) JOIN ok USING (request_id) WHERE c = expected GROUP BY 1)
+    SELECT request_id, ok.player_id, fired.mt IS NULL AS expired, CASE WHEN fired.mt IS NULL THEN epoch_us(expires_at) + 1 ELSE epoch_us(fired.mt) END AS us FROM ok LEFT JOIN fired USING (request_id)""",
+)
+def recheck_live(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Requests and deposits as two topics of one keyed process: a request fires at the first moment at which all its rules hold, or expires."""
+    events = event_stream(spark, sf, files_per_trigger)
+    requests = PR.requests_of(events.filter(F.col("topic") == "players"))
+    wallet = event_stream(spark, sf, files_per_trigger).filter(F.col("topic") == "wallet").withColumn("transaction_id", F.col("seq"))
+    rows = PR.R.live_rows(requests, PR.R.valid_deposits(wallet))
+    out = "request_id bigint, accept_uri string, expired boolean"
+    told = in_order(spark, "live", rows, ordered.LiveRequests(), out, ["request", "deposit"], keys=("player_id",), delay=delay)
+    return told.filter(~F.col("late")).select("request_id", "player_id", "expired", "us")
+
+
 @query("stream_delta_snapshot", f"""{EV} SELECT brand_id, player_id, arg_max(email, seq) FILTER (WHERE email IS NOT NULL) AS email, arg_max(balance, seq) FILTER (WHERE balance IS NOT NULL) AS balance FROM ev GROUP BY 1, 2""")
 def stream_delta_snapshot(spark, sf, files_per_trigger=None):
     fields = ("email", "balance")
@@ -240,11 +311,12 @@ def scheduled_emit(spark, sf):
     return T.events(spark, sf).filter(jobs.in_hours(F.col("ts"), 4, 12)).select("seq", "player_id")
 
 
-@query("ordering_late_data", f"{EV} SELECT brand_id, player_id, max(seq) AS last_seq, count(*) AS n FROM ev GROUP BY 1, 2")
-def ordering_late_data(spark, sf):
-    """Late rows are merged like any other: order is ``(ts, seq)``, and nothing is dropped."""
-    shuffled = T.events(spark, sf).repartition("seq")
-    return shuffled.groupBy(*P.KEY).agg(F.max_by("seq", F.struct("ts", "seq")).alias("last_seq"), F.count(F.lit(1)).alias("n"))
+@query("ordering_late_data", f"{EV} SELECT brand_id, player_id, seq, row_number() OVER w AS n, lag(seq) OVER w AS previous, false AS late FROM ev WINDOW w AS (PARTITION BY brand_id, player_id ORDER BY ts, seq)")
+def ordering_late_data(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Rows wait for the watermark and are numbered in event-time order; those behind it are told as late, without a number."""
+    rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER)
+    told = in_order(spark, "ordering", rows, ordered.Numbered(), "n bigint, previous bigint", ["seq"], delay=delay)
+    return told.select(*P.KEY, "seq", "n", "previous", "late")
 
 
 @query("exactly_once", f"{EV} SELECT count(*) AS delivered, count(*) AS distinct_ids FROM ev WHERE topic = 'logins'")

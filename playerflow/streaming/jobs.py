@@ -18,7 +18,7 @@ from playerflow.operators import bets as B
 from playerflow.operators import profiles as P
 from playerflow.operators import rules as R
 from playerflow.operators import webpush as W
-from playerflow.operators.timeline import Last, first_rows, last_rows, latest_values, running
+from playerflow.operators.timeline import Last, last_rows, latest_values, running
 from playerflow.sources.outbox import outbox
 from playerflow.streaming.state import BatchOutput, BatchState
 
@@ -41,6 +41,20 @@ def run(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def run_closed(build: Callable[[DataFrame], DataFrame], close: DataFrame, folder: str, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """A job over all rows that are there, whose event time is then closed by the rows of ``close``.
+
+    Event time only moves with rows. ``build`` makes the stream and unions the closing
+    source into it, which is empty until the others are read to their end.
+    """
+    spark = close.sparkSession
+    close.limit(0).write.parquet(folder)
+    stream = build(spark.readStream.schema(close.schema).parquet(folder))
+    finish(run(stream, step, checkpoint))
+    close.write.mode("append").parquet(folder)
+    finish(run(stream, step, checkpoint))
+
+
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:
     """Wait for an ``availableNow`` job and pass on its error; without ``timeout`` as long as it takes."""
     if timeout is None:
@@ -70,48 +84,6 @@ def profile_changes(fields: Sequence[str], state: BatchState, output: BatchOutpu
     return step
 
 
-def merged_profiles(fields: Sequence[str], state: BatchState, output: BatchOutput):
-    """Merge each batch into the profiles; the merged rows that changed them."""
-    columns = [*P.KEY, *fields]
-    exprs = {n: F.col(n) for n in fields}
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = seeded(batch, state.touched(batch, batch_id), columns)
-        changed = P.transitions(rows, exprs).filter(~F.col(SEED) & P.changed_or_first(*fields))
-        output.write(changed.select(*P.KEY, "seq", *fields), batch_id)
-        state.write(latest_values(rows, P.KEY, P.ORDER, exprs), batch_id)
-
-    return step
-
-
-def hold_until_profile(state: BatchState, held: BatchOutput, output: BatchOutput):
-    """Actions wait for the player's first profile row and are released by it; later ones go out at once.
-
-    The state has ``ts`` and ``seq`` of the first profile row per player, ``held`` the waiting actions per batch.
-    """
-    keys = state.keys
-    waiting = ", ".join(f"{k} bigint" for k in (*keys, "seq"))
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        is_profile = F.col("is_profile")
-        known = state.touched(batch, batch_id)
-        fresh = batch.join(known, keys, "left_anti")
-        first = first_rows(fresh.filter(is_profile), keys, P.ORDER, list(P.ORDER))
-        state.write(first, batch_id)
-        opened = state.since(batch_id, batch_id + 1)
-        at_once = batch.filter(~is_profile).join(known, keys, "left_semi").withColumn("released_by", F.col("seq"))
-        released = P.hold_until_profile(fresh, is_profile, ~is_profile)
-        held.write(fresh.filter(~is_profile).join(opened, keys, "left_anti").select(*keys, "seq"), batch_id)
-        out = [*keys, "seq", "released_by"]
-        rows = at_once.select(*out).unionByName(released.select(*out))
-        if batch_id:
-            earlier = held.read(waiting).filter(F.col("batch") < batch_id)
-            rows = rows.unionByName(earlier.join(opened.select(*keys, F.col("seq").alias("released_by")), keys).select(*out))
-        output.write(rows, batch_id)
-
-    return step
-
-
 def web_push(zones: DataFrame, event_time: str, state: BatchState, output: BatchOutput):
     """Slot messages of each batch, which go on from the last time of each slot."""
     keys = state.keys

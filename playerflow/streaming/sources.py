@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -35,6 +37,16 @@ def json_columns(stream: DataFrame, schema: S.StructType, value: str = "value")
     return stream.withColumn("__v", F.from_json(value, schema)).select("__v.*")
 
 
+def union_watermarked(streams: dict[str, tuple[DataFrame, str]], time: str = "ts") -> DataFrame:
+    """One stream of several topics, tagged with ``topic``; each has its own watermark delay.
+
+    The watermark of the union is the lowest of all (the engine's default policy), so
+    no topic's rows are late because another topic is ahead.
+    """
+    tagged = [s.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).withColumn("topic", F.lit(topic)) for topic, (s, delay) in streams.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table as a stream, bounded per trigger by files or bytes."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
