@@ -21,7 +21,7 @@ its sizes cannot reach the threshold, when both lie in one component, or when
 the common bits plus the shared ones are fewer than the overlap that the
 threshold needs. A tree of few components is one leaf. Pairs of components,
 which several trees may hold, are made distinct before their nodes meet; then
-groups of their classes meet, one side at a time, and then classes. What is left at
+classes meet the other component's node, then its classes. What is left at
 the bottom is compared exactly.
 
 Results: null and empty texts, and those without words, have no shingles and
@@ -206,8 +206,6 @@ def _able(a: str, b: str, percent: int) -> Column:
 
 #: Components of a tree that is one leaf.
 LEAF = 256
-#: Classes, about, in a group of a component's classes.
-GROUP = 32
 #: Trees by which a component tells whether another tree has told of a pair already.
 FIRST_TREES = 32
 
@@ -234,18 +232,10 @@ def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, lea
     if large.limit(1).count():
         pairs = pairs.unionAll(_descend(large, whole, percent)).distinct()
     pairs = written(pairs, "jaccard-pairs")
-    # the nodes of a component are groups of its classes, then classes
-    sized = own.join(own.groupBy("comp").agg(F.count("*").alias("held")), "comp")
-    group = F.xxhash64("comp", F.pmod(F.xxhash64("c"), F.ceil(F.col("held") / GROUP)))
-    grouped = written(sized.select("c", "comp", group.alias("g")), "jaccard-groups")
-    groups = written(own.join(grouped.select("c", "g"), "c").groupBy("g").agg(*_union(), F.first("comp").alias("comp"), F.first("comp_high").alias("comp_high")), "jaccard-group-nodes")
-    to_groups, to_classes = grouped.select(F.col("comp").alias("up"), F.col("g").alias("down")).distinct(), grouped.select(F.col("g").alias("up"), F.col("c").alias("down"))
-    tops, mids, classes = (f.withColumn("key", F.col(k)) for f, k in ((whole, "comp"), (groups, "g"), (own, "c")))
-    for side, steps, left, right in (("a", to_groups, mids, tops), ("b", to_groups, mids, mids), ("a", to_classes, classes, mids), ("b", to_classes, classes, classes)):
-        other = "b" if side == "a" else "a"
-        pairs = pairs.join(steps, F.col(side) == F.col("up")).select(F.col("down").alias(side), other).select("a", "b")
-        pairs = written(_meet(pairs, left, right, percent), "jaccard-met-nodes")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # class and component, class and class
+    met = _meet(pairs.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), own.withColumn("key", F.col("c")), whole.withColumn("key", F.col("comp")), percent)
+    met = _meet(met.join(own.select(F.col("comp").alias("b"), F.col("c").alias("y")), "b").select("a", F.col("y").alias("b")), own.withColumn("key", F.col("c")), own.withColumn("key", F.col("c")), percent)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
