@@ -212,6 +212,18 @@ def hold_until_profile(df: DataFrame, is_profile: Column, is_action: Column) ->
     )
 
 
+def lifetime_properties(state: DataFrame) -> DataFrame:
+    """brand_id, id and the lifetime properties of a wallet's merged state, as texts but for the count and the average.
+
+    A count that is no number counts as unknown; the average needs a count above zero.
+    """
+    count = F.col("LifetimeDepositCount").try_cast("int")
+    average = F.when(count > 0, F.col("TotalDepositEUR").try_cast("double") / count)
+    same = ("LifetimeWithdrawalCount", "LifetimeWithdrawalCountEUR", "TotalWithdrawalLifetime", "TotalWithdrawalLifetimeEUR", "TotalDeposit", "TotalDepositEUR")
+    properties = F.struct(count.alias("lifetimeDepositCount"), average.alias("averageDeposit"), F.substring("last_deposit_datetime", 1, 10).alias("last_deposit_date"), *same)
+    return state.select("brand_id", F.col("player_id").cast("string").alias("id"), properties.alias("properties"))
+
+
 def drop_all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Skip records whose metrics are all absent."""
     present = F.lit(False)

@@ -10,6 +10,8 @@ from playerflow.operators import profiles as P
 from playerflow.operators.lifetime import average_deposit
 from playerflow.operators.timeline import latest_values
 from playerflow.plans.registry import query
+from playerflow.session import run_dir
+from playerflow.sources import outbox as O
 from playerflow.sources import tables as T
 
 EV = f"WITH {T.EVENTS_CTE}"
@@ -393,6 +395,33 @@ def wallet_lifetime_snapshot(spark, sf):
     )
 
 
+# What a wallet message holds of a player's lifetime; absent where the message does not tell it.
+LIFETIME = {
+    "LifetimeDepositCount": "CASE WHEN k % 7 <> 0 THEN CAST(k % 4 AS STRING) END", "TotalDepositEUR": "CASE WHEN k % 5 <> 0 THEN CAST(k * 2 AS STRING) END",
+    "TotalDeposit": "CASE WHEN k % 5 <> 0 THEN CAST(k * 3 AS STRING) END", "LifetimeWithdrawalCount": "CASE WHEN k % 3 = 0 THEN CAST(k % 6 AS STRING) END",
+    "LifetimeWithdrawalCountEUR": "CASE WHEN k % 3 = 1 THEN CAST(k % 6 AS STRING) END", "TotalWithdrawalLifetime": "CASE WHEN k % 11 = 0 THEN CAST(k AS STRING) END",
+    "TotalWithdrawalLifetimeEUR": "CASE WHEN k % 11 = 1 THEN CAST(k AS STRING) END", "last_deposit_datetime": "CASE WHEN k % 2 = 0 THEN dt END",
+}
+
+
+@query(
+    "wallet_lifetime_export",
+    f"""{EV}, w AS (SELECT seq, brand_id, player_id, {", ".join(f"{e} AS {n}" for n, e in LIFETIME.items())} FROM ev WHERE topic = 'wallet'),
+    m AS (SELECT brand_id, player_id, {", ".join(f"arg_max({n}, seq) FILTER (WHERE {n} IS NOT NULL) AS {n}" for n in LIFETIME)} FROM w GROUP BY 1, 2)
+    SELECT brand_id, CAST(player_id AS STRING) AS id, TRY_CAST(LifetimeDepositCount AS INTEGER) AS lifetimeDepositCount,
+      CASE WHEN TRY_CAST(LifetimeDepositCount AS INTEGER) > 0 THEN CAST(TotalDepositEUR AS DOUBLE) / TRY_CAST(LifetimeDepositCount AS INTEGER) END AS averageDeposit,
+      substring(last_deposit_datetime, 1, 10) AS last_deposit_date, LifetimeWithdrawalCount, LifetimeWithdrawalCountEUR, TotalWithdrawalLifetime, TotalWithdrawalLifetimeEUR, TotalDeposit, TotalDepositEUR FROM m""",
+)
+def wallet_lifetime_export(spark, sf):
+    """Deposit and withdrawal totals of each player, written as JSON lines of an id and its properties, and read back."""
+    path = run_dir(spark, "lifetime")
+    rows = T.events(spark, sf, "wallet").select(*P.KEY, *P.ORDER, *[F.expr(e).alias(n) for n, e in LIFETIME.items()])
+    O.export_json(P.lifetime_properties(latest_values(rows, P.KEY, P.ORDER, _cols(*LIFETIME))), path)
+    texts = ("LifetimeWithdrawalCount", "LifetimeWithdrawalCountEUR", "TotalWithdrawalLifetime", "TotalWithdrawalLifetimeEUR", "TotalDeposit", "TotalDepositEUR")
+    properties = "lifetimeDepositCount:int, averageDeposit:double, last_deposit_date:string, " + ", ".join(f"{t}:string" for t in texts)
+    return O.read_export(spark, path, f"id string, properties struct<{properties}>, brand_id bigint").select("brand_id", "id", "properties.*")
+
+
 @query(
     "delta_snapshot",
     f"""{EV} SELECT brand_id, player_id, arg_max(email, seq) FILTER (WHERE email IS NOT NULL) AS email, arg_max(balance, seq) FILTER (WHERE balance IS NOT NULL) AS balance

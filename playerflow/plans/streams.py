@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -11,6 +13,7 @@ from playerflow.operators import webpush as W
 from playerflow.plans import profile as PP
 from playerflow.plans import rules as PR
 from playerflow.operators.bets import bet_news
+from playerflow.operators.timeline import latest_values
 from playerflow.plans.bets import BS, CHAMPIONSHIPS, WATCHED, vertical_wagers
 from playerflow.plans.exports import web_push_sql
 from playerflow.plans.registry import ORACLES, query
@@ -311,6 +314,28 @@ def scheduled_emit(spark, sf):
     return T.events(spark, sf).filter(jobs.in_hours(F.col("ts"), 4, 12)).select("seq", "player_id")
 
 
+#: Moments at which the schedule starts the export; two lie outside its hours, one comes twice.
+STARTS = ("2024-01-08 03:59:59", "2024-01-08 04:00:00", "2024-01-15 11:59:59", "2024-01-15 11:59:59", "2024-01-20 12:00:00", "2024-01-27 08:30:00")
+_RUNS = ", ".join(f"(TIMESTAMP '{now}', TIMESTAMP '{before}')" for now, before in (("2024-01-08 04:00:00", "1900-01-01 00:00:00"), ("2024-01-15 11:59:59", "2024-01-08 04:00:00"), ("2024-01-27 08:30:00", "2024-01-15 11:59:59")))
+
+
+@query(
+    "scheduled_export",
+    f"""{EV}, s(now, mark) AS (VALUES {_RUNS})
+    SELECT CAST(epoch_us(now) AS BIGINT) AS until, brand_id, player_id, arg_max(email, seq) FILTER (WHERE email IS NOT NULL) AS email, arg_max(balance, seq) FILTER (WHERE balance IS NOT NULL) AS balance
+    FROM ev JOIN s ON ts <= now GROUP BY now, mark, 2, 3 HAVING max(ts) > any_value(mark)""",
+)
+def scheduled_export(spark, sf):
+    """Profiles touched between two exports go out once, in the hours of the job only."""
+    export = jobs.ScheduledExport(spark, run_dir(spark, "scheduled"))
+    fields = {c: F.col(c) for c in ("email", "balance")}
+    snapshot = lambda known: latest_values(T.events(spark, sf).filter(known), P.KEY, P.ORDER, {**fields, "updated_ts": F.col("ts")})
+    for now in STARTS:
+        export.run(datetime.fromisoformat(now), snapshot)
+    rows = spark.read.schema("brand_id bigint, player_id bigint, email string, balance double, until bigint").json(export.path)
+    return rows.select("until", *P.KEY, "email", "balance")
+
+
 @query("ordering_late_data", f"{EV} SELECT brand_id, player_id, seq, row_number() OVER w AS n, lag(seq) OVER w AS previous, false AS late FROM ev WINDOW w AS (PARTITION BY brand_id, player_id ORDER BY ts, seq)")
 def ordering_late_data(spark, sf, files_per_trigger=None, delay="0 seconds"):
     """Rows wait for the watermark and are numbered in event-time order; those behind it are told as late, without a number."""

@@ -8,7 +8,7 @@ hot-key split of the batch operators applies to micro-batches as well.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,16 +221,42 @@ def in_hours(now: Column, first: int, last: int) -> Column:
     return (F.hour(now) >= first) & (F.hour(now) < last)
 
 
-@contextmanager
-def without_idle_batches(spark: SparkSession):
-    """A time-to-live keeps asking for batches without data; a bounded run must not follow it."""
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+class ScheduledExport:
+    """Exports of what changed since the last one, from a job that a schedule starts.
+
+    An export is a folder named by its moment, and counts from the writer's own
+    commit mark on. The next one begins where the last that counts ended, so a
+    failed export is repeated with all that came in meanwhile, and nothing is
+    exported twice. Outside the hours nothing happens.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, first_hour: int = 4, last_hour: int = 12):
+        self.spark, self.path, self.hours = spark, path.rstrip("/"), (first_hour, last_hour)
+
+    def mark(self) -> int | None:
+        """Microseconds up to which rows are exported."""
+        paths = self.spark._jvm.org.apache.hadoop.fs.Path
+        root = paths(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(paths(f"{self.path}/until=*/_SUCCESS")) if fs.exists(root) else None
+        return max((int(s.getPath().getParent().getName().removeprefix("until=")) for s in done or []), default=None)
+
+    def run(self, now: datetime, snapshot: Callable[[Column], DataFrame], touched: str = "updated_ts") -> bool:
+        """Writes the rows of ``snapshot`` that were touched after the mark and up to ``now``.
+
+        ``snapshot`` takes the condition on a row's time that bounds it by ``now`` and
+        gives rows with the time of their last change; whether an export was written.
+        """
+        if not self.hours[0] <= now.hour < self.hours[1]:
+            return False
+        until, mark = int(now.replace(tzinfo=timezone.utc).timestamp()) * 1_000_000 + now.microsecond, self.mark()
+        if mark is not None and until <= mark:
+            return False
+        rows = snapshot(F.col("ts") <= F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz"))
+        if mark is not None:
+            rows = rows.filter(F.unix_micros(F.col(touched).cast("timestamp")) > mark)
+        rows.write.mode("overwrite").json(f"{self.path}/until={until}")
+        return True
 
 
 def stream_session(spark: SparkSession) -> None:

@@ -137,3 +137,22 @@ def test_state_is_plain_data():
     for fold, row in ((ordered.Changes(["a"]), {"a": "é"}), (ordered.HoldUntilProfile(), {"is_profile": False}), (ordered.Numbered(), {}), (ordered.BetRetention(), {"bet_us": 5}), (ordered.LiveRequests(), _deposit(1, 2.5))):
         state, _ = fold.step(None, US, 1, row)
         assert json.loads(json.dumps(state)) == state
+
+
+def test_a_failed_export_is_repeated_with_what_came_in_meanwhile(spark, tmp_path):
+    """The mark moves with the writer's commit only; outside the hours and for a moment that is exported nothing happens."""
+    at = lambda day, hour=5: dt.datetime(2024, 1, day, hour)
+    rows = spark.createDataFrame([(i, at(i)) for i in range(1, 9)], "player_id bigint, ts timestamp_ntz")
+    snapshot = lambda known: rows.filter(known).withColumn("updated_ts", F.col("ts"))
+    export = jobs.ScheduledExport(spark, str(tmp_path / "out"))
+    failing = lambda known: snapshot(known).withColumn("x", F.when(F.col("player_id") == 4, F.raise_error(F.lit("lost"))))
+    assert export.mark() is None and not export.run(at(2, 3), snapshot) and not export.run(at(2, 12), snapshot)
+    assert export.run(at(2), snapshot) and not export.run(at(2), snapshot)
+    mark = export.mark()
+    with pytest.raises(Exception, match="lost"):
+        export.run(at(5), failing)
+    assert export.mark() == mark
+    assert export.run(at(6), snapshot)
+    done = [os.path.dirname(p) for p in map(str, (tmp_path / "out").glob("until=*/_SUCCESS"))]
+    got = sorted((p[-10:], r["player_id"]) for p in done for r in spark.read.json(p).collect())
+    assert [i for _, i in got] == [1, 2, 3, 4, 5, 6] and len({p for p, _ in got}) == 2
