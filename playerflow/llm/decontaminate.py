@@ -2,10 +2,9 @@
 
 Windows of ``WINDOW`` words of the benchmark items (a shorter item is one
 window) are hashed and broadcast; every window of every document is looked up
-by its hash alone. The documents found are split into words once more, and the
-words of their windows are compared with those of the benchmark, so a hit is a
-hit by its words. The broadcast holds hashes and is bounded: a benchmark with
-more windows or bytes than one pass may hold is dealt by hash over several. The items of a window are joined to the hits at the end, so an
+by its hash, and a hit counts only if the words are the same. The broadcast holds
+hashes and words and is bounded: a benchmark with more windows or bytes than one
+pass may hold is dealt by hash over several. The items of a window are joined to the hits at the end, so an
 item list of any length is never broadcast.
 
 Null and empty texts have no words and no hits; an item without words has no
@@ -61,25 +60,21 @@ def _hits(df: DataFrame, benchmark: DataFrame, text: str, key: str, width: int,
     passes = max(1, -(-total // broadcast_windows), -(-size // BROADCAST_BYTES))
     lengths = sorted(r["n"] for r in sizes) or [width]
     value = F.coalesce(df[text], F.lit(""))
-    texts = df.select(df[key].alias("__key"), F.xxhash64(value).alias("__hash"), value.alias("t"))
+    words = df.select(df[key].alias("__key"), F.xxhash64(value).alias("__hash"), normal_words(value).alias("w"))
 
     def placed(n: int) -> Column:
-        return F.transform(window_keys(F.col("w"), n), lambda k, i: F.struct(k.alias("key"), i.alias("at"), F.lit(n).alias("n")))
+        return F.transform(window_keys(F.col("w"), n), lambda k, i: F.struct(k.alias("key"), i.alias("at"), F.lit(n).alias("n"), F.slice("w", i + 1, n).alias("grams")))
 
-    words = texts.select("__key", "__hash", normal_words(F.col("t")).alias("w"))
+    # a row has its own window's words only, so a text's work grows with its length
     looked = words.select("__key", "__hash", F.explode(F.concat(*map(placed, lengths))).alias("x")).select("__key", "__hash", "x.*")
     found = []
     for i in range(passes):
         part = distinct.where(F.pmod("key", F.lit(passes)) == i) if passes > 1 else distinct
-        found.append(looked.join(F.broadcast(part.select("key", "n").distinct()), ["key", "n"]))
-    # the rows found are split again, and the words of their windows compared
-    places = reduce(DataFrame.unionAll, found).groupBy("__key", "__hash").agg(F.collect_set(F.struct("key", "at", "n")).alias("places"))
-    places = written(places.withColumnsRenamed({"__key": "k", "__hash": "h"}), "benchmark-places")
-    again = texts.join(places, F.col("__key").eqNullSafe(F.col("k")) & (F.col("__hash") == F.col("h")), "inner").dropDuplicates(["__key", "__hash"])
-    again = again.select("__key", "__hash", "places", normal_words(F.col("t")).alias("w"))
-    own = F.transform("places", lambda p: F.struct(p["at"], p["n"], p["key"], F.slice("w", p["at"] + 1, p["n"]).alias("grams")))
-    grams = again.select("__key", "__hash", F.explode(own).alias("x")).select("__key", "__hash", "x.*")
-    return windows, written(grams.join(distinct, ["key", "n", "grams"], "left_semi"), "benchmark-hits")
+        part = F.broadcast(part.select(F.col("key").alias("bkey"), F.col("grams").alias("bgrams")))
+        # as two inequalities, the words are no join key and only looked at where the hash is there
+        same = (F.col("key") == F.col("bkey")) & (F.col("grams") >= F.col("bgrams")) & (F.col("grams") <= F.col("bgrams"))
+        found.append(looked.join(part, same).select(*looked.columns))
+    return windows, written(reduce(DataFrame.unionAll, found).distinct(), "benchmark-hits")
 
 
 def find_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", width: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
