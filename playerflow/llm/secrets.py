@@ -3,10 +3,12 @@
 The two models are first-order: how likely each character follows the one
 before it, in random strings and in ordinary identifiers. Both are counted on
 labelled strings of a sample of documents of bounded size: values that the
-fixed patterns found and digests of ids are labelled random; words and words
-joined as identifiers are labelled ordinary. A candidate, a run of 16 or more
-characters with a letter and a digit, is a secret if the log-likelihood ratio
-of its characters is above a margin and no fixed pattern has found it already.
+fixed patterns found and digests of ids are labelled random; all distinct words
+of a sampled text, alone and joined as identifiers, are labelled ordinary. A
+candidate, a run of 16 or more characters with a letter, is a secret if the
+log-likelihood ratio of its characters is above a margin, it has eight different
+characters (a line of one sign is rare in texts, but not random) and no fixed
+pattern has found it already.
 
 Null texts count as empty and have no spans. Repeated rows keep their own
 results. Texts of any length are read whole. Columns of the same names are
@@ -29,7 +31,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 _RUN = "A-Za-z0-9+/_=-"
-CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[{_RUN}]{{16,}}"
+CANDIDATE = rf"(?<![{_RUN}])(?=[0-9+/_=-]*[A-Za-z])[{_RUN}]{{16,}}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _STATES = len(ALPHABET) + 1
@@ -37,6 +39,8 @@ _STATES = len(ALPHABET) + 1
 SAMPLE_DOCUMENTS = 4_000
 #: Log-likelihood ratio, in nats, from which on a candidate is random.
 MARGIN = 7.0
+#: Different characters that a random string has at least.
+DIFFERENT = 8
 #: Weights of single characters, and of any character, beside those of pairs.
 FALL_BACK = (0.15, 0.05)
 
@@ -68,7 +72,7 @@ def train(df: DataFrame, text: str = "text", key: str = "doc_id", sample_documen
         F.flatten(F.array(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))),
         F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha2(F.coalesce("k", F.lit("")), 512))), F.translate(F.base64(F.unhex(F.md5("k"))), "+/", "-_")),
     )
-    words = F.slice(F.array_distinct(F.regexp_extract_all("t", F.lit("[A-Za-z]{2,}"), F.lit(0))), 1, 200)
+    words = F.array_distinct(F.regexp_extract_all("t", F.lit("[A-Za-z]{2,}"), F.lit(0)))
     ordinary = let(words, lambda w: F.concat(w, F.transform(w, lambda x, i: F.concat(x, F.element_at(F.array(*map(F.lit, "_-/.")), (i % 4 + 1).cast("int")), F.coalesce(F.get(w, i + 1), F.lit("")), F.lit("_"), i.cast("string")))))
     strings = sample.select(F.explode(F.array(F.struct(F.lit(1).alias("label"), random.alias("s")), F.struct(F.lit(0).alias("label"), ordinary.alias("s")))).alias("x"))
     pairs = strings.select("x.label", F.explode("x.s").alias("s")).select("label", F.explode(_pair_indexes(F.col("s"))).alias("pair"))
@@ -104,7 +108,7 @@ def find_secrets(df: DataFrame, ratios: list[float], text: str = "text", keep: l
     t = F.col("__text")
     rows = rows.select(*kept, _tagged(base_spans(t)).alias("__base"), match_spans(t, CANDIDATE).alias("__run"))
     free = F.filter("__run", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    random = F.filter(free, lambda c: log_ratio(c["value"], ratios) > margin)
+    random = F.filter(free, lambda c: (log_ratio(c["value"], ratios) > margin) & (F.size(F.array_distinct(F.split(c["value"], ""))) >= DIFFERENT))
     found = F.when(F.size("__run") > 0, F.concat("__base", _tagged([random], 3))).otherwise(F.col("__base"))
     return rows.select(*kept, F.sort_array(found).alias("secrets"))
 

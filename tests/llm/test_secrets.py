@@ -41,6 +41,22 @@ def test_models_tell_random_from_ordinary(spark, ratios):
     assert spans(rows) == [[(4, 3, 24)], [], [(5, 3, 37)], []]
 
 
+def test_runs_of_letters_alone(spark, ratios):
+    texts = ["z" * 100 + " " + "yz" * 40, "getUserAccountValueFromTable the-quick-brown-fox-jumps Donaudampfschifffahrtsgesellschaft", "see QzXkVjWpBgTrMnFs and qzxkvjwpbgtrmnfsxw"]
+    rows = S.find_secrets(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").coalesce(1), ratios).collect()
+    assert spans(rows) == [[], [], [(4, 3, 20), (25, 3, 43)]]
+
+
+def test_all_words_of_a_text_train_the_models(spark):
+    """The only words with q-x stand behind a thousand others."""
+    from pyspark.sql import functions as F
+
+    others = " ".join("".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(1_000) if "qx" not in "".join(chr(97 + (i // 26**k) % 26) for k in range(3)))
+    trained = [S.train(spark.createDataFrame([(1, others + end)], "doc_id int, text string")) for end in ("", " qxqxqxqx")]
+    plain, late = (spark.range(1).select(S.log_ratio(F.lit("qxqxqxqx"), r)).first()[0] for r in trained)
+    assert late < plain - 3
+
+
 def test_held_out_strings(spark, ratios):
     import base64
     import random
