@@ -14,6 +14,7 @@ from playerflow.operators.timeline import latest_values
 from playerflow.plans import profile as PP
 from playerflow.plans.registry import query
 from playerflow.session import run_dir
+from playerflow.sources import delivery as D
 from playerflow.sources import outbox as O
 from playerflow.sources import silver as V
 from playerflow.sources import tables as T
@@ -442,3 +443,33 @@ def silver_layout(spark, sf):
     V.write_events(rows, path)
     back = V.read_events(spark, path, "seq bigint, ts timestamp_ntz, player_id bigint, topic string, value double, brand_id bigint, day string", first_day="2024-01-10")
     return back.groupBy("brand_id", "day").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("player_id").alias("players"))
+
+
+def _partner():
+    """A sink that refuses the messages of every eleventh row."""
+
+    async def send(message):
+        if message["seq"] % 11 == 0:
+            raise ConnectionError(message["dedup_id"])
+
+    return send
+
+
+def _login_messages(spark, sf):
+    logins = T.events(spark, sf, "logins").withColumn("selector", F.lit("player_login"))
+    return O.outbox(logins.drop("channel"), ("dt",))
+
+
+LOGIN_IDS = f"WITH {T.EVENTS_CTE}, m AS (SELECT seq, sha256(CAST(brand_id AS STRING) || '|' || CAST(player_id AS STRING) || '|player_login|' || CAST(seq AS STRING)) AS dedup_id FROM ev WHERE topic = 'logins')"
+
+
+@query("deliver_each", f"{LOGIN_IDS} SELECT dedup_id, seq % 11 <> 0 AS delivered FROM m")
+def deliver_each(spark, sf):
+    """What came of each message, a hundred in flight per task."""
+    return D.deliver_each(_login_messages(spark, sf), _partner).select("dedup_id", "delivered")
+
+
+@query("dead_letters", f"{LOGIN_IDS} SELECT seq, dedup_id, 3 AS attempts, 'ConnectionError' AS error FROM m WHERE seq % 11 = 0")
+def dead_letters(spark, sf):
+    messages = _login_messages(spark, sf)
+    return D.dead_letters(messages, D.deliver_each(messages, _partner)).select("seq", "dedup_id", "attempts", "error")

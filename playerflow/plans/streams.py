@@ -81,10 +81,10 @@ def closing_row(rows, keys=P.KEY):
         *[F.lit(-1).cast(types[k]).alias(k) for k in (*keys, "seq")], F.lit(END_OF_TIME).cast(types["ts"]).alias("ts"))
 
 
-def in_order(spark, name, rows, fold, out, columns, keys=P.KEY, delay="0 seconds", streams=None):
+def in_order(spark, name, rows, fold, out, columns, keys=P.KEY, delay="0 seconds", streams=None, base=None):
     """What the fold tells of a stream that is read to its end; ``streams`` makes it of rows and closing rows."""
     jobs.stream_session(spark)
-    base = run_dir(spark, name)
+    base = base or run_dir(spark, name)
     output = BatchOutput(spark, f"{base}/rows")
     streams = streams or (lambda close: rows.unionByName(close, allowMissingColumns=True))
     build = lambda close: ordered.in_order(streams(close), keys, fold, out, columns, delay)
@@ -189,13 +189,34 @@ def stream_to_json_files(spark, sf):
     return spark.read.schema("seq bigint, player_id bigint, dt string").json(f"{base}/rows")
 
 
-@query("changelog_to_table", f"""{EV} SELECT brand_id, player_id, max(seq) AS seq, arg_max(dt, seq) AS dt FROM ev GROUP BY 1, 2""")
-def changelog_to_table(spark, sf):
+def _changelog(spark, sf, deleted, files_per_trigger, delay):
+    """Changes of the table of a changelog, and the table itself, which is the state of the job."""
+    rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER, "dt", deleted.alias("deleted"))
     base = run_dir(spark, "changelog")
-    rows = event_stream(spark, sf).select(*P.KEY, "ts", "seq", "dt")
-    state = BatchState(spark, f"{base}/table", P.KEY, rows.schema)
-    jobs.finish(jobs.run(rows, jobs.changelog_to_table(state), f"{base}/checkpoint"))
-    return state.current().select(*P.KEY, "seq", "dt")
+    told = in_order(spark, "changelog", rows, ordered.Upserts(), "op string, dt string", ["dt", "deleted"], delay=delay, base=base)
+    return told.filter(~F.col("late")), ordered.table_of(spark, f"{base}/checkpoint", P.KEY, "seq bigint, dt string")
+
+
+@query("changelog_to_table", f"""{EV} SELECT brand_id, player_id, max(seq) AS seq, arg_max(dt, seq) AS dt FROM ev GROUP BY 1, 2""")
+def changelog_to_table(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    return _changelog(spark, sf, F.lit(False), files_per_trigger, delay)[1]
+
+
+#: Rows whose value is missing, which remove their player.
+REMOVAL = "coalesce(k % 5 = 0, false)"
+REMOVALS = f"{EV}, c AS (SELECT *, {REMOVAL} AS deleted, lag(NOT {REMOVAL}) OVER w AS there, row_number() OVER (PARTITION BY brand_id, player_id ORDER BY ts DESC, seq DESC) AS rn FROM ev WINDOW w AS (PARTITION BY brand_id, player_id ORDER BY ts, seq))"
+
+
+@query("changelog_deletes", f"{REMOVALS} SELECT brand_id, player_id, seq, dt FROM c WHERE rn = 1 AND NOT deleted")
+def changelog_deletes(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """The table of a changelog with removals: a player whose last row is one is not in it."""
+    return _changelog(spark, sf, F.expr(REMOVAL), files_per_trigger, delay)[1]
+
+
+@query("changelog_feed", f"{REMOVALS} SELECT seq, brand_id, player_id, CASE WHEN deleted THEN 'delete' WHEN there THEN 'update' ELSE 'insert' END AS op FROM c WHERE NOT deleted OR coalesce(there, false)")
+def changelog_feed(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Inserts, updates and deletes of that table, one row for each change."""
+    return _changelog(spark, sf, F.expr(REMOVAL), files_per_trigger, delay)[0].select("seq", *P.KEY, "op")
 
 
 @query(

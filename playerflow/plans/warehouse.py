@@ -19,6 +19,14 @@ def read_table(spark, sf):
     return L.brand_filter(T.wallet(spark, sf), (1, 3)).select("transaction_id", "player_wid", "brand_id", "amount")
 
 
+@query("read_in_parts", f"WITH {T.WALLET_CTE} SELECT transaction_id, player_wid, amount FROM wallet")
+def read_in_parts(spark, sf):
+    """The whole table as eight scans of about the same size, cut at quantiles of the player."""
+    wallet = T.wallet(spark, sf)
+    points = T.split_points(wallet.sample(0.1, seed=1), "player_wid", 8)
+    return T.read_in_parts(wallet, T.split_predicates("player_wid", points)).select("transaction_id", "player_wid", "amount")
+
+
 @query("brand_filter", f"WITH {T.PLAYERS_CTE} SELECT player_id, brand_id FROM players WHERE brand_id = 2")
 def brand_filter(spark, sf):
     return L.brand_filter(T.players(spark, sf), [2]).select("player_id", "brand_id")

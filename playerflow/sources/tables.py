@@ -7,6 +7,8 @@ query checks can state the same mapping as a common table expression.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,8 +153,49 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
-def read_jdbc_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """Warehouse scan whose query text runs on the database side."""
+def split_points(keys: DataFrame, column: str, parts: int) -> list:
+    """Values that cut a column into ``parts`` of about the same number of rows, as a sample of its keys tells.
+
+    A value that holds more than one part comes twice.
+    """
+    at = [i / parts for i in range(1, parts)]
+    return (keys.agg(F.percentile_approx(column, at).alias("p")).first()["p"] or []) if at else []
+
+
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else str(value)
+
+
+def split_predicates(column: str, points: Sequence) -> list[str]:
+    """Conditions of which each row meets just one: below, between and above the points, and null.
+
+    A point that comes twice is a part of its own, apart from its neighbours.
+    """
+    conditions, lower = [], None
+    for point in sorted(set(points)):
+        value = _literal(point)
+        conditions.append(" AND ".join([*([lower] if lower else []), f"{column} < {value}"]))
+        lower = f"{column} >= {value}"
+        if list(points).count(point) > 1:
+            conditions.append(f"{column} = {value}")
+            lower = f"{column} > {value}"
+    return [*conditions, lower or f"{column} IS NOT NULL", f"{column} IS NULL"]
+
+
+def read_in_parts(df: DataFrame, predicates: Sequence[str]) -> DataFrame:
+    """The rows of each condition, one scan with its own pushed bounds after the other."""
+    return reduce(DataFrame.unionAll, [df.filter(p) for p in predicates])
+
+
+def read_jdbc_query(spark: SparkSession, url: str, query: str, predicates: Sequence[str] | None = None, **options: str) -> DataFrame:
+    """Warehouse scan whose query text runs on the database side, as one task per predicate.
+
+    The driver of the database decides how many rows it fetches at once (``fetchsize``).
+    """
+    if predicates:
+        return spark.read.jdbc(url, f"({query}) part", predicates=list(predicates), properties=options)
     return spark.read.format("jdbc").option("url", url).option("query", query).options(**options).load()
 
 

@@ -18,7 +18,7 @@ from playerflow.operators import bets as B
 from playerflow.operators import profiles as P
 from playerflow.operators import rules as R
 from playerflow.operators import webpush as W
-from playerflow.operators.timeline import Last, last_rows, latest_values, running
+from playerflow.operators.timeline import Last, latest_values, running
 from playerflow.sources.outbox import outbox
 from playerflow.streaming.state import BatchOutput, BatchState
 
@@ -167,15 +167,6 @@ def recheck_rules(requests: DataFrame, deposits: BatchOutput, fired: BatchOutput
     return step
 
 
-def changelog_to_table(state: BatchState, order: Sequence[str] = P.ORDER):
-    """Upsert a changelog: the last row per key of each batch replaces the stored one."""
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        state.write(last_rows(batch, state.keys, order), batch_id)
-
-    return step
-
-
 def deliver(ledger: BatchOutput, output: BatchOutput):
     """Outbox delivery: a message id goes out once, even when a batch or a message is repeated.
 

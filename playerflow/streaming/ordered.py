@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -145,6 +145,25 @@ class HoldUntilProfile(Fold):
         return {"opened": True, "held": []}, released
 
 
+class Upserts(Fold):
+    """The table of a changelog: a row replaces the key's row, one marked ``deleted`` removes it.
+
+    Each change of the table is told: ``op`` is insert, update or delete. A delete of
+    a key that is not there changes nothing. A removed key leaves no state behind.
+    """
+
+    def step(self, state, us, seq, row):
+        if row.get("deleted"):
+            return None, [] if state is None else [{"op": "delete"}]
+        return {**row, "seq": seq}, [{**row, "op": "insert" if state is None else "update"}]
+
+
+def table_of(spark: SparkSession, checkpoint: str, keys: Sequence[str], schema: str) -> DataFrame:
+    """The folds' states after the last committed batch, read from the state store of a job of ``in_order``."""
+    stored = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "state").load()
+    return stored.select(*[F.col(f"key.{k}").alias(k) for k in keys], F.from_json("value.state", schema).alias("__row")).select(*keys, "__row.*")
+
+
 class Numbered(Fold):
     """How many rows of the key have come, and the number of the last one."""
 
