@@ -81,14 +81,18 @@ def closing_row(rows, keys=P.KEY):
         *[F.lit(-1).cast(types[k]).alias(k) for k in (*keys, "seq")], F.lit(END_OF_TIME).cast(types["ts"]).alias("ts"))
 
 
-def in_order(spark, name, rows, fold, out, columns, keys=P.KEY, delay="0 seconds", streams=None, base=None):
-    """What the fold tells of a stream that is read to its end; ``streams`` makes it of rows and closing rows."""
+def in_order(spark, name, rows, fold, out, columns, keys=P.KEY, delay="0 seconds", streams=None, base=None, reduced=None):
+    """What the fold tells of a stream that is read to its end; ``streams`` makes it of rows and closing rows.
+
+    ``reduced`` maps what each micro-batch tells to what is written of it.
+    """
     jobs.stream_session(spark)
     base = base or run_dir(spark, name)
     output = BatchOutput(spark, f"{base}/rows")
     streams = streams or (lambda close: rows.unionByName(close, allowMissingColumns=True))
     build = lambda close: ordered.in_order(streams(close), keys, fold, out, columns, delay)
-    jobs.run_closed(build, closing_row(rows, keys), f"{base}/close", output.write, f"{base}/checkpoint")
+    step = (lambda batch, batch_id: output.write(reduced(batch), batch_id)) if reduced else output.write
+    jobs.run_closed(build, closing_row(rows, keys), f"{base}/close", step, f"{base}/checkpoint")
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", us bigint, seq bigint, late boolean, {out}"
     return output.read(schema).drop("batch")
@@ -239,8 +243,8 @@ def outbox_sink(spark, sf):
     f"""{BS}, w AS (SELECT *, row_number() OVER (PARTITION BY bet_id ORDER BY bet_datetime DESC, line_no DESC, wager_amount DESC) AS rn FROM bets)
     SELECT bet_id, wager_amount, championship_id FROM w JOIN sports USING (bet_id) WHERE rn = 1""",
 )
-def stream_bet_join(spark, sf, files_per_trigger=None):
-    """Two streams, one state per bet; the last emission per bet is the joined table."""
+def stream_bet_join(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Two streams, told again whenever either side of a bet comes; the last of it is the joined table. Sides may lie years apart here, so no bet is forgotten."""
     wagers = stream_table(spark, sf, "lineitem", files_per_trigger).selectExpr(*[f"{e} AS {n}" for n, e in T.BET_COLUMNS.items()])
     sports = stream_table(spark, sf, "orders", files_per_trigger).selectExpr(*[f"{e} AS {n}" for n, e in T.SPORTS_BET_COLUMNS.items()])
     left = wagers.select(
@@ -251,13 +255,11 @@ def stream_bet_join(spark, sf, files_per_trigger=None):
         "bet_id", F.col("placed_at").alias("ts"), F.lit(0).cast("bigint").alias("seq"),
         F.lit(None).cast("struct<wager_amount:double>").alias("wagering"), F.struct("championship_id").alias("sportsbets"),
     )
-    rows = left.unionByName(right)
-    base = run_dir(spark, "bet-join")
-    state = BatchState(spark, f"{base}/state", ["bet_id"], S.StructType([rows.schema[n] for n in ("bet_id", "wagering", "sportsbets")]))
-    output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(rows, jobs.bet_join(state, output), f"{base}/checkpoint"))
-    final = state.current().filter(F.col("wagering").isNotNull() & F.col("sportsbets").isNotNull())
-    return final.select("bet_id", "wagering.wager_amount", "sportsbets.championship_id")
+    sides = {"wagering": "struct<wager_amount:double>", "sportsbets": "struct<championship_id:string>"}
+    out = ", ".join(f"{n} {t}" for n, t in sides.items())
+    told = in_order(spark, "bet-join", left.unionByName(right), ordered.BothSides(sides), out, list(sides), keys=("bet_id",), delay=delay)
+    final = told.filter(~F.col("late")).groupBy("bet_id").agg(F.max_by(F.struct(*sides), F.struct("us", "seq")).alias("v"))
+    return final.select("bet_id", "v.wagering.wager_amount", "v.sportsbets.championship_id")
 
 
 def _wager_seq():
@@ -266,16 +268,13 @@ def _wager_seq():
 
 
 @query("stream_bet_accumulate_join", f"{BS}, {WATCHED} SELECT * FROM m")
-def stream_bet_accumulate_join(spark, sf, files_per_trigger=None):
+def stream_bet_accumulate_join(spark, sf, files_per_trigger=None, delay="0 seconds"):
     bets = stream_table(spark, sf, "lineitem", files_per_trigger).selectExpr(*[f"{e} AS {n}" for n, e in T.BET_COLUMNS.items()])
     sports = stream_table(spark, sf, "orders", files_per_trigger).selectExpr(*[f"{e} AS {n}" for n, e in T.SPORTS_BET_COLUMNS.items()])
     rows = bet_news(sports, vertical_wagers(bets), list(CHAMPIONSHIPS))
-    base = run_dir(spark, "watched")
-    state = BatchState(spark, f"{base}/state", ["bet_id"], S.StructType([rows.schema[n] for n in ("bet_id", "sport", "settlement", "is_wager")]))
-    output = BatchOutput(spark, f"{base}/rows")
-    jobs.finish(jobs.run(rows, jobs.watched_bets(state, output), f"{base}/checkpoint"))
-    schema = "bet_id bigint, championship_id string, kind string, bet_won_lost string, result_date string"
-    return output.read(schema).drop("batch")
+    out = "championship_id string, kind string, bet_won_lost string, result_date string"
+    told = in_order(spark, "watched", rows, ordered.WatchedBets(), out, ["sport", "settlement", "is_wager"], keys=("bet_id",), delay=delay)
+    return told.filter(~F.col("late")).drop("us", "seq", "late")
 
 
 @query("recheck_all", f"SELECT request_id, player_id, accept_uri FROM ({ORACLES['evaluate_rules']})")
@@ -317,16 +316,14 @@ def recheck_live(spark, sf, files_per_trigger=None, delay="0 seconds"):
 
 
 @query("stream_delta_snapshot", f"""{EV} SELECT brand_id, player_id, arg_max(email, seq) FILTER (WHERE email IS NOT NULL) AS email, arg_max(balance, seq) FILTER (WHERE balance IS NOT NULL) AS balance FROM ev GROUP BY 1, 2""")
-def stream_delta_snapshot(spark, sf, files_per_trigger=None):
+def stream_delta_snapshot(spark, sf, files_per_trigger=None, delay="0 seconds"):
+    """Each micro-batch exports the players it touched, once and with their whole merged state."""
     fields = ("email", "balance")
-    stream = event_stream(spark, sf, files_per_trigger)
-    base = run_dir(spark, "deltas")
-    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(stream, P.KEY, fields))
-    output = BatchOutput(spark, f"{base}/exports")
-    jobs.finish(jobs.run(stream, jobs.snapshot_deltas(fields, state, output), f"{base}/checkpoint"))
-    exported = output.read(state.schema)
-    latest = exported.groupBy(*P.KEY).agg(F.max_by(F.struct(*fields), F.col("batch")).alias("v"))
-    return latest.select(*P.KEY, "v.email", "v.balance")
+    rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER, *fields)
+    out = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in fields)
+    latest = lambda told: told.groupBy(*P.KEY, "late").agg(F.max_by(F.struct("us", "seq", *fields), F.struct("us", "seq")).alias("v")).select(*P.KEY, "late", "v.*")
+    told = in_order(spark, "deltas", rows, ordered.Merged(fields), out, fields, delay=delay, reduced=latest)
+    return latest(told.filter(~F.col("late"))).select(*P.KEY, *fields)
 
 
 @query("scheduled_emit", f"{EV} SELECT seq, player_id FROM ev WHERE hour(ts) >= 4 AND hour(ts) < 12")

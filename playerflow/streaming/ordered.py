@@ -131,6 +131,55 @@ class Changes(Fold):
         return merged, [] if merged == state else [merged]
 
 
+class Merged(Changes):
+    """The same values, told at every row."""
+
+    def step(self, state, us, seq, row):
+        merged, _ = super().step(state, us, seq, row)
+        return merged, [merged]
+
+
+class Forgetting(Fold):
+    """A state with the time of its key's last row, which is forgotten ``days`` after it; kept for good with None."""
+
+    def __init__(self, days: int | None = None):
+        self.span = None if days is None else days * 86_400_000_000
+
+    def wake(self, state):
+        return None if self.span is None else state["us"] + self.span + 1
+
+    def tick(self, state, us):
+        return None, []
+
+
+class BothSides(Forgetting):
+    """The latest row of each side of a key, told whenever one side comes and both are known."""
+
+    def __init__(self, sides: Sequence[str], days: int | None = None):
+        super().__init__(days)
+        self.sides = list(sides)
+
+    def step(self, state, us, seq, row):
+        known = {s: row[s] if row.get(s) is not None else (state or {}).get(s) for s in self.sides}
+        return {**known, "us": us}, [known] if all(v is not None for v in known.values()) else []
+
+
+class WatchedBets(Forgetting):
+    """``placed`` on a bet's first sports bet before any wager, ``result`` once both sides are known."""
+
+    def step(self, state, us, seq, row):
+        before = state or {"sport": None, "settlement": None, "wagered": False}
+        now = {k: row[k] if row.get(k) is not None else before[k] for k in ("sport", "settlement")}
+        told = {"championship_id": (now["sport"] or {}).get("championship_id"), "bet_won_lost": None, "result_date": None}
+        out = []
+        if row.get("sport") is not None and before["sport"] is None and not before["wagered"]:
+            out.append({**told, "kind": "placed"})
+        if all(now.values()) and not (before["sport"] and before["settlement"]):
+            settled = now["settlement"]
+            out.append({**told, "kind": "result", "bet_won_lost": "lost" if settled.get("lost") else "won", "result_date": settled["wager_at"][:10]})
+        return {**now, "wagered": before["wagered"] or row["is_wager"], "us": us}, out
+
+
 class HoldUntilProfile(Fold):
     """Actions wait for the key's first profile row; what it releases is no longer held."""
 

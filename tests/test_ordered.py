@@ -156,3 +156,19 @@ def test_a_failed_export_is_repeated_with_what_came_in_meanwhile(spark, tmp_path
     done = [os.path.dirname(p) for p in map(str, (tmp_path / "out").glob("until=*/_SUCCESS"))]
     got = sorted((p[-10:], r["player_id"]) for p in done for r in spark.read.json(p).collect())
     assert [i for _, i in got] == [1, 2, 3, 4, 5, 6] and len({p for p, _ in got}) == 2
+
+
+def test_old_bets_are_forgotten():
+    """A side that comes after the bound finds no partner; without a bound it does."""
+    day = ordered.BothSides(["a", "b"]).step
+    state, out = day(None, 0, 1, {"a": {"x": 1}})
+    assert out == [] and day(state, 9 * DAY, 2, {"b": {"y": 2}})[1] == [{"a": {"x": 1}, "b": {"y": 2}}]
+    bounded = ordered.BothSides(["a", "b"], days=2)
+    assert bounded.wake(state) == 2 * DAY + 1 and bounded.tick(state, 2 * DAY + 1) == (None, [])
+    assert ordered.BothSides(["a"]).wake({"us": 0}) is None
+    watched = ordered.WatchedBets(days=2)
+    state, placed = watched.step(None, 0, 0, {"sport": {"championship_id": "3"}, "is_wager": False})
+    state, result = watched.step(state, DAY, 2, {"settlement": {"wager_at": "2024-01-02T00:00:00.000Z", "lost": True}, "is_wager": True})
+    assert [m["kind"] for m in placed + result] == ["placed", "result"] and result[0]["bet_won_lost"] == "lost" and result[0]["result_date"] == "2024-01-02"
+    assert watched.step(state, DAY, 3, {"settlement": {"wager_at": "2024-01-03T00:00:00.000Z", "lost": False}, "is_wager": True})[1] == []
+    assert watched.wake(state) == 3 * DAY + 1 and watched.tick(state, 3 * DAY + 1) == (None, [])
