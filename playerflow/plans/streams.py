@@ -37,23 +37,15 @@ def event_stream(spark, sf, files_per_trigger=None):
     return with_k.selectExpr(*[f"{e} AS {n}" for n, e in T.EVENT_COLUMNS.items()])
 
 
-def _fields_schema(df, keys, names) -> S.StructType:
-    return S.StructType([df.schema[n] for n in (*keys, *names)])
-
-
-def stream_profile_changes(spark, sf, fields=PP.OUTWARD, files_per_trigger=None):
-    stream = event_stream(spark, sf, files_per_trigger)
+def stream_profile_changes(spark, sf, fields=PP.OUTWARD, files_per_trigger=None, delay="0 seconds"):
+    """Merged profiles, which are the state of the job, and a message for each row that changed the outward record."""
+    rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER, *fields)
+    out = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in fields)
     base = run_dir(spark, "profiles")
-    state = BatchState(spark, f"{base}/state", P.KEY, _fields_schema(stream, P.KEY, fields))
-    output = BatchOutput(spark, f"{base}/outbox")
-    jobs.finish(jobs.run(stream, jobs.profile_changes(fields, state, output), f"{base}/checkpoint"))
-    return state, output
-
-
-OUTBOX_SCHEMA = (
-    "msg_type string, brand_id bigint, contact_id string, selector string, channel string, blocked string, "
-    "blocked_until string, properties string, event_ts timestamp_ntz, dedup_id string, seq bigint"
-)
+    told = in_order(spark, "profiles", rows, ordered.Changes(fields), out, fields, delay=delay, base=base)
+    changed = told.filter(~F.col("late")).withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+    messages = O.outbox(changed.withColumn("selector", F.lit("player_updated")), tuple(fields))
+    return ordered.table_of(spark, f"{base}/checkpoint", P.KEY, out), messages
 
 
 @query(
@@ -61,13 +53,12 @@ OUTBOX_SCHEMA = (
     f"SELECT seq, brand_id, CAST(player_id AS STRING) AS contact_id, 'player_updated' AS selector FROM ({ORACLES['profile_changes']})",
 )
 def stream_profile_messages(spark, sf):
-    _, output = stream_profile_changes(spark, sf)
-    return output.read(OUTBOX_SCHEMA).select("seq", "brand_id", "contact_id", "selector")
+    return stream_profile_changes(spark, sf)[1].select("seq", "brand_id", "contact_id", "selector")
 
 
 @query("stream_profile_state", f"""{EV} SELECT brand_id, player_id, {", ".join(f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in PP.OUTWARD)} FROM ev GROUP BY 1, 2""")
 def stream_profile_state(spark, sf):
-    return stream_profile_changes(spark, sf)[0].current()
+    return stream_profile_changes(spark, sf)[0]
 
 
 #: No event is later; a row with this time closes a bounded run.

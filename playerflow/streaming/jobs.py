@@ -1,27 +1,18 @@
-"""Streaming jobs that run the batch operators on each micro-batch.
-
-The earlier state of the touched keys joins the batch as seed rows that sort
-before all others, so the running values continue where they stopped and the
-hot-key split of the batch operators applies to micro-batches as well.
-"""
+"""Streaming jobs that run the batch operators on each micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playerflow.operators import profiles as P
 from playerflow.operators import rules as R
 from playerflow.operators import webpush as W
-from playerflow.operators.timeline import latest_values
-from playerflow.sources.outbox import outbox
 from playerflow.streaming.state import BatchOutput, BatchState
 
-SEED = "__seed"
 
 
 def run(
@@ -63,26 +54,6 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> None:
         raise TimeoutError("streaming job did not finish")
 
 
-def seeded(batch: DataFrame, prior: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Batch rows plus one seed row per known key; seeds have no time and sort first."""
-    seeds = prior.select(*columns, F.lit(None).cast(dict(batch.dtypes)["ts"]).alias("ts"), F.lit(-1).cast("bigint").alias("seq"), F.lit(True).alias(SEED))
-    return batch.select(*columns, "ts", "seq", F.lit(False).alias(SEED)).unionByName(seeds)
-
-
-def profile_changes(fields: Sequence[str], state: BatchState, output: BatchOutput, selector: str = "player_updated"):
-    """Merge each batch into the profiles; messages for rows that changed the outward record."""
-    columns = [*P.KEY, *fields]
-    exprs = {n: F.col(n) for n in fields}
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = seeded(batch, state.touched(batch, batch_id), columns)
-        changed = P.transitions(rows, exprs).filter(~F.col(SEED) & P.changed_or_first(*fields))
-        output.write(outbox(changed.withColumn("selector", F.lit(selector)), tuple(fields)), batch_id)
-        state.write(latest_values(rows, P.KEY, P.ORDER, exprs), batch_id)
-
-    return step
-
-
 def web_push(zones: DataFrame, event_time: str, state: BatchState, output: BatchOutput):
     """Slot messages of each batch, which go on from the last time of each slot."""
     keys = state.keys
