@@ -14,7 +14,6 @@ from playerflow.operators import webpush as W
 from playerflow.streaming.state import BatchOutput, BatchState
 
 
-
 def run(
     stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
