@@ -13,7 +13,9 @@ the counts of all blocks are summed; what the other blocks hold is joined back
 to the block, and the words' scores are summed per document. So neither a
 frequent n-gram nor a large source makes a hot task: an n-gram has one entry
 per block at most. The entries of one block in one segment travel as one
-packed row of sorted hashes, which takes half the room of single rows.
+packed row of sorted hashes, which takes half the room of single rows. There are never more rows than
+n-grams in blocks, so the table grows with the corpus. Inside a task a block's
+n-grams are sorted a range of segments at a time, which keeps the task small.
 
 Null and empty texts have no words and the score 0. Equal rows are scored
 alike and count for each other. Columns of the same names are replaced. Words
@@ -37,8 +39,10 @@ from playerflow.session import written
 
 ORDER = 3
 BACKOFF = 0.4
-#: Words from which on a block is full.
-BLOCK_WORDS = 500_000
+#: Words from which on a block is full; a document stays whole.
+BLOCK_WORDS = 5_000_000
+#: Ranges in which a task goes through the n-grams of a block.
+RANGES = 16
 #: Words of the corpus for each segment of the count table.
 SEGMENT_WORDS = 500_000
 
@@ -74,18 +78,27 @@ def _unpack_sorted(packed: bytes) -> np.ndarray:
 
 
 def _grams(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the n-grams inside documents, and the place of the last word of each."""
+    """Keys of all runs of n words, by their first place, and which of them lie inside a document."""
     size = max(len(words) - n + 1, 0)
     keys = _mix(words[:size] + np.uint64(n))
     for k in range(1, n):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[k : size + k])
-    inside = doc[n - 1 :] == doc[:size]
-    return keys[inside], np.arange(n - 1, len(words))[inside]
+    return keys, doc[n - 1 :] == doc[:size]
 
 
-def _distinct(words: np.ndarray, doc: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams of a block, sorted, and how often it holds them."""
-    return np.unique(np.concatenate([_grams(words, doc, n)[0] for n in range(1, order + 1)]), return_counts=True)
+def _ranges(words: np.ndarray, doc: np.ndarray, order: int, segments: int) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
+    """Ranges of segments, in turn: the segments, the block's n-grams in them, and a slot for each.
+
+    The slot is the place of the last word, plus all places for each word more than one.
+    """
+    grams = [_grams(words, doc, n) for n in range(1, order + 1)]
+    step = -(-segments // RANGES)
+    for start in range(0, segments, step):
+        among = range(start, min(start + step, segments))
+        low, high = (np.uint64(min(-(-(s << 32) // segments) << 32, 2**64 - 1)) for s in (among.start, among.stop))
+        last = among.stop == segments
+        at = [np.flatnonzero(inside & (keys >= low) & (last | (keys < high))) for keys, inside in grams]
+        yield among, np.concatenate([keys[i] for (keys, _), i in zip(grams, at)]), np.concatenate([i + n * (len(words) + 1) for n, i in enumerate(at)])
 
 
 def _segment(grams: np.ndarray, segments: int) -> np.ndarray:
@@ -110,14 +123,17 @@ def _blocks(block_words: int, id_type: pa.DataType):
         number, ids, lengths, words, held = TaskContext.get().partitionId() << 24, [], [], [], 0
         for batch in batches:
             lists = batch.column(1)
-            ids.append(batch.column(0).to_pylist())
-            ends = lists.offsets.to_numpy()
-            lengths.append(np.diff(ends))
-            words.append(lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]])
-            held += len(words[-1])
-            if held >= block_words:
-                yield full(number, ids, lengths, words)
-                number, ids, lengths, words, held = number + 1, [], [], [], 0
+            ends, values, start = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False), 0
+            while start < len(batch):  # a batch may hold several blocks
+                stop = min(max(int(np.searchsorted(ends, ends[start] + block_words - held)), start + 1), len(batch))
+                ids.append(batch.column(0).slice(start, stop - start).to_pylist())
+                lengths.append(np.diff(ends[start : stop + 1]))
+                words.append(values[ends[start] : ends[stop]])
+                held += len(words[-1])
+                if held >= block_words:
+                    yield full(number, ids, lengths, words)
+                    number, ids, lengths, words, held = number + 1, [], [], [], 0
+                start = stop
         if ids:
             yield full(number, ids, lengths, words)
 
@@ -137,11 +153,12 @@ def _count(order: int, segments: int):
         for batch in batches:
             for number, lengths, words, vocabulary in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, doc, _ = _open(lengths, words, vocabulary)
-                grams, counts = _distinct(keys, doc, order)
-                held, starts = np.unique(_segment(grams, segments), return_index=True)
-                for segment, start, end in zip(held, starts, [*starts[1:], len(grams)]):
-                    columns = [pa.array([segment], pa.int64()), pa.array([number], pa.int64()), pa.array([_pack_sorted(grams[start:end])], pa.binary()), pa.array([_pack(counts[start:end])], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "grams", "counts"])
+                for _, grams, _ in _ranges(keys, doc, order, segments):
+                    grams, counts = np.unique(grams, return_counts=True)
+                    held, starts = np.unique(_segment(grams, segments), return_index=True)
+                    for segment, start, end in zip(held, starts, [*starts[1:], len(grams)]):
+                        columns = [pa.array([segment], pa.int64()), pa.array([number], pa.int64()), pa.array([_pack_sorted(grams[start:end])], pa.binary()), pa.array([_pack(counts[start:end])], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "grams", "counts"])
 
     return run
 
@@ -162,37 +179,31 @@ def _sum(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows.column("block"), "segment": rows.column("segment"), "others": pa.array(packed, pa.binary())})
 
 
-def _score(order: int, backoff: float, corpus_words: int, schema: pa.Schema):
+def _run_sizes(starts: np.ndarray) -> np.ndarray:
+    return np.diff(np.append(np.flatnonzero(starts), len(starts)))
+
+
+def _score(order: int, segments: int, backoff: float, corpus_words: int, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
         row = left.to_pylist()[0]
         keys, doc, sizes = _open(row["lengths"], row["words"], row["vocabulary"])
-        parts = sorted(zip(right.column("segment").to_pylist(), right.column("others").to_pylist()))
-        elsewhere = np.concatenate([_unpack(x) for _, x in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-        ends = [_grams(keys, doc, n) for n in range(1, order + 1)]
-        grams, at = (np.concatenate([e[i] for e in ends]) for i in (0, 1))
-        sizes_of = [len(e[0]) for e in ends]
-        del ends
-        # equal n-grams side by side, and among them those of one document
-        sort = np.argsort(grams, kind="stable")
-        grams, of = grams[sort], doc[at[sort]]
-        first = np.append(True, grams[1:] != grams[:-1])[: len(grams)]
-        own_first = first | np.append(True, of[1:] != of[:-1])[: len(grams)]
-        del grams, of
-        run_sizes = lambda starts: np.diff(np.append(np.flatnonzero(starts), len(starts)))
-        value = (run_sizes(first) + elsewhere)[np.cumsum(first) - 1] - run_sizes(own_first)[np.cumsum(own_first) - 1]
-        del elsewhere, first, own_first
-        found = np.empty(len(value), np.int64)
-        found[sort] = value
-        del sort, value
-        others, start = [], 0  # for each n: in how many places of other documents the n-gram that ends here stands
-        for size in sizes_of:
-            full = np.zeros(len(keys), dtype=np.int64)
-            full[at[start : start + size]] = found[start : start + size]
-            others.append(full)
-            start += size
-        del found, at
+        packed = dict(zip(right.column("segment").to_pylist(), right.column("others").to_pylist()))
+        # For each n: in how many places of other documents the n-gram that ends here stands.
+        found = np.zeros(order * len(keys), np.int64)
+        for among, grams, slots in _ranges(keys, doc, order, segments):
+            if not len(grams):
+                continue
+            elsewhere = np.concatenate([_unpack(packed[s]) for s in among if s in packed]).astype(np.int64)
+            # equal n-grams side by side, and among them those of one document
+            sort = np.argsort(grams, kind="stable")
+            grams, slots = grams[sort], slots[sort]
+            of = doc[slots % len(keys)]
+            first = np.append(True, grams[1:] != grams[:-1])
+            own_first = first | np.append(True, of[1:] != of[:-1])
+            found[slots] = (_run_sizes(first) + elsewhere)[np.cumsum(first) - 1] - _run_sizes(own_first)[np.cumsum(own_first) - 1]
+        others = found.reshape(order, len(keys))
         index = doc.astype(np.int64)
         rest = corpus_words - sizes[index]
         place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -227,7 +238,7 @@ def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", orde
     counts = blocks.select("block", "lengths", "words", "vocabulary").mapInArrow(_count(order, segments), "segment long, block long, grams binary, counts binary")
     totals = counts.groupBy("segment").applyInArrow(_sum, "block long, segment long, others binary")
     result = T.StructType([T.StructField(key, id_field.dataType), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), *[T.StructField(f"used_{n}", T.LongType()) for n in range(order + 1)]])
-    run = _score(order, backoff, corpus_words, to_arrow_schema(result))
+    run = _score(order, segments, backoff, corpus_words, to_arrow_schema(result))
     return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, result)
 
 
