@@ -40,9 +40,11 @@ from playerflow.session import written
 ORDER = 3
 BACKOFF = 0.4
 #: Words from which on a block is full; a document stays whole.
-BLOCK_WORDS = 5_000_000
+BLOCK_WORDS = 6_000_000
 #: Ranges in which a task goes through the n-grams of a block.
 RANGES = 16
+#: Words of a block that are scored at a time.
+PIECE_WORDS = 500_000
 #: Words of the corpus for each segment of the count table.
 SEGMENT_WORDS = 500_000
 
@@ -143,7 +145,7 @@ def _blocks(block_words: int, id_type: pa.DataType):
 def _open(lengths: bytes, words: bytes, vocabulary: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word keys, the document's place in the block for each word, and words per document."""
     sizes = _unpack(lengths).astype(np.int64)
-    return _unpack_sorted(vocabulary)[_unpack(words).astype(np.int64)], np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes), sizes
+    return _unpack_sorted(vocabulary)[_unpack(words).astype(np.int64)], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), sizes
 
 
 def _count(order: int, segments: int):
@@ -183,7 +185,7 @@ def _run_sizes(starts: np.ndarray) -> np.ndarray:
     return np.diff(np.append(np.flatnonzero(starts), len(starts)))
 
 
-def _score(order: int, segments: int, backoff: float, corpus_words: int, schema: pa.Schema):
+def _score(order: int, segments: int, backoff: float, corpus_words: int, piece_words: int, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
@@ -204,25 +206,32 @@ def _score(order: int, segments: int, backoff: float, corpus_words: int, schema:
             own_first = first | np.append(True, of[1:] != of[:-1])
             found[slots] = (_run_sizes(first) + elsewhere)[np.cumsum(first) - 1] - _run_sizes(own_first)[np.cumsum(own_first) - 1]
         others = found.reshape(order, len(keys))
-        index = doc.astype(np.int64)
-        rest = corpus_words - sizes[index]
-        place = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        score = np.log(np.maximum(others[0], backoff) / np.maximum(rest, 1))
-        used = np.where(others[0] > 0, 1, 0)
-        for n in range(2, order + 1):
-            before = np.append(0, others[n - 2][:-1])  # the words before this one, as an n-gram that ended there
-            seen = (others[n - 1] > 0) & (before > 0)
-            ratio = np.log(np.where(seen, others[n - 1], 1) / np.where(seen, before, 1))
-            score = np.where(seen, ratio, np.where(place >= n - 1, np.log(backoff) + score, score))
-            used = np.where(seen, n, used)
-        columns = [pa.array(row["ids"], schema.field(0).type), pa.array(sizes), pa.array(np.bincount(index, score, len(sizes)))]
-        columns += [pa.array(np.bincount(index[used == n], minlength=len(sizes)).astype(np.int64)) for n in range(order + 1)]
+        starts = np.cumsum(sizes) - sizes
+        total, by_length = np.zeros(len(sizes)), np.zeros((order + 1, len(sizes)), np.int64)
+        for low in range(0, len(keys), piece_words):
+            index = doc[low : low + piece_words].astype(np.int64)
+            here = slice(low, low + len(index))
+            base, place = index[0], np.arange(low, here.stop) - starts[index]
+            score = np.log(np.maximum(others[0, here], backoff) / np.maximum(corpus_words - sizes[index], 1))
+            used = np.where(others[0, here] > 0, 1, 0)
+            for n in range(2, order + 1):
+                # the words before this one, as an n-gram that ended there
+                before = others[n - 2, low - 1 : here.stop - 1] if low else np.append(0, others[n - 2, : here.stop - 1])
+                seen = (others[n - 1, here] > 0) & (before > 0)
+                ratio = np.log(np.where(seen, others[n - 1, here], 1) / np.where(seen, before, 1))
+                score = np.where(seen, ratio, np.where(place >= n - 1, np.log(backoff) + score, score))
+                used = np.where(seen, n, used)
+            docs = slice(base, index[-1] + 1)
+            total[docs] += np.bincount(index - base, score)
+            for n in range(order + 1):
+                by_length[n, docs] += np.bincount(index[used == n] - base, minlength=docs.stop - base)
+        columns = [pa.array(row["ids"], schema.field(0).type), pa.array(sizes), pa.array(total), *map(pa.array, by_length)]
         return pa.Table.from_arrays(columns, schema=schema)
 
     return run
 
 
-def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
     """key, n_words, log_score (the sum over the words) and used_0 to used_<order>: words scored by an n-gram of that length (0: unseen)."""
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -238,7 +247,7 @@ def score_documents(df: DataFrame, text: str = "text", key: str = "doc_id", orde
     counts = blocks.select("block", "lengths", "words", "vocabulary").mapInArrow(_count(order, segments), "segment long, block long, grams binary, counts binary")
     totals = counts.groupBy("segment").applyInArrow(_sum, "block long, segment long, others binary")
     result = T.StructType([T.StructField(key, id_field.dataType), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), *[T.StructField(f"used_{n}", T.LongType()) for n in range(order + 1)]])
-    run = _score(order, segments, backoff, corpus_words, to_arrow_schema(result))
+    run = _score(order, segments, backoff, corpus_words, piece_words, to_arrow_schema(result))
     return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, result)
 
 

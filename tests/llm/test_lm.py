@@ -11,7 +11,7 @@ def test_blocks_do_not_change_scores(spark, sf_dir, duck):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        found = spark_rows(L.score_documents(docs, block_words=2_000, segment_words=9_000).withColumn("log_score", F.round("log_score", 3)))
+        found = spark_rows(L.score_documents(docs, block_words=2_000, segment_words=9_000, piece_words=300).withColumn("log_score", F.round("log_score", 3)))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert difference(found, duck_rows(duck, L._SQL)) is None
