@@ -118,26 +118,22 @@ def _level(amount: Column) -> Column:
     return (amount.cast("double") + F.lit(0.0)).cast("string")
 
 
-def rollups(deposits: DataFrame, keys: Sequence[str], exact: bool = True) -> DataFrame:
+def rollups(deposits: DataFrame, keys: Sequence[str], exact: DataFrame | None = None) -> DataFrame:
     """Count, sum, smallest and largest amount per key, bucket and grain.
 
-    One aggregation with partial sums before its shuffle. The level is either
-    ``any`` or, with ``exact``, one amount: extremes cannot decide ``equal``.
+    One aggregation with partial sums before its shuffle. The level is ``any``;
+    the amounts that ``exact`` names (distinct keys and level) have cells of
+    their own besides, as extremes cannot decide ``equal``.
     """
-    levels = (F.lit(ANY_LEVEL), _level(F.col("amount"))) if exact else (F.lit(ANY_LEVEL),)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(grain).alias("grain"),
-                (F.floor(F.col("second") / F.lit(grain)) * F.lit(grain)).alias("bucket"),
-                level.alias("level"),
-            )
-            for grain in GRAINS
-            for level in levels
-        ]
-    )
-    rows = deposits.select(*keys, "amount", F.explode(cells).alias("c"))
-    return rows.groupBy(*keys, "c.grain", "c.bucket", "c.level").agg(
+    rows = deposits.select(*keys, "second", "amount")
+    levels = F.array(F.lit(ANY_LEVEL))
+    if exact is not None:
+        rows = rows.withColumn("level", _level(F.col("amount"))).join(exact.withColumn("__named", F.lit(True)), [*keys, "level"], "left")
+        levels = F.when(F.col("__named"), F.array(F.lit(ANY_LEVEL), F.col("level"))).otherwise(levels)
+    bucket = lambda grain: F.floor(F.col("second") / F.lit(grain)) * F.lit(grain)
+    cells = F.array(*[F.struct(F.lit(grain).alias("grain"), bucket(grain).alias("bucket")) for grain in GRAINS])
+    rows = rows.select(*keys, "second", "amount", F.explode(levels).alias("level")).select(*keys, "amount", "level", F.explode(cells).alias("c"))
+    return rows.groupBy(*keys, "c.grain", "c.bucket", "level").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"),
         F.min("amount").alias("low"), F.max("amount").alias("high"),
     )
@@ -160,9 +156,9 @@ def cover(rules: DataFrame) -> DataFrame:
     parts = [cells(steps(first, stop, GRAINS[0]), GRAINS[0])]
     for outer, grain in zip(GRAINS, GRAINS[1:]):
         first, stop = up(a, grain), down(b, grain)
-        left = steps(first, F.least(up(a, outer), stop), grain)
-        right = steps(F.greatest(down(b, outer), first), stop, grain)
-        parts.append(cells(F.array_union(left, right), grain))
+        turn = F.least(up(a, outer), stop)  # all that is left of a window inside one outer bucket lies before it
+        left, right = steps(first, turn, grain), steps(F.greatest(down(b, outer), turn), stop, grain)
+        parts.append(cells(F.concat(left, right), grain))
     return rules.select("*", F.explode(F.concat(*parts)).alias("__b")).select("*", "__b.grain", "__b.bucket").drop("__b")
 
 
@@ -214,12 +210,16 @@ def summarise(
     second, the amount and ``order``.
     """
     lean = rules.select(*dict.fromkeys([*RULE, *keys, "symbol", "times", "threshold", "from_ts", "to_ts"]))
-    # Both tables are read several times below, so each is written once.
-    rolled = written(rollups(deposits, keys), "rollups")
     # Every rule looks at all amounts; a single ``equal`` rule also at the one it names.
     one_amount = F.col("times").isNull() & (F.col("symbol") == "equal")
     levels = F.array_compact(F.array(F.lit(ANY_LEVEL), F.when(one_amount, _level(F.col("threshold")))))
-    cells = cover(lean.withColumn("level", F.explode(levels))).join(rolled, [*keys, "level", "grain", "bucket"])
+    named = lean.filter(one_amount).select(*keys, _level(F.col("threshold")).alias("level")).distinct()
+    # Both tables are read several times below, so each is written once.
+    rolled = written(rollups(deposits, keys, named), "rollups")
+    # A rule becomes hundreds of buckets: rules are dealt first, however small their table looks.
+    parts = int(deposits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lean.withColumn("level", F.explode(levels)).repartition(parts, *RULE)
+    cells = cover(dealt).join(rolled, [*keys, "level", "grain", "bucket"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
     summed = cells.groupBy(*carried, "times").agg(
@@ -228,8 +228,10 @@ def summarise(
     )
     totals = written(summed, "rule-totals")
     hits = totals.filter(F.col("hit").isNotNull()).select(*carried, *_unpacked("hit"))
-    seconds = _first_matching_second(hits, rolled, keys, legacy_less)
-    distinct = deposits.groupBy(*keys, "second", "amount").agg(F.min(order).alias("__first"))
+    seconds = written(_first_matching_second(hits, rolled, keys, legacy_less), "rule-seconds")
+    # Few seconds decide a rule: only their deposits are grouped.
+    decisive_deposits = deposits.join(seconds.select(*keys, "second").distinct(), [*keys, "second"], "left_semi")
+    distinct = decisive_deposits.groupBy(*keys, "second", "amount").agg(F.min(order).alias("__first"))
     first = (
         seconds.join(distinct, [*keys, "second"])
         .filter(compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less))
@@ -256,7 +258,8 @@ def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False) -
     A window without deposits never satisfies. The amount reported is that of
     the first such single rule.
     """
-    parsed = with_threshold(rules.filter(F.col("kind") == "deposit"))
+    # Windows, named amounts and texts each read the rules.
+    parsed = written(with_threshold(rules.filter(F.col("kind") == "deposit")), "rules")
     texts = parsed.select(*RULE, "player_id", "accept_uri", "expected", "symbol", "times", "threshold")
     facts = summarise(parsed, deposits, legacy_less).join(texts, list(RULE))
     total_met = F.col("threshold").isNull() | compare(F.col("symbol"), F.col("threshold"), F.col("total"), legacy_less)
@@ -279,7 +282,7 @@ def wagered(rules: DataFrame, bets: DataFrame) -> DataFrame:
     ``bets`` needs player_id, sport_id, second and amount. They are rolled up
     once per player and sport; rules without sports add the sports up.
     """
-    rolled = written(rollups(bets, (*PLAYER, "sport_id"), exact=False), "wager-rollups")
+    rolled = written(rollups(bets, (*PLAYER, "sport_id")), "wager-rollups")
     listed = F.size("sports") > 0
     per_sport = rules.filter(listed).withColumn("sport_id", F.explode(F.array_distinct("sports")))
     some = window_totals(per_sport, rolled, (*PLAYER, "sport_id"))
