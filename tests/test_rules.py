@@ -162,3 +162,33 @@ def test_expired(spark):
     gone = R.expired(frame, F.lit("2024-02-01").cast("timestamp"))
     assert {r["request_id"] for r in gone.collect()} == {1, 3}
     assert {r["request_id"] for r in R.retire(frame, gone).collect()} == {2}
+
+
+def test_cover_has_no_overlaps(spark):
+    """Windows inside one bucket of each grain, and across its borders, as whole seconds, each exactly once."""
+    rng = random.Random(7)
+    windows = []
+    for length in (0, 1, 59, 60, 61, 3599, 3600, 3601, 86399, 86400, 86401, 200000):
+        for start in (0, 1, 59, 60, 3599, 3600, 86399, rng.randrange(86400), rng.randrange(86400)):
+            windows.append((start, start + length))
+    at = lambda s: DAY + dt.timedelta(seconds=s)
+    rules = spark.createDataFrame([(i, at(a), at(b)) for i, (a, b) in enumerate(windows)], "i int, from_ts timestamp, to_ts timestamp")
+    found = {}
+    for r in R.cover(rules).collect():
+        found.setdefault(r["i"], []).append((r["bucket"] - int(DAY.timestamp()), r["grain"]))
+    for i, (a, b) in enumerate(windows):
+        end = a
+        for bucket, grain in sorted(found[i]):
+            assert bucket == end, (a, b)
+            end += grain
+        assert end == b + 1, (a, b)
+
+
+def test_only_named_amounts_have_cells_of_their_own(spark):
+    deposits = spark.createDataFrame([(1, 5, 10.0), (1, 5, 20.0), (1, 65, 10.0), (2, 5, 10.0)], "player_id bigint, second bigint, amount double")
+    named = spark.createDataFrame([(1, "10.0"), (2, "99.0")], "player_id bigint, level string")
+    rows = [(r["player_id"], r["grain"], r["level"], r["n"]) for r in R.rollups(deposits, R.PLAYER, named).collect()]
+    assert {(g, n) for p, g, level, n in rows if level == "10.0"} == {(86400, 2), (3600, 2), (60, 1), (1, 1)}
+    assert {p for p, _, level, _ in rows if level != R.ANY_LEVEL} == {1}
+    assert sorted(n for p, g, level, n in rows if g == 86400 and level == R.ANY_LEVEL) == [1, 3]
+    assert {r["level"] for r in R.rollups(deposits, R.PLAYER).collect()} == {R.ANY_LEVEL}
