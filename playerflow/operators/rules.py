@@ -7,6 +7,10 @@ days inside, hours towards the ends, then minutes, then seconds. A window of at
 most 31 days needs at most about 320 buckets, however many deposits lie in it,
 and the join key ``(player, grain, bucket)`` spreads a player over many tasks.
 All players take this one way, so the answer does not depend on their size.
+A window is first cut into its days, and only days with deposits are covered.
+
+Rules and buckets multiply after they are read or shuffled, which no size
+estimate knows of, so their joins are merges and never broadcast.
 
 Thresholds of single deposits are compared with the exact amounts, sums are
 money with two decimals.
@@ -128,7 +132,7 @@ def rollups(deposits: DataFrame, keys: Sequence[str], exact: DataFrame | None =
     rows = deposits.select(*keys, "second", "amount")
     levels = F.array(F.lit(ANY_LEVEL))
     if exact is not None:
-        rows = rows.withColumn("level", _level(F.col("amount"))).join(exact.withColumn("__named", F.lit(True)), [*keys, "level"], "left")
+        rows = rows.withColumn("level", _level(F.col("amount"))).join(exact.withColumn("__named", F.lit(True)).hint("merge"), [*keys, "level"], "left")
         levels = F.when(F.col("__named"), F.array(F.lit(ANY_LEVEL), F.col("level"))).otherwise(levels)
     bucket = lambda grain: F.floor(F.col("second") / F.lit(grain)) * F.lit(grain)
     cells = F.array(*[F.struct(F.lit(grain).alias("grain"), bucket(grain).alias("bucket")) for grain in GRAINS])
@@ -162,6 +166,24 @@ def cover(rules: DataFrame) -> DataFrame:
     return rules.select("*", F.explode(F.concat(*parts)).alias("__b")).select("*", "__b.grain", "__b.bucket").drop("__b")
 
 
+def _on_days(rules: DataFrame, rolled: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per rule and day of its window on which there are deposits, with the window's part of that day."""
+    day = GRAINS[0]
+    midnight = lambda c: F.floor(F.unix_seconds(c) / F.lit(day)) * F.lit(day)
+    days = F.when(F.unix_seconds("from_ts") <= F.unix_seconds("to_ts"), F.sequence(midnight("from_ts"), midnight("to_ts"), F.lit(day).cast("bigint")))
+    there = rolled.filter(F.col("grain") == day).select(*on, F.col("bucket").alias("__day"))
+    rows = rules.withColumn("__day", F.explode(days)).join(there.hint("merge"), [*on, "__day"], "left_semi")
+    start, end = F.timestamp_seconds("__day"), F.timestamp_seconds(F.col("__day") + F.lit(day - 1))
+    return rows.withColumn("from_ts", F.greatest("from_ts", start)).withColumn("to_ts", F.least("to_ts", end)).select(*rules.columns)
+
+
+def _covered(rules: DataFrame, rolled: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per rule and bucket with deposits inside its window."""
+    # A rule becomes many buckets: rules are dealt first, however small their table looks.
+    parts = int(rules.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cover(_on_days(rules.repartition(parts, *RULE), rolled, on)).join(rolled.hint("merge"), [*on, "grain", "bucket"])
+
+
 def _may_match(legacy_less: bool) -> Column:
     """Whether some deposit of a bucket meets the threshold: its extremes decide."""
     largest = F.col("symbol").isin("more", "moreOrEqual")
@@ -189,13 +211,14 @@ def _first_matching_second(hits: DataFrame, rolled: DataFrame, keys, legacy_less
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     best = hits
     for outer, grain in zip(GRAINS, GRAINS[1:]):
-        last = F.when(F.col("grain") == outer, F.col("bucket") + F.lit(outer - grain)).otherwise(F.col("bucket"))
-        children = F.explode(F.sequence(F.col("bucket"), last, F.lit(grain).cast("bigint")))
-        # Buckets that are finer already stay as they are.
-        steps = best.select(*carried, children.alias("bucket"), F.least(F.col("grain"), F.lit(grain)).alias("grain"))
+        # Each bucket under its parent; those that are finer already stay as they are.
+        parent = F.struct(F.lit(outer).alias("grain"), (F.floor(F.col("bucket") / F.lit(outer)) * F.lit(outer)).alias("bucket"))
+        places = F.array_compact(F.array(F.struct("grain", "bucket"), F.when(F.col("grain") == grain, parent)))
+        children = rolled.filter(F.col("grain") <= grain).select(*keys, "level", "low", "high", _pack().alias("child"), F.explode(places).alias("p"))
+        children = children.select(*keys, "level", "p.*", "low", "high", "child")
         best = (
-            steps.join(rolled, [*keys, "level", "grain", "bucket"]).filter(_may_match(legacy_less))
-            .groupBy(*carried).agg(F.min(_pack()).alias("hit"))
+            best.join(children.hint("merge"), [*keys, "level", "grain", "bucket"]).filter(_may_match(legacy_less))
+            .groupBy(*carried).agg(F.min("child").alias("hit"))
             .select(*carried, *_unpacked("hit"))
         )
     return best.select(*carried, F.col("bucket").alias("second"))
@@ -216,10 +239,7 @@ def summarise(
     named = lean.filter(one_amount).select(*keys, _level(F.col("threshold")).alias("level")).distinct()
     # Both tables are read several times below, so each is written once.
     rolled = written(rollups(deposits, keys, named), "rollups")
-    # A rule becomes hundreds of buckets: rules are dealt first, however small their table looks.
-    parts = int(deposits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lean.withColumn("level", F.explode(levels)).repartition(parts, *RULE)
-    cells = cover(dealt).join(rolled, [*keys, "level", "grain", "bucket"])
+    cells = _covered(lean.withColumn("level", F.explode(levels)), rolled, [*keys, "level"])
     carried = [*RULE, *keys, "symbol", "threshold", "level"]
     decisive = F.col("times").isNull() & ((F.col("symbol") != "equal") | (F.col("level") != ANY_LEVEL))
     summed = cells.groupBy(*carried, "times").agg(
@@ -230,19 +250,19 @@ def summarise(
     hits = totals.filter(F.col("hit").isNotNull()).select(*carried, *_unpacked("hit"))
     seconds = written(_first_matching_second(hits, rolled, keys, legacy_less), "rule-seconds")
     # Few seconds decide a rule: only their deposits are grouped.
-    decisive_deposits = deposits.join(seconds.select(*keys, "second").distinct(), [*keys, "second"], "left_semi")
+    decisive_deposits = deposits.join(seconds.select(*keys, "second").distinct().hint("merge"), [*keys, "second"], "left_semi")
     distinct = decisive_deposits.groupBy(*keys, "second", "amount").agg(F.min(order).alias("__first"))
     first = (
-        seconds.join(distinct, [*keys, "second"])
+        seconds.join(distinct.hint("merge"), [*keys, "second"])
         .filter(compare(F.col("symbol"), F.col("threshold"), F.col("amount"), legacy_less))
         .groupBy(*RULE).agg(F.min_by("amount", F.struct("__first", "amount")).alias("first_amount"))
     )
-    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, "n", "total").join(first, list(RULE), "left")
+    return totals.filter(F.col("level") == ANY_LEVEL).select(*RULE, "n", "total").join(first.hint("merge"), list(RULE), "left")
 
 
 def window_totals(rules: DataFrame, rolled: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Count and sum per rule from rolled-up rows, which may be finer than ``keys``."""
-    cells = cover(rules.select(*RULE, *keys, "from_ts", "to_ts")).join(rolled, [*keys, "grain", "bucket"])
+    cells = _covered(rules.select(*RULE, *keys, "from_ts", "to_ts"), rolled, keys)
     return cells.groupBy(*RULE).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
@@ -261,7 +281,7 @@ def evaluate(rules: DataFrame, deposits: DataFrame, legacy_less: bool = False) -
     # Windows, named amounts and texts each read the rules.
     parsed = written(with_threshold(rules.filter(F.col("kind") == "deposit")), "rules")
     texts = parsed.select(*RULE, "player_id", "accept_uri", "expected", "symbol", "times", "threshold")
-    facts = summarise(parsed, deposits, legacy_less).join(texts, list(RULE))
+    facts = summarise(parsed, deposits, legacy_less).join(texts.hint("merge"), list(RULE))
     total_met = F.col("threshold").isNull() | compare(F.col("symbol"), F.col("threshold"), F.col("total"), legacy_less)
     counted = compare(F.col("symbol"), F.col("times"), F.col("n"), legacy_less) & total_met
     single = F.col("times").isNull()
@@ -302,4 +322,4 @@ def retire(requests: DataFrame, *done: DataFrame) -> DataFrame:
     for df in done:
         ids = df.select("request_id")
         gone = ids if gone is None else gone.unionByName(ids)
-    return requests.join(gone, "request_id", "left_anti")
+    return requests.join(gone.hint("merge"), "request_id", "left_anti")

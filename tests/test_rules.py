@@ -192,3 +192,25 @@ def test_only_named_amounts_have_cells_of_their_own(spark):
     assert {p for p, _, level, _ in rows if level != R.ANY_LEVEL} == {1}
     assert sorted(n for p, g, level, n in rows if g == 86400 and level == R.ANY_LEVEL) == [1, 3]
     assert {r["level"] for r in R.rollups(deposits, R.PLAYER).collect()} == {R.ANY_LEVEL}
+
+
+def test_rules_and_buckets_are_never_broadcast(spark):
+    """A window becomes many buckets, which no size estimate tells: nothing of the rules goes through the driver."""
+    requests, deposits = _random_case(3)
+    asked, paid = _requests(spark, requests), _deposits(spark, deposits)
+    accepted, _ = R.normalise(asked)
+    fired = R.evaluate(accepted, paid)
+    bets = paid.withColumn("sport_id", F.lit("1"))
+    for made in (R.summarise(R.with_threshold(accepted), paid), fired, R.wagered(accepted, bets), R.retire(asked, fired)):
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_without_deposits_are_not_covered(spark):
+    """A month's window has buckets on the days with deposits only, and its parts of a day keep their ends."""
+    rules = R.with_threshold(R.normalise(_requests(spark, [_request(1, [_rule("more", 1, start=DAY + dt.timedelta(hours=5), end=DAY + dt.timedelta(days=25))])]))[0])
+    second = int(DAY.timestamp()) + 3 * 86400 + 70
+    rolled = R.rollups(_deposits(spark, [(1, second, 5.0, 1), (1, second + 40, 6.0, 2), (1, int(DAY.timestamp()), 7.0, 3)]), R.PLAYER)
+    days = R._on_days(rules, rolled, R.PLAYER).select("from_ts", "to_ts").collect()
+    seconds = sorted((int(d["from_ts"].timestamp()) - int(DAY.timestamp()), int(d["to_ts"].timestamp()) - int(DAY.timestamp())) for d in days)
+    assert seconds == [(5 * 3600, 86399), (3 * 86400, 4 * 86400 - 1)]
+    assert [(r["n"], float(r["total"])) for r in R.window_totals(rules, rolled, R.PLAYER).collect()] == [(2, 11.0)]
