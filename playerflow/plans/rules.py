@@ -168,4 +168,4 @@ def wagered_rules(spark, sf):
     per_second = T.bets(spark, sf).select(
         "bet_id", F.unix_seconds(F.col("bet_datetime").cast("timestamp")).alias("second"), F.col("wager_amount").alias("amount")
     )
-    return R.wagered(rules, per_second.join(owners, "bet_id")).select(F.col("request_id").alias("player_id"), "n", "total")
+    return R.wagered(rules, per_second.join(owners.hint("merge"), "bet_id")).select(F.col("request_id").alias("player_id"), "n", "total")
