@@ -83,7 +83,7 @@ def recheck_rules(requests: DataFrame, deposits: BatchOutput, fired: BatchOutput
         deposits.write(by_day, batch_id, "day")
         done = fired.read(schema).filter(f"batch < {batch_id}") if batch_id else spark.createDataFrame([], schema)
         active = R.retire(requests, done)
-        players = batch.select("player_id").distinct()
+        players = batch.select("player_id").distinct().hint("merge")
         if not whole:
             active = active.join(players, "player_id", "left_semi")
         accepted, _ = R.normalise(active)
