@@ -45,7 +45,7 @@ def stream_profile_changes(spark, sf, fields=PP.OUTWARD, files_per_trigger=None,
     told = in_order(spark, "profiles", rows, ordered.Changes(fields), out, fields, delay=delay, base=base)
     changed = told.filter(~F.col("late")).withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
     messages = O.outbox(changed.withColumn("selector", F.lit("player_updated")), tuple(fields))
-    return ordered.table_of(spark, f"{base}/checkpoint", P.KEY, out), messages
+    return ordered.table_of(spark, f"{base}/checkpoint", ordered.key_types(rows, P.KEY), out), messages
 
 
 @query(
@@ -189,7 +189,7 @@ def _changelog(spark, sf, deleted, files_per_trigger, delay):
     rows = event_stream(spark, sf, files_per_trigger).select(*P.KEY, *P.ORDER, "dt", deleted.alias("deleted"))
     base = run_dir(spark, "changelog")
     told = in_order(spark, "changelog", rows, ordered.Upserts(), "op string, dt string", ["dt", "deleted"], delay=delay, base=base)
-    return told.filter(~F.col("late")), ordered.table_of(spark, f"{base}/checkpoint", P.KEY, "seq bigint, dt string")
+    return told.filter(~F.col("late")), ordered.table_of(spark, f"{base}/checkpoint", ordered.key_types(rows, P.KEY), "seq bigint, dt string")
 
 
 @query("changelog_to_table", f"""{EV} SELECT brand_id, player_id, max(seq) AS seq, arg_max(dt, seq) AS dt FROM ev GROUP BY 1, 2""")

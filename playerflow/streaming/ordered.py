@@ -2,11 +2,14 @@
 
 Rows of a key wait in list state until the watermark has passed them, and are
 then handed to a fold one after the other, in the order of their time and
-number; how they were spread over micro-batches does not matter. One timer per
-key stands at the earliest thing to do: a waiting row, or the moment at which
-the fold wants to be woken. A micro-batch so reads only keys that have rows in
-it or whose timer is due. Rows that come behind the watermark are not merged but
-told apart as late.
+number; how they were spread over micro-batches does not matter. Rows that come
+behind the watermark are not merged but told apart as late.
+
+Each call to the store or to a timer costs far more than a row's fold, so keys
+are dealt by hash into ``BUCKETS`` buckets, which share those calls. A bucket has
+one timer, at the earliest thing to do for any of its keys: a waiting row, or the
+moment at which the fold wants to be woken. A micro-batch so reads only buckets
+that have rows in it or whose timer is due. Each key has its own state, time and order.
 
 A fold is a small object with plain data as state (anything that JSON holds):
 ``step(state, us, seq, row)`` and ``tick(state, us)`` give the new state (None
@@ -17,6 +20,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 from typing import Any
 
 import pandas as pd
@@ -27,6 +32,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 State = Any
 Rows = list[dict]
 
+#: Fixed for good, as it is part of what a checkpoint holds.
+BUCKETS = 8192
+
 
 class Fold:
     def step(self, state: State, us: int, seq: int, row: dict) -> tuple[State, Rows]:
@@ -40,55 +48,73 @@ class Fold:
 
 
 class InOrder(StatefulProcessor):
+    """The keys of one bucket, each named by a text, with its own rows and state."""
+
     def __init__(self, fold: Fold, columns: Sequence[str]):
         self.fold, self.columns = fold, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, seq bigint, row string")
-        self.state = handle.getValueState("state", "state string")
+        # each element holds the rows of one batch: a list of key, us, seq and row
+        self.waiting = handle.getListState("waiting", "rows string")
+        self.state = handle.getListState("state", "key string, state string, wake bigint")
         self.alarm = handle.getValueState("alarm", "ms bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        passed, fresh, late = timerValues.getCurrentWatermarkInMs() * 1000, [], []
+        passed, first = timerValues.getCurrentWatermarkInMs() * 1000, None
         for chunk in rows:
-            for us, seq, row in chunk[["us", "seq", "row"]].itertuples(index=False, name=None):
-                (late if us < passed else fresh).append((int(us), int(seq), row))
-        if fresh:
-            self.waiting.appendList(fresh)
-            self._set_alarm(min(us for us, _, _ in fresh))
-        yield self._frame([(*key, us, seq, True, row) for us, seq, row in late])
+            fresh, late = [], []
+            for name, us, seq, row in chunk[["key", "us", "seq", "row"]].itertuples(index=False, name=None):
+                (late if us < passed else fresh).append((name, int(us), int(seq), row))
+            if fresh:
+                self.waiting.appendValue((json.dumps(fresh),))
+                earliest = min(map(itemgetter(1), fresh))
+                first = earliest if first is None else min(first, earliest)
+            yield self._frame([(name, us, seq, True, row) for name, us, seq, row in late])
+        if first is not None:
+            self._set_alarm(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         self.alarm.clear()
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
-        due = [r for r in rows if r[0] < passed]
-        state = json.loads(self.state.get()[0]) if self.state.exists() else None
+        due, later = {}, []
+        for (rows,) in self.waiting.get():
+            for name, us, seq, row in json.loads(rows):
+                due.setdefault(name, []).append((us, seq, row)) if us < passed else later.append((name, us, seq, row))
+        states = {name: (state, wake) for name, state, wake in self.state.get()}
+        for name, (_, wake) in states.items():
+            if wake is not None and wake < passed:
+                due.setdefault(name, [])
         out = []
-        for us, seq, row in due:
-            state = self._ticks(state, us, out, key)
-            state, made = self.fold.step(state, us, seq, json.loads(row))
-            out += [(*key, us, seq, False, json.dumps(m)) for m in made]
-        state = self._ticks(state, passed, out, key)
-        later = rows[len(due) :]
-        self.waiting.put(later) if later else self.waiting.clear()
-        self.state.clear() if state is None else self.state.update((json.dumps(state),))
-        wake = None if state is None else self.fold.wake(state)
-        for moment in (later[0][0] if later else None, wake):
-            if moment is not None:
-                self._set_alarm(moment)
+        for name, rows in due.items():
+            state = json.loads(states[name][0]) if name in states else None
+            for us, seq, row in sorted(rows):
+                state = self._ticks(state, us, out, name)
+                state, made = self.fold.step(state, us, seq, json.loads(row))
+                out += [(name, us, seq, False, json.dumps(m)) for m in made]
+            state = self._ticks(state, passed, out, name)
+            if state is None:
+                states.pop(name, None)
+            else:
+                states[name] = (json.dumps(state), self.fold.wake(state))
+        if any(due.values()):
+            self.waiting.put([(json.dumps(later),)]) if later else self.waiting.clear()
+        if due:
+            self.state.put([(name, *kept) for name, kept in states.items()]) if states else self.state.clear()
+        moments = [us for _, us, _, _ in later] + [wake for _, wake in states.values() if wake is not None]
+        if moments:
+            self._set_alarm(min(moments))
         yield self._frame(out)
 
-    def _ticks(self, state: State, until: int, out: list, key) -> State:
+    def _ticks(self, state: State, until: int, out: list, name: str) -> State:
         """Wakes the fold for all its moments before ``until``."""
         while state is not None and (moment := self.fold.wake(state)) is not None and moment < until:
             state, made = self.fold.tick(state, moment)
-            out += [(*key, moment, -1, False, json.dumps(m)) for m in made]
+            out += [(name, moment, -1, False, json.dumps(m)) for m in made]
         return state
 
     def _set_alarm(self, us: int) -> None:
-        """Moves the key's only timer forward, to the first watermark that has passed ``us``."""
+        """Moves the bucket's only timer forward, to the first watermark that has passed ``us``."""
         ms = us // 1000 + 1
         if self.alarm.exists():
             (before,) = self.alarm.get()
@@ -113,11 +139,18 @@ def in_order(stream: DataFrame, keys: Sequence[str], fold: Fold, out: str, colum
     marked = stream.withColumn(time, F.col(time).cast("timestamp"))
     marked = marked.withWatermark(time, delay) if delay is not None else marked
     # a computed time carries no watermark, so late rows reach the processor and are not dropped before
-    rows = marked.select(*keys, F.unix_micros(time).alias("us"), F.col(seq).cast("bigint").alias("seq"), F.to_json(F.struct(*columns)).alias("row"))
-    key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
-    names = [*keys, "us", "seq", "late", "out"]
-    told = rows.groupBy(*keys).transformWithStateInPandas(InOrder(fold, names), f"{key_types}, us bigint, seq bigint, late boolean, out string", "Append", "EventTime")
-    return told.withColumn("__out", F.from_json(F.when(~F.col("late"), F.col("out")), out)).select(*keys, "us", "seq", "late", "__out.*")
+    rows = marked.select(
+        F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("bucket"), F.to_json(F.struct(*keys)).alias("key"),
+        F.unix_micros(time).alias("us"), F.col(seq).cast("bigint").alias("seq"), F.to_json(F.struct(*columns)).alias("row"))
+    names = ["key", "us", "seq", "late", "out"]
+    told = rows.groupBy("bucket").transformWithStateInPandas(InOrder(fold, names), "key string, us bigint, seq bigint, late boolean, out string", "Append", "EventTime")
+    told = told.withColumn("__key", F.from_json("key", key_types(stream, keys))).withColumn("__out", F.from_json(F.when(~F.col("late"), F.col("out")), out))
+    return told.select("__key.*", "us", "seq", "late", "__out.*")
+
+
+def key_types(rows: DataFrame, keys: Sequence[str]) -> str:
+    """The keys of a frame and their types, as a schema."""
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
 
 
 class Changes(Fold):
@@ -207,10 +240,10 @@ class Upserts(Fold):
         return {**row, "seq": seq}, [{**row, "op": "insert" if state is None else "update"}]
 
 
-def table_of(spark: SparkSession, checkpoint: str, keys: Sequence[str], schema: str) -> DataFrame:
-    """The folds' states after the last committed batch, read from the state store of a job of ``in_order``."""
+def table_of(spark: SparkSession, checkpoint: str, keys: str, schema: str) -> DataFrame:
+    """The folds' states after the last committed batch, read from the state store of a job of ``in_order``; ``keys`` as of ``key_types``."""
     stored = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "state").load()
-    return stored.select(*[F.col(f"key.{k}").alias(k) for k in keys], F.from_json("value.state", schema).alias("__row")).select(*keys, "__row.*")
+    return stored.select(F.from_json("list_element.key", keys).alias("__key"), F.from_json("list_element.state", schema).alias("__row")).select("__key.*", "__row.*")
 
 
 class Numbered(Fold):

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,86 @@ def test_old_bets_are_forgotten():
     assert [m["kind"] for m in placed + result] == ["placed", "result"] and result[0]["bet_won_lost"] == "lost" and result[0]["result_date"] == "2024-01-02"
     assert watched.step(state, DAY, 3, {"settlement": {"wager_at": "2024-01-03T00:00:00.000Z", "lost": False}, "is_wager": True})[1] == []
     assert watched.wake(state) == 3 * DAY + 1 and watched.tick(state, 3 * DAY + 1) == (None, [])
+
+
+class _Store:
+    """List and value states and the timers of one bucket, which count their calls."""
+
+    def __init__(self):
+        self.calls, self.lists, self.values, self.timers, self.now = 0, {}, {}, set(), 0
+
+    def _state(self, kind, name):
+        store = self
+
+        class Called:
+            def __getattr__(self, method):
+                def call(value=None):
+                    store.calls += 1
+                    held = store.lists.setdefault(name, []) if kind == "list" else None
+                    if method == "get":
+                        return iter(list(held)) if kind == "list" else store.values.get(name)
+                    if method == "exists":
+                        return name in store.values
+                    if method == "clear":
+                        store.lists.pop(name, None), store.values.pop(name, None)
+                    elif method == "appendValue":
+                        held.append(value)
+                    elif method == "put":
+                        held[:] = value
+                    else:
+                        store.values[name] = value
+                return call
+
+        return Called()
+
+    def getListState(self, name, schema):
+        return self._state("list", name)
+
+    def getValueState(self, name, schema):
+        return self._state("value", name)
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.discard(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def _bucket(fold):
+    store, bucket = _Store(), ordered.InOrder(fold, ["key", "us", "seq", "late", "out"])
+    bucket.init(store)
+    return store, bucket
+
+
+def _frame(rows):
+    return pd.DataFrame([(k, us, seq, json.dumps(row)) for k, us, seq, row in rows], columns=["key", "us", "seq", "row"])
+
+
+def test_keys_share_the_calls_to_the_store():
+    """Hundreds of keys take a handful of calls, and each is folded in its own order."""
+    store, bucket = _bucket(ordered.Numbered())
+    rows = [(f"k{i % 500}", (1000 - i) * US, i, {}) for i in range(1000)]
+    assert sum(map(len, bucket.handleInputRows((0,), iter([_frame(rows[:700]), _frame(rows[700:])]), store))) == 0
+    assert store.timers == {1001}
+    store.now = 2_000_000
+    told = pd.concat(bucket.handleExpiredTimer((0,), store, None))
+    assert store.calls < 12 and len(told) == 1000 and len(store.lists["state"]) == 500 and "waiting" not in store.lists
+    found = {(r.key, r.seq): json.loads(r.out) for r in told.itertuples()}
+    assert all(found[f"k{i}", i] == {"n": 2, "previous": i + 500} and found[f"k{i}", i + 500] == {"n": 1, "previous": None} for i in range(500))
+
+
+def test_a_bucket_wakes_for_its_earliest_key():
+    """A key that is due does not touch another one's waiting rows or moment; late rows are told at once."""
+    store, bucket = _bucket(ordered.BothSides(["a", "b"], days=1))
+    list(bucket.handleInputRows((0,), iter([_frame([("x", 0, 1, {"a": 1}), ("y", 5 * DAY, 2, {"a": 2})])]), store))
+    store.timers, store.now = set(), 1000
+    list(bucket.handleExpiredTimer((0,), store, None))
+    assert [name for name, *_ in store.lists["state"]] == ["x"] and store.timers == {DAY // 1000 + 1}
+    late = pd.concat(bucket.handleInputRows((0,), iter([_frame([("x", 5, 3, {"b": 1}), ("x", 2 * DAY, 4, {"b": 1})])]), store))
+    assert late[["key", "seq", "late"]].values.tolist() == [["x", 3, True]]
+    store.timers, store.now = set(), 6 * DAY // 1000
+    told = pd.concat(bucket.handleExpiredTimer((0,), store, None))
+    assert len(told) == 0 and [(name, json.loads(state)["us"]) for name, state, _ in store.lists["state"]] == [("y", 5 * DAY)]
