@@ -167,14 +167,18 @@ def cover(rules: DataFrame) -> DataFrame:
 
 
 def _on_days(rules: DataFrame, rolled: DataFrame, on: Sequence[str]) -> DataFrame:
-    """One row per rule and day of its window on which there are deposits, with the window's part of that day."""
+    """One row per rule and day of its window on which there are deposits, with the window's part of that day.
+
+    A window without an end stays without one on its first day, of which ``cover`` takes the rest.
+    """
     day = GRAINS[0]
     midnight = lambda c: F.floor(F.unix_seconds(c) / F.lit(day)) * F.lit(day)
-    days = F.when(F.unix_seconds("from_ts") <= F.unix_seconds("to_ts"), F.sequence(midnight("from_ts"), midnight("to_ts"), F.lit(day).cast("bigint")))
+    until = F.coalesce("to_ts", "from_ts")
+    days = F.when(F.unix_seconds("from_ts") <= F.unix_seconds(until), F.sequence(midnight("from_ts"), midnight(until), F.lit(day).cast("bigint")))
     there = rolled.filter(F.col("grain") == day).select(*on, F.col("bucket").alias("__day"))
     rows = rules.withColumn("__day", F.explode(days)).join(there.hint("merge"), [*on, "__day"], "left_semi")
     start, end = F.timestamp_seconds("__day"), F.timestamp_seconds(F.col("__day") + F.lit(day - 1))
-    return rows.withColumn("from_ts", F.greatest("from_ts", start)).withColumn("to_ts", F.least("to_ts", end)).select(*rules.columns)
+    return rows.withColumn("from_ts", F.greatest("from_ts", start)).withColumn("to_ts", F.when(F.col("to_ts").isNotNull(), F.least("to_ts", end))).select(*rules.columns)
 
 
 def _covered(rules: DataFrame, rolled: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -214,3 +214,11 @@ def test_days_without_deposits_are_not_covered(spark):
     seconds = sorted((int(d["from_ts"].timestamp()) - int(DAY.timestamp()), int(d["to_ts"].timestamp()) - int(DAY.timestamp())) for d in days)
     assert seconds == [(5 * 3600, 86399), (3 * 86400, 4 * 86400 - 1)]
     assert [(r["n"], float(r["total"])) for r in R.window_totals(rules, rolled, R.PLAYER).collect()] == [(2, 11.0)]
+
+
+def test_a_window_without_an_end_takes_the_rest_of_its_first_day(spark):
+    start = int(DAY.timestamp())
+    rolled = R.rollups(_deposits(spark, [(1, start + 100, 5.0, 1), (1, start + 9000, 6.0, 2), (1, start + 90_000, 7.0, 3)]), R.PLAYER)
+    rules = spark.createDataFrame([(1, 0, 1, DAY + dt.timedelta(seconds=200), None)], "request_id bigint, rule_no int, player_id bigint, from_ts timestamp, to_ts timestamp")
+    assert [r["n"] for r in R.window_totals(rules, rolled, R.PLAYER).collect()] == [1]
+    assert R.cover(rules).join(rolled, [*R.PLAYER, "grain", "bucket"]).agg(F.sum("n")).first()[0] == 1
