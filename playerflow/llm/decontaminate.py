@@ -25,9 +25,20 @@ from playerflow.llm.quality_rules import window_keys
 from playerflow.llm.registry import query, table
 from playerflow.session import written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+def _word(*ranges: str) -> str:
+    """A run of characters outside these ranges of two hexadecimal codes, which are told one by one.
+
+    The engine looks single characters up in one table, but tries each range of a class in turn.
+    """
+    codes = [code for span in ranges for code in range(int(span[:2], 16), int(span[3:], 16) + 1)]
+    return "[^" + "".join(f"\\x{code:02X}" for code in codes) + "]+"
+
+
+#: What lies outside 00-2F, 3A-60 and 7B-7F, in a text in lower case.
+WORD = _word("00-2F", "3A-60", "7B-7F")
 #: The same in a text that is not in lower case yet.
-_EITHER_CASE = WORD.replace(r"\x60", r"\x40\x5B-\x60")
+_EITHER_CASE = _word("00-2F", "3A-40", "5B-60", "7B-7F")
 WINDOW = 10
 #: Most windows, and bytes of their words, in one broadcast.
 BROADCAST_WINDOWS = 200_000

@@ -1,3 +1,7 @@
+import re
+
+from pyspark.sql import functions as F
+
 from playerflow.llm import decontaminate as D
 from tests.llm.brute import contamination
 
@@ -65,3 +69,12 @@ def test_a_very_long_text(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in D.report(docs, items, keep=["doc_id"]).collect()}
     assert got == {0: (300_011, 11), 1: (220_000, 220_000)}
+
+
+def test_word_characters_are_told_one_by_one(spark):
+    """Words are runs outside the given ranges for every character, and no class has a range, which the engine is slow on."""
+    assert not re.search(r"\\x[0-9A-F]{2}-", D.WORD + D._EITHER_CASE)
+    text = " ".join(f"{chr(c)}a" for c in [*range(0x500), 0x4E2D, 0xFFFD, 0x1F600, 0x10FFFF])
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    row = spark.createDataFrame([(text,)], "t string").select(D.normal_words(F.col("t")).alias("w"), F.regexp_count("t", F.lit(D._EITHER_CASE)).alias("n")).first()
+    assert row["w"] == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered) and row["n"] == len(row["w"])
