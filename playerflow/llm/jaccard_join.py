@@ -7,11 +7,12 @@ forest is planted by certain meeting points: the shingle space of a size class
 is dealt into P parts. Two linked sets differ in d shingles at most, which
 follows from their sizes, so P - d parts are equal in both. With the parts of
 a set in one order for all sets, the first d + 1 of two linked sets have a
-part in common; a set is planted under these. The order is by hash, with parts
-that hold no rare shingle last. No link can miss all trees.
+part in common; a set is planted under these. Parts with the most rare
+shingles come first, equal ones by hash. No link can miss all trees.
 
-*Chains.* Neighbours in a tree are compared first. Copies of one text so
-become one component with about one comparison each, not all pairs.
+*Chains.* Neighbours in a tree are compared first, if their sizes and bitmaps
+allow a link, and of those of a class the few likeliest. Copies of one text so
+become one component with a few comparisons each, not all pairs.
 
 *Dual traversal.* Trees that still hold several components get nodes on
 levels: size band, digits of the component, component, class. A node holds
@@ -22,7 +23,14 @@ the common bits plus the shared ones are fewer than the overlap that the
 threshold needs. A tree of few components is one leaf. Pairs of components,
 which several trees may hold, are made distinct before their nodes meet; then
 classes meet the other component's node, then its classes. What is left at
-the bottom is compared exactly.
+the bottom is compared in rounds: where the pairs are many for their classes,
+each class takes its likeliest ones, the links found join components, and pairs
+inside one component need no comparison any more. A round takes eight times as
+many for each class as the one before.
+
+*Comparison.* Sets travel as 16-bit keys first, a quarter of the bytes: common
+keys and shared ones bound the overlap as the bits of the bitmaps do, whatever
+the size of a set. Only pairs that pass travel as whole sets.
 
 Results: null and empty texts, and those without words, have no shingles and
 are linked with nothing. A text with fewer words than a shingle is one shingle.
@@ -33,11 +41,11 @@ two such keys of the whole set, and a class is named by a row that has it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playerflow.llm.components import components
@@ -57,6 +65,8 @@ FREQUENT_SAMPLE = 4_000
 FREQUENT_IN = 3
 #: Most bytes of ids in a broadcast; more are joined by shuffling.
 BROADCAST_BYTES = 32 << 20
+#: Neighbours with which a class is compared before the traversal; also pairs for each class up to which all are compared at once.
+NEIGHBOURS = 4
 _BITS = [f"b{i}" for i in range(LONGS)]
 
 
@@ -99,10 +109,10 @@ class Forest:
             part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
             sums = np.zeros(parts, dtype=np.uint64)
             np.add.at(sums, part, _mix(mixed))
-            strong = np.bincount(part[rare], minlength=parts) > 0
+            strong = np.bincount(part[rare], minlength=parts)
             salt = np.uint64((k + 1) * 0xC2B2AE3D27D4EB4F % (1 << 64))
             signs = _mix(sums + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt)
-            out.append(signs[np.lexsort((signs, ~strong))[: differ + 1]])
+            out.append(signs[np.lexsort((signs, -strong))[: differ + 1]])
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
@@ -190,15 +200,24 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def _col(side: str, name: str) -> Column:
+    return F.col(f"{side}.{name}")
+
+
+def _most(a: str, b: str) -> Column:
+    """The most shingles that a set of one node can share with one of the other."""
+    both = lambda x: F.bit_count(_col(a, x).bitwiseAND(_col(b, x)))
+    common = sum((both(x) for x in _BITS[1:]), both(_BITS[0]))
+    return F.least(common + F.least(_col(a, "spare"), _col(b, "spare")), _col(a, "high"), _col(b, "high"))
+
+
 def _able(a: str, b: str, percent: int) -> Column:
     """Whether two nodes can hold linked sets: sizes, components, and most possible overlap.
 
     A common shingle sets a common bit, and no more than ``spare`` shingles of
     either side share a bit with another one.
     """
-    col = lambda side, name: F.col(f"{side}.{name}")
-    common = sum((F.bit_count(col(a, x).bitwiseAND(col(b, x))) for x in _BITS[1:]), F.bit_count(col(a, _BITS[0]).bitwiseAND(col(b, _BITS[0]))))
-    most = F.least(common + F.least(col(a, "spare"), col(b, "spare")), col(a, "high"), col(b, "high"))
+    col, most = _col, _most(a, b)
     sizes = (100 * col(a, "high") >= percent * col(b, "low")) & (100 * col(b, "high") >= percent * col(a, "low"))
     apart = ~((col(a, "comp") == col(b, "comp")) & (col(a, "comp") == col(a, "comp_high")) & (col(b, "comp") == col(b, "comp_high")))
     return sizes & apart & ((100 + percent) * most >= percent * (col(a, "low") + col(b, "low")))
@@ -211,7 +230,7 @@ FIRST_TREES = 32
 
 
 def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
-    """Pairs (a, b) of classes of different components that no level of the trees prunes.
+    """Pairs (a, b) of classes of different components that no level of the trees prunes, and how likely they are linked.
 
     ``members`` has sig, c and comp; ``classes`` has c, n, spare and the bitmap.
     """
@@ -235,13 +254,13 @@ def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, lea
     # class and component, class and class
     met = _meet(pairs.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), own.withColumn("key", F.col("c")), whole.withColumn("key", F.col("comp")), percent)
     met = _meet(met.join(own.select(F.col("comp").alias("b"), F.col("c").alias("y")), "b").select("a", F.col("y").alias("b")), own.withColumn("key", F.col("c")), own.withColumn("key", F.col("c")), percent)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likely").alias("likely"))
 
 
 def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """The pairs of keys whose nodes can hold linked sets."""
+    """The pairs of keys whose nodes can hold linked sets, and how much of their sizes these can share at most."""
     met = pairs.alias("p").join(left.alias("x"), F.col("p.a") == F.col("x.key")).join(right.alias("y"), (F.col("p.b") == F.col("y.key")) & _able("x", "y", percent))
-    return met.select("p.a", "p.b")
+    return met.select("p.a", "p.b", (_most("x", "y") / (F.col("x.low") + F.col("y.low"))).alias("likely"))
 
 
 def _union() -> list[Column]:
@@ -276,23 +295,68 @@ def _descend(trees: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _short(keys: Column) -> Column:
+    """The distinct 16-bit keys of a set."""
+    return F.array_distinct(F.transform(keys, lambda k: F.shiftright(k, 48).cast("short")))
+
+
+def _sets(one: DataFrame, df: DataFrame, text: str, key: str, words: int, kept: Callable[[Column], Column]) -> DataFrame:
+    """want, n and keys: ``kept`` of the shingle sets of the classes in ``one``, which are made again."""
+    rows = df.select(df[key].alias("id"), df[text].alias("t")).join(_small(one.drop("copies")), F.col("id").eqNullSafe(F.col("want_id")))
+    # exploded, so that the sets are made after the join and not as its key
+    same = lambda k: (_name1(k) == F.col("c1")) & (_name2(k) == F.col("c2"))
+    right_one = let(shingle_set(F.col("t"), words), lambda k: F.when(same(k), F.array(F.struct(F.size(k).alias("n"), kept(k).alias("keys")))))
+    sets = rows.select("want", F.inline(right_one))
+    return written(sets.dropDuplicates(["want"]) if one.where("copies > 1").limit(1).count() else sets, "jaccard-sets")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets can be linked. Shingles beyond a set's distinct keys share a key, and may all be common."""
+    side = lambda p: sets.select(F.col("want").alias(p), F.col("n").alias(f"n{p}"), F.col("keys").alias(f"k{p}"))
+    spare = F.least(F.col("na") - F.size("ka"), F.col("nb") - F.size("kb"))
+    both = F.size(F.array_intersect("ka", "kb")) + spare
+    linked = (100 + percent) * both >= percent * (F.col("na") + F.col("nb"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(linked).select("a", "b")
+
+
 def _exact(pairs: DataFrame, df: DataFrame, named: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
     """The pairs of classes that are linked, by their shingle sets, which are made again for the classes in question only."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     texts = named.where("n > 0").join(wanted, "c", "left_semi").groupBy("c", "c1", "c2", "id").agg(F.count("*").alias("copies"))
     one = texts.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies", "c1", "c2")).alias("x"))
     one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies", "x.c1", "x.c2"), "jaccard-wanted")
-    rows = df.select(df[key].alias("id"), df[text].alias("t")).join(_small(one.drop("copies")), F.col("id").eqNullSafe(F.col("want_id")))
-    # exploded, so that the sets are made after the join and not as its key
-    same = lambda k: (_name1(k) == F.col("c1")) & (_name2(k) == F.col("c2"))
-    right_one = let(shingle_set(F.col("t"), words), lambda k: F.when(same(k), F.array(k)).otherwise(F.array().cast("array<array<long>>")))
-    sets = rows.select("want", F.explode(right_one).alias("keys"))
-    sets = written(sets.dropDuplicates(["want"]) if one.where("copies > 1").limit(1).count() else sets, "jaccard-sets")
-    left = sets.select(F.col("want").alias("a"), F.col("keys").alias("ka"))
-    right = sets.select(F.col("want").alias("b"), F.col("keys").alias("kb"))
-    both = F.size(F.array_intersect("ka", "kb"))
-    linked = (100 + percent) * both >= percent * (F.size("ka") + F.size("kb"))
-    return pairs.join(left, "a").join(right, "b").where(linked).select("a", "b")
+    near = written(_compared(pairs, _sets(one, df, text, key, words, _short), percent), "jaccard-near")
+    still = near.select(F.explode(F.array("a", "b")).alias("want")).distinct()
+    one = written(one.join(still, "want", "left_semi"), "jaccard-wanted")
+    return _compared(near, _sets(one, df, text, key, words, lambda k: k), percent)
+
+
+def _likeliest(pairs: DataFrame, each: int) -> DataFrame:
+    """Of the pairs (a, b) with ``likely`` those that are among the ``each`` likeliest ones of a or of b."""
+    both = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("own"), "a", "b", "likely"), F.struct(F.col("b").alias("own"), "a", "b", "likely"))))
+    order = Window.partitionBy("own").orderBy(F.desc("likely"), F.xxhash64("a", "b"))
+    return both.withColumn("at", F.row_number().over(order)).where(F.col("at") <= each).select("a", "b").distinct()
+
+
+def connect(left: DataFrame, roots: DataFrame, exact: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(member, root) of classes linked by ``roots`` or by those pairs of ``left`` (a, b, likely) which ``exact`` finds linked.
+
+    Every pair is compared, or lies within one component already.
+    """
+    each = NEIGHBOURS
+    while True:
+        of = lambda side: roots.select(F.col("member").alias(side), F.col("root").alias(f"r{side}"))
+        apart = F.coalesce("ra", "a") != F.coalesce("rb", "b")
+        left = written(left.join(of("a"), "a", "left").join(of("b"), "b", "left").where(apart).select("a", "b", "likely"), "jaccard-apart")
+        pairs = left.count()
+        if not pairs:
+            return roots
+        whole = pairs <= NEIGHBOURS * left.select(F.explode(F.array("a", "b")).alias("c")).distinct().count()
+        some = left.select("a", "b") if whole else written(_likeliest(left, each), "jaccard-some")
+        roots = components(roots.select(F.col("member").alias("a"), F.col("root").alias("b")).unionAll(exact(some)))
+        if whole:
+            return roots
+        left, each = left.join(some, ["a", "b"], "left_anti"), 8 * each
 
 
 def _name1(keys: Column) -> Column:
@@ -324,25 +388,23 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words:
     shared = written(shared, "jaccard-shared")
     leaves = planted.where("sigs is not null").select(F.col("rid").alias("c"), "n", "spare", *_BITS)
 
-    # chains: of the neighbours in its trees, a class is compared with those it meets most often
+    # chains: of the neighbours in its trees, a class is compared with the likeliest ones
+    exact = lambda pairs: _exact(pairs, df, named, text, key, words, percent)
     names = named.where("n > 0").select("rid", "c")
-    met = shared.where("prev is not null").groupBy("prev", "rid").count()
+    met = shared.where("prev is not null").select("prev", "rid").distinct()
     met = met.join(names.select(F.col("rid").alias("prev"), F.col("c").alias("x")), "prev").join(names.select("rid", F.col("c").alias("y")), "rid").where("x != y")
-    met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("count").alias("times"))
-    met = written(met, "jaccard-met")
-    best_a = met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-    best_b = met.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
-    chains = written(_exact(best_a.unionAll(best_b).distinct(), df, named, text, key, words, percent), "jaccard-chains")
-    roots = components(chains)
+    met = written(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "jaccard-met")
+    met_ones = met.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    alone = leaves.join(met_ones, "c", "left_semi").select(F.col("c").alias("key"), F.col("n").alias("low"), F.col("n").alias("high"), "spare", F.col("c").alias("comp"), F.col("c").alias("comp_high"), *_BITS)
+    chains = written(_likeliest(_meet(met, alone, alone, percent), NEIGHBOURS), "jaccard-chains")
+    roots = components(exact(chains))
 
     # trees with several components are traversed
     known = names.join(roots, names["c"] == roots["member"], "left").select("rid", "c", F.coalesce("root", "c").alias("comp"))
     placed = shared.select("sig", "rid").join(known, "rid")
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("sig")
     members = written(placed.join(mixed, "sig", "left_semi").select("sig", "c", "comp").distinct(), "jaccard-open")
-    left = written(traverse(members, leaves, percent), "jaccard-left")
-    more = _exact(left, df, named, text, key, words, percent)
-    return named, planted, components(chains.unionAll(more))
+    return named, planted, connect(traverse(members, leaves, percent), roots, exact)
 
 
 def label_components(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -97,3 +97,61 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(found) == odd_docs.count()
     assert sorted(r["component_id"] for r in found if r["id"] in (6, 7)) == [6, 6, 6]
     assert J.label_components(no_docs).count() == 0 and J.keep_one(no_docs).count() == 0
+
+
+def test_a_large_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Many classes about the threshold from each other, and as few comparisons as a few for each class."""
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(160):
+        w = list(base)
+        for k in range(draw.choice([2, 3, 3, 4])):
+            w[draw.randrange(len(w))] = f"x{i}_{k}"
+        docs.append(" ".join(w))
+    rows = list(enumerate(docs))
+    compared, exact = [], J._exact
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return exact(pairs, *args)
+
+    monkeypatch.setattr(J, "_exact", counted)
+    found = {r["id"]: (r["n_shingles"], r["component_id"]) for r in labels(spark, rows)}
+    assert found == jaccard_components(rows)
+    assert sum(compared) <= 16 * len(docs)
+
+
+def test_rounds_compare_every_pair_between_components(spark):
+    """Pairs that are left are compared until none lies between components, whatever their order."""
+    draw = random.Random(3)
+    pairs = [(a, b, draw.random()) for b in range(60) for a in range(b)]
+    linked = {(a, b) for a, b, _ in pairs if b - a == 1 and b % 20} | {(0, 59)}
+    left = spark.createDataFrame(pairs, "a long, b long, likely double")
+    links = spark.createDataFrame(sorted(linked), "a long, b long")
+    tried = []
+
+    def exact(some):
+        tried.extend((r["a"], r["b"]) for r in some.collect())
+        return some.join(links, ["a", "b"]).select("a", "b")
+
+    found = {r["member"]: r["root"] for r in J.connect(left, K.components(spark.createDataFrame([(5, 6)], "a long, b long")), exact).collect()}
+    root = {x: 20 if 20 <= x < 40 else 0 for x in range(60)}
+    assert found == {x: r for x, r in root.items() if x != r}
+    assert len(tried) == len(set(tried)) < len(pairs) and {p for p in linked if p in set(tried)} <= linked
+    assert all((a, b) in set(tried) for a, b, _ in pairs if root[a] != root[b])
+
+
+def test_short_keys_bound_the_overlap(spark):
+    """Pairs of whole sets that are linked are linked by their 16-bit keys too, also where keys of a set fall together."""
+    from pyspark.sql import functions as F
+
+    draw = random.Random(4)
+    top = lambda k: (k << 48) + draw.randrange(1 << 48)
+    a = [top(draw.randrange(-40, 40)) for _ in range(100)]
+    sets = [(1, a), (2, a[:92] + [top(7) for _ in range(8)]), (3, [top(draw.randrange(100, 20_000)) for _ in range(100)])]
+    frame = spark.createDataFrame(sets, "want long, keys array<long>").select("want", F.size("keys").alias("n"), "keys")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    short = J._compared(pairs, frame.withColumn("keys", J._short(F.col("keys"))), 85).collect()
+    whole = J._compared(pairs, frame, 85).collect()
+    assert [tuple(r) for r in whole] == [(1, 2)] and set(map(tuple, whole)) <= set(map(tuple, short))
