@@ -22,12 +22,22 @@ its sizes cannot reach the threshold, when both lie in one component, or when
 the common bits plus the shared ones are fewer than the overlap that the
 threshold needs. A tree of few components is one leaf. Pairs of components,
 which several trees may hold, are made distinct before their nodes meet; then
-classes meet the other component's node, then its classes. What is left at
+the classes of the smaller component meet the other one's node, then its
+classes, which are looked up by their differences if they are many. What is left at
 the bottom is compared in rounds: where the pairs are many for their classes,
 each class takes its likeliest ones, the links found join components, and pairs
 inside one component need no comparison any more. A round takes eight times as
 many for each class as the one before.
 
+*Differences.* Against a component of many classes, a class is not paired with
+each of these. One of them, the centre, which has most links, is taken off
+from all by symmetric difference; what is left of two sets differs in as many
+shingles as the sets. A class that is linked with the centre needs no other
+link. Of any other one, linked sets share more than half of what is left of the
+member, and all but the most differences of what is left of the class. So both
+have a shingle in common among their first ones, rarest first, and are joined
+by these. Copies of one text with edits of their own share none.
+
 *Comparison.* Sets travel as 16-bit keys first, a quarter of the bytes: common
 keys and shared ones bound the overlap as the bits of the bitmaps do, whatever
 the size of a set. Only pairs that pass travel as whole sets.
@@ -227,12 +237,16 @@ def _able(a: str, b: str, percent: int) -> Column:
 LEAF = 256
 #: Trees by which a component tells whether another tree has told of a pair already.
 FIRST_TREES = 32
+#: Classes of a component that are paired with a class one by one; those of a larger one are looked up by their differences.
+MANY = 16
 
 
-def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, leaf: int = LEAF, centres: DataFrame | None = None, sets: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Pairs (a, b) of classes of different components that no level of the trees prunes, and how likely they are linked.
 
     ``members`` has sig, c and comp; ``classes`` has c, n, spare and the bitmap.
+    ``centres`` (comp, centre) names a class of each component with several ones, ``sets`` makes
+    the shingle sets (want, n, keys) of classes c; without them all classes are paired one by one.
     """
     own = members.select("c", "comp").distinct().join(classes, "c")
     own = written(own.select("c", F.col("n").alias("low"), F.col("n").alias("high"), "spare", "comp", F.col("comp").alias("comp_high"), *_BITS), "jaccard-leaves")
@@ -251,9 +265,21 @@ def traverse(members: DataFrame, classes: DataFrame, percent: int = PERCENT, lea
     if large.limit(1).count():
         pairs = pairs.unionAll(_descend(large, whole, percent)).distinct()
     pairs = written(pairs, "jaccard-pairs")
-    # class and component, class and class
-    met = _meet(pairs.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), own.withColumn("key", F.col("c")), whole.withColumn("key", F.col("comp")), percent)
-    met = _meet(met.join(own.select(F.col("comp").alias("b"), F.col("c").alias("y")), "b").select("a", F.col("y").alias("b")), own.withColumn("key", F.col("c")), own.withColumn("key", F.col("c")), percent)
+    # class of the smaller component and larger component, class and class
+    held = written(own.groupBy("comp").agg(F.count("*").alias("held")), "jaccard-held")
+    of = lambda side: held.select(F.col("comp").alias(side), F.struct("held", F.col("comp").alias("comp")).alias(f"h{side}"))
+    sides = pairs.join(of("a"), "a").join(of("b"), "b").select(F.least("ha", "hb")["comp"].alias("a"), F.greatest("ha", "hb")["comp"].alias("b"))
+    single = own.withColumn("key", F.col("c"))
+    met = _meet(sides.join(own.select(F.col("comp").alias("a"), F.col("c").alias("x")), "a").select(F.col("x").alias("a"), "b"), single, whole.withColumn("key", F.col("comp")), percent)
+    met = written(met.select("a", F.col("b").alias("comp")), "jaccard-sides")
+    many = held.where(F.col("held") > MANY).join(centres, "comp").select("comp", "centre") if centres is not None else None
+    many = written(many.join(met, "comp", "left_semi"), "jaccard-many") if many is not None else None
+    if many is None or not many.limit(1).count():
+        both = met.join(own.select("comp", F.col("c").alias("b")), "comp").select("a", "b")
+    else:
+        both = met.join(many, "comp", "left_anti").join(own.select("comp", F.col("c").alias("b")), "comp").select("a", "b")
+        both = written(both.unionAll(_by_differences(met.join(many, "comp").select("comp", F.col("a").alias("c")), own.join(many, "comp").select("comp", "c"), many, sets, percent)), "jaccard-both")
+    met = _meet(both, single, single, percent)
     return met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likely").alias("likely"))
 
 
@@ -263,6 +289,38 @@ def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) ->
     return met.select("p.a", "p.b", (_most("x", "y") / (F.col("x.low") + F.col("y.low"))).alias("likely"))
 
 
+def _by_differences(outside: DataFrame, inside: DataFrame, centres: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Of the pairs of ``outside`` and ``inside`` classes (comp, c) of one comp those that may be linked: (a, b).
+
+    All sets lose the centre's by symmetric difference. With d shingles in
+    which two linked sets differ at most, C and B left of a member and of a class:
+    2 |C and B| >= |C| + |B| - d, and |B| exceeds the d of class and centre,
+    else these two are linked and are the only pair of the class; |C and B| >= |B| - d.
+    """
+    made = sets(outside.select("c").unionAll(inside.select("c")).unionAll(centres.select(F.col("centre").alias("c"))).distinct())
+    centre = _small(centres.join(made, F.col("centre") == F.col("want")).select("comp", "centre", F.col("n").alias("n0"), F.col("keys").alias("k0")))
+
+    def left(rows: DataFrame, need: Column) -> DataFrame:
+        of = rows.join(made, rows["c"] == made["want"]).join(centre, "comp")
+        of = of.withColumn("left", F.concat(F.array_except("keys", "k0"), F.array_except("k0", "keys"))).withColumn("size", F.size("left"))
+        return of.select("comp", "c", "centre", ((100 + percent) * F.col("size") <= (100 - percent) * (F.col("n") + F.col("n0"))).alias("linked"), need.cast("long").alias("need"), "left")
+
+    most = F.floor((100 - percent) * (F.col("n") + F.floor(100 * F.col("n") / percent)) / (100 + percent))
+    more = F.floor(((100 + percent) * F.col("size") - (100 - percent) * (F.col("n") - F.col("n0"))) / (2 * (100 + percent)))
+    outer = written(left(outside, F.greatest(F.lit(1), F.col("size") - most)), "jaccard-outside")
+    inner = written(left(inside, more + 1).select("comp", "c", "need", F.explode("left").alias("e")), "jaccard-inside")
+    common = inner.groupBy("comp", "e").agg(F.count("*").alias("in"))
+    own = Window.partitionBy("comp", "c")
+
+    def first(rows: DataFrame) -> DataFrame:
+        placed = rows.join(common, ["comp", "e"]).withColumn("at", F.row_number().over(own.orderBy("in", "e"))).withColumn("size", F.count("*").over(own))
+        return placed.where("at <= size - need + 1").select("comp", "e", "c")
+
+    others = outer.where(~F.col("linked")).select("comp", "c", "need", F.explode("left").alias("e"))
+    met = first(others).join(first(inner).withColumnRenamed("c", "b"), ["comp", "e"]).select(F.col("c").alias("a"), "b").distinct()
+    return met.unionAll(outer.where("linked").select(F.col("c").alias("a"), F.col("centre").alias("b")))
+
+
 def _union() -> list[Column]:
     return [F.min("low").alias("low"), F.max("high").alias("high"), F.max("spare").alias("spare"), *[F.bit_or(b).alias(b) for b in _BITS]]
 
@@ -319,12 +377,16 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(linked).select("a", "b")
 
 
-def _exact(pairs: DataFrame, df: DataFrame, named: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
-    """The pairs of classes that are linked, by their shingle sets, which are made again for the classes in question only."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+def _wanted(wanted: DataFrame, named: DataFrame) -> DataFrame:
+    """A row to make the shingle set from for each of the classes c of ``wanted``, and how many have its id."""
     texts = named.where("n > 0").join(wanted, "c", "left_semi").groupBy("c", "c1", "c2", "id").agg(F.count("*").alias("copies"))
     one = texts.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies", "c1", "c2")).alias("x"))
-    one = written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies", "x.c1", "x.c2"), "jaccard-wanted")
+    return written(one.select(F.col("c").alias("want"), F.col("x.id").alias("want_id"), "x.copies", "x.c1", "x.c2"), "jaccard-wanted")
+
+
+def _exact(pairs: DataFrame, df: DataFrame, named: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
+    """The pairs of classes that are linked, by their shingle sets, which are made again for the classes in question only."""
+    one = _wanted(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), named)
     near = written(_compared(pairs, _sets(one, df, text, key, words, _short), percent), "jaccard-near")
     still = near.select(F.explode(F.array("a", "b")).alias("want")).distinct()
     one = written(one.join(still, "want", "left_semi"), "jaccard-wanted")
@@ -397,14 +459,20 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words:
     met_ones = met.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     alone = leaves.join(met_ones, "c", "left_semi").select(F.col("c").alias("key"), F.col("n").alias("low"), F.col("n").alias("high"), "spare", F.col("c").alias("comp"), F.col("c").alias("comp_high"), *_BITS)
     chains = written(_likeliest(_meet(met, alone, alone, percent), NEIGHBOURS), "jaccard-chains")
-    roots = components(exact(chains))
+    links = written(exact(chains), "jaccard-links")
+    roots = components(links)
+    # of each component of several classes, the one with most links
+    ends = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("links"))
+    ends = ends.join(roots, ends["c"] == roots["member"], "left").groupBy(F.coalesce("root", "c").alias("comp"))
+    centres = ends.agg(F.max(F.struct("links", "c"))["c"].alias("centre"))
 
     # trees with several components are traversed
     known = names.join(roots, names["c"] == roots["member"], "left").select("rid", "c", F.coalesce("root", "c").alias("comp"))
     placed = shared.select("sig", "rid").join(known, "rid")
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("sig")
     members = written(placed.join(mixed, "sig", "left_semi").select("sig", "c", "comp").distinct(), "jaccard-open")
-    return named, planted, connect(traverse(members, leaves, percent), roots, exact)
+    sets = lambda wanted: _sets(_wanted(wanted, named), df, text, key, words, lambda k: k)
+    return named, planted, connect(traverse(members, leaves, percent, centres=centres, sets=sets), roots, exact)
 
 
 def label_components(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -155,3 +155,58 @@ def test_short_keys_bound_the_overlap(spark):
     short = J._compared(pairs, frame.withColumn("keys", J._short(F.col("keys"))), 85).collect()
     whole = J._compared(pairs, frame, 85).collect()
     assert [tuple(r) for r in whole] == [(1, 2)] and set(map(tuple, whole)) <= set(map(tuple, short))
+
+
+def copies_of_one_text(light: int, heavy: int):
+    """Copies that are linked with the text, and copies with so many edits that they are not, some of them linked with a few copies."""
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+
+    def edited(words, name, edits):
+        w = list(words)
+        for k in range(edits):
+            at = draw.randrange(len(w))
+            if draw.random() < 0.7:
+                w[at] = f"x{name}_{k}"
+            else:
+                del w[at]
+        return w
+
+    docs = [base] + [edited(base, f"l{i}", draw.choice([1, 1, 2, 3])) for i in range(light)]
+    far = [edited(base, f"h{i}", draw.choice([5, 6, 7])) for i in range(heavy)]
+    docs += far + [edited(docs[1 + i], f"c{i}", draw.choice([3, 4, 5])) for i in range(light // 3)] + [edited(w, f"n{i}", 1) for i, w in enumerate(far[::4])]
+    draw.shuffle(docs)
+    return [" ".join(w) for w in docs]
+
+
+def test_a_class_is_not_paired_with_every_class_of_a_large_component(spark, monkeypatch):
+    rows = list(enumerate(copies_of_one_text(90, 90)))
+    met, meet = [], J._meet
+
+    def counted(pairs, *args):
+        met.append(pairs.count())
+        return meet(pairs, *args)
+
+    monkeypatch.setattr(J, "_meet", counted)
+    found = {r["id"]: (r["n_shingles"], r["component_id"]) for r in labels(spark, rows)}
+    assert found == jaccard_components(rows)
+    assert sum(met[1:]) <= 8 * len(rows), met
+
+
+@pytest.mark.parametrize("central", [True, False])
+def test_differences_lose_no_link(spark, central):
+    """Every linked pair of a class and a member comes out, or the class's pair with the centre, whichever member that is."""
+    from pyspark.sql import functions as F
+
+    sets = sorted((shingles(t) for t in copies_of_one_text(60, 60)), key=lambda s: sum(k[0][0] != "w" for k in s))
+    number = {k: i for i, k in enumerate(sorted(set().union(*sets), key=str))}
+    made = spark.createDataFrame([(i, len(s), sorted(number[k] for k in s)) for i, s in enumerate(sets)], "want long, n int, keys array<long>")
+    inside, outside = range(0, len(sets), 2), range(1, len(sets), 2)
+    of = lambda ids: spark.createDataFrame([(1, i) for i in ids], "comp long, c long")
+    centre = inside[0] if central else inside[-1]
+    centres = spark.createDataFrame([(1, centre)], "comp long, centre long")
+    found = {(r["a"], r["b"]) for r in J._by_differences(of(outside), of(inside), centres, lambda wanted: made.join(wanted, F.col("want") == F.col("c"), "left_semi"), 85).collect()}
+    linked = {(a, b) for a in outside for b in inside if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    by_centre = {a for a, b in linked if b == centre}
+    assert {(a, b) for a, b in linked if a not in by_centre} <= found and {(a, centre) for a in by_centre} <= found
+    assert {a for a, _ in linked} - by_centre and len(found) < len(inside) * len(outside) / (8 if central else 2), (len(found), len(by_centre))
