@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+#: Rows of an Arrow batch that holds whole texts or shingle sets, some KB each; Spark's 10 000 are tens of MB, several times.
+TEXT_ROWS = 500
+
 Make = Callable[[], Callable[[list], list[list]]]
 
 

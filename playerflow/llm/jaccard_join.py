@@ -58,12 +58,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from playerflow.llm.batches import TEXT_ROWS
 from playerflow.llm.components import components
 from playerflow.llm.native import blank_words, let, lower_ascii
 from playerflow.llm.quality_rules import window_keys
 from playerflow.llm.registry import query, table
 from playerflow.llm.sampling import sample_rows
-from playerflow.session import written
+from playerflow.session import arrow_rows, written
 
 WORDS = 4
 PERCENT = 85
@@ -438,7 +439,8 @@ def link_classes(df: DataFrame, text: str = "text", key: str = "doc_id", words:
     id_type = df.schema[key].dataType.simpleString()
     schema = f"id {id_type}, h long, n long, c1 long, c2 long, sigs array<long>, spare int, " + ", ".join(f"{b} long" for b in _BITS)
     planted = keyed.mapInArrow(_plant(forest, frequent), schema).withColumn("rid", F.monotonically_increasing_id())
-    planted = written(planted, "jaccard-planted")
+    with arrow_rows(df.sparkSession, TEXT_ROWS):
+        planted = written(planted, "jaccard-planted")
     # a class is named by its first row, which every task plants
     rows = planted.select("rid", "id", "h", "n", "c1", "c2")
     classes = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("rid").alias("c"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT = "spark.checkpoint.dir"
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def local_session(cores: str = "8", app: str = "playerflow", **conf: str) -> SparkSession:
@@ -57,6 +60,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """What runs meanwhile sends at most so many rows to Python at a time; a lower setting of the session stays.
+
+    A batch is held in memory by the executor and by its Python worker, whatever the size of its rows.
+    """
+    before = spark.conf.get(_ARROW_ROWS, None)
+    if before is None or not 0 < int(before) <= most:
+        spark.conf.set(_ARROW_ROWS, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_ARROW_ROWS)
+        else:
+            spark.conf.set(_ARROW_ROWS, before)
+
+
 def scale_settings(input_bytes: int, executor_cores: int, executor_memory_gb: int) -> dict[str, str]:
     """Settings for a large run, from the input size and the executor shape.
 

@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from playerflow.llm import components as K
 from playerflow.llm import jaccard_join as J
+from playerflow.session import arrow_rows
 from tests.llm.brute import jaccard_components, shingles
 
 
@@ -210,3 +212,40 @@ def test_differences_lose_no_link(spark, central):
     by_centre = {a for a, b in linked if b == centre}
     assert {(a, b) for a, b in linked if a not in by_centre} <= found and {(a, centre) for a in by_centre} <= found
     assert {a for a, _ in linked} - by_centre and len(found) < len(inside) * len(outside) / (8 if central else 2), (len(found), len(by_centre))
+
+
+def test_sets_go_to_python_in_small_batches(spark, monkeypatch):
+    """However many rows a task has; the session's own setting is back afterwards."""
+    name, plant = "spark.sql.execution.arrow.maxRecordsPerBatch", J._plant
+
+    def watched(*args):
+        run = plant(*args)
+
+        def small(batches):
+            for batch in batches:
+                assert batch.num_rows <= 500, batch.num_rows
+                yield batch
+
+        return lambda batches: run(small(batches))
+
+    monkeypatch.setattr(J, "_plant", watched)
+    texts = spark.range(1_200).select("id", F.concat(F.lit("all words but one are alike: "), F.col("id")).alias("text")).coalesce(1)
+    before = spark.conf.get(name, None)
+    named, _, _ = J.link_classes(texts, key="id")
+    assert named.count() == 1_200 and spark.conf.get(name, None) == before
+
+
+def test_batches_of_a_session_are_not_made_larger(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        with pytest.raises(ValueError), arrow_rows(spark, 500):
+            assert spark.conf.get(name) == "7"
+            raise ValueError
+        assert spark.conf.get(name) == "7"
+        spark.conf.set(name, "0")
+        with arrow_rows(spark, 500):
+            assert spark.conf.get(name) == "500"
+        assert spark.conf.get(name) == "0"
+    finally:
+        spark.conf.unset(name)

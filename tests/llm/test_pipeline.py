@@ -30,3 +30,15 @@ def test_stages_keep_the_columns(spark, sf_dir, odd_docs):
             assert stage(spark, frame, sf_dir).dtypes == docs.dtypes, name
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd_docs.withColumn("n_chars", odd_docs["n_tokens"]), sf_dir).count() >= 0, name
+
+
+def test_texts_are_encoded_in_small_batches(spark, sf_dir, monkeypatch):
+    seen, encode = [], corpus_pipeline.encode_decode
+
+    def watched(docs, **kept):
+        seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return encode(docs, **kept)
+
+    monkeypatch.setattr(corpus_pipeline, "encode_decode", watched)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    assert corpus_pipeline.encode_texts(spark, docs, sf_dir).count() == 20 and seen == ["500"]
